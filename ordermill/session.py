@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import functools
 import tempfile
+import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -46,23 +48,27 @@ def shared_dir(spark: SparkSession) -> str:
     A private folder is used only where the setting is absent and the master is local (tests);
     on a cluster a machine-local path would not outlive its executor, so that is an error.
     """
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir()
-    if current:
-        return current
     named = spark.conf.get("spark.checkpoint.dir", None)
-    if not named:
-        if not sc.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        named = tempfile.mkdtemp(prefix="ordermill-ckpt-")
-    sc.setCheckpointDir(named)
-    return sc.getCheckpointDir()
-
-
-def materialize(df: DataFrame) -> DataFrame:
-    """Cut lineage with a reliable checkpoint in the shared folder."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    if named:
+        return named
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
+    return _local_dir()
+
+
+@functools.cache
+def _local_dir() -> str:
+    return tempfile.mkdtemp(prefix="ordermill-stages-")
+
+
+def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
+    """Write a stage as a table in the shared folder and go on from there.
+
+    Cuts lineage without tying blocks to an executor, and later readers prune columns.
+    """
+    path = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def clock(as_of: str) -> Column:
