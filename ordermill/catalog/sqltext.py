@@ -26,8 +26,8 @@ def case_map(c: str, mapping: dict, default: str = "null") -> str:
 
 def title(c: str) -> str:
     runs = rf"regexp_extract_all({c}, '(\p{{L}}+|[^\p{{L}}]+)')"
-    # upper() leaves the sharp s alone; its title form is "Ss"
-    return f"array_to_string(list_transform({runs}, lambda w: replace(upper(w[1]), 'ß', 'Ss') || lower(w[2:])), '')"
+    # DuckDB's upper() makes one letter of a sharp s; its title form is "Ss"
+    return f"array_to_string(list_transform({runs}, lambda w: replace(upper(w[1]), 'ẞ', 'Ss') || lower(w[2:])), '')"
 
 
 def squeeze(c: str) -> str:

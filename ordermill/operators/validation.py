@@ -158,9 +158,11 @@ def quarantine_split(df: DataFrame, as_of: str, min_severity: str = "low") -> tu
 def validate_orders(df: DataFrame, as_of: str, min_severity: str = "low", **options) -> DataFrame:
     """One row: valid and invalid rows, score, level, and errors by severity."""
     checked = order_errors(df, as_of, **options)
-    per_severity = [
-        F.coalesce(F.sum(F.size(F.filter("errors", lambda e, s=s: e["severity"] == s))), F.lit(0)).alias(f"{s}_errors") for s in ROW_SEVERITIES
-    ]
+
+    def found(severity: str) -> Column:
+        return F.coalesce(F.sum(F.size(F.filter("errors", lambda e: e["severity"] == severity))), F.lit(0))
+
+    per_severity = [found(s).alias(f"{s}_errors") for s in ROW_SEVERITIES]
     counted = checked.agg(
         F.count(F.lit(1)).alias("total_records"), F.count_if(is_valid(min_severity)).alias("valid_records"), *per_severity
     )
