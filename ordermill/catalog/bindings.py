@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from ..session import tune
 
 # total order of order lines; every order-sensitive operator breaks ties with it
-LINE_ORDER = ["order_key", "line_no", "part_key", "supp_key"]
+LINE_ORDER = ["order_key", "line_no", "part_key", "supp_key", "amount_key"]
 
 _SPARK = {
     "us": lambda c: f"unix_micros(cast({c} as timestamp))",
@@ -56,6 +56,7 @@ _STREETS = ["n main st, ny", "oak ave, ca", "W Elm Blvd, TX", "park rd nw", "hil
 # one row per order line; all joins are total
 ORDERS_RAW = f"""
 select o.o_orderkey as order_key, l.l_linenumber as line_no, l.l_partkey as part_key, l.l_suppkey as supp_key,
+  cast(round(l.l_extendedprice * 100) as bigint) * 64 + cast(l.l_quantity as bigint) as amount_key,
   o.o_orderkey * 7 + l.l_linenumber * 3 + l.l_partkey * 11 + l.l_suppkey * 13 as seq,
   {_PREFIX} || '-' || {_YEAR} || '-' || {_NNN} as order_id,
   o.o_custkey as customer_id,
@@ -79,7 +80,7 @@ from {{lineitem}} l join {{orders}} o on l.l_orderkey = o.o_orderkey
 
 # the same rows as untyped text with defects chosen by `seq`
 ORDERS_DIRTY = f"""
-select order_key, line_no, part_key, supp_key, seq,
+select order_key, line_no, part_key, supp_key, amount_key, seq,
   case when seq % 41 = 0 then cast(null as varchar(40))
        when seq % 7 = 1 then lower(order_id)
        when seq % 7 = 2 then replace(order_id, '-', '_')

@@ -122,7 +122,7 @@ def custom_sql(spark, sf):
     return Q.custom_sql(spark, text, {"lines": raw(spark, sf)}, {"low": 10, "source": "phone"})
 
 
-_BUCKET = "cast('0x' || substr(md5('7|' || {extra}cast(order_key as varchar) || '|' || line_no || '|' || part_key || '|' || supp_key), 1, 7) as bigint) % 1000 < 100"
+_BUCKET = "cast('0x' || substr(md5('7|' || {extra}cast(order_key as varchar) || '|' || line_no || '|' || part_key || '|' || supp_key || '|' || amount_key), 1, 7) as bigint) % 1000 < 100"
 
 
 @query("sample_rows", f"""select {S.KEYS}, 'random' as method from {{orders_raw}} where {_BUCKET.replace('{extra}', '')}

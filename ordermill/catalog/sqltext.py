@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from ..functions import fixed_values as V
 
-KEYS = "order_key, line_no, part_key, supp_key"
+KEYS = "order_key, line_no, part_key, supp_key, amount_key"
 AS_OF = "timestamp '2001-12-31 00:00:00'"
 EVENTS_AS_OF = "timestamp '2024-01-31 00:00:00'"
 

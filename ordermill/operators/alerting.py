@@ -173,7 +173,7 @@ def cooldown_suppress(alerts: DataFrame, keys: list[str], order_by: list, ts: st
     ticked = alerts.withColumn("tick", micros(F.col(ts)))
     waiting = dedup_by_key(ticked.filter(F.col(minutes) > 0), [*keys, "tick"], order_by)
     ids = [*keys, "gap"]
-    candidates = waiting.select(*keys, (F.col(minutes) * MINUTE).cast("bigint").alias("gap"), "tick")
+    candidates = waiting.select(*keys, (F.col(minutes).cast("bigint") * MINUTE).alias("gap"), "tick")
     chunks = range_chunks(candidates, ids, ["tick"])
     id_fields = [f for f in candidates.schema.fields if f.name in ids]
     base = T.StructType(sorted(id_fields, key=lambda f: ids.index(f.name)))
@@ -198,7 +198,8 @@ def cooldown_suppress(alerts: DataFrame, keys: list[str], order_by: list, ts: st
 
 def escalation_schedule(alerts: DataFrame, as_of: str, ts: str = "ts") -> DataFrame:
     """Escalation rows of each alert while it is open: count, time and raised severity."""
-    closed = F.least(*[F.col(c) for c in ("resolved_at", "acknowledged_at") if c in alerts.columns], clock(as_of))
+    ends = [F.col(c) for c in ("resolved_at", "acknowledged_at") if c in alerts.columns]
+    closed = F.least(*ends, clock(as_of)) if ends else clock(as_of)
     step = F.explode(F.sequence(F.lit(1), F.col("max_escalations")))
     steps = alerts.filter((F.col("escalation_minutes") > 0) & (F.col("max_escalations") > 0)).withColumn("escalation_count", step)
     minutes = F.col("escalation_minutes") * F.col("escalation_count")
