@@ -4,7 +4,7 @@ from __future__ import annotations
 
 
 def _load() -> None:
-    from . import checks, metrics, orders, reports, scalars  # noqa: F401  (importing a module registers its queries)
+    from . import checks, ingest, metrics, orders, reports, scalars  # noqa: F401  (importing a module registers its queries)
 
 
 def all_queries() -> dict:

@@ -288,6 +288,7 @@ def with_views(sql: str) -> str:
     if not ctes:
         return body
     stripped = body.lstrip()
-    if stripped.lower().startswith("with "):
-        return f"with {ctes}, {stripped[5:]}"
+    for start in ("with recursive ", "with "):
+        if stripped.lower().startswith(start):
+            return f"{start}{ctes}, {stripped[len(start):]}"
     return f"with {ctes} {stripped}"

@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import fixed_values as V
+from ..functions.cooldown import chain, emit, summarise
 from ..functions.dates import micros
 from ..session import clock
 from .dedup import dedup_by_key
@@ -114,60 +114,6 @@ def _columns_of(sql: str) -> set[str]:
 # range emits on its own. No task holds more than one range.
 
 
-def _last_emitted(ticks: np.ndarray, gap: int) -> np.ndarray:
-    """For each candidate, the last emission of the chain that starts with it."""
-    n = len(ticks)
-    target = np.searchsorted(ticks, ticks + gap)
-    nxt = np.where(target < n, target, np.arange(n))
-    while True:
-        jumped = nxt[nxt]
-        if np.array_equal(jumped, nxt):
-            return nxt
-        nxt = jumped
-
-
-def _summarise(keys: list[str]):
-    def fn(pdf: pd.DataFrame) -> pd.DataFrame:
-        ticks = np.sort(pdf["tick"].to_numpy())
-        gap = int(pdf["gap"].iloc[0])
-        entries = min(int(np.searchsorted(ticks, ticks[0] + gap)) + 1, len(ticks))
-        leave = ticks[_last_emitted(ticks, gap)[:entries]]
-        keep = np.append(leave[1:] != leave[:-1], True)
-        row = {k: pdf[k].iloc[0] for k in keys}
-        row.update(chunk=int(pdf["chunk"].iloc[0]), enter=ticks[:entries][keep].tolist(), leave=leave[keep].tolist())
-        return pd.DataFrame([row])
-
-    return fn
-
-
-def _chain(keys: list[str]):
-    def fn(pdf: pd.DataFrame) -> pd.DataFrame:
-        ready = np.iinfo(np.int64).min
-        out = []
-        gap = int(pdf["gap"].iloc[0])
-        for r in pdf.sort_values("chunk").itertuples(index=False):
-            out.append({**{k: getattr(r, k) for k in keys}, "chunk": r.chunk, "ready": ready})
-            at = int(np.searchsorted(r.enter, ready))
-            if at < len(r.enter):
-                ready = int(r.leave[at]) + gap
-        return pd.DataFrame(out)
-
-    return fn
-
-
-def _emit(keys: list[str]):
-    def fn(pdf: pd.DataFrame) -> pd.DataFrame:
-        ticks = np.sort(pdf["tick"].to_numpy())
-        gap, ready = int(pdf["gap"].iloc[0]), int(pdf["ready"].iloc[0])
-        kept, i = [], int(np.searchsorted(ticks, ready))
-        while i < len(ticks):
-            kept.append(ticks[i])
-            i = int(np.searchsorted(ticks, ticks[i] + gap))
-        return pd.DataFrame({**{k: pdf[k].iloc[0] for k in keys}, "tick": np.array(kept, dtype="int64")})
-
-    return fn
-
-
 def cooldown_suppress(alerts: DataFrame, keys: list[str], order_by: list, ts: str = "ts", minutes: str = "cooldown_minutes") -> DataFrame:
     """Alerts kept when each key stays silent for its cooldown after every kept alert."""
     ticked = alerts.withColumn("tick", micros(F.col(ts)))
@@ -184,10 +130,10 @@ def cooldown_suppress(alerts: DataFrame, keys: list[str], order_by: list, ts: st
     longs = T.ArrayType(T.LongType())
     summary = with_fields(("chunk", T.IntegerType()), ("enter", longs), ("leave", longs))
     entry = with_fields(("chunk", T.IntegerType()), ("ready", T.LongType()))
-    steps = chunks.groupBy(*ids, "chunk").applyInPandas(_summarise(ids), summary)
-    ready = steps.groupBy(*ids).applyInPandas(_chain(ids), entry)
+    steps = chunks.groupBy(*ids, "chunk").applyInPandas(summarise(ids), summary)
+    ready = steps.groupBy(*ids).applyInPandas(chain(ids), entry)
     placed = null_safe_join(chunks, ready, [*ids, "chunk"])
-    emitted = placed.groupBy(*ids, "chunk").applyInPandas(_emit(ids), with_fields(("tick", T.LongType()))).drop("gap")
+    emitted = placed.groupBy(*ids, "chunk").applyInPandas(emit(ids), with_fields(("tick", T.LongType()))).drop("gap")
     kept = null_safe_join(waiting, emitted, [*keys, "tick"])
     always = ticked.filter(~F.coalesce(F.col(minutes) > 0, F.lit(False)))
     return kept.unionByName(always).drop("tick")

@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import functools
+import sys
 import tempfile
 import uuid
 
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -71,5 +73,10 @@ def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def ship(module: str) -> None:
+    """Send a module's functions to the Python workers by value, so executors need no install."""
+    cloudpickle.register_pickle_by_value(sys.modules[module])
+
+
 def clock(as_of: str) -> Column:
     return F.lit(as_of).cast("timestamp_ntz")

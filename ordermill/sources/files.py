@@ -10,7 +10,13 @@ from ..session import clock
 
 ORDER_TEXT_FIELDS = ["order_id", "customer_name", "customer_email", "product", "product_category", "quantity", "price",
                      "discount", "total_amount", "order_date", "store_location", "source", "notes"]
-CSV_SCHEMA = T.StructType([*[T.StructField(c, T.StringType()) for c in ORDER_TEXT_FIELDS], T.StructField("_corrupt_record", T.StringType())])
+
+
+def text_schema(columns: list[str]) -> T.StructType:
+    return T.StructType([*[T.StructField(c, T.StringType()) for c in columns], T.StructField("_corrupt_record", T.StringType())])
+
+
+CSV_SCHEMA = text_schema(ORDER_TEXT_FIELDS)
 
 _ORDER = T.StructType(
     [T.StructField(c, T.StringType()) for c in ORDER_TEXT_FIELDS]
@@ -37,12 +43,21 @@ def _tagged(df: DataFrame, source_type: str, as_of: str) -> DataFrame:
     )
 
 
+def _csv(reader, header: bool, encoding: str, multi_line: bool):
+    return (
+        reader.option("header", header).option("encoding", encoding).option("mode", "PERMISSIVE").option("escape", '"')
+        .option("multiLine", multi_line).option("columnNameOfCorruptRecord", "_corrupt_record")
+    )
+
+
 def read_csv_orders(spark: SparkSession, path: str | list[str], as_of: str, encoding: str = "UTF-8", schema: T.StructType = CSV_SCHEMA,
-                    header: bool = True) -> DataFrame:
-    """Order CSV with header; ragged rows are kept with `_corrupt_record` set."""
-    reader = spark.read.schema(schema).option("header", header).option("encoding", encoding).option("mode", "PERMISSIVE")
-    reader = reader.option("columnNameOfCorruptRecord", "_corrupt_record").option("enforceSchema", True)
-    return _tagged(reader.csv(path), "file_csv", as_of)
+                    header: bool = True, multi_line: bool = False) -> DataFrame:
+    """Order CSV with header; ragged rows are kept with `_corrupt_record` set.
+
+    Columns are taken by position, so `schema` lists those of the file. `multi_line` allows line
+    breaks inside quotes, at the price of reading each file in one task.
+    """
+    return _tagged(_csv(spark.read.schema(schema), header, encoding, multi_line).csv(path), "file_csv", as_of)
 
 
 def read_csv_typed(spark: SparkSession, path: str | list[str], schema: str | T.StructType, date_format: str = "yyyy-MM-dd") -> DataFrame:
@@ -52,9 +67,12 @@ def read_csv_typed(spark: SparkSession, path: str | list[str], schema: str | T.S
     )
 
 
-def read_json_envelopes(spark: SparkSession, path: str | list[str], as_of: str) -> DataFrame:
-    """One row per JSON document (or per element of a top-level array)."""
-    reader = spark.read.schema(JSON_SCHEMA).option("multiLine", True).option("columnNameOfCorruptRecord", "_corrupt_record")
+def read_json_envelopes(spark: SparkSession, path: str | list[str], as_of: str, multi_line: bool = True) -> DataFrame:
+    """One row per JSON document (or per element of a top-level array).
+
+    A file is one document or array; with `multi_line` off, each line is one, and large files split.
+    """
+    reader = spark.read.schema(JSON_SCHEMA).option("multiLine", multi_line).option("columnNameOfCorruptRecord", "_corrupt_record")
     return _tagged(reader.json(path), "file_json", as_of)
 
 
@@ -67,8 +85,8 @@ def json_orders(envelopes: DataFrame) -> DataFrame:
     return good.select(F.explode(rows).alias("o"), *carried).select("o.*", *carried)
 
 
-def read_json_orders(spark: SparkSession, path: str | list[str], as_of: str) -> DataFrame:
-    return json_orders(read_json_envelopes(spark, path, as_of))
+def read_json_orders(spark: SparkSession, path: str | list[str], as_of: str, multi_line: bool = True) -> DataFrame:
+    return json_orders(read_json_envelopes(spark, path, as_of, multi_line))
 
 
 def flatten_nested_orders(df: DataFrame) -> DataFrame:

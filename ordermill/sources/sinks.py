@@ -12,7 +12,9 @@ from ..session import clock
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
-    df.write.mode(mode).option("header", True).option("encoding", "UTF-8").csv(path)
+    """Header, UTF-8, values kept as they are (no trimming, quotes doubled)."""
+    writer = df.write.mode(mode).option("header", True).option("encoding", "UTF-8").option("escape", '"')
+    writer.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
 
 
 def write_json(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
