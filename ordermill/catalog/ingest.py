@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import fixed_values as V
 from ..plans.order_flow import FlowConfig, run_pipeline
-from ..session import ORDERS_AS_OF, shared_dir
+from ..session import ORDERS_AS_OF, materialize, shared_dir
 from ..sources import files, incremental, mappings, sinks
 from ..streaming import jobs
 from . import sqltext as S
@@ -35,10 +35,12 @@ def landed_csv(spark: SparkSession, sf: str) -> str:
 
 LANDED_SCHEMA = files.text_schema([*TEXT_FIELDS, *LINE_ORDER])
 _TEXT = ", ".join(TEXT_FIELDS)
+# an empty CSV field reads as null
+_CSV_TEXT = ", ".join(f"nullif({c}, '') as {c}" for c in TEXT_FIELDS)
 _LINE_TEXT = ", ".join(f"cast({c} as varchar) as {c}" for c in LINE_ORDER)
 
 
-@query("read_csv_orders", f"select {_TEXT}, {_LINE_TEXT}, 'file_csv' as source_type, {S.AS_OF} as ingested_at from {{orders_dirty}}")
+@query("read_csv_orders", f"select {_CSV_TEXT}, {_LINE_TEXT}, 'file_csv' as source_type, {S.AS_OF} as ingested_at from {{orders_dirty}}")
 def read_csv_orders(spark, sf):
     rows = files.read_csv_orders(spark, landed_csv(spark, sf), ORDERS_AS_OF, schema=LANDED_SCHEMA)
     return rows.drop("_corrupt_record", "source_file")
@@ -111,7 +113,7 @@ def ingest_file_summary(spark, sf):
     line = F.concat_ws(",", F.concat(F.lit("E"), "event_id"), "event_type", F.when(F.col("event_id") % 50 == 0, F.lit("too,many")).otherwise(F.lit("x")))
     table(spark, sf, "events").select(line.alias("value"), F.col("event_id").alias("k")).repartitionByRange(2, "k").select("value").write.text(path)
     rows = files.read_csv_orders(spark, path, ORDERS_AS_OF, schema=files.text_schema(["order_id", "product", "notes"]), header=False)
-    return files.ingest_file_summary(rows).filter("source_file = '(all)'").drop("source_file")
+    return files.ingest_file_summary(materialize(rows, "ragged")).filter("source_file = '(all)'").drop("source_file")
 
 
 @query("file_admission")
@@ -320,12 +322,16 @@ def finish(q) -> None:
         raise q.exception()
 
 
+def table_stream(spark: SparkSession, sf: str, name: str) -> DataFrame:
+    """A given table as a stream; the glob admits one file as well as a folder of files."""
+    return jobs.read_files(spark, f"{sf}/{name}.parquet*", "parquet", table(spark, sf, name).schema)
+
+
 def _event_stream(spark: SparkSession, sf: str) -> DataFrame:
-    schema = table(spark, sf, "events").schema
-    return jobs.read_files(spark, f"{sf}/events.parquet", "parquet", schema)
+    return table_stream(spark, sf, "events")
 
 
-@query("stream_files", f"select {_TEXT}, {_LINE_TEXT} from {{orders_dirty}}")
+@query("stream_files", f"select {_CSV_TEXT}, {_LINE_TEXT} from {{orders_dirty}}")
 def stream_files(spark, sf):
     dst, ckpt = fresh(spark, "stream-files"), fresh(spark, "ckpt")
     finish(jobs.stream_files(spark, landed_csv(spark, sf), dst, ckpt, schema=LANDED_SCHEMA))
@@ -358,7 +364,7 @@ def _line_stream(spark: SparkSession, sf: str) -> DataFrame:
     """Dirty order lines as a stream: line items stream in and meet the static orders table."""
     from . import bindings as B
 
-    lines = jobs.read_files(spark, f"{sf}/lineitem.parquet", "parquet", table(spark, sf, "lineitem").schema)
+    lines = table_stream(spark, sf, "lineitem")
     joined = spark.sql(B._expand(B.ORDERS_RAW, B._SPARK), lineitem=lines, orders=table(spark, sf, "orders"))
     return spark.sql(B._expand(B.ORDERS_DIRTY, B._SPARK), orders_raw=joined)
 
