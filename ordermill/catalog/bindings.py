@@ -263,10 +263,20 @@ def _tables_in(sql: str) -> list[str]:
     return sorted(set(re.findall(r"(?<!\{)\{(\w+)\}(?!\})", sql)))
 
 
+_FACTS = {"lineitem", "events", "documents"}
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Use all cores on a table that arrives in fewer splits than there are cores; else leave it as it is."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A given table, or a view over given tables."""
     if name not in _VIEWS:
-        return tune(spark).read.parquet(f"{sf_dir}/{name}.parquet")
+        given = tune(spark).read.parquet(f"{sf_dir}/{name}.parquet")
+        return spread(given) if name in _FACTS else given
     sql = _expand(_VIEWS[name], _SPARK)
     return spark.sql(sql, **{t: table(spark, sf_dir, t) for t in _tables_in(sql)})
 

@@ -87,9 +87,13 @@ def category_clean(c: Column) -> Column:
     return title_case(lookup(lowered, V.CATEGORY_ALIASES_CLEAN, lowered))
 
 
-def category_standard(c: Column) -> Column:
+def category_alias(c: Column) -> Column:
     lowered = F.lower(F.trim(c))
-    return title_case(lookup(lowered, V.CATEGORY_ALIASES_STANDARD, lowered))
+    return lookup(lowered, V.CATEGORY_ALIASES_STANDARD, lowered)
+
+
+def category_standard(c: Column) -> Column:
+    return title_case(category_alias(c))
 
 
 def category_from_product(c: Column, whole_words: bool = False) -> Column:
@@ -110,14 +114,15 @@ def channel_type(source: Column) -> Column:
 
 def product_traits(c: Column) -> dict[str, Column]:
     """Attributes of the last catalogue name contained in the product, any case."""
+    names = ["product_brand", "product_subcategory", "price_tier", "popularity_score"]
+    hit = None
+    for product in reversed(V.PRODUCT_CATALOG):
+        found = F.lower(c).contains(product.lower())
+        hit = F.when(found, product) if hit is None else hit.when(found, product)
     unknown = ("Unknown", "Unknown", "Unknown", 50)
-    columns = {}
-    for i, name in enumerate(["product_brand", "product_subcategory", "price_tier", "popularity_score"]):
-        out = F.lit(unknown[i])
-        for product, traits in V.PRODUCT_CATALOG.items():
-            out = F.when(F.lower(c).contains(product.lower()), F.lit(traits[i])).otherwise(out)
-        columns[name] = out
-    return columns
+    return {
+        name: lookup(hit, {p: traits[i] for p, traits in V.PRODUCT_CATALOG.items()}, F.lit(unknown[i])) for i, name in enumerate(names)
+    }
 
 
 def category_by_first_key(c: Column) -> Column:

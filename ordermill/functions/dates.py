@@ -15,8 +15,14 @@ def parse_date(c: Column) -> Column:
     return c.try_cast("timestamp_ntz")
 
 
-def parse_date_multi(c: Column, formats: list[str] = V.DATE_FORMATS) -> Column:
-    return F.coalesce(*[F.try_to_timestamp(c, F.lit(f)).cast("timestamp_ntz") for f in formats])
+def parse_date_multi(c: Column, formats: dict[str, str] = V.DATE_FORMATS) -> Column:
+    """The first format whose shape the text has; a failed parse is costly, so shapes are told apart first."""
+    out = None
+    for pattern, shape in formats.items():
+        parsed = F.try_to_timestamp(c, F.lit(pattern)).cast("timestamp_ntz")
+        hit = c.rlike(shape)
+        out = F.when(hit, parsed) if out is None else out.when(hit, parsed)
+    return out
 
 
 def iso_date(c: Column) -> Column:

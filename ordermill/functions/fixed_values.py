@@ -270,8 +270,15 @@ QUALITY_GRADES = [(95, "A"), (85, "B"), (70, "C"), (50, "D"), (None, "F")]
 SEVERITY_LEVELS = {"LOW": 1, "MEDIUM": 2, "HIGH": 3, "CRITICAL": 4}
 SEVERITY_PENALTY = {"critical": 10, "high": 5, "medium": 2, "low": 1}
 
-# date formats tried in this order
-DATE_FORMATS = ["yyyy-M-d", "M/d/yyyy", "d-M-yyyy", "yyyy/M/d", "d MMM yyyy", "d/M/yy"]
+# date formats with the shape of their text; no two share a shape
+DATE_FORMATS = {
+    "yyyy-M-d": r"^\d{4}-\d{1,2}-\d{1,2}$",
+    "M/d/yyyy": r"^\d{1,2}/\d{1,2}/\d{4}$",
+    "d-M-yyyy": r"^\d{1,2}-\d{1,2}-\d{4}$",
+    "yyyy/M/d": r"^\d{4}/\d{1,2}/\d{1,2}$",
+    "d MMM yyyy": r"^\d{1,2} [A-Za-z]{3} \d{4}$",
+    "d/M/yy": r"^\d{1,2}/\d{1,2}/\d{2}$",
+}
 
 # fields of a landed order table extract
 ORDER_EXTRACT_COLUMNS = [

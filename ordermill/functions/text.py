@@ -36,31 +36,51 @@ def clean_text(c: Column, null_tokens: tuple[str, ...] = ("nan",)) -> Column:
 
 
 def title_case(c: Column) -> Column:
-    """Capitalise each run of letters; anything else separates runs (`o'neil 3rd` -> `O'Neil 3Rd`)."""
+    """Capitalise each run of letters; anything else separates runs (`o'neil 3rd` -> `O'Neil 3Rd`).
+
+    `initcap` starts words at spaces only, so it serves where no letter follows another mark.
+    """
     runs = F.regexp_extract_all(c, F.lit(_LETTER_RUNS), F.lit(1))
-    return F.array_join(F.transform(runs, F.initcap), "")
+    by_run = F.array_join(F.transform(runs, F.initcap), "")
+    return F.when(c.rlike(r"[^\p{L} ]\p{L}"), by_run).otherwise(F.initcap(c))
+
+
+def plain_name(c: Column) -> Column:
+    """Letters, blanks, hyphens and apostrophes only."""
+    return F.regexp_replace(c, r"[^a-zA-Z\s\-']", "")
 
 
 def clean_person_name(c: Column) -> Column:
-    return F.regexp_replace(title_case(clean_text(c)), r"[^a-zA-Z\s\-']", "")
+    return plain_name(title_case(clean_text(c)))
 
 
 def fix_titles(c: Column) -> Column:
     return F.regexp_replace(c, r"\b(Dr|Mr|Ms|Mrs)\b(?!\.)", "$1.")
 
 
+def brand_spelling(c: Column) -> Column:
+    """Brand spellings in title-cased text, where a brand is capitalised or inside a word."""
+    out = c
+    for word, brand in V.BRAND_CASE.items():
+        for form in (word, word.lower()):
+            out = F.replace(out, F.lit(form), F.lit(brand))
+    return out
+
+
 def fix_brand_case(c: Column) -> Column:
-    return reduce(
-        lambda col, pair: F.regexp_replace(col, f"(?i){pair[0]}", pair[1]), V.BRAND_CASE.items(), title_case(c)
-    )
+    return brand_spelling(title_case(c))
 
 
 def canonical_product(c: Column, aliases: dict[str, str] = V.PRODUCT_ALIASES) -> Column:
     return lookup(F.lower(c), aliases, c)
 
 
+def known_location(c: Column) -> Column:
+    return lookup(F.lower(c), V.LOCATION_ALIASES, c)
+
+
 def canonical_location(c: Column) -> Column:
-    return title_case(lookup(F.lower(c), V.LOCATION_ALIASES, c))
+    return title_case(known_location(c))
 
 
 def is_valid_email(c: Column) -> Column:
@@ -108,12 +128,16 @@ def normalize_phone_digits(c: Column) -> Column:
     return F.when(national.isNotNull(), dashed).otherwise(c)
 
 
-def normalize_address(c: Column) -> Column:
-    """Title case, then expand abbreviations word by word in one pass."""
-    runs = F.regexp_extract_all(title_case(squeeze(c)), F.lit(_WORD_RUNS), F.lit(1))
+def expand_address(c: Column) -> Column:
+    """Expand abbreviations word by word in one pass."""
+    runs = F.regexp_extract_all(c, F.lit(_WORD_RUNS), F.lit(1))
     return F.array_join(F.transform(runs, lambda w: lookup(F.lower(w), V.ADDRESS_WORDS, w)), "")
 
 
+def normalize_address(c: Column) -> Column:
+    return expand_address(title_case(squeeze(c)))
+
+
 def normalize_order_id(c: Column) -> Column:
     """`AAA9999999`, `AAA_9999-999` and `AAA 9999 999` become `AAA-9999-999`; other ids stay."""
     form = r"^([A-Z]{3})(?:(\d{4})(\d{3})|[-_](\d{4})[-_](\d{3})|\s+(\d{4})\s+(\d{3}))$"

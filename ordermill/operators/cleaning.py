@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -43,18 +44,28 @@ def fill_defaults(df: DataFrame, defaults: dict = FILL_DEFAULTS) -> DataFrame:
     return df.fillna({k: v for k, v in defaults.items() if k in df.columns})
 
 
+def staged(df: DataFrame, steps: dict[str, list[Callable[[Column], Column]]]) -> DataFrame:
+    """Apply the n-th step of every column in the n-th projection.
+
+    A step uses its input more than once; as a column of the projection below, it is computed once.
+    """
+    out = df
+    for depth in range(max(map(len, steps.values()))):
+        todo = {c: fns[depth](F.col(c)) for c, fns in steps.items() if c in df.columns and depth < len(fns)}
+        out = out.withColumns(todo)
+    return out
+
+
 def clean_text_fields(df: DataFrame) -> DataFrame:
-    return df.withColumns(
-        present(
-            df,
-            {
-                "customer_name": X.clean_person_name(F.col("customer_name")),
-                "product": X.canonical_product(X.clean_text(F.col("product"))),
-                "store_location": X.canonical_location(X.clean_text(F.col("store_location"))),
-                "notes": X.clean_text(F.col("notes")),
-                "source": C.source_clean(X.clean_text(F.col("source"))),
-            },
-        )
+    return staged(
+        df,
+        {
+            "customer_name": [X.clean_text, X.title_case, X.plain_name],
+            "product": [X.clean_text, X.canonical_product],
+            "store_location": [X.clean_text, X.known_location, X.title_case],
+            "notes": [X.clean_text],
+            "source": [X.clean_text, C.source_clean],
+        },
     )
 
 
@@ -169,18 +180,16 @@ def clean_numbers_text(df: DataFrame) -> DataFrame:
 def clean_orders_nb(df: DataFrame) -> DataFrame:
     """The tutorial variant: titles, brands, currency text, mixed date formats, phones, fills."""
     rows = dedup_exact(df)
-    text = rows.withColumns(
-        present(
-            rows,
-            {
-                "customer_name": X.fix_titles(X.title_case(X.squeeze(F.col("customer_name")))),
-                "product_name": X.fix_brand_case(X.squeeze(F.col("product_name"))),
-                "status": F.lower(X.squeeze(F.col("status"))),
-                "customer_email": F.trim(F.lower(F.col("customer_email"))),
-                "order_date": D.parse_date_multi(F.col("order_date")),
-                "phone_number": X.normalize_phone_digits(F.col("phone_number")),
-            },
-        )
+    text = staged(
+        rows,
+        {
+            "customer_name": [X.squeeze, X.title_case, X.fix_titles],
+            "product_name": [X.squeeze, X.title_case, X.brand_spelling],
+            "status": [X.squeeze, F.lower],
+            "customer_email": [F.lower, F.trim],
+            "order_date": [D.parse_date_multi],
+            "phone_number": [X.normalize_phone_digits],
+        },
     )
     return fill_defaults(clean_numbers_text(text), {"status": "pending", "quantity": 1})
 

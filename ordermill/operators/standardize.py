@@ -11,7 +11,7 @@ from ..functions import dates as D
 from ..functions import fixed_values as V
 from ..functions import numeric as N
 from ..functions import text as X
-from .cleaning import number, present, stamp_metadata, timestamp
+from .cleaning import number, stamp_metadata, staged, timestamp
 
 
 def _amount(df: DataFrame, name: str):
@@ -21,26 +21,28 @@ def _amount(df: DataFrame, name: str):
 
 
 def standardize_orders(df: DataFrame, as_of: str) -> DataFrame:
-    columns = {
-        "customer_name": lambda c: X.title_case(X.clean_text(c)),
-        "product": lambda c: X.fix_brand_case(X.clean_text(c)),
-        "store_location": lambda c: X.title_case(X.clean_text(c)),
-        "notes": lambda c: X.title_case(X.clean_text(c)),
-        "customer_email": X.normalize_email,
-        "phone": X.normalize_phone,
-        "customer_phone": X.normalize_phone,
-        "address": X.normalize_address,
-        "shipping_address": X.normalize_address,
-        "source": C.source_standard,
-        "product_category": C.category_standard,
-        "customer_segment": C.canonical_segment,
-        "order_id": X.normalize_order_id,
-    }
-    text = {name: make(F.col(name)) for name, make in columns.items() if name in df.columns}
+    text = staged(
+        df,
+        {
+            "customer_name": [X.clean_text, X.title_case],
+            "product": [X.clean_text, X.title_case, X.brand_spelling],
+            "store_location": [X.clean_text, X.title_case],
+            "notes": [X.clean_text, X.title_case],
+            "customer_email": [X.normalize_email],
+            "phone": [X.normalize_phone],
+            "customer_phone": [X.normalize_phone],
+            "address": [X.squeeze, X.title_case, X.expand_address],
+            "shipping_address": [X.squeeze, X.title_case, X.expand_address],
+            "source": [C.source_standard],
+            "product_category": [C.category_alias, X.title_case],
+            "customer_segment": [C.canonical_segment],
+            "order_id": [X.normalize_order_id],
+        },
+    )
     dates = {c: D.iso_date(timestamp(df, c)) for c in ("order_date", "delivery_date", "created_at", "updated_at") if c in df.columns}
     money = {c: N.round_money(_amount(df, c)) for c in ("price", "discount", "total_amount") if c in df.columns}
     whole = {c: N.to_quantity(_amount(df, c)) for c in ("quantity",) if c in df.columns}
-    return stamp_metadata(df.withColumns({**text, **dates, **money, **whole}), "standardized", as_of)
+    return stamp_metadata(text.withColumns({**dates, **money, **whole}), "standardized", as_of)
 
 
 def snake_case_columns(df: DataFrame) -> DataFrame:
