@@ -14,7 +14,8 @@ from ..operators import validation as W
 from ..session import ORDERS_AS_OF
 from . import sqltext as S
 from .bindings import LINE_ORDER, table
-from .orders import STANDARD_ID, cleaned, dirty, raw
+from .metrics import rounded
+from .orders import CLEANED, CLEANED_COLUMNS, STANDARD_ID, cleaned, dirty, raw
 from .registry import query
 
 CHECKED = [*LINE_ORDER, "order_id", "customer_name", "customer_email", "product", "quantity", "price", "discount", "total_amount", "order_date"]
@@ -410,22 +411,23 @@ _PROFILED_TEXT, _PROFILED_NUMBERS = ["product", "source", "notes"], ["quantity",
 
 def _profile_sql(name: str, numeric: bool) -> str:
     value, size = (name, "cast(null as int)") if numeric else ("cast(null as double)", f"length({name})")
+    mean = S.mean(name) if numeric else "cast(null as double)"
     empty = "0" if numeric else f"count(*) filter (where {name} = '')"
     return f"""select '{name}' as column_name, '{'numeric' if numeric else 'string'}' as kind, count(*) as total_count, count(*) - count({name}) as null_count, count(distinct {name}) as distinct_count,
-      cast(min({value}) as double) as min_value, cast(max({value}) as double) as max_value, avg(cast({value} as double)) as mean_value, stddev_samp(cast({value} as double)) as std_value,
+      cast(min({value}) as double) as min_value, cast(max({value}) as double) as max_value, {mean} as mean_value, round(stddev_samp(cast({value} as double)), 6) as std_value,
       min({size}) as min_length, max({size}) as max_length, avg({size}) as avg_length, {empty} as empty_count,
       (count(*) - count({name})) * 100.0e0 / count(*) as null_pct, count(distinct {name}) * 100.0e0 / count(*) as distinct_pct from {{orders_raw}}"""
 
 
 @query("column_profile", " union all ".join([_profile_sql(c, False) for c in _PROFILED_TEXT] + [_profile_sql(c, True) for c in _PROFILED_NUMBERS]))
 def column_profile(spark, sf):
-    return P.column_profile(raw(spark, sf), [*_PROFILED_TEXT, *_PROFILED_NUMBERS])
+    return rounded(P.column_profile(raw(spark, sf), [*_PROFILED_TEXT, *_PROFILED_NUMBERS]), "std_value")
 
 
-@query("describe_numeric", " union all ".join(f"""select '{c}' as column_name, count({c}) as n, avg(cast({c} as double)) as mean, stddev_samp(cast({c} as double)) as std, cast(min({c}) as double) as min_value,
+@query("describe_numeric", " union all ".join(f"""select '{c}' as column_name, count({c}) as n, {S.mean(c)} as mean, round(stddev_samp(cast({c} as double)), 6) as std, cast(min({c}) as double) as min_value,
    cast(max({c}) as double) as max_value, quantile_cont(cast({c} as double), 0.25) as q25, quantile_cont(cast({c} as double), 0.5) as q50, quantile_cont(cast({c} as double), 0.75) as q75 from {{orders_raw}}""" for c in ("quantity", "price", "discount", "total_amount")))
 def describe_numeric(spark, sf):
-    return P.describe_numeric(raw(spark, sf), ["quantity", "price", "discount", "total_amount"])
+    return rounded(P.describe_numeric(raw(spark, sf), ["quantity", "price", "discount", "total_amount"]), "std")
 
 
 _MISSING = " + ".join(f"count(*) filter (where {f} is null)" for f in _SCORED)
@@ -441,12 +443,24 @@ _EXPORTED = ["order_id", "price", "quantity"]
 
 
 @query("export_profile", " union all ".join(f"""select '{c}' as column_name, count(*) as n_rows, count(*) filter (where {c} is null) as null_count,
-   {', '.join(f"{e} as {n}" for n, e in ((('mean', f'avg(cast({c} as double))'), ('std', f'stddev_samp(cast({c} as double))'), ('min_value', f'cast(min({c}) as double)'), ('max_value', f'cast(max({c}) as double)'), ('q25', f'quantile_cont(cast({c} as double), 0.25)'), ('q50', f'quantile_cont(cast({c} as double), 0.5)'), ('q75', f'quantile_cont(cast({c} as double), 0.75)')) if c != 'order_id' else ((n, 'cast(null as double)') for n in ('mean', 'std', 'min_value', 'max_value', 'q25', 'q50', 'q75'))))} from {{orders_raw}}""" for c in _EXPORTED))
+   {', '.join(f"{e} as {n}" for n, e in ((('mean', S.mean(c)), ('std', f'round(stddev_samp(cast({c} as double)), 6)'), ('min_value', f'cast(min({c}) as double)'), ('max_value', f'cast(max({c}) as double)'), ('q25', f'quantile_cont(cast({c} as double), 0.25)'), ('q50', f'quantile_cont(cast({c} as double), 0.5)'), ('q75', f'quantile_cont(cast({c} as double), 0.75)')) if c != 'order_id' else ((n, 'cast(null as double)') for n in ('mean', 'std', 'min_value', 'max_value', 'q25', 'q50', 'q75'))))} from {{orders_raw}}""" for c in _EXPORTED))
 def export_profile(spark, sf):
-    return P.export_profile(raw(spark, sf).select(*_EXPORTED))
+    return rounded(P.export_profile(raw(spark, sf).select(*_EXPORTED)), "std")
 
 
-@query("transformation_impact")
+_TEXT_IN = ["order_id", "customer_name", "customer_email", "product", "product_category", "quantity", "price", "discount", "total_amount", "order_date", "source", "store_location", "notes"]
+
+
+def _nulls(columns: list[str]) -> str:
+    return " + ".join(f"count(*) filter (where {c} is null)" for c in columns)
+
+
+_IN, _OUT = len(_TEXT_IN) + len(LINE_ORDER), len(CLEANED_COLUMNS) + len(LINE_ORDER)
+
+
+@query("transformation_impact", f"""select r0 as records_before, r1 as records_after, r1 * 100.0e0 / r0 as retention_rate, {_IN} as columns_before, {_OUT} as columns_after, m0 as missing_before, m1 as missing_after,
+   (r0 * {_IN} - m0) * 100.0e0 / (r0 * {_IN}) as completeness_before, (r1 * {_OUT} - m1) * 100.0e0 / (r1 * {_OUT}) as completeness_after, 0 as calculated_fields, 0 as enrichment_fields, 1 as standardized_fields
+   from (select count(*) as r0, {_nulls(_TEXT_IN)} as m0 from {{orders_dirty}}) b, (select count(*) as r1, {_nulls(CLEANED_COLUMNS)} as m1 from {CLEANED}) a""")
 def transformation_impact(spark, sf):
     before = dirty(spark, sf).drop("seq", "legacy_id", "status", "phone", "address")
     return A.transformation_impact(before, cleaned(spark, sf).drop("cleaned_at"))

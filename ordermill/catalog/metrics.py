@@ -20,18 +20,23 @@ _DAY = "ts >= timestamp '2024-01-30 00:00:00' - interval 24 hours"
 DAY_END = "2024-01-30 00:00:00"
 
 
+def rounded(df: DataFrame, *columns: str) -> DataFrame:
+    """Deviations depend on the order of the rows in their last bits."""
+    return df.withColumns({c: F.round(c, 6) for c in columns})
+
+
 def metrics(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "metrics")
 
 
 @query("metric_summary", f"select name, {S.summary('value')} from {{metrics}} where {_DAY} group by 1")
 def metric_summary(spark, sf):
-    return A.metric_summary(metrics(spark, sf), DAY_END)
+    return rounded(A.metric_summary(metrics(spark, sf), DAY_END), "std_dev")
 
 
 @query("hourly_rollup", f"select name, date_trunc('hour', ts) as hour_start, {S.summary('value')} from {{metrics}} group by 1, 2")
 def hourly_rollup(spark, sf):
-    return M.hourly_rollup(metrics(spark, sf))
+    return rounded(M.hourly_rollup(metrics(spark, sf)), "std_dev")
 
 
 @query("nearest_rank_percentile", "select name, list_sort(list(value))[cast(floor(0.95 * count(*)) as bigint) + 1] as value_at from {metrics} group by 1")
@@ -55,7 +60,7 @@ _TREND = "case when count(*) < 2 then 'insufficient_data' when coalesce(abs(corr
 
 
 def trend_sql(keys: str, value: str, order: str, source: str) -> str:
-    return f"""(select {keys}, count(*) as n, avg({value}) as mean, coalesce(stddev_samp({value}), 0.0) as std, min({value}) as min_value, max({value}) as max_value,
+    return f"""(select {keys}, count(*) as n, sum(cast({value} as decimal(38,10)))::double / count({value}) as mean, round(coalesce(stddev_samp({value}), 0.0), 6) as std, min({value}) as min_value, max({value}) as max_value,
       {_TREND.replace('{v}', value)} as trend, median({value}) as median
     from (select *, row_number() over (partition by {keys} order by {order}) - 1 as p from {source} where {value} is not null) group by {keys})"""
 
@@ -67,7 +72,7 @@ def trend(spark, sf):
 
 @query("performance_trends", f"select * from {trend_sql('metric_name, stage', 'value', 'ts, metric_id', '{run_metrics}')}")
 def performance_trends(spark, sf):
-    return M.performance_trends(table(spark, sf, "run_metrics"), ["metric_name", "stage"], "value", ["ts", "metric_id"])
+    return rounded(M.performance_trends(table(spark, sf, "run_metrics"), ["metric_name", "stage"], "value", ["ts", "metric_id"]), "std")
 
 
 def _trend_inputs(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
@@ -102,28 +107,28 @@ def recommendations(spark, sf):
 
 
 @query("pipeline_report", f"""with m as (select *, tags::json ->> 'pipeline_id' as pipeline from {{run_metrics}} where {_DAY})
-   select pipeline, count(*) filter (where long_name = 'pipeline.execution_time') as executions, avg(value) filter (where long_name = 'pipeline.execution_time') as avg_duration,
+   select pipeline, count(*) filter (where long_name = 'pipeline.execution_time') as executions, {S.mean('value', "long_name = 'pipeline.execution_time'")} as avg_duration,
      min(value) filter (where long_name = 'pipeline.execution_time') as min_duration, max(value) filter (where long_name = 'pipeline.execution_time') as max_duration,
      count(*) filter (where long_name = 'pipeline.successes') as successes, count(*) filter (where long_name = 'pipeline.failures') as failures,
      coalesce(count(*) filter (where long_name = 'pipeline.successes') * 100.0e0 / nullif(count(*) filter (where long_name in ('pipeline.successes', 'pipeline.failures')), 0), 0.0) as success_rate,
-     avg(value) filter (where long_name = 'pipeline.data_quality.score') as avg_quality, min(value) filter (where long_name = 'pipeline.data_quality.score') as min_quality,
+     {S.mean('value', "long_name = 'pipeline.data_quality.score'")} as avg_quality, min(value) filter (where long_name = 'pipeline.data_quality.score') as min_quality,
      max(value) filter (where long_name = 'pipeline.data_quality.score') as max_quality,
      cast(floor(coalesce(sum(cast(round(value * 100) as bigint)) filter (where long_name = 'pipeline.errors'), 0) / 100) as bigint) as total_errors from m group by 1""")
 def pipeline_report(spark, sf):
     return A.pipeline_report(table(spark, sf, "run_metrics"), DAY_END)
 
 
-@query("pipeline_stage_times", f"select split_part(long_name, '.', 3) as stage, avg(value) as avg_time, count(*) as executions from {{run_metrics}} where {_DAY} and long_name like 'pipeline.stage.%.execution_time' group by 1")
+@query("pipeline_stage_times", f"select split_part(long_name, '.', 3) as stage, {S.mean('value')} as avg_time, count(*) as executions from {{run_metrics}} where {_DAY} and long_name like 'pipeline.stage.%.execution_time' group by 1")
 def pipeline_stage_times(spark, sf):
     return A.pipeline_stage_times(table(spark, sf, "run_metrics"), DAY_END)
 
 
-@query("stage_means", "select stage, avg(value) as mean_value, count(*) as n from {metrics} where stage is not null group by 1")
+@query("stage_means", f"select stage, {S.mean('value')} as mean_value, count(*) as n from {{metrics}} where stage is not null group by 1")
 def stage_means(spark, sf):
     return A.stage_means(metrics(spark, sf))
 
 
-@query("stage_slowest", "select stage, mean_time, mean_time > 60 as slow from (select stage, avg(value) as mean_time from {metrics} where stage is not null group by 1) order by mean_time desc, stage desc limit 1")
+@query("stage_slowest", f"select stage, mean_time, mean_time > 60 as slow from (select stage, {S.mean('value')} as mean_time from {{metrics}} where stage is not null group by 1) order by mean_time desc, stage desc limit 1")
 def stage_slowest(spark, sf):
     return M.stage_slowest(metrics(spark, sf))
 
@@ -320,9 +325,9 @@ def health_check(spark, sf):
     return M.health_check(table(spark, sf, "run_metrics"), table(spark, sf, "quality_metrics"), table(spark, sf, "alerts"), DAY_END)
 
 
-@query("dashboard_summary", f"""with m as (select count(distinct pipeline_id) as total_runs, avg(value) filter (where metric_name = 'total_execution_time') as avg_execution_time,
-     sum(cast(round(value * 100) as bigint)) filter (where metric_name = 'records_processed') / 100.0 as total_records, avg(value) filter (where metric_name = 'throughput') as avg_throughput from {{run_metrics}} where {_DAY}),
-   q as (select avg(quality_score) as avg_quality, min(quality_score) as min_quality, max(quality_score) as max_quality from {{quality_metrics}} where {_DAY}),
+@query("dashboard_summary", f"""with m as (select count(distinct pipeline_id) as total_runs, {S.mean('value', "metric_name = 'total_execution_time'")} as avg_execution_time,
+     sum(cast(round(value * 100) as bigint)) filter (where metric_name = 'records_processed') / 100.0 as total_records, {S.mean('value', "metric_name = 'throughput'")} as avg_throughput from {{run_metrics}} where {_DAY}),
+   q as (select sum(cast(quality_score as decimal(38,10)))::double / count(*) as avg_quality, min(quality_score) as min_quality, max(quality_score) as max_quality from {{quality_metrics}} where {_DAY}),
    a as (select {', '.join(f"count(*) filter (where severity = '{s}') as {s.lower()}_alerts" for s in V.SEVERITY_LEVELS)} from {{alerts}} where {_DAY})
    select *, case when avg_throughput > 50 then 'excellent' when avg_throughput > 20 then 'good' else 'needs attention' end as throughput_insight,
      case when avg_quality >= 95 then 'excellent' when avg_quality >= 80 then 'good' else 'needs attention' end as quality_insight from m, q, a""")

@@ -93,7 +93,7 @@ def request_log(spark: SparkSession, sf: str) -> DataFrame:
 _REQUESTS = "(select '/' || event_type as endpoint, event_id % 11 <> 0 as success, value / 100 as response_time from events)"
 
 
-@query("request_statistics", f"select endpoint, count(*) as calls, count(*) filter (where success) as successes, count(*) filter (where success) * 100.0e0 / count(*) as success_rate, avg(response_time) as avg_response_time from {_REQUESTS} group by 1")
+@query("request_statistics", f"select endpoint, count(*) as calls, count(*) filter (where success) as successes, count(*) filter (where success) * 100.0e0 / count(*) as success_rate, sum(cast(response_time as decimal(38,10)))::double / count(*) as avg_response_time from {_REQUESTS} group by 1")
 def request_statistics(spark, sf):
     return A.request_statistics(request_log(spark, sf), ["endpoint"])
 
@@ -101,7 +101,7 @@ def request_statistics(spark, sf):
 _RUNS = "(select value < 200 as passed, least(value, 100.0) as score, value / 10 as execution_time from events)"
 
 
-@query("validation_history_summary", f"select count(*) as runs, count(*) filter (where passed) as passed_runs, count(*) filter (where passed) * 100.0e0 / count(*) as success_rate, avg(score) as avg_score, avg(execution_time) as avg_time from {_RUNS}")
+@query("validation_history_summary", f"select count(*) as runs, count(*) filter (where passed) as passed_runs, count(*) filter (where passed) * 100.0e0 / count(*) as success_rate, sum(cast(score as decimal(38,10)))::double / count(*) as avg_score, sum(cast(execution_time as decimal(38,10)))::double / count(*) as avg_time from {_RUNS}")
 def validation_history_summary(spark, sf):
     runs = table(spark, sf, "events").select((F.col("value") < 200).alias("passed"), F.least("value", F.lit(100.0)).alias("score"), (F.col("value") / 10).alias("execution_time"))
     return A.validation_history(runs)

@@ -66,6 +66,12 @@ def mean_money(c: str) -> str:
     return f"floor((2 * sum({cents(c)}) + count({c})) / (2.0 * count({c}))) / 100.0"
 
 
+def mean(c: str, where: str = "") -> str:
+    """Exact mean of values with at most two decimals, summed as whole cents."""
+    f = f" filter (where {where})" if where else ""
+    return f"(sum({cents(c)}){f} / 100.0 / count({c}){f})"
+
+
 def email_ok(c: str) -> str:
     return rf"regexp_full_match({c}, '[a-zA-Z0-9._%+-]+@[a-zA-Z0-9.-]+\.[a-zA-Z]{{2,}}')"
 
@@ -98,7 +104,7 @@ def first_per(keys: str, order: str = KEYS) -> str:
 
 def summary(value: str) -> str:
     v = value
-    return f"""count({v}) as n, sum({cents(v)}) / 100.0 as total, min({v}) as min_value, max({v}) as max_value, avg({v}) as mean,
-      coalesce(stddev_samp({v}), 0.0) as std_dev, median({v}) as median,
+    return f"""count({v}) as n, sum({cents(v)}) / 100.0 as total, min({v}) as min_value, max({v}) as max_value, sum({cents(v)}) / 100.0 / count({v}) as mean,
+      round(coalesce(stddev_samp({v}), 0.0), 6) as std_dev, median({v}) as median,
       list_sort(list({v}))[cast(floor(0.95 * count({v})) as bigint) + 1] as p95,
       list_sort(list({v}))[cast(floor(0.99 * count({v})) as bigint) + 1] as p99"""

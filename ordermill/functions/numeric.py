@@ -51,6 +51,15 @@ def has_decimal_places(c: Column, places: int) -> Column:
     return exact == F.round(exact, places)
 
 
+def exact_sum(c: Column) -> Column:
+    """Sum over ten decimals: the same in any order of the rows, unlike a sum of doubles."""
+    return F.sum(finite(c).cast("decimal(38,10)")).cast("double")
+
+
+def exact_mean(c: Column) -> Column:
+    return F.try_divide(exact_sum(c), F.count(finite(c)))
+
+
 def finite(c: Column) -> Column:
     """NaN to null: Spark aggregates propagate NaN."""
-    return F.when(~F.isnan(c), c)
+    return F.when(~F.isnan(c.cast("double")), c)

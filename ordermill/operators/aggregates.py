@@ -7,15 +7,12 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.numeric import money, pct
+from ..functions.numeric import exact_mean, exact_sum, money, pct
 from ..session import clock
 from .joins import customer_totals
 from .ranking import null_safe_join, quantiles
 from .reads import since
 
-N_ROWS = F.count
-
-
 def rows() -> Column:
     return F.count(F.lit(1))
 
@@ -101,10 +98,10 @@ def summary_stats(df: DataFrame, keys: list[str], value: str) -> DataFrame:
     given = df.filter(F.col(value).isNotNull())
     basic = given.groupBy(*keys).agg(
         rows().alias("n"),
-        F.sum(money(F.col(value))).cast("double").alias("total"),
+        exact_sum(F.col(value)).alias("total"),
         F.min(value).alias("min_value"),
         F.max(value).alias("max_value"),
-        F.avg(value).alias("mean"),
+        exact_mean(F.col(value)).alias("mean"),
         F.coalesce(F.stddev_samp(value), F.lit(0.0)).alias("std_dev"),
     )
     return null_safe_join(basic, quantiles(given.select(*keys, value), keys, value, SUMMARY_QUANTILES), keys)
@@ -126,21 +123,21 @@ def pipeline_report(metrics: DataFrame, as_of: str, hours: float = 24, pipeline_
     run, quality = when("pipeline.execution_time"), when("pipeline.data_quality.score")
     good, bad = F.count(when("pipeline.successes")), F.count(when("pipeline.failures"))
     return tagged.groupBy("pipeline").agg(
-        F.count(run).alias("executions"), F.avg(run).alias("avg_duration"), F.min(run).alias("min_duration"), F.max(run).alias("max_duration"),
+        F.count(run).alias("executions"), exact_mean(run).alias("avg_duration"), F.min(run).alias("min_duration"), F.max(run).alias("max_duration"),
         good.alias("successes"), bad.alias("failures"), pct(good, good + bad).alias("success_rate"),
-        F.avg(quality).alias("avg_quality"), F.min(quality).alias("min_quality"), F.max(quality).alias("max_quality"),
-        F.coalesce(F.floor(F.sum(money(when("pipeline.errors")))), F.lit(0)).cast("bigint").alias("total_errors"),
+        exact_mean(quality).alias("avg_quality"), F.min(quality).alias("min_quality"), F.max(quality).alias("max_quality"),
+        F.coalesce(F.floor(exact_sum(when("pipeline.errors"))), F.lit(0)).cast("bigint").alias("total_errors"),
     )
 
 
 def pipeline_stage_times(metrics: DataFrame, as_of: str, hours: float = 24) -> DataFrame:
     timed = metrics.filter(since("ts", hours, as_of) & F.col("long_name").like("pipeline.stage.%.execution_time"))
     stage = F.split_part("long_name", F.lit("."), F.lit(3))
-    return timed.groupBy(stage.alias("stage")).agg(F.avg("value").alias("avg_time"), rows().alias("executions"))
+    return timed.groupBy(stage.alias("stage")).agg(exact_mean(F.col("value")).alias("avg_time"), rows().alias("executions"))
 
 
 def stage_means(df: DataFrame, value: str = "value") -> DataFrame:
-    return df.filter(F.col("stage").isNotNull()).groupBy("stage").agg(F.avg(value).alias("mean_value"), rows().alias("n"))
+    return df.filter(F.col("stage").isNotNull()).groupBy("stage").agg(exact_mean(F.col(value)).alias("mean_value"), rows().alias("n"))
 
 
 def run_success_rate(df: DataFrame) -> DataFrame:
@@ -238,7 +235,7 @@ def transformation_impact(before: DataFrame, after: DataFrame) -> DataFrame:
 def request_statistics(log: DataFrame, by: list[str] | None = None) -> DataFrame:
     good = F.count_if("success")
     return log.groupBy(*(by or [])).agg(
-        rows().alias("calls"), good.alias("successes"), pct(good, rows()).alias("success_rate"), F.avg("response_time").alias("avg_response_time")
+        rows().alias("calls"), good.alias("successes"), pct(good, rows()).alias("success_rate"), exact_mean(F.col("response_time")).alias("avg_response_time")
     )
 
 
@@ -246,5 +243,5 @@ def validation_history(runs: DataFrame) -> DataFrame:
     good = F.count_if("passed")
     return runs.agg(
         rows().alias("runs"), good.alias("passed_runs"), pct(good, rows()).alias("success_rate"),
-        F.avg("score").alias("avg_score"), F.avg("execution_time").alias("avg_time"),
+        exact_mean(F.col("score")).alias("avg_score"), exact_mean(F.col("execution_time")).alias("avg_time"),
     )

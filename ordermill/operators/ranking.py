@@ -89,7 +89,8 @@ def quantiles(df: DataFrame, keys: list[str], value: str, wanted: dict[str, tupl
         parts += [at(F.floor(target)).alias(f"_lo_{name}"), at(F.ceil(target)).alias(f"_hi_{name}")]
         step = F.lit(q) * (F.col("_n") - 1)
         low, high = F.col(f"_lo_{name}"), F.col(f"_hi_{name}")
-        columns.append((low + (high - low) * (step - F.floor(step))).alias(name))
+        share = step - F.floor(step)
+        columns.append(F.when(low == high, low).otherwise(low * (1 - share) + high * share).alias(name))
     return counts.groupBy(*keys).agg(F.max("n").alias("_n"), *parts).select(*keys, *columns)
 
 

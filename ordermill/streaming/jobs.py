@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming.query import StreamingQuery
 
 from ..functions.dates import micros
-from ..functions.numeric import money
+from ..functions.numeric import exact_sum
 from ..operators.alerting import MINUTE, evaluate_alert_rules
 from ..operators.cleaning import clean_rows
 from ..operators.validation import quarantine_split
@@ -97,10 +97,10 @@ def stream_hourly_rollup(metrics: DataFrame, dst: str, checkpoint: str, delay: s
     """Statistics per metric and hour, emitted once the watermark passes the end of the hour."""
     timed = metrics.withColumn("event_time", F.col("ts").cast("timestamp")).withWatermark("event_time", delay)
     stats = timed.groupBy("name", F.window("event_time", "1 hour")).agg(
-        F.count(F.lit(1)).alias("n"), F.sum(money(F.col("value"))).alias("total"), F.min("value").alias("min_value"), F.max("value").alias("max_value"),
+        F.count(F.lit(1)).alias("n"), exact_sum(F.col("value")).alias("total"), F.min("value").alias("min_value"), F.max("value").alias("max_value"),
         F.percentile_approx("value", 0.95, 10000).alias("p95_approx"),
     )
-    flat = stats.select("name", F.col("window.start").cast("timestamp_ntz").alias("hour_start"), "n", F.col("total").cast("double").alias("total"), "min_value", "max_value", "p95_approx")
+    flat = stats.select("name", F.col("window.start").cast("timestamp_ntz").alias("hour_start"), "n", "total", "min_value", "max_value", "p95_approx")
     return _start(flat, dst, checkpoint)
 
 

@@ -62,7 +62,7 @@ def compare(df, con, sql: str) -> str:
     other = [tuple(r[i] for i in order) for r in cur.fetchall()]
     if len(rows) != len(other):
         return f"rows {len(rows)} != {len(other)}"
-    key = lambda r: tuple(norm(v) or "" for v in r)
+    key = lambda r: tuple((v is not None, norm(v) or "") for v in r)
     a, b = sorted(rows, key=key), sorted(other, key=key)
     for x, y in zip(a, b):
         if [norm(v) for v in x] != [norm(v) for v in y]:
