@@ -402,8 +402,7 @@ _ADVICE = " || ".join(f"case when {n} < {limit} then '; {text}' else '' end" for
    select *, completeness * 0.25e0 + validity * 0.25e0 + consistency * 0.2e0 + accuracy * 0.15e0 + uniqueness * 0.15e0 as overall_score from (
    select {DQ_COMPLETENESS} as completeness, {DQ_VALIDITY} as validity, {DQ_CONSISTENCY} as consistency, {DQ_ACCURACY} as accuracy, {DQ_UNIQUENESS} as uniqueness))""")
 def dq_score(spark, sf):
-    rows = scored(spark, sf)
-    return P.dq_score(rows, W.business_errors(rows, ORDERS_AS_OF))
+    return P.dq_score(scored(spark, sf), lambda rows: W.business_errors(rows, ORDERS_AS_OF))
 
 
 _PROFILED_TEXT, _PROFILED_NUMBERS = ["product", "source", "notes"], ["quantity", "price", "discount"]

@@ -364,7 +364,8 @@ def _line_stream(spark: SparkSession, sf: str) -> DataFrame:
     """Dirty order lines as a stream: line items stream in and meet the static orders table."""
     from . import bindings as B
 
-    lines = table_stream(spark, sf, "lineitem")
+    # the table is one file here, so the batch is spread over the cores
+    lines = table_stream(spark, sf, "lineitem").repartition(spark.sparkContext.defaultParallelism)
     joined = spark.sql(B._expand(B.ORDERS_RAW, B._SPARK), lineitem=lines, orders=table(spark, sf, "orders"))
     return spark.sql(B._expand(B.ORDERS_DIRTY, B._SPARK), orders_raw=joined)
 

@@ -24,8 +24,33 @@ def present(df: DataFrame, columns: dict[str, Column]) -> dict[str, Column]:
     return {name: col for name, col in columns.items() if name in df.columns}
 
 
+def parsed(df: DataFrame, numbers: list[str] = (), dates: list[str] = ()) -> DataFrame:
+    """Add helper columns with the parsed values, so that many rules on a column parse it once.
+
+    `number` and `any_date` pick them up; `unparsed` drops them.
+    """
+    helpers = {f"_num_{c}": number(df, c) for c in numbers if c in df.columns}
+    helpers.update({f"_date_{c}": any_date(df, c) for c in dates if c in df.columns})
+    return df.withColumns(helpers)
+
+
+def unparsed(df: DataFrame) -> DataFrame:
+    return df.drop(*[c for c in df.columns if c.startswith(("_num_", "_date_"))])
+
+
+def any_date(df: DataFrame, name: str) -> Column:
+    """The column as timestamp, from any of the known formats."""
+    if f"_date_{name}" in df.columns:
+        return F.col(f"_date_{name}")
+    if not isinstance(df.schema[name].dataType, T.StringType):
+        return F.col(name).cast("timestamp_ntz")
+    return F.coalesce(D.parse_date(F.col(name)), D.parse_date_multi(F.col(name)))
+
+
 def number(df: DataFrame, name: str) -> Column:
     """The column as double: text is parsed, floats lose NaN."""
+    if f"_num_{name}" in df.columns:
+        return F.col(f"_num_{name}")
     kind = df.schema[name].dataType
     if isinstance(kind, T.StringType):
         return N.to_number(F.col(name))

@@ -18,7 +18,7 @@ from ..functions import fixed_values as V
 from ..functions import numeric as N
 from ..functions import text as X
 from ..session import clock
-from .cleaning import number
+from .cleaning import any_date, number, parsed
 from .dedup import duplicated_keys
 
 
@@ -89,7 +89,7 @@ def _wrong_type(df: DataFrame, f: FieldSpec, strict_integer: bool) -> tuple[Colu
     if f.type == "boolean":
         return ~text.isin("true", "false", "True", "False", "1", "0"), "medium"
     if f.type == "date":
-        return F.coalesce(D.parse_date(text), D.parse_date_multi(text)).isNull(), "high"
+        return any_date(df, f.name).isNull(), "high"
     if f.type == "email":
         return ~X.is_valid_email(text), "medium"
     return None
@@ -123,7 +123,9 @@ def _field_checks(df: DataFrame, f: FieldSpec, strict_integer: bool) -> list[tup
 def validate_schema(df: DataFrame, schema: list[FieldSpec] | str, strict_integer: bool = False) -> DataFrame:
     """Failing constraints as (field, constraint, severity, failing) rows, counted in one aggregate."""
     fields = SCHEMAS[schema] if isinstance(schema, str) else schema
-    have = set(df.columns)
+    given_columns = df.columns
+    df = parsed(df, [f.name for f in fields if f.type in ("integer", "float")], [f.name for f in fields if f.type == "date"])
+    have = set(given_columns)
     checks = [(f.name, *c) for f in fields if f.name in have for c in _field_checks(df, f, strict_integer)]
     named = [(f"c{i}", *c) for i, c in enumerate(checks)]
     given = {n: F.count(number(df, n)).alias(f"n_{n}") for n in {c[0] for c in checks if c[1] == "max_value"}}
@@ -143,7 +145,7 @@ def validate_schema(df: DataFrame, schema: list[FieldSpec] | str, strict_integer
     absent = [F.struct(F.lit(f.name).alias("field"), F.lit("missing_required_field").alias("constraint_name"),
                        F.lit("critical").alias("severity"), F.count(F.lit(1)).alias("failing")) for f in fields if f.required and f.name not in have]
     extra = [F.struct(F.lit(c).alias("field"), F.lit("unexpected_column").alias("constraint_name"),
-                      F.lit("warning").alias("severity"), F.count(F.lit(1)).alias("failing")) for c in df.columns if c not in {f.name for f in fields}]
+                      F.lit("warning").alias("severity"), F.count(F.lit(1)).alias("failing")) for c in given_columns if c not in {f.name for f in fields}]
     if absent + extra:
         named_structs = [s.alias(f"s{i}") for i, s in enumerate(absent + extra)]
         notes = df.agg(*named_structs).select(F.explode(F.array(*[F.col(f"s{i}") for i in range(len(named_structs))])).alias("r"))
@@ -168,7 +170,7 @@ def custom_rule(name: str):
 
 @custom_rule("validate_business_hours")
 def _business_hours(df: DataFrame, rule: dict) -> Column:
-    return ~D.in_business_hours(_stamp(df, rule["field"]), rule.get("start", 8), rule.get("end", 22))
+    return ~D.in_business_hours(any_date(df, rule["field"]), rule.get("start", 8), rule.get("end", 22))
 
 
 # FIXED VALUES: accepted e-mail providers
@@ -196,11 +198,6 @@ def _source(df: DataFrame, rule: dict) -> Column:
     return ~F.col("source").isin(*rule.get("expected_sources", ["website", "mobile_app", "store", "partner", "api"]))
 
 
-def _stamp(df: DataFrame, field: str) -> Column:
-    text = F.col(field).cast("string")
-    return F.coalesce(D.parse_date(text), D.parse_date_multi(text))
-
-
 def _row_rule(df: DataFrame, rule: dict, as_of: str) -> Column:
     """The violation condition of a row rule; null values violate only the presence rules."""
     kind, field = rule["type"], rule.get("field")
@@ -230,9 +227,9 @@ def _row_rule(df: DataFrame, rule: dict, as_of: str) -> Column:
     if kind == "decimal_places":
         return ~N.has_decimal_places(number(df, field), rule["max_places"])
     if kind == "date":
-        return _stamp(df, field).isNull()
+        return any_date(df, field).isNull()
     if kind == "date_range":
-        value = _stamp(df, field)
+        value = any_date(df, field)
         late = value > clock(as_of)
         days = rule.get("max_age_days")
         return late if days is None else late | (value < clock(as_of) - F.expr(f"interval {days} days"))
@@ -270,10 +267,19 @@ def rule_errors(df: DataFrame, rules: list[dict], as_of: str, name: str = "error
     return df.withColumn(name, F.array_compact(F.array(*hits)))
 
 
+def _parsed_for(df: DataFrame, rules: list[dict]) -> DataFrame:
+    amounts = {"quantity", "price", "discount", "total_amount"}
+    numbers = {r["field"] for r in rules if r["type"] in ("range", "integer", "decimal_places")}
+    dates = {r["field"] for r in rules if r["type"] in ("date", "date_range")}
+    custom = any(r["type"] == "custom" for r in rules)
+    return parsed(df, sorted(numbers | (amounts if custom else set())), sorted(dates))
+
+
 def rule_engine(df: DataFrame, rules: list[dict], as_of: str) -> DataFrame:
     """Failing rows per rule: (rule, field, severity, failing)."""
-    row_rules = violations(df, rules, as_of)
-    one = df.agg(*[F.count_if(hit).alias(f"r{i}") for i, (_, hit) in enumerate(row_rules)])
+    rows = _parsed_for(df, rules)
+    row_rules = violations(rows, rules, as_of)
+    one = rows.agg(*[F.count_if(hit).alias(f"r{i}") for i, (_, hit) in enumerate(row_rules)])
     cells = [
         F.struct(F.lit(r["name"]).alias("rule"), F.lit(r.get("field") or "").alias("field"), F.lit(r["severity"]).alias("severity"), F.col(f"r{i}").alias("failing"))
         for i, (r, _) in enumerate(row_rules)
@@ -282,8 +288,8 @@ def rule_engine(df: DataFrame, rules: list[dict], as_of: str) -> DataFrame:
     for r in rules:
         if r["type"] in SET_RULES:
             keys = df.columns if r["type"] == "exact" else r.get("fields") or [r["field"]]
-            rows = df if r["type"] in ("exact", "field_combination") else df.dropna(subset=keys)
-            found = duplicated_keys(rows, keys).agg(F.coalesce(F.sum("n_rows"), F.lit(0)).cast("bigint").alias("failing"))
+            keyed = df if r["type"] in ("exact", "field_combination") else df.dropna(subset=keys)
+            found = duplicated_keys(keyed, keys).agg(F.coalesce(F.sum("n_rows"), F.lit(0)).cast("bigint").alias("failing"))
             parts.append(found.select(F.lit(r["name"]).alias("rule"), F.lit(",".join(r.get("fields") or [r.get("field") or ""])).alias("field"), F.lit(r["severity"]).alias("severity"), "failing"))
     return reduce(DataFrame.unionByName, parts)
 

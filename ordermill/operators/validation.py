@@ -10,7 +10,6 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..functions import dates as D
 from ..functions import fixed_values as V
@@ -18,7 +17,7 @@ from ..functions import numeric as N
 from ..functions import text as X
 from ..functions.categorical import quality_level
 from ..session import clock
-from .cleaning import number
+from .cleaning import any_date, number, parsed, unparsed
 from .dedup import duplicated_keys
 from .quality import blank
 
@@ -42,12 +41,6 @@ def first_error(field: str, *cases: tuple[Column, str, str, str]) -> Column:
     return out
 
 
-def any_date(df: DataFrame, name: str) -> Column:
-    if not isinstance(df.schema[name].dataType, T.StringType):
-        return F.col(name).cast("timestamp_ntz")
-    return F.coalesce(D.parse_date(F.col(name)), D.parse_date_multi(F.col(name)))
-
-
 def order_rules(df: DataFrame, as_of: str, id_pattern: str = V.ORDER_ID_PATTERN, max_age_days: int = 1825) -> dict[str, Column]:
     """The rule of each order field that is present."""
     have = set(df.columns)
@@ -134,8 +127,12 @@ def with_errors(df: DataFrame, rules: dict[str, Column], name: str = "errors") -
     return df.withColumn(name, F.array_compact(F.array(*rules.values())))
 
 
+NUMBERS, DATES = ["quantity", "price", "discount", "total_amount"], ["order_date"]
+
+
 def order_errors(df: DataFrame, as_of: str, **options) -> DataFrame:
-    return with_errors(df, order_rules(df, as_of, **options))
+    rows = parsed(df, NUMBERS, DATES)
+    return unparsed(with_errors(rows, order_rules(rows, as_of, **options)))
 
 
 def at_least(severity: str) -> list[str]:
@@ -149,7 +146,11 @@ def is_valid(min_severity: str = "low") -> Column:
 
 def quarantine_split(df: DataFrame, as_of: str, min_severity: str = "low") -> tuple[DataFrame, DataFrame]:
     """(valid rows, rejected rows with their reasons)."""
-    checked = order_errors(df, as_of)
+    return split_checked(order_errors(df, as_of), min_severity)
+
+
+def split_checked(checked: DataFrame, min_severity: str = "low") -> tuple[DataFrame, DataFrame]:
+    """The same for rows that already carry their `errors`."""
     ok = is_valid(min_severity)
     rejected = checked.filter(~ok).withColumn("reason", F.array_join(F.transform("errors", lambda e: e["message"]), "; "))
     return checked.filter(ok).drop("errors"), rejected.drop("errors")
@@ -262,7 +263,8 @@ def business_limits(df: DataFrame, as_of: str) -> dict[str, Column]:
 
 
 def business_errors(df: DataFrame, as_of: str) -> DataFrame:
-    return with_errors(df, business_limits(df, as_of))
+    rows = parsed(df, NUMBERS, DATES)
+    return unparsed(with_errors(rows, business_limits(rows, as_of)))
 
 
 def validate_business_rules(df: DataFrame, as_of: str) -> DataFrame:
@@ -305,6 +307,7 @@ def validate_file_frame(df: DataFrame, required: list[str], min_rows: int = 1) -
 
 def validate_nb6(df: DataFrame, threshold: float = 80.0) -> DataFrame:
     """Required fields filled, quantity and price positive numbers; passes at the threshold."""
+    df = parsed(df, ["quantity", "price"])
     q, p = number(df, "quantity"), number(df, "price")
     filled = [~blank(F.col(c)) for c in ("order_id", "customer_name", "product", "quantity", "price")]
     ok = reduce(lambda a, b: a & b, [*filled, F.coalesce(q > 0, F.lit(False)), F.coalesce(p > 0, F.lit(False))])

@@ -24,6 +24,8 @@ _RUNTIME_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # split a skewed join even where that costs one more shuffle further up
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # the JVM never compiles methods above 8000 bytes; beyond that, generated code per operator is faster
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 

@@ -14,7 +14,7 @@ from ..functions.dates import micros
 from ..functions.numeric import exact_sum
 from ..operators.alerting import MINUTE, evaluate_alert_rules
 from ..operators.cleaning import clean_rows
-from ..operators.validation import quarantine_split
+from ..operators.validation import order_errors, split_checked
 from ..session import ROCKSDB_PROVIDER
 from ..sources.files import CSV_SCHEMA
 from ..sources.sinks import upsert
@@ -65,13 +65,13 @@ def stream_clean_validate(rows: DataFrame, dst: str, checkpoint: str, as_of: str
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        cached = batch.persist()
+        checked = order_errors(batch, as_of).persist()
         try:
-            good, bad = quarantine_split(cached, as_of, min_severity)
+            good, bad = split_checked(checked, min_severity)
             clean_rows(good, as_of).write.mode("overwrite").parquet(f"{dst}/good/batch={batch_id}")
             bad.write.mode("overwrite").parquet(f"{dst}/bad/batch={batch_id}")
         finally:
-            cached.unpersist()
+            checked.unpersist()
 
     return _each_batch(rows, write, checkpoint)
 
