@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import fixed_values as V
+from ..functions.arrays import each_element
 from ..operators import aggregates as A
 from ..operators import quality as P
 from ..operators import rules as R
@@ -115,7 +116,7 @@ for _field in dict.fromkeys(r[0] for r in ROW_RULES):
     def _single(spark: SparkSession, sf: str, field: str = _field) -> DataFrame:
         rows = checked(spark, sf)
         found = W.with_errors(rows, {field: W.order_rules(rows, ORDERS_AS_OF)[field]})
-        return found.select(*LINE_ORDER, F.explode("errors").alias("e")).select(*LINE_ORDER, "e.type", "e.severity")
+        return each_element(found, "errors", "e").select(*LINE_ORDER, "e.type", "e.severity")
 
     query(f"rule_{_field}", f"select {S.KEYS}, type, severity from {errors_sql(_rules)}")(_single)
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import fixed_values as V
+from ..functions.arrays import each_element
 from ..functions.cooldown import chain, emit, summarise
 from ..functions.dates import micros
 from ..session import clock
@@ -98,7 +99,7 @@ def evaluate_alert_rules(records: DataFrame, rules: list[dict] = DEFAULT_RULES)
         ))
         for r in usable
     ]
-    return records.withColumn("_a", F.explode(F.array_compact(F.array(*fired)))).select("*", "_a.*").drop("_a")
+    return each_element(records, F.array(*fired), "_a").select("*", "_a.*").drop("_a")
 
 
 def _columns_of(sql: str) -> set[str]:

@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import fixed_values as V
+from ..functions.arrays import each_element
 from ..functions.categorical import segment_by_customer, segment_priority
 from ..functions.numeric import money
 from ..functions.text import literal_map, lookup
@@ -83,7 +84,7 @@ def route_notifications(alerts: DataFrame, channels: list[dict] = DEFAULT_CHANNE
     """
     level = severity_number(F.col(severity))
     reached = [F.when(level >= V.SEVERITY_LEVELS[c["threshold"]], F.lit(c["channel"])) for c in channels if c["enabled"]]
-    return alerts.withColumn("channel", F.explode(F.array_compact(F.array(*reached))))
+    return each_element(alerts, F.array(*reached), "channel")
 
 
 def orphans(children: DataFrame, parents: DataFrame, key: str) -> DataFrame:

@@ -15,8 +15,9 @@ from ..functions import dates as D
 from ..functions import fixed_values as V
 from ..functions import numeric as N
 from ..functions import text as X
+from ..functions.arrays import each_element
 from ..functions.categorical import quality_level
-from ..session import clock
+from ..session import clock, materialize
 from .cleaning import any_date, number, parsed, unparsed
 from .dedup import duplicated_keys
 from .quality import blank
@@ -145,8 +146,8 @@ def is_valid(min_severity: str = "low") -> Column:
 
 
 def quarantine_split(df: DataFrame, as_of: str, min_severity: str = "low") -> tuple[DataFrame, DataFrame]:
-    """(valid rows, rejected rows with their reasons)."""
-    return split_checked(order_errors(df, as_of), min_severity)
+    """(valid rows, rejected rows with their reasons); the checked rows are written once for both."""
+    return split_checked(materialize(order_errors(df, as_of), "checked"), min_severity)
 
 
 def split_checked(checked: DataFrame, min_severity: str = "low") -> tuple[DataFrame, DataFrame]:
@@ -179,7 +180,7 @@ def validate_orders(df: DataFrame, as_of: str, min_severity: str = "low", **opti
 
 def validation_errors(df: DataFrame, as_of: str, keys: list[str]) -> DataFrame:
     """Long table of errors, one row each."""
-    return order_errors(df, as_of).select(*keys, F.explode("errors").alias("e")).select(*keys, "e.*")
+    return each_element(order_errors(df, as_of), "errors", "e").select(*keys, "e.*")
 
 
 def error_counts(errors: DataFrame) -> DataFrame:
@@ -269,7 +270,7 @@ def business_errors(df: DataFrame, as_of: str) -> DataFrame:
 
 def validate_business_rules(df: DataFrame, as_of: str) -> DataFrame:
     """Errors per field and severity, with the duplicate-id and test-name findings as rows of their own."""
-    found = business_errors(df, as_of).select(F.explode("errors").alias("e")).select("e.*")
+    found = each_element(business_errors(df, as_of), "errors", "e").select("e.*")
     counted = error_counts(found)
     dups = duplicated_keys(df.filter(F.col("order_id").isNotNull()), ["order_id"]).agg(F.coalesce(F.sum("n_rows"), F.lit(0)).alias("n"))
     tests = df.agg(F.count_if(X.is_test_name(F.col("customer_name"), V.TEST_NAME_WORDS)).alias("n"))

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.arrays import each_element
 from ..session import clock
 
 ORDER_TEXT_FIELDS = ["order_id", "customer_name", "customer_email", "product", "product_category", "quantity", "price",
@@ -82,7 +83,7 @@ def json_orders(envelopes: DataFrame) -> DataFrame:
     rows = F.coalesce("orders", "data", "items", F.array(single))
     carried = ["app_version", "upload_time", "app_info", "source_file", "source_type", "ingested_at"]
     good = envelopes.filter(F.col("_corrupt_record").isNull())
-    return good.select(F.explode(rows).alias("o"), *carried).select("o.*", *carried)
+    return each_element(good.select(rows.alias("rows"), *carried), "rows", "o").select("o.*", *carried)
 
 
 def read_json_orders(spark: SparkSession, path: str | list[str], as_of: str, multi_line: bool = True) -> DataFrame:
