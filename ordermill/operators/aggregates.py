@@ -66,7 +66,7 @@ def dataset_overview(df: DataFrame) -> DataFrame:
         average_money("price").alias("avg_price"),
         F.max("price").alias("max_price"),
         F.min("price").alias("min_price"),
-    ).withColumn("orders_per_customer", F.col("records") / F.col("unique_customers"))
+    ).withColumn("orders_per_customer", F.try_divide("records", "unique_customers"))
 
 
 def equal_width_histogram(df: DataFrame, column: str, bins: int = 10) -> DataFrame:
@@ -75,8 +75,10 @@ def equal_width_histogram(df: DataFrame, column: str, bins: int = 10) -> DataFra
     span = df.agg(F.struct(F.min(value).alias("lo"), F.max(value).alias("hi"))).scalar()
     low, high = span["lo"], span["hi"]
     # computed the same way in any engine: position of the value on the scale of bins
-    slot = F.least(F.floor((value - low) * bins / (high - low)), F.lit(bins - 1)).cast("int")
-    counted = df.filter(value.isNotNull()).groupBy(F.coalesce(slot, F.lit(0)).alias("bin")).agg(rows().alias("n"))
+    # a column with one value has no width and falls into the first bin
+    place = F.coalesce(F.floor(F.try_divide((value - low) * bins, high - low)), F.lit(0))
+    slot = F.least(place, F.lit(bins - 1)).cast("int")
+    counted = df.filter(value.isNotNull()).groupBy(slot.alias("bin")).agg(rows().alias("n"))
     every = df.sparkSession.range(bins).select(F.col("id").cast("int").alias("bin"))
     filled = every.join(counted, "bin", "left").withColumn("n", F.coalesce("n", F.lit(0)))
     width = (high - low) / bins

@@ -61,7 +61,7 @@ def revenue_total(df: DataFrame, amount: str = "total_amount") -> Column:
 
 
 def revenue_contribution(df: DataFrame, whole: DataFrame | None = None, amount: str = "total_amount") -> DataFrame:
-    share = F.col(amount) / revenue_total(df if whole is None else whole, amount) * 100
+    share = F.try_divide(F.col(amount), revenue_total(df if whole is None else whole, amount)) * 100
     return df.withColumn("revenue_contribution_pct", F.round(share, 2))
 
 

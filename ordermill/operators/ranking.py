@@ -97,15 +97,19 @@ def quantiles(df: DataFrame, keys: list[str], value: str, wanted: dict[str, tupl
 def trend(df: DataFrame, keys: list[str], value: str, order_by: list) -> DataFrame:
     """Correlation of the value with its position in time, as a label; no variance means stable."""
     placed = position_in_group(df.filter(F.col(value).isNotNull()), keys, order_by)
-    stats = placed.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.corr("position", value).alias("r"))
+    stats = placed.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), correlation("position", value).alias("r"))
     return stats.withColumn("trend", trend_label(F.col("n"), F.col("r"))).drop("n", "r")
 
 
+def correlation(x: str, y: str) -> Column:
+    """Pearson correlation; null without variance (`corr` would fail there by dividing by zero)."""
+    return F.try_divide(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y))
+
+
 def trend_label(n: Column, r: Column) -> Column:
-    usable = F.when(~F.isnan(r), r)
     return (
         F.when(n < 2, "insufficient_data")
-        .when(usable.isNull() | (F.abs(usable) < 0.1), "stable")
-        .when(usable > 0, "increasing")
+        .when(r.isNull() | (F.abs(r) < 0.1), "stable")
+        .when(r > 0, "increasing")
         .otherwise("decreasing")
     )

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -140,8 +142,15 @@ def ingest_file_summary(df: DataFrame) -> DataFrame:
 
 
 def file_admission(spark: SparkSession, path: str | list[str], max_mb: float = 100, digest: bool = True) -> DataFrame:
-    """Verdict per file from size and extension; the content is read only for the digest."""
-    files = spark.read.format("binaryFile").load(path)
+    """Verdict per file from size and extension; the content is read only for the digest.
+
+    A scan skips files without bytes, so they come from the listing the reader has made anyway.
+    """
+    scanned = spark.read.format("binaryFile").load(path)
+    plain = [re.sub(r"^[a-z0-9]+:/+", "/", p) for p in scanned.inputFiles()]
+    listed = spark.createDataFrame([(p,) for p in plain], "path string")
+    bare = scanned.withColumn("path", F.regexp_replace("path", r"^[a-z0-9]+:/+", "/"))
+    files = listed.join(bare, "path", "left").withColumn("length", F.coalesce("length", F.lit(0)))
     extension = F.lower(F.regexp_extract("path", r"(\.[^./]+)$", 1))
     reason = (
         F.when(F.col("length") == 0, "empty").when(F.col("length") > max_mb * 1024 * 1024, "too large")
