@@ -118,8 +118,8 @@ def pipeline_report(spark, sf):
     return A.pipeline_report(table(spark, sf, "run_metrics"), DAY_END)
 
 
-@query("pipeline_stage_times", f"select split_part(long_name, '.', 3) as stage, {S.mean('value')} as avg_time, count(*) as executions from {{run_metrics}} where {_DAY} and long_name like 'pipeline.stage.%.execution_time' group by 1")
-def pipeline_stage_times(spark, sf):
+@query("stage_times", f"select split_part(long_name, '.', 3) as stage, {S.mean('value')} as avg_time, count(*) as executions from {{run_metrics}} where {_DAY} and long_name like 'pipeline.stage.%.execution_time' group by 1")
+def stage_times(spark, sf):
     return A.pipeline_stage_times(table(spark, sf, "run_metrics"), DAY_END)
 
 
@@ -145,8 +145,8 @@ def run_success_rate(spark, sf):
     return A.run_success_rate(_recent_runs(spark, sf))
 
 
-@query("pipeline_status", f"select pipeline_id, case when failed then 'FAILED' else 'SUCCESS' end as status from {_STATUS}")
-def pipeline_status(spark, sf):
+@query("run_status", f"select pipeline_id, case when failed then 'FAILED' else 'SUCCESS' end as status from {_STATUS}")
+def run_status(spark, sf):
     return A.pipeline_status(_recent_runs(spark, sf))
 
 
