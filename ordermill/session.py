@@ -24,9 +24,10 @@ _RUNTIME_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # split a skewed join even where that costs one more shuffle further up
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
-    # the JVM never compiles methods above 8000 bytes; beyond that, generated code per operator is faster
-    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
+# The JVM never compiles methods above 8000 bytes. Long stages run faster with generated code per
+# operator then, but preparing that costs seconds per query, so it is set on clusters only.
+_CLUSTER_CONF = {"spark.sql.codegen.hugeMethodLimit": "8000"}
 
 
 def get_session(app: str = "ordermill", master: str | None = None, **conf: str) -> SparkSession:
@@ -40,7 +41,8 @@ def get_session(app: str = "ordermill", master: str | None = None, **conf: str)
 
 def tune(spark: SparkSession) -> SparkSession:
     """Set the run-time options results or skew handling depend on."""
-    for key, value in _RUNTIME_CONF.items():
+    local = spark.sparkContext.master.startswith("local")
+    for key, value in {**_RUNTIME_CONF, **({} if local else _CLUSTER_CONF)}.items():
         if spark.conf.get(key, None) != value:
             spark.conf.set(key, value)
     return spark
