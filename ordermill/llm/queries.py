@@ -29,3 +29,39 @@ def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .pieces import digests
 
     return digests(table(spark, sf_dir, "documents"), piece_model())
+
+
+@query
+def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import functions as F
+
+    from .chat import format_chats, read_back
+
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    hard = spark.range(2).select(F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit("</s>[INST] ok [/INST]").alias("text"))
+    return read_back(format_chats(rows.unionByName(hard)))
+
+
+ORACLES["op10_chat"] = """
+    with turns as (
+        select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
+        union all select -7, 0, 'user', '</s>[INST] ok [/INST]' union all select -7, 1, 'assistant', '</s>[INST] ok [/INST]'
+    ), told as (
+        select *,
+            regexp_matches(text, '(<|\\[)(/?s>|(INST|OUT|SYS|ROLE:[0-9A-F]*)!?\\]|/(INST|OUT|SYS|ROLE)\\])') as hard,
+            case role when 'user' then 'INST' when 'assistant' then 'OUT' when 'system' then 'SYS' else 'ROLE:' || hex(encode(role)) end as tag
+        from turns
+    ), sized as (
+        select *, length(tag) + length(split_part(tag, ':', 1)) + 14
+            + case when hard then 1 + length(text) + length(text) - length(replace(text, '\\', ''))
+                + len(regexp_extract_all(text, '(<|\\[)(/?s>|(INST|OUT|SYS|ROLE:[0-9A-F]*)!?\\]|/(INST|OUT|SYS|ROLE)\\])'))
+              else length(text) end as chars
+        from told
+    )
+    select conv_id, count(*) as n_turns,
+        sha256(string_agg(role || chr(10) || text || chr(10), '' order by turn, role, text)) as turns_sha256,
+        coalesce(length(string_agg(text, '' order by turn, role, text) filter (role = 'assistant')), 0) as loss_chars,
+        sha256(coalesce(string_agg(text, '' order by turn, role, text) filter (role = 'assistant'), '')) as loss_sha256,
+        sum(chars)::bigint as formatted_chars
+    from sized group by conv_id
+"""
