@@ -65,3 +65,21 @@ ORACLES["op10_chat"] = """
         sum(chars)::bigint as formatted_chars
     from sized group by conv_id
 """
+
+
+@query
+def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .warc import build_archive, read_archive
+
+    records = read_archive(build_archive(table(spark, sf_dir, "pages")))
+    return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+ORACLES["op1_warc"] = """
+    with hashed as (select page_id, coalesce(html, '') as html from pages),
+    held as (select *, max(page_id) over (partition by html) as holder, strlen(html) as payload_bytes from hashed)
+    select page_id, payload_bytes, sha1(html) as payload_digest,
+        case when payload_bytes < 1000 or page_id = holder then 'response' else 'revisit' end as record_type,
+        case when payload_bytes < 1000 or page_id = holder then null else holder end as refers_to
+    from held
+"""
