@@ -83,3 +83,13 @@ ORACLES["op1_warc"] = """
         case when payload_bytes < 1000 or page_id = holder then null else holder end as refers_to
     from held
 """
+
+
+@query
+def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import functions as F
+
+    from .simhash import classes
+
+    found = classes(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
