@@ -93,3 +93,20 @@ def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     found = classes(table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+@query
+def op9_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import functions as F
+
+    from .sketches import as_text, fingerprints, likeness
+
+    return fingerprints(table(spark, sf_dir, "documents")).select(
+        "doc_id",
+        F.col("n_chars").cast("long").alias("n_chars"),
+        "edited_sha256",
+        as_text(F.col("cells")).alias("fingerprint"),
+        as_text(F.col("edited_cells")).alias("edited_fingerprint"),
+        likeness(F.col("keys"), F.col("edited_keys"), F.col("from_edited")).alias("near_edited"),
+        likeness(F.col("keys"), F.col("next_keys"), F.col("from_next")).alias("near_next"),
+    )
