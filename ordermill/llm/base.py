@@ -23,12 +23,13 @@ def worker_cache() -> dict:
     return sys.modules.setdefault("ordermill_worker_cache", types.ModuleType("ordermill_worker_cache")).__dict__
 
 
-def once(key: str, make):
-    """`make()` once for each Python worker and key."""
+def once(kind: str, key: str, make):
+    """`make()` once for each Python worker and key; a worker keeps the last key of each kind."""
     cache = worker_cache()
-    if key not in cache:
-        cache[key] = make()
-    return cache[key]
+    if cache.get(kind, (None,))[0] != key:
+        cache.pop(kind, None)
+        cache[kind] = (key, make())
+    return cache[kind][1]
 
 
 def new_key(name: str) -> str:

@@ -20,13 +20,13 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .base import add_columns, new_key, once, ship
+from .base import add_columns, once, ship
 
 SPACE = "▁"
 START, UNKNOWN = -1, -2  # in the table: nothing yet, a character without a piece
 LONG_WORD = 48  # words of more characters are cut where no piece reaches across
 _SEEN_BITS, _MIX = 20, np.uint64(0x9E3779B97F4A7C15)
-KNOWN_WORDS = 400_000  # words a worker remembers; the memory forgets all at once when full
+KNOWN_WORDS = 300_000  # words a worker remembers; the memory forgets all at once when full
 
 
 @dataclass
@@ -329,11 +329,16 @@ class Codec:
         return data
 
 
-_BLOCK = 2048  # texts handled at once inside a task
+_BLOCK = 1024  # texts handled at once inside a task
 
 
-def _codec(key: str, shared) -> Codec:
-    return once(key, lambda: Codec(shared.value))
+def _sender(df: DataFrame, model_path: str):
+    """What gives each Python worker its codec: the tables go out as a broadcast, of the vocabulary's size."""
+    ship(__name__)
+    vocabulary = load(model_path)
+    key = str(hash((tuple(vocabulary.pieces), vocabulary.rank.tobytes())))
+    shared = df.sparkSession.sparkContext.broadcast(vocabulary)
+    return lambda: once("codec", key, lambda: Codec(shared.value))
 
 
 def encode(docs: DataFrame, model_path: str, text: str = "text", ids: str = "ids") -> DataFrame:
@@ -341,11 +346,10 @@ def encode(docs: DataFrame, model_path: str, text: str = "text", ids: str = "ids
 
     An input column named as the new one is replaced; other columns pass through. No shuffle: each row by itself.
     """
-    ship(__name__)
-    shared, key = docs.sparkSession.sparkContext.broadcast(load(model_path)), new_key("codec")
+    sent = _sender(docs, model_path)
 
     def run(frames):
-        codec = _codec(key, shared)
+        codec = sent()
         for frame in frames:
             for a in range(0, len(frame), _BLOCK):
                 part = frame.iloc[a : a + _BLOCK].drop(columns=[ids], errors="ignore")
@@ -357,11 +361,10 @@ def encode(docs: DataFrame, model_path: str, text: str = "text", ids: str = "ids
 
 def decode(rows: DataFrame, model_path: str, ids: str = "ids", text: str = "text") -> DataFrame:
     """Add the text of each list of ids. A null list gives the empty text."""
-    ship(__name__)
-    shared, key = rows.sparkSession.sparkContext.broadcast(load(model_path)), new_key("codec")
+    sent = _sender(rows, model_path)
 
     def run(frames):
-        codec = _codec(key, shared)
+        codec = sent()
         for frame in frames:
             got = [codec.decode([] if x is None else list(x)).decode() for x in frame[ids]]
             yield frame.drop(columns=[text], errors="ignore").assign(**{text: got})
@@ -373,11 +376,10 @@ def digests(docs: DataFrame, model_path: str) -> DataFrame:
     """doc_id, n_tokens, ids_sha256, decoded_sha256: each text encoded, its ids decoded again, both as digests."""
     import hashlib
 
-    ship(__name__)
-    shared, key = docs.sparkSession.sparkContext.broadcast(load(model_path)), new_key("codec")
+    sent = _sender(docs, model_path)
 
     def run(frames):
-        codec = _codec(key, shared)
+        codec = sent()
         for frame in frames:
             for a in range(0, len(frame), _BLOCK):
                 part = frame.iloc[a : a + _BLOCK]
