@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pickle
 import sys
 import types
 import uuid
@@ -32,6 +33,12 @@ def once(kind: str, key: str, make):
     return cache[kind][1]
 
 
+def send(spark: SparkSession, value):
+    """Broadcast a value of bounded size; gives the function that loads it in a Python worker."""
+    data = spark.sparkContext.broadcast(cloudpickle.dumps(value))
+    return lambda: pickle.loads(data.value)
+
+
 def new_key(name: str) -> str:
     return f"{name}-{uuid.uuid4().hex}"
 
@@ -71,3 +78,16 @@ def add_columns(df: DataFrame, fields: str) -> str:
     new = StructType.fromDDL(fields)
     names = {f.name.lower() for f in new}
     return StructType([f for f in df.schema if f.name.lower() not in names] + list(new))
+
+
+def text_blocks(frame, column: str, chars: int = 4_000_000):
+    """Slices of a pandas frame whose texts have about `chars` characters together; one longer text stands alone."""
+    begin = total = 0
+    for i, t in enumerate(frame[column]):
+        n = len(t) if t else 0
+        if total and total + n > chars:
+            yield frame.iloc[begin:i]
+            begin, total = i, 0
+        total += n + 1
+    if begin < len(frame):
+        yield frame.iloc[begin:]

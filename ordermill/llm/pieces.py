@@ -20,7 +20,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .base import add_columns, once, ship
+from .base import add_columns, once, send, ship, text_blocks
 
 SPACE = "▁"
 START, UNKNOWN = -1, -2  # in the table: nothing yet, a character without a piece
@@ -329,16 +329,13 @@ class Codec:
         return data
 
 
-_BLOCK = 1024  # texts handled at once inside a task
-
-
 def _sender(df: DataFrame, model_path: str):
     """What gives each Python worker its codec: the tables go out as a broadcast, of the vocabulary's size."""
     ship(__name__)
     vocabulary = load(model_path)
     key = str(hash((tuple(vocabulary.pieces), vocabulary.rank.tobytes())))
-    shared = df.sparkSession.sparkContext.broadcast(vocabulary)
-    return lambda: once("codec", key, lambda: Codec(shared.value))
+    shared = send(df.sparkSession, vocabulary)
+    return lambda: once("codec", key, lambda: Codec(shared()))
 
 
 def encode(docs: DataFrame, model_path: str, text: str = "text", ids: str = "ids") -> DataFrame:
@@ -351,8 +348,7 @@ def encode(docs: DataFrame, model_path: str, text: str = "text", ids: str = "ids
     def run(frames):
         codec = sent()
         for frame in frames:
-            for a in range(0, len(frame), _BLOCK):
-                part = frame.iloc[a : a + _BLOCK].drop(columns=[ids], errors="ignore")
+            for part in text_blocks(frame.drop(columns=[ids], errors="ignore"), text):
                 coded = codec.encode([t or "" for t in part[text]])
                 yield part.assign(**{ids: [np.frombuffer(c, "<u4").astype(np.int32) for c in coded]})
 
@@ -381,8 +377,7 @@ def digests(docs: DataFrame, model_path: str) -> DataFrame:
     def run(frames):
         codec = sent()
         for frame in frames:
-            for a in range(0, len(frame), _BLOCK):
-                part = frame.iloc[a : a + _BLOCK]
+            for part in text_blocks(frame, "text"):
                 coded = codec.encode([t or "" for t in part["text"]])
                 yield pd.DataFrame({
                     "doc_id": part["doc_id"].to_numpy(),

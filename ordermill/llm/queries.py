@@ -110,3 +110,12 @@ def op9_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
         likeness(F.col("keys"), F.col("edited_keys"), F.col("from_edited")).alias("near_edited"),
         likeness(F.col("keys"), F.col("next_keys"), F.col("from_next")).alias("near_next"),
     )
+
+
+@query
+def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .language import held_out, identify, train
+
+    docs = table(spark, sf_dir, "documents")
+    rows = docs.select("doc_id", held_out().alias("held_out"), "text")
+    return identify(rows, train(docs)).select("doc_id", "held_out", "lang_pred", "score", "rejected")
