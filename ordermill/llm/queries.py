@@ -119,3 +119,10 @@ def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     rows = docs.select("doc_id", held_out().alias("held_out"), "text")
     return identify(rows, train(docs)).select("doc_id", "held_out", "lang_pred", "score", "rejected")
+
+
+@query
+def op8_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .wrappers import extract
+
+    return extract(table(spark, sf_dir, "pages"))
