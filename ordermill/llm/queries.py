@@ -126,3 +126,10 @@ def op8_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .wrappers import extract
 
     return extract(table(spark, sf_dir, "pages"))
+
+
+@query
+def op7_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .lm import held_out, score
+
+    return score(table(spark, sf_dir, "documents"), held_out())
