@@ -133,3 +133,11 @@ def op7_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .lm import held_out, score
 
     return score(table(spark, sf_dir, "documents"), held_out())
+
+
+@query
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .quality import grade, train
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return grade(docs, train(docs)).select("doc_id", "quality", "weak_quality", "keep")
