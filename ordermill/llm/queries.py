@@ -141,3 +141,10 @@ def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return grade(docs, train(docs)).select("doc_id", "quality", "weak_quality", "keep")
+
+
+@query
+def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .leaks import find_leaks
+
+    return find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
