@@ -19,6 +19,7 @@ from .base import stage
 LONG_LINE = 150
 SIDE = 8  # cells in each third of the fingerprint that is kept
 _ROUNDS = 12
+_FOUND = "array<struct<n:int,k:long>>"
 _CELLS = "array<struct<n:int,k:long,h:long>>"
 
 
@@ -65,21 +66,24 @@ def peel(cells: Column, side: Column) -> Column:
 
     def pure(cells: Column) -> Column:
         alone = F.filter(cells, lambda c: ((c["n"] == 1) | (c["n"] == -1)) & (_check(c["k"]) == c["h"]))
-        return F.array_distinct(F.transform(alone, lambda c: F.struct(c["n"].alias("n"), c["k"].alias("k"))))
+        where = lambda k: [(_cell(k, j, side) + j * side).alias(f"p{j}") for j in range(3)]
+        return F.array_distinct(F.transform(alone, lambda c: F.struct(c["n"].alias("n"), c["k"].alias("k"), *where(c["k"]))))
 
     def without(cells: Column, found: Column) -> Column:
         def cleared(c: Column, i: Column) -> Column:
-            third, place = F.floor(i / side), i % side
-            at = lambda k: F.when(third == 0, _cell(k, 0, side)).when(third == 1, _cell(k, 1, side)).otherwise(_cell(k, 2, side))
-            out = lambda a, f: F.struct((a["n"] - f["n"]).alias("n"), a["k"].bitwiseXOR(f["k"]).alias("k"), a["h"].bitwiseXOR(_check(f["k"])).alias("h"))
-            return F.aggregate(found, c, lambda a, f: F.when(at(f["k"]) == place, out(a, f)).otherwise(a))
+            here = F.filter(found, lambda f: (f["p0"] == i) | (f["p1"] == i) | (f["p2"] == i))
+            return F.aggregate(here, c, lambda a, f: F.struct((a["n"] - f["n"]).alias("n"), a["k"].bitwiseXOR(f["k"]).alias("k"), a["h"].bitwiseXOR(_check(f["k"])).alias("h")))
 
         return F.transform(cells, cleared)
 
     def step(state: Column, _: Column) -> Column:
-        return let(pure(state["cells"]), lambda found: F.when(F.size(found) == 0, state).otherwise(F.struct(without(state["cells"], found).alias("cells"), F.concat(state["found"], found).alias("found"))))
+        def on(found: Column) -> Column:
+            names = F.transform(found, lambda f: F.struct(f["n"].alias("n"), f["k"].alias("k")))
+            return F.when(F.size(found) == 0, state).otherwise(F.struct(without(state["cells"], found).alias("cells"), F.concat(state["found"], names).alias("found")))
 
-    start = F.struct(cells.cast(_CELLS).alias("cells"), F.array().cast("array<struct<n:int,k:long>>").alias("found"))
+        return let(pure(state["cells"]), on)
+
+    start = F.struct(cells.cast(_CELLS).alias("cells"), F.array().cast(_FOUND).alias("found"))
     return F.aggregate(F.sequence(F.lit(1), F.lit(_ROUNDS)), start, step)
 
 
@@ -87,20 +91,32 @@ def _complete(tried: Column) -> Column:
     return ~F.exists(tried["cells"], lambda c: (c["n"] != 0) | (c["k"] != 0))
 
 
+def _group(a: Column, b: Column) -> Column:
+    """The difference of two small sets, from tables that grow until peeling is complete."""
+
+    def attempt(side: int) -> Column:
+        if side > 1 << 14:
+            return F.raise_error(F.lit("no table was large enough")).cast(_FOUND)
+        s = F.lit(side).cast("long")
+        return let(peel(subtract(sketch(a, s), sketch(b, s)), s), lambda t: F.when(_complete(t), t["found"]).otherwise(attempt(8 * side)))
+
+    return attempt(2 * SIDE)
+
+
 def with_difference(df: DataFrame, a: str, b: str, name: str, a_cells: str | None = None, b_cells: str | None = None) -> DataFrame:
     """Add the digests in which the sets a and b differ, by subtracting and peeling their tables.
 
-    The first try uses the kept fingerprints (`a_cells`, `b_cells`); each further one makes tables of its own, large
-    enough for two sets with nothing in common, then 4 and 16 times that.
+    The first try uses the kept fingerprints (`a_cells`, `b_cells`). Where they are too small, larger tables follow: the
+    digests are dealt into so many groups that each has a few, with a table of its own that is enlarged until it can be
+    peeled. So the work grows with the number of digests, not with its square.
     """
     fixed = F.lit(SIDE).cast("long")
     first = subtract(F.col(a_cells) if a_cells else sketch(F.col(a), fixed), F.col(b_cells) if b_cells else sketch(F.col(b), fixed))
     df = df.withColumn(name, let(peel(first, fixed), lambda t: F.when(_complete(t), t["found"])))
-    for more in (1, 4, 16):
-        side = F.greatest(F.lit(4 * SIDE), F.size(a) + F.size(b)).cast("long") * more
-        again = let(side, lambda s: peel(subtract(sketch(F.col(a), s), sketch(F.col(b), s)), s))
-        df = df.withColumn(name, F.when(F.col(name).isNotNull(), F.col(name)).otherwise(let(again, lambda t: F.when(_complete(t), t["found"]))))
-    return df.withColumn(name, F.coalesce(name, F.raise_error(F.lit("no table was large enough")).cast("array<struct<n:int,k:long>>")))
+    groups = F.ceil((F.size(a) + F.size(b)) / (2 * SIDE)).cast("long")
+    of = lambda keys, i: F.filter(keys, lambda k: F.pmod(F.shiftrightunsigned(k, 11), groups) == i)
+    each = F.transform(F.sequence(F.lit(0).cast("long"), groups - 1), lambda i: let(of(F.col(a), i), lambda x: let(of(F.col(b), i), lambda y: _group(x, y))))
+    return df.withColumn(name, F.when(F.col(name).isNotNull(), F.col(name)).otherwise(F.flatten(each)))
 
 
 def likeness(a: Column, b: Column, difference: Column) -> Column:
