@@ -263,7 +263,7 @@ def _calibrate(model: Model, entropy: np.ndarray, size: np.ndarray, truth: np.nd
             x, n = own, size
         gap = (x - np.median(x)) ** 2
         each = float(np.sqrt(np.median(gap * n) / 0.455))  # 0.455: median of a squared standard normal value
-        model.normal[:, i] = np.median(x), max(0.05, float(np.sqrt(np.median(gap) / 0.455))), max(each, 1.0)
+        model.normal[:, i] = np.median(x), max(0.15, float(np.sqrt(np.median(gap) / 0.455))), max(each, 1.0)
     mean, between, each = model.normal[:, truth]
     odd = (own - mean) / np.sqrt(between**2 + each**2 / size)
     model.reach = max(6.0, 1.5 * float(np.quantile(odd, 0.999)))

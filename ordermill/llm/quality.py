@@ -86,7 +86,7 @@ def votes(p: np.ndarray) -> np.ndarray:
     vote(4, (p[:, 4] > 0.1) & (n >= 5), (p[:, 4] < 0.03) & (n >= 5))
     vote(5, (p[:, 5] < 2.5) & (n >= 20), (p[:, 5] > 4) & (n >= 20))
     vote(6, p[:, 6] > 0.3, p[:, 6] < 0.1)
-    vote(7, (p[:, 7] > 0.6) | ((p[:, 7] < 0.002) & (n >= 100)), (p[:, 7] > 0.02) & (p[:, 7] < 0.4))
+    vote(7, ((p[:, 7] > 0.6) & (n >= 8)) | ((p[:, 7] < 0.002) & (n >= 100)), (p[:, 7] > 0.02) & (p[:, 7] < 0.4))
     vote(8, (p[:, 8] > 15) | (p[:, 8] < 2), (p[:, 8] > 3) & (p[:, 8] < 10))
     vote(9, p[:, 9] < 0.75, p[:, 9] > 0.9)
     return out

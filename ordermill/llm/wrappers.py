@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from .base import once, ship, stage
 
 TEXT = "#"
+DEEPEST = 100
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark q s samp small span strike strong sub sup time tt u var wbr br".split())
 #: block elements that hold text but say nothing about its place in the page
@@ -113,7 +114,9 @@ class Reader:
         self.paths.pop()
         if tag not in INLINE:
             self._flush()
-        if self.tree:
+        if self.tree and len(self.stack) >= DEEPEST:
+            self.open.pop()
+        elif self.tree:
             self.open[-1][2] = fold(self.open[-1][2])
             self.open.pop()
 
@@ -135,7 +138,11 @@ class Reader:
         self.stack.append((tag, name))
         shown = tag not in INLINE and tag not in PLAIN or "." in name and not NO_CONTENT_WORDS.isdisjoint(name.split(".")[1:])
         self.paths.append((*self.paths[-1], name) if shown else self.paths[-1])
-        if self.tree:
+        if len(self.stack) > DEEPEST:  # what is nested deeper counts as text of this depth
+            self.paths[-1] = self.paths[-2]
+        if self.tree and len(self.stack) > DEEPEST:
+            self.open.append(self.open[-1])
+        elif self.tree:
             node = [name, "1", []]
             self.open[-1][2].append(node)
             self.open.append(node)
