@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import fixed_values as V
 from ..plans.order_flow import FlowConfig, run_pipeline
-from ..session import ORDERS_AS_OF, materialize, shared_dir
+from ..session import ORDERS_AS_OF, materialize
+from ..session import fresh_path as fresh
 from ..sources import files, incremental, mappings, sinks
 from ..streaming import jobs
 from . import sqltext as S
@@ -23,10 +22,6 @@ from .scalars import CATEGORY_STANDARD
 TEXT_FIELDS = list(files.ORDER_TEXT_FIELDS)
 
 
-def fresh(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-
-
 def landed_csv(spark: SparkSession, sf: str) -> str:
     path = fresh(spark, "landing-csv")
     sinks.write_csv(dirty(spark, sf).select(*TEXT_FIELDS, *LINE_ORDER), path)

@@ -203,29 +203,54 @@ def stage_report(spark, sf):
 # --- alert rules ------------------------------------------------------------------------------
 
 
-def fired_sql(rules: list[dict], columns: set[str], extra: str = "") -> str:
-    parts = []
-    for r in rules:
-        if L._columns_of(r["condition"]) <= columns:
-            parts.append(f"select pipeline_id, ts, '{r['rule']}' as rule, '{r['severity']}' as severity, {r['cooldown']} as cooldown_minutes, {r.get('escalation', 0)} as escalation_minutes, {r.get('max_escalations', 0)} as max_escalations from {{snapshots}} where {r['condition']}")
+def fired_sql(rules: list[tuple], source: str = "{snapshots}") -> str:
+    """(rule, condition, severity, cooldown, escalation, most escalations), as the rules must act on these columns."""
+    parts = [
+        f"select pipeline_id, ts, '{name}' as rule, '{severity}' as severity, {cooldown} as cooldown_minutes, {escalation} as escalation_minutes, {most} as max_escalations from {source} where {test}"
+        for name, test, severity, cooldown, escalation, most in rules
+    ]
     return "(" + " union all ".join(parts) + ")"
 
 
-_SNAP = {"pipeline_id", "ts", "execution_time", "throughput", "data_quality_score", "error_rate", "cpu_usage", "memory_usage", "disk_usage", "pipeline_success", "records_processed", "error_count", "success_rate"}
+_DEFAULT = [
+    ("pipeline_failure", "pipeline_success = 0", "CRITICAL", 5, 15, 3),
+    ("high_execution_time", "execution_time > 300", "HIGH", 10, 30, 2),
+    ("low_data_quality", "data_quality_score < 80", "HIGH", 5, 20, 2),
+    ("low_throughput", "throughput < 10", "MEDIUM", 15, 60, 1),
+    ("high_error_rate", "error_rate > 0.05", "HIGH", 5, 20, 2),
+    ("system_resource_exhaustion", "coalesce(cpu_usage, 0) > 90 or coalesce(memory_usage, 0) > 90 or coalesce(disk_usage, 0) > 95", "CRITICAL", 2, 10, 3),
+]
+_CONFIGURED = [  # of the configured rules, those whose columns are there
+    ("high_cpu_usage", "cpu_usage_percent > 85", "warning", 15, 0, 0),
+    ("critical_cpu_usage", "cpu_usage_percent > 95", "critical", 5, 0, 0),
+    ("pipeline_failure", "pipeline_runs_failed > 0", "error", 0, 0, 0),
+    ("high_pipeline_execution_time", "pipeline_execution_time_seconds > 3600", "warning", 30, 0, 0),
+    ("low_pipeline_success_rate", "pipeline_success_rate < 90", "warning", 60, 0, 0),
+    ("low_data_quality", "data_quality_score < 80", "warning", 30, 0, 0),
+    ("critical_data_quality", "data_quality_score < 50", "critical", 15, 0, 0),
+    ("high_error_rate", "error_rate > 5", "critical", 0, 0, 0),
+    ("low_success_rate", "success_rate < 95", "warning", 0, 0, 0),
+    ("processing_timeout", "processing_time > 3600", "warning", 0, 0, 0),
+    ("data_quality_degradation", "data_quality_score < 80", "warning", 0, 0, 0),
+]
+_SIMPLE = [
+    ("too_many_errors", "error_count > 10", "error", 0, 0, 0),
+    ("slow_run", "execution_time > 300", "warning", 0, 0, 0),
+    ("low_success", "success_rate < 95", "warning", 0, 0, 0),
+]
 _FIRED = ["pipeline_id", "ts", "rule", "severity", "cooldown_minutes", "escalation_minutes", "max_escalations"]
 
 
-@query("evaluate_alert_rules", f"select * from {fired_sql(L.DEFAULT_RULES, _SNAP)}")
+@query("evaluate_alert_rules", f"select * from {fired_sql(_DEFAULT)}")
 def evaluate_alert_rules(spark, sf):
     return L.evaluate_alert_rules(table(spark, sf, "snapshots")).select(*_FIRED)
 
 
 _CONFIG_NAMES = {"cpu_usage": "cpu_usage_percent", "execution_time": "pipeline_execution_time_seconds", "error_count": "pipeline_runs_failed", "success_rate": "pipeline_success_rate"}
 _CONFIG_SOURCE = "(select pipeline_id, ts, " + ", ".join(f"{a} as {b}" for a, b in _CONFIG_NAMES.items()) + ", data_quality_score, error_rate * 100 as error_rate, success_rate, execution_time as processing_time from {snapshots})"
-_CONFIG_COLUMNS = {"data_quality_score", "error_rate", "success_rate", "processing_time", *_CONFIG_NAMES.values()}
 
 
-@query("config_alert_rules", fired_sql(L.CONFIG_RULES, _CONFIG_COLUMNS).strip("()").replace("{snapshots}", _CONFIG_SOURCE))
+@query("config_alert_rules", f"select * from {fired_sql(_CONFIGURED, _CONFIG_SOURCE)}")
 def config_alert_rules(spark, sf):
     records = table(spark, sf, "snapshots").select(
         "pipeline_id", "ts", *[F.col(a).alias(b) for a, b in _CONFIG_NAMES.items()], "data_quality_score", (F.col("error_rate") * 100).alias("error_rate"),
@@ -234,19 +259,29 @@ def config_alert_rules(spark, sf):
     return L.evaluate_alert_rules(records, L.CONFIG_RULES).select(*_FIRED)
 
 
-@query("readme_alert_conditions", f"select * from {fired_sql(L.SIMPLE_RULES, _SNAP)}")
+@query("readme_alert_conditions", f"select * from {fired_sql(_SIMPLE)}")
 def readme_alert_conditions(spark, sf):
     return L.evaluate_alert_rules(table(spark, sf, "snapshots"), L.SIMPLE_RULES).select(*_FIRED)
 
 
 @query("custom_alert_rule", """select pipeline_id, ts, 'busy_and_slow' as rule, 'HIGH' as severity from {snapshots} where records_processed >= 2 and execution_time > 500
-   union all select pipeline_id, ts, 'quality_dip', 'LOW' from {snapshots} where data_quality_score < 20""")
+   union all select pipeline_id, ts, 'quality_dip', 'LOW' from {snapshots} where data_quality_score < 20
+   union all select pipeline_id, ts, 'far_off', 'LOW' from {snapshots} where abs(data_quality_score - 50) > 40
+   union all select pipeline_id, ts, 'middling', 'LOW' from {snapshots} where data_quality_score between 40 and 45
+   union all select pipeline_id, ts, 'unmeasured', 'LOW' from {snapshots} where cpu_usage is null
+   union all select pipeline_id, ts, 'by_case', 'LOW' from {snapshots} where case when error_count>5 then 1 else 0 end=1""")
 def custom_alert_rule(spark, sf):
     def dip(frame: pd.DataFrame) -> pd.Series:
         return frame["data_quality_score"] < 20
 
     rules = [
         {"rule": "busy_and_slow", "condition": "records_processed >= 2 and execution_time > 500", "severity": "HIGH", "cooldown": 0},
+        {"rule": "far_off", "condition": "abs(data_quality_score - 50) > 40", "severity": "LOW", "cooldown": 0},
+        {"rule": "middling", "condition": "data_quality_score between 40 and 45", "severity": "LOW", "cooldown": 0},
+        {"rule": "unmeasured", "condition": "cpu_usage is null", "severity": "LOW", "cooldown": 0},
+        {"rule": "by_case", "condition": "case when error_count>5 then 1 else 0 end=1", "severity": "LOW", "cooldown": 0},
+        {"rule": "absent", "condition": "no_such_column > 0", "severity": "LOW", "cooldown": 0},
+        {"rule": "switched_off", "condition": "records_processed >= 0", "severity": "LOW", "cooldown": 0, "enabled": False},
         {"rule": "quality_dip", "condition": L.python_rule(dip, ["data_quality_score"]), "severity": "LOW", "cooldown": 0},
     ]
     return L.evaluate_alert_rules(table(spark, sf, "snapshots"), rules).select("pipeline_id", "ts", "rule", "severity")
@@ -265,7 +300,7 @@ def _long_cooldown(fired: DataFrame) -> DataFrame:
     return fired.withColumn("cooldown_minutes", F.col("cooldown_minutes") * 60)
 
 
-_CANDIDATES = f"select rule, ts, min(pipeline_id) as pipeline_id, any_value(severity) as severity, any_value(cooldown_minutes) * 60 as cooldown_minutes, any_value(escalation_minutes) as escalation_minutes, any_value(max_escalations) as max_escalations from {fired_sql(L.DEFAULT_RULES, _SNAP)} group by 1, 2"
+_CANDIDATES = f"select rule, ts, min(pipeline_id) as pipeline_id, any_value(severity) as severity, any_value(cooldown_minutes) * 60 as cooldown_minutes, any_value(escalation_minutes) as escalation_minutes, any_value(max_escalations) as max_escalations from {fired_sql(_DEFAULT)} group by 1, 2"
 
 
 @query("cooldown_suppress", f"with recursive cand as materialized ({_CANDIDATES}), {_WALK} select cand.rule, cand.ts, cand.pipeline_id, cand.severity from kept join cand using (rule, ts)")

@@ -122,12 +122,12 @@ def custom_sql(spark, sf):
     return Q.custom_sql(spark, text, {"lines": raw(spark, sf)}, {"low": 10, "source": "phone"})
 
 
-_BUCKET = "cast('0x' || substr(md5('7|' || {extra}cast(order_key as varchar) || '|' || line_no || '|' || part_key || '|' || supp_key || '|' || amount_key), 1, 7) as bigint) % 1000 < 100"
+_BUCKET = "cast('0x' || substr(md5('7|' || {extra}cast(order_key as varchar) || '|' || line_no || '|' || part_key || '|' || supp_key || '|' || amount_key), 1, 15) as bigint) < {limit}"
 
 
-@query("sample_rows", f"""select {S.KEYS}, 'random' as method from {{orders_raw}} where {_BUCKET.replace('{extra}', '')}
-   union all select {S.KEYS}, 'stratified' from {{orders_raw}} where {_BUCKET.replace('{extra}', "source || '|' || ")}
-   union all select {S.KEYS}, 'systematic' from (select *, row_number() over (order by {S.KEYS}) - 1 as p from {{orders_raw}}) where p % 10 = 0""")
+@query("sample_rows", f"""select {S.KEYS}, 'random' as method from {{orders_raw}} where {_BUCKET.format(extra='', limit=115292150460684704)}
+   union all select {S.KEYS}, 'stratified' from {{orders_raw}} where {_BUCKET.format(extra="source || '|' || ", limit=115292150460684704)}
+   union all select {S.KEYS}, 'systematic' from (select *, row_number() over (order by {S.KEYS}) - 1 as p from {{orders_raw}}) where floor((p + 1) * 0.1e0) > floor(p * 0.1e0)""")
 def sample_rows(spark, sf):
     rows = raw(spark, sf)
     picks = {
@@ -138,6 +138,16 @@ def sample_rows(spark, sf):
     return D.union_sources([df.select(*LINE_ORDER, F.lit(name).alias("method")) for name, df in picks.items()])
 
 
+@query("sample_fractions", f"""select {S.KEYS}, 'random 0.0005' as method from {{orders_raw}} where {_BUCKET.format(extra='', limit=576460752303423)}
+   union all select {S.KEYS}, 'random 0.0015' from {{orders_raw}} where {_BUCKET.format(extra='', limit=1729382256910270)}
+   union all select {S.KEYS}, 'systematic ' || f from (select *, row_number() over (order by {S.KEYS}) - 1 as p from {{orders_raw}}), (values (0.3e0, '0.3'), (0.4e0, '0.4'), (0.7e0, '0.7')) v(x, f)
+     where floor((p + 1) * x) > floor(p * x)""")
+def sample_fractions(spark, sf):
+    rows = raw(spark, sf).select(*LINE_ORDER)
+    picks = [("random", x) for x in (0.0005, 0.0015)] + [("systematic", x) for x in (0.3, 0.4, 0.7)]
+    return D.union_sources([Q.sample_rows(rows, how, LINE_ORDER, x, 7).select(*LINE_ORDER, F.lit(f"{how} {x}").alias("method")) for how, x in picks])
+
+
 @query("retain_complete", f"""select {S.KEYS}, order_id, customer_name, product, price from {{orders_dirty}}
    where order_id is not null and customer_name is not null and product is not null and price is not null""")
 def retain_complete(spark, sf):
@@ -289,7 +299,7 @@ _TYPED = f"""(select {S.KEYS}, order_id, {S.person('customer_name')} as customer
 _KEPT = f"""(select {S.KEYS}, order_id, customer_name, {S.case_map('lp', V.PRODUCT_ALIASES, 'sp')} as product,
     {S.title(S.case_map('lower(sl)', V.LOCATION_ALIASES, 'sl'))} as store_location, notes,
     {S.case_map('src', V.SOURCE_ALIASES_CLEAN, 'src')} as source, coalesce(product_category, 'Electronics') as product_category,
-    cast(round_even(coalesce(quantity, 1), 0) as int) as quantity, coalesce(quantity, 1) as q0, {S.money('price')} as price,
+    cast(round_even(coalesce(quantity, 1), 0) as bigint) as quantity, coalesce(quantity, 1) as q0, {S.money('price')} as price,
     {S.money('greatest(coalesce(discount, 0), 0)')} as discount, {S.money('total_amount')} as total_amount, order_date, customer_email
   from {_TYPED}
   where order_id is not null and customer_name is not null and sp is not null and price is not null
@@ -406,7 +416,7 @@ _PHONE_STD = r"regexp_replace(regexp_replace(phone, '[^0-9+\-]', '', 'g'), '^\+?
     {_PHONE_STD} as phone, {_ADDRESS} as address, {S.case_map('lower(trim(source))', V.SOURCE_ALIASES_STANDARD, 'lower(trim(source))')} as source,
     {CATEGORY_STANDARD} as product_category, strftime({S.iso('order_date')}, '%Y-%m-%d') as order_date, {S.money(S.currency('price'))} as price,
     {S.money(S.currency('discount'))} as discount, {S.money(S.currency('total_amount'))} as total_amount,
-    cast(round_even({S.currency('quantity')}, 0) as int) as quantity from {{orders_dirty}}""")
+    cast(round_even({S.currency("quantity")}, 0) as bigint) as quantity from {{orders_dirty}}""")
 def standardize_orders(spark, sf):
     rows = dirty(spark, sf).drop("seq", "legacy_id", "status")
     return Z.standardize_orders(rows, ORDERS_AS_OF).drop("standardized_at", "standardization_version")

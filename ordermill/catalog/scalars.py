@@ -101,7 +101,9 @@ one("product_from_title", "documents", lambda: C.product_from_title(c("text")),
 one("to_number", "orders_dirty", lambda: N.to_number(c("price")), S.number("price"))
 one("strip_currency", "orders_dirty", lambda: N.strip_currency(c("price")), S.currency("price"))
 one("round_money", "orders", lambda: N.round_money(c("o_totalprice") / 8), "cast(cast(cast(o_totalprice / 8 as decimal(18,4)) as decimal(18,2)) as double)")
-one("to_quantity", "orders_dirty", lambda: N.to_quantity(N.to_number(c("quantity"))), f"cast(round_even({S.number('quantity')}, 0) as int)")
+one("round_money_large", "orders", lambda: N.round_money(c("o_totalprice") * 1e13), "o_totalprice * 1e13")
+one("to_quantity", "orders_dirty", lambda: N.to_quantity(N.to_number(c("quantity"))), f"cast(round_even({S.number('quantity')}, 0) as bigint)")
+one("to_quantity_large", "orders", lambda: N.to_quantity(c("o_totalprice") * 1e6), "cast(round_even(o_totalprice * 1e6, 0) as bigint)")
 one("clip", "orders_raw", lambda: N.clip(c("price"), 0, 100).cast("double"), "cast(greatest(least(price, 100), 0) as double)")
 one("safe_divide", "orders_raw", lambda: N.safe_divide(c("total_amount"), c("discount"), 0.0), "case when discount = 0 then 0.0 else total_amount / discount end")
 one("decimal_places", "orders", lambda: N.has_decimal_places(c("o_totalprice") / 4, 2),

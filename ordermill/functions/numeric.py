@@ -21,16 +21,26 @@ def strip_currency(c: Column) -> Column:
 
 
 def money(c: Column) -> Column:
-    """Round to cents, half up on the decimal value; out of range becomes null."""
-    return c.try_cast("decimal(18,4)").try_cast("decimal(18,2)")
+    """Round to cents, half up on the decimal value; only what 36 digits before the point cannot hold becomes null."""
+    return F.coalesce(_cents(c, 18).cast("decimal(38,2)"), _cents(c, 38))
+
+
+def differ(a: Column, b: Column, tolerance: float) -> Column:
+    """Two amounts are further apart than the tolerance, or too large to compare; null where one is missing."""
+    apart = F.abs(money(a) - money(b)) > F.lit(str(tolerance)).cast("decimal(10,4)")
+    return F.coalesce(apart, F.when(a.isNotNull() & b.isNotNull(), F.lit(True)))
+
+
+def _cents(c: Column, digits: int) -> Column:
+    return c.try_cast(f"decimal({digits},4)").try_cast(f"decimal({digits},2)")
 
 
 def round_money(c: Column) -> Column:
-    return money(c).cast("double")
+    return F.coalesce(_cents(c, 18).cast("double"), _cents(c, 38).cast("double"))
 
 
 def to_quantity(c: Column) -> Column:
-    return F.bround(c).try_cast("int")
+    return F.bround(c).try_cast("bigint")
 
 
 def clip(c: Column, low: float, high: float) -> Column:

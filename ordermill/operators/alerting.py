@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Callable
 
 import pandas as pd
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -90,8 +92,14 @@ def python_rule(fn: Callable[[pd.DataFrame], pd.Series], columns: list[str]) ->
 
 
 def evaluate_alert_rules(records: DataFrame, rules: list[dict] = DEFAULT_RULES) -> DataFrame:
-    """One row per metrics record and rule that fires; rules on absent columns never fire."""
-    usable = [r for r in rules if not isinstance(r["condition"], str) or _columns_of(r["condition"]) <= set(records.columns)]
+    """One row per metrics record and rule that fires.
+
+    Rules with `enabled` false and rules on absent columns never fire; any other fault of a condition is raised.
+    """
+    usable = [r for r in rules if r.get("enabled", True) and _resolves(records, r)]
+    if not usable:
+        none = {"rule": "string", "severity": "string", "cooldown_minutes": "int", "escalation_minutes": "int", "max_escalations": "int"}
+        return records.filter(F.lit(False)).select("*", *[F.lit(None).cast(t).alias(n) for n, t in none.items()])
     fired = [
         F.when(condition(r), F.struct(
             F.lit(r["rule"]).alias("rule"), F.lit(r["severity"]).alias("severity"), F.lit(r["cooldown"]).alias("cooldown_minutes"),
@@ -102,9 +110,20 @@ def evaluate_alert_rules(records: DataFrame, rules: list[dict] = DEFAULT_RULES)
     return each_element(records, F.array(*fired), "_a").select("*", "_a.*").drop("_a")
 
 
-def _columns_of(sql: str) -> set[str]:
-    words = {w.strip("(),") for w in sql.replace("(", " ").replace(",", " ").split()}
-    return {w for w in words if w.isidentifier() and w not in {"or", "and", "not", "coalesce"}}
+def _resolves(records: DataFrame, rule: dict) -> bool:
+    """Whether the analyzer finds every column of the rule's condition."""
+    told = logging.getLogger("SQLQueryContextLogger")
+    level = told.level
+    told.setLevel(logging.CRITICAL)  # a rule on an absent column is no error
+    try:
+        records.select(condition(rule))
+    except AnalysisException as fault:
+        if (fault.getCondition() or "").startswith("UNRESOLVED_COLUMN"):
+            return False
+        raise
+    finally:
+        told.setLevel(level)
+    return True
 
 
 # --- cooldown ---------------------------------------------------------------------------------

@@ -54,16 +54,20 @@ def custom_sql(spark: SparkSession, sql: str, tables: dict[str, DataFrame], args
 
 def sample_rows(df: DataFrame, method: str, key: list[str], fraction: float, seed: int = 0,
                 strata: str | None = None, order_by: list | None = None) -> DataFrame:
-    """random / stratified: by a hash of the key, so repeatable; systematic: every n-th row in order."""
+    """random / stratified: by a hash of the key, so repeatable; systematic: evenly spaced rows in order.
+
+    Any fraction is met: the hash has 60 bits, and row i is taken where i * fraction passes a whole number.
+    """
     if method == "systematic":
         from .ranking import position_in_group
 
-        step = round(1 / fraction)
-        return position_in_group(df, [], order_by or key).filter(F.col("position") % step == 0).drop("position")
+        placed = position_in_group(df, [], order_by or key)
+        taken = F.floor((F.col("position") + 1) * fraction) > F.floor(F.col("position") * fraction)
+        return placed.filter(taken).drop("position")
     parts = [F.lit(str(seed))] + ([F.col(strata).cast("string")] if strata and method == "stratified" else [])
     digest = F.md5(F.concat_ws("|", *parts, *[F.col(k).cast("string") for k in key]))
-    bucket = F.conv(F.substring(digest, 1, 7), 16, 10).cast("bigint")
-    return df.filter(bucket % 1000 < int(fraction * 1000))
+    bucket = F.conv(F.substring(digest, 1, 15), 16, 10).cast("bigint")
+    return df.filter(bucket < F.lit(int(fraction * 2**60)).cast("bigint"))
 
 
 def retain_complete(df: DataFrame, columns: list[str] = CRITICAL_COLUMNS) -> DataFrame:

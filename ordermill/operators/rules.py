@@ -190,7 +190,7 @@ def _discount_share(df: DataFrame, rule: dict) -> Column:
 @custom_rule("validate_total_calculation")
 def _total(df: DataFrame, rule: dict) -> Column:
     expected = number(df, "price") * number(df, "quantity") - number(df, "discount")
-    return F.abs(N.money(number(df, "total_amount")) - N.money(expected)) > F.lit(str(rule.get("tolerance", 0.01))).cast("decimal(10,4)")
+    return N.differ(number(df, "total_amount"), expected, rule.get("tolerance", 0.01))
 
 
 @custom_rule("validate_source_consistency")
@@ -237,7 +237,7 @@ def _row_rule(df: DataFrame, rule: dict, as_of: str) -> Column:
         return ~F.expr(rule["condition"])
     if kind == "calculation":
         left, right = rule["formula"].split("==")
-        return F.abs(N.money(F.expr(left)) - N.money(F.expr(right))) > F.lit(str(rule.get("tolerance", 0))).cast("decimal(10,4)")
+        return N.differ(F.expr(left), F.expr(right), rule.get("tolerance", 0))
     if kind == "custom":
         return CUSTOM_RULES[rule["function"]](df, rule)
     raise ValueError(f"unknown rule type {kind}")

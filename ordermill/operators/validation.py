@@ -118,8 +118,8 @@ def order_rules(df: DataFrame, as_of: str, id_pattern: str = V.ORDER_ID_PATTERN,
         if {"price", "quantity"} <= have:
             off = F.lit(0.0) if "discount" not in have else num("discount")
             # compared as decimals, so one cent is one cent; a missing discount yields no error
-            gap = F.abs(N.money(t) - N.money(num("price") * num("quantity") - off))
-            cases.append((gap > F.lit("0.01").cast("decimal(4,2)"), "calculation_error", "medium", "total does not match price, quantity and discount"))
+            apart = N.differ(t, num("price") * num("quantity") - off, 0.01)
+            cases.append((apart, "calculation_error", "medium", "total does not match price, quantity and discount"))
         rules["total_amount"] = first_error("total_amount", *cases)
     return rules
 

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-import functools
+import atexit
+import contextlib
 import sys
-import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -24,10 +25,9 @@ _RUNTIME_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # split a skewed join even where that costs one more shuffle further up
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # the JVM never compiles methods above 8000 bytes; longer ones are generated operator by operator
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
-# The JVM never compiles methods above 8000 bytes. Long stages run faster with generated code per
-# operator then, but preparing that costs seconds per query, so it is set on clusters only.
-_CLUSTER_CONF = {"spark.sql.codegen.hugeMethodLimit": "8000"}
 
 
 def get_session(app: str = "ordermill", master: str | None = None, **conf: str) -> SparkSession:
@@ -41,42 +41,67 @@ def get_session(app: str = "ordermill", master: str | None = None, **conf: str)
 
 def tune(spark: SparkSession) -> SparkSession:
     """Set the run-time options results or skew handling depend on."""
-    local = spark.sparkContext.master.startswith("local")
-    for key, value in {**_RUNTIME_CONF, **({} if local else _CLUSTER_CONF)}.items():
+    for key, value in _RUNTIME_CONF.items():
         if spark.conf.get(key, None) != value:
             spark.conf.set(key, value)
     return spark
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's shared folder, as named by `spark.checkpoint.dir`.
-
-    A private folder is used only where the setting is absent and the master is local (tests);
-    on a cluster a machine-local path would not outlive its executor, so that is an error.
-    """
+    """The folder all executors share, as named by `spark.checkpoint.dir`."""
     named = spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        return named
-    if not spark.sparkContext.master.startswith("local"):
+    if not named:
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    return _local_dir()
+    return named
+
 
+_STAGES: list[str] = []
 
-@functools.cache
-def _local_dir() -> str:
-    return tempfile.mkdtemp(prefix="ordermill-stages-")
+
+def fresh_path(spark: SparkSession, name: str) -> str:
+    """A new path in the shared folder, owned by this driver until it is dropped."""
+    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    _STAGES.append(path)
+    return path
 
 
 def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
     """Write a stage as a table in the shared folder and go on from there.
 
-    Cuts lineage without tying blocks to an executor, and later readers prune columns.
+    Cuts lineage without tying blocks to an executor, and later readers prune columns. The table belongs to the
+    enclosing `stages` block, or to the driver until it ends.
     """
-    path = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    path = fresh_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def drop_stages(spark: SparkSession, first: int = 0) -> None:
+    """Remove the stages written so far (from the given one on); frames that still read them become unusable."""
+    context = spark.sparkContext
+    while len(_STAGES) > first:
+        path = context._jvm.org.apache.hadoop.fs.Path(_STAGES.pop())
+        path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
+
+
+@contextlib.contextmanager
+def stages(spark: SparkSession) -> Iterator[None]:
+    """Own the stages written inside: they are removed at the end, when the results have been written or collected."""
+    first = len(_STAGES)
+    try:
+        yield
+    finally:
+        drop_stages(spark, first)
+
+
+@atexit.register
+def _drop_at_exit() -> None:
+    spark = SparkSession.getActiveSession() if _STAGES else None
+    if spark is not None:
+        with contextlib.suppress(Exception):  # the JVM may be gone already
+            drop_stages(spark)
+
+
 def ship(module: str) -> None:
     """Send a module's functions to the Python workers by value, so executors need no install."""
     cloudpickle.register_pickle_by_value(sys.modules[module])

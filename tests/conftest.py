@@ -8,10 +8,11 @@ sys.path.insert(0, str(Path(__file__).resolve().parent))
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     from ordermill.session import get_session
 
-    s = get_session("ordermill-tests", "local[4]", spark__sql__shuffle__partitions="4", spark__ui__enabled="false", spark__ui__showConsoleProgress="false")
+    shared = str(tmp_path_factory.mktemp("shared"))
+    s = get_session("ordermill-tests", "local[4]", spark__checkpoint__dir=shared, spark__sql__shuffle__partitions="4", spark__ui__enabled="false", spark__ui__showConsoleProgress="false")
     s.sparkContext.setLogLevel("ERROR")
     return s
 

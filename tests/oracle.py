@@ -78,7 +78,7 @@ def main() -> int:
     from __spark_entry__ import oracle_sql, queries
 
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
-    spark = get_session(master="local[8]", spark__sql__shuffle__partitions="8", spark__ui__enabled="false", spark__ui__showConsoleProgress="false", spark__driver__memory="12g")
+    spark = get_session(master="local[8]", spark__sql__shuffle__partitions="8", spark__ui__enabled="false", spark__ui__showConsoleProgress="false", spark__driver__memory="6g")
     spark.sparkContext.setLogLevel("ERROR")
     con = connect(sf_dir)
     qs, sql = queries(), oracle_sql()
