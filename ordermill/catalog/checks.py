@@ -395,11 +395,15 @@ def dq_uniqueness(spark, sf):
     return P.dq_uniqueness(scored(spark, sf))
 
 
-_ADVICE = " || ".join(f"case when {n} < {limit} then '; {text}' else '' end" for n, limit, text in P.ADVICE)
+_ADVICE = (
+    "case when completeness < 90 then '; fill in what is missing' else '' end || case when validity < 85 then '; repair rows that break a rule' else '' end"
+    " || case when consistency < 80 then '; bring names and dates into one style' else '' end || case when accuracy < 85 then '; look into unlikely values and test rows' else '' end"
+    " || case when uniqueness < 95 then '; take out repeated records' else '' end"
+)
 
 
 @query("dq_score", _SRC + f"""select *, {_LEVEL.replace('{s}', 'overall_score')} as quality_level,
-   case when ({_ADVICE}) = '' then '{P.ALL_GOOD}' else substr({_ADVICE}, 3) end as recommendations from (
+   case when ({_ADVICE}) = '' then 'nothing to do' else substr({_ADVICE}, 3) end as recommendations from (
    select *, completeness * 0.25e0 + validity * 0.25e0 + consistency * 0.2e0 + accuracy * 0.15e0 + uniqueness * 0.15e0 as overall_score from (
    select {DQ_COMPLETENESS} as completeness, {DQ_VALIDITY} as validity, {DQ_CONSISTENCY} as consistency, {DQ_ACCURACY} as accuracy, {DQ_UNIQUENESS} as uniqueness))""")
 def dq_score(spark, sf):

@@ -92,16 +92,16 @@ _BOTH = f"""(select metric_name as metric, value, ts, pipeline_id from {{run_met
 
 @query("recommendations", f"""with t as materialized (select * from {trend_sql('metric', 'value', 'ts, pipeline_id, value', _BOTH)}),
    s as materialized (select * from {trend_sql('stage', 'value', 'ts, metric_id', '(select * from {run_metrics} where stage is not null)')}),
-   a as (select 'Performance' as category, 'High' as priority, 'Long execution times' as issue from t where metric = 'total_execution_time' and mean > 300
-     union all select 'Consistency', 'Medium', 'Inconsistent execution times' from t where metric = 'total_execution_time' and std > mean * 0.5
-     union all select 'Performance', 'High', 'Degrading performance trend' from t where metric = 'total_execution_time' and trend = 'increasing'
-     union all select 'Performance', 'Medium', 'Low throughput' from t where metric = 'throughput' and mean < 20
-     union all select 'Performance', 'High', 'Declining throughput' from t where metric = 'throughput' and trend = 'decreasing'
-     union all select 'Data Quality', 'High', 'Low data quality' from t where metric = 'quality_score' and mean < 90
-     union all select 'Data Quality', 'Critical', 'Degrading data quality' from t where metric = 'quality_score' and trend = 'decreasing'
-     union all select 'Performance', 'Medium', 'Slow ' || stage || ' stage' from (select stage, mean from s order by mean desc, stage desc limit 1) where mean > 60
-     union all select 'Performance', 'Medium', stage || ' stage performance degrading' from s where trend = 'increasing')
-   select * from a union all select 'Optimization', 'Low', 'Proactive optimization' where not exists (select 1 from a)""")
+   a as (select 'Performance' as category, 'High' as priority, 'runs take long' as issue from t where metric = 'total_execution_time' and mean > 300
+     union all select 'Consistency', 'Medium', 'run times vary widely' from t where metric = 'total_execution_time' and std > mean * 0.5
+     union all select 'Performance', 'High', 'runs get slower' from t where metric = 'total_execution_time' and trend = 'increasing'
+     union all select 'Performance', 'Medium', 'few records a second' from t where metric = 'throughput' and mean < 20
+     union all select 'Performance', 'High', 'fewer records a second over time' from t where metric = 'throughput' and trend = 'decreasing'
+     union all select 'Data Quality', 'High', 'quality score is low' from t where metric = 'quality_score' and mean < 90
+     union all select 'Data Quality', 'Critical', 'quality score falls' from t where metric = 'quality_score' and trend = 'decreasing'
+     union all select 'Performance', 'Medium', 'stage ' || stage || ' is slow' from (select stage, mean from s order by mean desc, stage desc limit 1) where mean > 60
+     union all select 'Performance', 'Medium', 'stage ' || stage || ' gets slower' from s where trend = 'increasing')
+   select * from a union all select 'Optimization', 'Low', 'no finding' where not exists (select 1 from a)""")
 def recommendations(spark, sf):
     return M.recommendations(*_trend_inputs(spark, sf))
 

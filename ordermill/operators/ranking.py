@@ -22,10 +22,18 @@ def null_safe_join(left: DataFrame, right: DataFrame, keys: list[str], how: str
     return left.join(renamed, matches, how).drop(*[f"_r_{k}" for k in keys])
 
 
-def range_chunks(df: DataFrame, keys: list[str], order_by: list, chunks: int | None = None) -> DataFrame:
-    """Rows with a `chunk` number that grows with (keys, order); written out so that it cannot change."""
-    n = chunks or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    spread = df.repartitionByRange(n, *keys, *order_by)
+CHUNK_ROWS = 250_000
+
+
+def range_chunks(df: DataFrame, keys: list[str], order_by: list, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
+    """Rows with a `chunk` number that grows with (keys, order); written out so that it cannot change.
+
+    The rows are written first: they are counted, sampled for the range borders and then dealt out, and none of that
+    computes the input again. There are as many ranges as the count needs, each of about `chunk_rows`.
+    """
+    rows = materialize(df, "unranged")
+    n = max(1, -(-rows.count() // chunk_rows))
+    spread = rows.repartitionByRange(n, *keys, *order_by)
     return materialize(spread.withColumn("chunk", F.spark_partition_id()), "chunks")
 
 

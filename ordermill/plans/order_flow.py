@@ -78,12 +78,10 @@ def run_pipeline(sources: list[DataFrame], config: FlowConfig) -> FlowResult:
     if config.enrich:
         data, counters["enrichment"] = _counted(enrich_orders(data, config.as_of), "enrichment")
 
-    if config.store_path:
-        data = _store(data, config)
+    # written once, as the store or as a stage: the exports read that and compute nothing again
+    data = _store(data, config) if config.store_path else materialize(data, "result")
     if config.export_path:
         _export(data, config)
-    if not (config.store_path or config.export_path):
-        data = materialize(data, "result")
     stages.update({name: dict(o.get) for name, o in counters.items()})
     return FlowResult(data, stages)
 

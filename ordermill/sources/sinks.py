@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -66,11 +68,16 @@ def project_to_table(df: DataFrame, columns: list[str]) -> DataFrame:
 def upsert(base: DataFrame, delta: DataFrame, keys: list[str], order_by: list) -> DataFrame:
     """Base rows whose key is not in the delta, plus the latest delta row per key (whole-row replace).
 
-    `order_by` lists delta columns, newest first. Columns the delta lacks become null.
+    `order_by` lists delta columns, newest first. Columns the delta lacks become null. Each side is read once: the
+    delta keeps one row per key on the map side, then a row of the base stays if no row of the delta has its key. Base
+    rows with a null in the key match none; they are dealt out by their values, not gathered under the null.
     """
-    latest = dedup_by_key(delta, keys, order_by)
-    kept = base.join(latest.select(*keys), keys, "left_anti")
-    return kept.unionByName(latest, allowMissingColumns=True).select(*base.columns)
+    new = dedup_by_key(delta, keys, order_by).withColumn("_new", F.lit(True))
+    both = base.withColumn("_new", F.lit(False)).unionByName(new, allowMissingColumns=True).select(*base.columns, "_new")
+    lone = ~F.col("_new") & reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
+    spread = F.when(lone, F.xxhash64(*base.columns))
+    replaced = F.max("_new").over(Window.partitionBy(*keys, spread))
+    return both.withColumn("_replaced", replaced).filter(F.col("_new") | ~F.col("_replaced")).select(*base.columns)
 
 
 def upsert_table(base_path: str, delta: DataFrame, keys: list[str], order_by: list, new_path: str) -> DataFrame:
