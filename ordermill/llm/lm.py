@@ -3,9 +3,9 @@
 Every word of the training documents is counted; the counts stay a table and are joined. Of pairs and triples, those
 with at least `share` of all training tokens become arcs of the automaton (so there are at most 1 / share of each, at any
 size of the input): a state is a context, an arc a word with its discounted probability, and a failure arc leads to
-the shorter context with the weight that makes the probabilities of a state sum to one. An n-gram that holds a share
-of all tokens holds it in at least one block of them, so each task names those of its own block and a second pass
-counts exactly those. At the root, a word's probability is the add-half share over all words and one unknown word.
+the shorter context with the weight that makes the probabilities of a state sum to one. Each task names
+what is frequent in its own block of tokens, which bounds all counts, and a second pass counts exactly what may
+reach the share. At the root, a word's probability is the add-half share over all words and one unknown word.
 """
 
 from __future__ import annotations
@@ -26,6 +26,7 @@ DISCOUNT = 0.6
 _BLOCK_TOKENS = 4_000_000
 _DISTINCT_AT_ONCE = 400_000
 _CANDIDATES_AT_ONCE = 1_000_000
+_LOCAL = 0.25  # of the share: what a block names
 
 
 def held_out() -> Column:
@@ -184,16 +185,24 @@ def _blocks_of_ids(frames):
 
 
 def count_grams(tokens: DataFrame, size: int, n: int, order: int, share: float) -> list[dict[tuple[int, ...], int]]:
-    """Pairs, triples, ... up to `order` with at least `share` of the n training tokens (and two), counted exactly."""
+    """Pairs, triples, ... up to `order` with at least `share` of the n training tokens (and two), counted exactly.
+
+    First every block names what holds a quarter of that share of its own tokens, which bounds each n-gram's whole count
+    from above; a second pass counts those whose bound reaches the share.
+    """
     spark = tokens.sparkSession
 
     def name(frames):
         for total, ids in _blocks_of_ids(frames):
             for k in range(2, order + 1):
                 code, count = np.unique(_codes(ids, k, size), return_counts=True)
-                yield pd.DataFrame({"k": k, "code": code[count >= share * total]})
+                some = count >= _LOCAL * share * total
+                yield pd.DataFrame({"k": k, "code": code[some], "n": count[some], "total": total})
 
-    named = stage(tokens.select("ids").mapInPandas(name, "k int, code long").distinct(), "candidates")
+    # A block that does not name an n-gram holds less than _LOCAL * share of its tokens of it, so this bounds its count.
+    named = tokens.select("ids").mapInPandas(name, "k int, code long, n long, total long").groupBy("k", "code").agg(F.sum("n").alias("n"), F.sum("total").alias("total"))
+    most = F.col("n") + _LOCAL * share * (n - F.col("total"))
+    named = stage(named.where(most >= share * n * (1 - 1e-9)).select("k", "code"), "candidates")
     slices = 1 + named.count() // _CANDIDATES_AT_ONCE
     kept: list[dict[tuple[int, ...], int]] = [{} for _ in range(2, order + 1)]
     for i in range(slices):
