@@ -15,7 +15,7 @@ from . import sqltext as S
 from .bindings import LINE_ORDER, table
 from .metrics import _WALK
 from .checks import ERRORS
-from .orders import CLEANED, STANDARD_ID, _STD_BRAND, clean_sql, dirty, enriched_sql, raw
+from .orders import CLEANED, STANDARD_ID, _STD_BRAND, address_sql, clean_sql, dirty, enriched_sql, raw
 from .registry import query
 from .scalars import CATEGORY_STANDARD
 
@@ -84,19 +84,39 @@ def flatten_nested_orders(spark, sf):
 
 
 @query("json_structure_profile", """select event_id, 'k' as key, 'int' as kind, cast(null as int) as length from events
-   union all select event_id, unnest(['id', 'tags', 'who', 'name', 'value', 'ok']), unnest(['int', 'list', 'dict', 'str', 'float', 'bool']), unnest([null, cast(event_id % 4 as int), null, null, null, null]) from events""")
+   union all select event_id, unnest(['id', 'tags', 'who', 'name', 'value', 'ok', 'digits', 'open', 'yes']), unnest(['int', 'list', 'dict', 'str', 'float', 'bool', 'str', 'str', 'str']), unnest([null, cast(event_id % 4 as int), null, null, null, null, null, null, null]) from events""")
 def json_structure_profile(spark, sf):
     events = table(spark, sf, "events")
     made = F.to_json(F.struct(F.col("event_id").alias("id"), F.array_repeat(F.lit("x"), (F.col("event_id") % 4).cast("int")).alias("tags"),
-                              F.struct(F.col("user_id").alias("user")).alias("who"), F.col("event_type").alias("name"), (F.col("event_id") + 0.5).alias("value"), F.lit(True).alias("ok")))
+                              F.struct(F.col("user_id").alias("user")).alias("who"), F.col("event_type").alias("name"), (F.col("event_id") + 0.5).alias("value"), F.lit(True).alias("ok"),
+                              F.col("event_id").cast("string").alias("digits"), F.lit("[x").alias("open"), F.lit("true").alias("yes")))
     documents = events.select("event_id", F.col("props").alias("value")).unionByName(events.select("event_id", made.alias("value")))
     return files.json_structure_profile(documents)
 
 
+_MIXED_KEYS = "cast(order_key as varchar) as order_key, cast(line_no as varchar) as line_no"
+
+
+@query("read_csv_layouts", f"""select {_MIXED_KEYS}, nullif(order_id, '') as order_id, nullif(product, '') as product, case when line_no % 3 = 2 then null else nullif(notes, '') end as notes,
+   case when line_no % 3 = 2 then 'x' || order_key end as shelf from {{orders_dirty}}""")
+def read_csv_layouts(spark, sf):
+    """Three landed layouts: columns in order, in another order, and without some but with one more."""
+    path, rows = fresh(spark, "layouts-csv"), dirty(spark, sf)
+    parts = {
+        0: [*TEXT_FIELDS, "order_key", "line_no"],
+        1: ["line_no", *reversed(TEXT_FIELDS), "order_key"],
+        2: ["product", F.concat(F.lit("x"), "order_key").alias("shelf"), "order_key", "order_id", "line_no"],
+    }
+    for i, columns in parts.items():
+        sinks.write_csv(rows.filter(F.col("line_no") % 3 == i).select(*columns), f"{path}/{i}")
+    read = files.read_csv_orders(spark, [f"{path}/{i}" for i in parts], ORDERS_AS_OF, schema=files.text_schema([*TEXT_FIELDS, "order_key", "line_no"]))
+    return read.filter("_corrupt_record is null").select("order_key", "line_no", "order_id", "product", "notes", "shelf")
+
+
 @query("read_many_files", "select order_id, product, source_type from (select order_id, product, 'file_csv' as source_type from {orders_dirty} union all select order_id, product, 'file_json' from {orders_dirty})")
 def read_many_files(spark, sf):
-    csv = files.read_csv_orders(spark, landed_csv(spark, sf), ORDERS_AS_OF, schema=LANDED_SCHEMA)
-    json = files.read_json_orders(spark, landed_json(spark, sf), ORDERS_AS_OF, multi_line=False)
+    csv = files.read_many_files(spark, landed_csv(spark, sf), "csv", ORDERS_AS_OF)
+    json = files.read_many_files(spark, landed_json(spark, sf), "json", ORDERS_AS_OF, multi_line=False)
     columns = ["order_id", "product", "source_type"]
     return csv.select(*columns).unionByName(json.select(*columns))
 
@@ -111,10 +131,21 @@ def ingest_file_summary(spark, sf):
     return files.ingest_file_summary(materialize(rows, "ragged")).filter("source_file = '(all)'").drop("source_file")
 
 
-@query("file_admission")
+@query("file_admission", """select reason, accepted, count(*) as files from (
+   select case when k % 4 = 1 then 'too large' when k % 4 = 2 then 'unsupported type' end as reason, k % 4 in (0, 3) as accepted from (select distinct event_id % 40 as k from events)
+   union all select 'missing', false) group by 1, 2""")
 def file_admission(spark, sf):
-    paths = [landed_csv(spark, sf), landed_json(spark, sf)]
-    return files.file_admission(spark, paths, max_mb=100)
+    """Some files of each kind: small CSV and JSON, one beyond the limit, one of another type; and a path without files."""
+    path = fresh(spark, "admission")
+    kinds = table(spark, sf, "events").select((F.col("event_id") % 40).alias("k")).distinct()
+    kind, landed = F.col("k") % 4, []
+    for i, (fmt, text) in enumerate([("csv", F.lit("a")), ("csv", F.repeat(F.lit("b"), 3000)), ("text", F.lit("c")), ("json", F.lit("d"))]):
+        rows = kinds.filter(kind == i)
+        one = rows.repartitionByRange(rows.count(), "k").select(text.alias("value"))
+        one.write.format(fmt).save(f"{path}/{i}")
+        landed.append(f"{path}/{i}")
+    judged = files.file_admission(spark, [*landed, f"{path}/none"], max_mb=0.002)
+    return judged.groupBy("reason", "accepted").agg(F.count(F.lit(1)).alias("files"))
 
 
 @query("incremental_extract", """select event_id, ts, value, 'by_time' as pull, 'events' as source_id, 'database' as source_type, 'lake' as connection_name from events where ts > timestamp '2024-01-20 00:00:00'
@@ -382,14 +413,19 @@ def stream_clean_validate(spark, sf):
 
 @query("stream_upsert", "select user_id, max(ts) as ts, arg_max(event_type, (ts, event_id)) as event_type, arg_max(value, (ts, event_id)) as value from events group by 1")
 def stream_upsert(spark, sf):
-    """The table starts with the users of the first day; the whole event stream then replaces by user."""
-    dst, ckpt = fresh(spark, "stream-upsert"), fresh(spark, "ckpt")
+    """The table starts with the users of the first day; the events, landed in order of time, replace by user in several batches."""
+    dst, ckpt, src = (fresh(spark, n) for n in ("stream-upsert", "ckpt", "landed-events"))
     columns = ["user_id", "ts", "event_type", "value"]
     events = table(spark, sf, "events")
     first_day = events.filter("ts < timestamp_ntz'2024-01-02'").groupBy("user_id").agg(F.min_by(F.struct("ts", "event_type", "value"), "event_id").alias("e"))
     first_day.select("user_id", "e.*").select(*columns).write.parquet(jobs.version_path(dst, 0))
-    finish(jobs.stream_upsert(_event_stream(spark, sf), dst, ckpt, ["user_id"], [F.desc("ts"), F.desc("event_id")]))
-    return spark.read.parquet(jobs.version_path(dst, 1))
+    for day in ("2024-01-11", "2024-01-21", "2100-01-01"):  # one file after the other, so that batches come in order
+        before = {"2024-01-11": "1900-01-01", "2024-01-21": "2024-01-11", "2100-01-01": "2024-01-21"}[day]
+        part = events.filter(F.col("ts").between(F.lit(before).cast("timestamp_ntz"), F.lit(day).cast("timestamp_ntz") - F.expr("interval 1 microsecond")))
+        part.coalesce(1).write.mode("append").parquet(src)
+    rows = jobs.read_files(spark, src, "parquet", events.schema, files_per_trigger=1)
+    finish(jobs.stream_upsert(rows, dst, ckpt, ["user_id"], [F.desc("ts"), F.desc("event_id")]))
+    return spark.read.parquet(jobs.version_path(dst, jobs.last_version(spark, dst)))
 
 
 @query("stream_hourly_rollup", """select event_type as name, date_trunc('hour', ts) as hour_start, count(*) as n, sum(cast(round(value * 100) as bigint)) / 100.0 as total, min(value) as min_value, max(value) as max_value,
@@ -415,7 +451,7 @@ def stream_alerts(spark, sf):
 # --- the whole run ----------------------------------------------------------------------------
 
 _HOST = "split_part(customer_email, '@', 2)"
-_STD = f"""(select {S.KEYS}, {STANDARD_ID} as order_id, {S.title(S.clean('customer_name'))} as customer_name, {_STD_BRAND} as product, {S.title(S.clean('store_location'))} as store_location,
+_STD = f"""(select {S.KEYS}, {STANDARD_ID} as order_id, {S.title(S.clean('customer_name'))} as customer_name, {_STD_BRAND} as product, {address_sql(S.clean('store_location'))} as store_location,
     {S.title(S.clean('notes'))} as notes, split_part(customer_email, '@', 1) || '@' || {S.case_map(_HOST, V.EMAIL_DOMAIN_ALIASES, _HOST)} as customer_email, quantity, price, discount, total_amount, order_date,
     {S.case_map('source', V.SOURCE_ALIASES_STANDARD, 'source')} as source, {CATEGORY_STANDARD} as product_category, data_quality_score from {CLEANED})"""
 STORED = ["order_id", "customer_name", "product", "store_location", "customer_email", "quantity", "price", "discount", "total_amount", "source", "product_category", "data_quality_score",

@@ -406,13 +406,17 @@ _UP = "upper(trim(order_id))"
 _ID_DIGITS = f"regexp_replace({_UP}, '[^0-9]', '', 'g')"
 STANDARD_ID = rf"""case when regexp_full_match({_UP}, '[A-Z]{{3}}\d{{7}}|[A-Z]{{3}}[-_]\d{{4}}[-_]\d{{3}}|[A-Z]{{3}}\s+\d{{4}}\s+\d{{3}}')
     then substr({_UP}, 1, 3) || '-' || substr({_ID_DIGITS}, 1, 4) || '-' || substr({_ID_DIGITS}, 5, 3) else {_UP} end"""
-_ADDRESS_RUNS = f"regexp_extract_all({S.title('trim(address)')}, '([0-9A-Za-z_]+|[^0-9A-Za-z_]+)')"
-_ADDRESS = f"array_to_string(list_transform({_ADDRESS_RUNS}, lambda t: {S.case_map('lower(t)', V.ADDRESS_WORDS, 't')}), '')"
+def address_sql(text: str) -> str:
+    runs = f"regexp_extract_all({S.title(text)}, '([0-9A-Za-z_]+|[^0-9A-Za-z_]+)')"
+    return f"array_to_string(list_transform({runs}, lambda t: {S.case_map('lower(t)', V.ADDRESS_WORDS, 't')}), '')"
+
+
+_ADDRESS = address_sql("trim(address)")
 _PHONE_STD = r"regexp_replace(regexp_replace(phone, '[^0-9+\-]', '', 'g'), '^\+?1?-?([0-9]{3})-?([0-9]{3})-?([0-9]{4})$', '+1-\1-\2-\3')"
 
 
 @query("standardize_orders", f"""select {S.KEYS}, {STANDARD_ID} as order_id, {S.title(S.clean('customer_name'))} as customer_name, {_STD_BRAND} as product,
-    {S.title(S.clean('store_location'))} as store_location, {S.title(S.clean('notes'))} as notes, case when {S.email_ok(_MAIL)} then {_MAIL} end as customer_email,
+    {address_sql(S.clean('store_location'))} as store_location, {S.title(S.clean('notes'))} as notes, case when {S.email_ok(_MAIL)} then {_MAIL} end as customer_email,
     {_PHONE_STD} as phone, {_ADDRESS} as address, {S.case_map('lower(trim(source))', V.SOURCE_ALIASES_STANDARD, 'lower(trim(source))')} as source,
     {CATEGORY_STANDARD} as product_category, strftime({S.iso('order_date')}, '%Y-%m-%d') as order_date, {S.money(S.currency('price'))} as price,
     {S.money(S.currency('discount'))} as discount, {S.money(S.currency('total_amount'))} as total_amount,

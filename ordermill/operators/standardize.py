@@ -26,13 +26,15 @@ def standardize_orders(df: DataFrame, as_of: str) -> DataFrame:
         {
             "customer_name": [X.clean_text, X.title_case],
             "product": [X.clean_text, X.title_case, X.brand_spelling],
-            "store_location": [X.clean_text, X.title_case],
+            "store_location": [X.clean_text, X.squeeze, X.title_case, X.expand_address],
             "notes": [X.clean_text, X.title_case],
             "customer_email": [X.normalize_email],
             "phone": [X.normalize_phone],
             "customer_phone": [X.normalize_phone],
+            "contact_phone": [X.normalize_phone],
             "address": [X.squeeze, X.title_case, X.expand_address],
             "shipping_address": [X.squeeze, X.title_case, X.expand_address],
+            "billing_address": [X.squeeze, X.title_case, X.expand_address],
             "source": [C.source_standard],
             "product_category": [C.category_alias, X.title_case],
             "customer_segment": [C.canonical_segment],

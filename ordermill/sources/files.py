@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-import re
+import csv
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -46,28 +47,100 @@ def _tagged(df: DataFrame, source_type: str, as_of: str) -> DataFrame:
     )
 
 
-def _csv(reader, header: bool, encoding: str, multi_line: bool):
-    return (
-        reader.option("header", header).option("encoding", encoding).option("mode", "PERMISSIVE").option("escape", '"')
-        .option("multiLine", multi_line).option("columnNameOfCorruptRecord", "_corrupt_record")
-    )
-
+def list_files(spark: SparkSession, paths: str | list[str]) -> list[tuple[str, str, int | None, int | None]]:
+    """(path as asked, file, bytes, modified in ms) of every file; a path without any has nulls.
 
-def read_csv_orders(spark: SparkSession, path: str | list[str], as_of: str, encoding: str = "UTF-8", schema: T.StructType = CSV_SCHEMA,
+    This is the listing that every file scan makes on the driver anyway; hidden files are left out as a scan does.
+    """
+    context = spark.sparkContext
+    jvm, conf = context._jvm, context._jsc.hadoopConfiguration()
+    out = []
+    for asked in [paths] if isinstance(paths, str) else paths:
+        path = jvm.org.apache.hadoop.fs.Path(asked)
+        fs = path.getFileSystem(conf)
+        found = []
+        for root in fs.globStatus(path) or []:
+            walk = fs.listFiles(root.getPath(), True)
+            while walk.hasNext():
+                one = walk.next()
+                if one.getPath().getName()[:1] not in "._":
+                    found.append((asked, one.getPath().toString(), one.getLen(), one.getModificationTime()))
+        out += sorted(found) or [(asked, None, None, None)]
+    return out
+
+
+def _header(spark: SparkSession, file: str, encoding: str) -> tuple[str, ...]:
+    """The column names in a file's first line; blank and repeated names get a number."""
+    context = spark.sparkContext
+    jvm, path = context._jvm, context._jvm.org.apache.hadoop.fs.Path(file)
+    stream = path.getFileSystem(context._jsc.hadoopConfiguration()).open(path)
+    try:
+        line = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8" if encoding == AUTO else encoding)).readLine() or ""
+    finally:
+        stream.close()
+    names: list[str] = []
+    for i, name in enumerate(next(csv.reader([line.lstrip("\ufeff")]), [])):
+        name = name.strip() or f"_c{i}"
+        names.append(name if name not in names else f"{name}_{i}")
+    return tuple(names)
+
+
+AUTO = "auto"
+
+
+def _utf8_or_latin1(c: Column) -> Column:
+    """Text read byte by byte: as UTF-8 where its bytes are that, else as latin-1."""
+    wide = F.try_validate_utf8(F.encode(c, "ISO-8859-1").cast("string"))
+    return F.when(F.length(c) == F.octet_length(c), c).otherwise(F.coalesce(wide, c))
+
+
+def _read_csv(spark: SparkSession, path: str | list[str], schema: T.StructType, encoding: str, header: bool, multi_line: bool, **options) -> DataFrame:
+    """CSV files by the names in each file's own header, one read per distinct header.
+
+    Columns of `schema` that a file lacks are null, others that it has are kept as text after them. With `header` off
+    the columns are taken in the order of `schema`.
+    """
+    reader = spark.read.option("header", header).option("mode", "PERMISSIVE").option("escape", '"').option("multiLine", multi_line)
+    reader = reader.option("columnNameOfCorruptRecord", "_corrupt_record").option("encoding", "ISO-8859-1" if encoding == AUTO else encoding)
+    reader = reader.options(ignoreCorruptFiles=True, ignoreMissingFiles=True, **options)
+    fields = {f.name: f for f in schema.fields if f.name != "_corrupt_record"}
+    corrupt = T.StructField("_corrupt_record", T.StringType())
+    if header:
+        layouts: dict[tuple[str, ...], list[str]] = {}
+        for _, file, size, _ in list_files(spark, path):
+            if size:
+                layouts.setdefault(_header(spark, file, encoding), []).append(file)
+    else:
+        layouts = {tuple(fields): path if isinstance(path, list) else [path]}
+    parts = []
+    for names, group in layouts.items():
+        read = T.StructType([T.StructField(n, fields[n].dataType if n in fields else T.StringType()) for n in names] + [corrupt])
+        rows = reader.schema(read).csv(group)
+        decode = lambda c, kind: _utf8_or_latin1(c) if encoding == AUTO and isinstance(kind, T.StringType) else c
+        known = [decode(F.col(f"`{n}`"), f.dataType).alias(n) if n in names else F.lit(None).cast(f.dataType).alias(n) for n, f in fields.items()]
+        more = [decode(F.col(f"`{n}`"), T.StringType()).alias(n) for n in names if n not in fields]
+        tag = F.col("_metadata.file_name").alias("source_file")
+        parts.append(rows.select(*known, *more, decode(F.col("_corrupt_record"), T.StringType()).alias("_corrupt_record"), tag))
+    if not parts:
+        empty = T.StructType([*fields.values(), corrupt, T.StructField("source_file", T.StringType())])
+        return spark.createDataFrame([], empty)
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+
+
+def read_csv_orders(spark: SparkSession, path: str | list[str], as_of: str, encoding: str = AUTO, schema: T.StructType = CSV_SCHEMA,
                     header: bool = True, multi_line: bool = False) -> DataFrame:
-    """Order CSV with header; ragged rows are kept with `_corrupt_record` set.
+    """Order CSV by header names; ragged rows are kept with `_corrupt_record` set.
 
-    Columns are taken by position, so `schema` lists those of the file. `multi_line` allows line
-    breaks inside quotes, at the price of reading each file in one task.
+    By default text is UTF-8, or latin-1 where its bytes are no UTF-8. `multi_line` allows line breaks inside quotes,
+    at the price of reading each file in one task. Unreadable files give no rows (see `ingest_file_summary`).
     """
-    return _tagged(_csv(spark.read.schema(schema), header, encoding, multi_line).csv(path), "file_csv", as_of)
+    rows = _read_csv(spark, path, schema, encoding, header, multi_line)
+    return rows.withColumns({"source_type": F.lit("file_csv"), "ingested_at": clock(as_of)})
 
 
 def read_csv_typed(spark: SparkSession, path: str | list[str], schema: str | T.StructType, date_format: str = "yyyy-MM-dd") -> DataFrame:
-    return (
-        spark.read.schema(schema).option("header", True).option("mode", "PERMISSIVE").option("dateFormat", date_format)
-        .option("timestampNTZFormat", date_format).option("columnNameOfCorruptRecord", "_corrupt_record").csv(path)
-    )
+    wanted = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    return _read_csv(spark, path, wanted, AUTO, True, False, dateFormat=date_format, timestampNTZFormat=date_format).drop("source_file")
 
 
 def read_json_envelopes(spark: SparkSession, path: str | list[str], as_of: str, multi_line: bool = True) -> DataFrame:
@@ -105,33 +178,45 @@ def flatten_nested_orders(df: DataFrame) -> DataFrame:
 def json_structure_profile(documents: DataFrame, text: str = "value", keys: list[str] | None = None) -> DataFrame:
     """Top-level keys of each JSON document with the type and, for lists, the length of each."""
     ids = keys or [c for c in documents.columns if c != text]
-    parsed = documents.select(*ids, F.from_json(text, "map<string,string>").alias("m")).filter("m is not null")
-    entries = parsed.select(*ids, F.explode("m").alias("key", "raw"))
+    names = ", ".join(f"d.`{i}`" for i in ids)
+    entries = documents.sparkSession.sql(
+        f"select {names}, e.key as key, schema_of_variant(e.value) as told, size(try_cast(e.value as array<variant>)) as length "
+        f"from {{documents}} d, lateral variant_explode(try_parse_json(d.`{text}`)) e where e.key is not null", documents=documents,
+    )
+    told = F.col("told")
+    # a number written with a fraction is a short decimal; a decimal of more digits than a long has is a whole number
+    whole = told.rlike(r"^DECIMAL\((19|[23][0-9]),0\)$")
     kind = (
-        F.when(F.col("raw").isNull(), "null").when(F.col("raw").rlike(r"^\s*\["), "list").when(F.col("raw").rlike(r"^\s*\{"), "dict")
-        .when(F.col("raw").isin("true", "false"), "bool").when(F.col("raw").rlike(r"^-?[0-9]+$"), "int")
-        .when(F.col("raw").rlike(r"^-?[0-9]*\.?[0-9]+([eE][+-]?[0-9]+)?$"), "float").otherwise("str")
+        F.when(told == "VOID", "null").when(told.startswith("ARRAY"), "list").when(told.startswith("OBJECT"), "dict").when(told == "BOOLEAN", "bool")
+        .when(told == "STRING", "str").when((told == "BIGINT") | whole, "int").otherwise("float")
     )
-    return entries.select(*ids, "key", kind.alias("kind"), F.when(kind == "list", F.json_array_length("raw")).alias("length"))
+    return entries.select(*ids, "key", kind.alias("kind"), F.when(kind == "list", F.col("length")).alias("length"))
 
 
 def read_json_documents(spark: SparkSession, path: str | list[str]) -> DataFrame:
     return spark.read.option("wholetext", True).text(path).select(F.col("_metadata.file_name").alias("source_file"), "value")
 
 
-def read_many_files(spark: SparkSession, path: str | list[str], fmt: str, as_of: str) -> DataFrame:
-    """All matching files of a format in one read; unreadable records are kept aside, not fatal."""
-    return read_csv_orders(spark, path, as_of) if fmt == "csv" else read_json_envelopes(spark, path, as_of)
+def read_many_files(spark: SparkSession, path: str | list[str], fmt: str, as_of: str, schema: T.StructType = CSV_SCHEMA, multi_line: bool | None = None) -> DataFrame:
+    """The orders in all matching files of a format; unreadable files and records are left out, not fatal."""
+    if fmt == "csv":
+        return read_csv_orders(spark, path, as_of, schema=schema, multi_line=bool(multi_line)).filter("_corrupt_record is null")
+    return read_json_orders(spark, path, as_of, multi_line is not False)
 
 
-def ingest_file_summary(df: DataFrame) -> DataFrame:
+def ingest_file_summary(df: DataFrame, listed: list[tuple] | None = None) -> DataFrame:
     """Records and corrupt records per file with a status, and one row for all files.
 
-    `df` must be materialised or keep another column than the corrupt-record one.
+    With the listing (`list_files`), files that gave no row are there as failed. `df` must be materialised or keep
+    another column than the corrupt-record one.
     """
     per_file = df.groupBy("source_file").agg(
         F.count(F.lit(1)).alias("records"), F.count_if(F.col("_corrupt_record").isNotNull()).alias("bad_records")
     )
+    if listed is not None:
+        names = [(file.rsplit("/", 1)[-1] if file else asked,) for asked, file, _, _ in listed]
+        every = df.sparkSession.createDataFrame(names, "source_file string")
+        per_file = every.join(per_file, "source_file", "left").na.fill(0, ["records", "bad_records"])
     ok = F.col("records") > F.col("bad_records")
     files = per_file.withColumn("status", F.when(ok, "success").otherwise("failed"))
     total = files.agg(
@@ -142,21 +227,27 @@ def ingest_file_summary(df: DataFrame) -> DataFrame:
 
 
 def file_admission(spark: SparkSession, path: str | list[str], max_mb: float = 100, digest: bool = True) -> DataFrame:
-    """Verdict per file from size and extension; the content is read only for the digest.
+    """Verdict per file from the listing alone; only accepted files are read, for the digest.
 
-    A scan skips files without bytes, so they come from the listing the reader has made anyway.
+    A path without files is a row with the reason `missing`.
     """
-    scanned = spark.read.format("binaryFile").load(path)
-    plain = [re.sub(r"^[a-z0-9]+:/+", "/", p) for p in scanned.inputFiles()]
-    listed = spark.createDataFrame([(p,) for p in plain], "path string")
-    bare = scanned.withColumn("path", F.regexp_replace("path", r"^[a-z0-9]+:/+", "/"))
-    files = listed.join(bare, "path", "left").withColumn("length", F.coalesce("length", F.lit(0)))
+    listed = spark.createDataFrame(list_files(spark, path), "asked string, path string, length bigint, modified bigint")
     extension = F.lower(F.regexp_extract("path", r"(\.[^./]+)$", 1))
     reason = (
-        F.when(F.col("length") == 0, "empty").when(F.col("length") > max_mb * 1024 * 1024, "too large")
+        F.when(F.col("path").isNull(), "missing").when(F.col("length") == 0, "empty").when(F.col("length") > max_mb * 1024 * 1024, "too large")
         .when(~extension.isin(".csv", ".json"), "unsupported type")
     )
-    columns = [F.regexp_extract("path", r"([^/]+)$", 1).alias("file"), "length", extension.alias("extension"), "modificationTime"]
+    name = F.coalesce(F.regexp_extract("path", r"([^/]+)$", 1), F.col("asked"))
+    judged = listed.select(
+        name.alias("file"), "length", extension.alias("extension"), F.timestamp_millis("modified").alias("modificationTime"), "path",
+        reason.alias("reason"), reason.isNull().alias("accepted"),
+    )
     if digest:
-        columns.append(F.md5("content").alias("md5"))
-    return files.select(*columns, reason.alias("reason"), reason.isNull().alias("accepted"))
+        paths = [r["path"] for r in judged.filter("accepted").select("path").collect()]
+        bare = lambda c: F.regexp_replace(c, r"^[a-z0-9]+:/+", "/")
+        if paths:
+            sums = spark.read.format("binaryFile").load(paths).select(bare(F.col("path")).alias("_p"), F.md5("content").alias("md5"))
+            judged = judged.join(sums, bare(F.col("path")) == F.col("_p"), "left").drop("_p")
+        else:
+            judged = judged.withColumn("md5", F.lit(None).cast("string"))
+    return judged.drop("path")

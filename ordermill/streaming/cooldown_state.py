@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 import pandas as pd
 from pyspark.sql.streaming import StatefulProcessor
 
@@ -20,18 +21,23 @@ class Cooldown(StatefulProcessor):
         self.last = handle.getValueState("last", "tick bigint")
 
     def handleInputRows(self, key, rows, timerValues):
-        # alerts of a key arrive in batches in any order; those of one trigger are put in order here
-        pdf = pd.concat(list(rows)).sort_values(["tick", "id"])
+        # Alerts of a key arrive in batches in any order. Those too early for the state go at once; of the others only
+        # numbers are held until the trigger's last batch, and put in order then.
         last = self.last.get()[0] if self.last.exists() else None
+        held = []
+        for pdf in rows:
+            part = pdf[["tick", "id", "gap"]].to_numpy()
+            held.append(part if last is None else part[part[:, 0] - last >= part[:, 2]])
+        alerts = np.concatenate(held)
+        alerts = alerts[np.lexsort((alerts[:, 1], alerts[:, 0]))]
         kept = []
-        for tick, gap in zip(pdf["tick"], pdf["gap"]):
-            emit = last is None or tick - last >= gap
-            kept.append(emit)
-            if emit:
-                last = int(tick)
-        if any(kept):
-            self.last.update((last,))
-        yield pdf.loc[kept, [*self.keys, "id", "tick"]]
+        for tick, row, gap in alerts.tolist():
+            if last is None or tick - last >= gap:
+                kept.append((*key, row, tick))
+                last = tick
+        if kept:
+            self.last.update((int(last),))
+        yield pd.DataFrame(kept, columns=[*self.keys, "id", "tick"])
 
     def close(self) -> None:
         pass

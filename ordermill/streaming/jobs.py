@@ -42,8 +42,12 @@ def _each_batch(df: DataFrame, fn: Callable[[DataFrame, int], None], checkpoint:
 
 def stream_files(spark: SparkSession, src: str, dst: str, checkpoint: str, archive: str | None = None, schema: T.StructType = CSV_SCHEMA,
                  files_per_trigger: int | None = None) -> StreamingQuery:
-    """Order CSV files to a table, tagged with their file name; processed once and archived."""
-    rows = read_files(spark, src, "csv", schema, archive, files_per_trigger, header=True, escape='"')
+    """Order CSV files to a table, tagged with their file name; processed once and archived.
+
+    A stream has one schema for all its files, so `schema` lists their columns in the order of their header. A file
+    whose header differs fails the query instead of shifting its columns (`enforceSchema` is off).
+    """
+    rows = read_files(spark, src, "csv", schema, archive, files_per_trigger, header=True, enforceSchema=False, escape='"')
     return _start(rows.withColumn("source_file", F.col("_metadata.file_name")), dst, checkpoint)
 
 
@@ -80,15 +84,32 @@ def version_path(dst: str, version: int) -> str:
     return f"{dst}/version={version}"
 
 
+def _path(spark: SparkSession, name: str):
+    context = spark.sparkContext
+    path = context._jvm.org.apache.hadoop.fs.Path(name)
+    return path.getFileSystem(context._jsc.hadoopConfiguration()), path
+
+
+def last_version(spark: SparkSession, dst: str) -> int:
+    """The newest version of an upserted table whose write was completed."""
+    fs, path = _path(spark, dst)
+    done = [int(f.getPath().getName().partition("=")[2]) for f in fs.listStatus(path) if f.getPath().getName().startswith("version=")]
+    return max(v for v in done if fs.exists(_path(spark, f"{version_path(dst, v)}/_SUCCESS")[1]))
+
+
 def stream_upsert(rows: DataFrame, dst: str, checkpoint: str, keys: list[str], order_by: list) -> StreamingQuery:
     """Replace rows by key, batch by batch; batch n reads version n and writes version n + 1.
 
-    Version 0 is the table to start from. A retried batch rewrites the same version.
+    Version 0 is the table to start from. A retried batch rewrites the same version; versions that no retry can need
+    are removed, so that there are two at most. `last_version` names the one to read.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         base = batch.sparkSession.read.parquet(version_path(dst, batch_id))
         upsert(base, batch, keys, order_by).write.mode("overwrite").parquet(version_path(dst, batch_id + 1))
+        if batch_id > 0:
+            fs, path = _path(batch.sparkSession, version_path(dst, batch_id - 1))
+            fs.delete(path, True)
 
     return _each_batch(rows, write, checkpoint)
 

@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from ordermill.catalog.ingest import finish
+from ordermill.session import materialize
 from ordermill.sources import files, incremental
 from ordermill.streaming import jobs
 
@@ -38,7 +39,8 @@ def test_json_shapes(spark, tmp_path):
     got = files.flatten_nested_orders(files.read_json_orders(spark, src, AS_OF)).collect()
     assert sorted(r.source_file for r in got) == sorted(shapes) and {(r.order_id, r.device_model) for r in got} == {("O1", "M")}
     assert {r.source_file: r.app_version for r in got}["orders.json"] == "2"
-    envelopes = files.read_many_files(spark, src, "json", AS_OF)
+    assert sorted(r.source_file for r in files.read_many_files(spark, src, "json", AS_OF).collect()) == sorted(shapes)
+    envelopes = files.read_json_envelopes(spark, src, AS_OF)
     assert sum(r._corrupt_record is not None for r in envelopes.select("_corrupt_record", "order_id").collect()) == 1
 
 
@@ -51,6 +53,28 @@ def test_structure_profile_and_admission(spark, tmp_path):
     assert kinds["orders"] == ("list", 2) and kinds["meta"][0] == "dict" and kinds["n"][0] == "int" and kinds["f"][0] == "float" and kinds["s"][0] == "str" and kinds["z"][0] == "null"
     verdict = {r.file: (r.accepted, r.reason) for r in files.file_admission(spark, src).collect()}
     assert verdict == {"a.json": (True, None), "b.txt": (False, "unsupported type"), "c.csv": (False, "empty")}
+    assert [r.reason for r in files.file_admission(spark, src + "/none").collect()] == ["missing"]
+    assert {r.file: r.md5 is not None for r in files.file_admission(spark, [src]).collect()} == {"a.json": True, "b.txt": False, "c.csv": False}
+    texts = spark.createDataFrame([(1, '{"a": "123", "b": "[x", "c": "true", "d": "1.5", "e": 1.0, "f": 123456789012345678901234567890}'), (2, "no json"), (3, None)], "id int, value string")
+    assert {r.key: r.kind for r in files.json_structure_profile(texts).collect()} == {"a": "str", "b": "str", "c": "str", "d": "str", "e": "float", "f": "int"}
+
+
+def test_csv_by_header_names(spark, tmp_path):
+    """The seven-column store file, a file in another order with columns of its own, latin-1 text and an empty file."""
+    src = put(tmp_path / "h", "a.csv", "order_id,customer_name,product,quantity,price,order_date,store_location\nO1,Ann,Lamp,2,9.5,2024-01-01,Rome\n")
+    put(tmp_path / "h", "b.csv", "created_at,price,order_id,notes\n2024,7,O2,hi\n")
+    put(tmp_path / "h", "c.csv", "order_id,customer_name\nO3,José García\n", "latin-1")
+    put(tmp_path / "h", "d.csv", "\ufefforder_id,customer_name\nO4,Zoë\n")
+    put(tmp_path / "h", "e.csv", "")
+    rows = files.read_csv_orders(spark, src, AS_OF)
+    got = {r.order_id: r for r in rows.collect()}
+    assert set(got) == {"O1", "O2", "O3", "O4"} and all(r._corrupt_record is None for r in got.values())
+    assert (got["O1"].product, got["O1"].quantity, got["O1"].store_location, got["O1"].customer_email) == ("Lamp", "2", "Rome", None)
+    assert (got["O2"].price, got["O2"].notes, got["O2"].created_at) == ("7", "hi", "2024") and got["O1"].created_at is None
+    assert (got["O3"].customer_name, got["O4"].customer_name) == ("José García", "Zoë")
+    told = {r.source_file: r.status for r in files.ingest_file_summary(materialize(rows), files.list_files(spark, src)).collect()}
+    assert told == {"a.csv": "success", "b.csv": "success", "c.csv": "success", "d.csv": "success", "e.csv": "failed", "(all)": "4/5"}
+    assert files.read_csv_orders(spark, src + "/none", AS_OF).count() == 0
 
 
 def test_incremental_and_jdbc_text(spark):
