@@ -146,7 +146,7 @@ class Codec:
                     ends.append(-1)
                 s = goto[s][b]
             ends[s] = i
-        step = np.zeros((len(goto), 256), np.int32)
+        step = np.zeros((len(goto), 256), np.uint16 if len(goto) < 1 << 16 else np.int32)
         fail, shorter, layer = np.zeros(len(goto), np.int32), np.zeros(len(goto), np.int32), [0]
         while layer:
             deeper = []
@@ -338,21 +338,28 @@ def _sender(df: DataFrame, model_path: str):
     return lambda: once("codec", key, lambda: Codec(shared()))
 
 
-def encode(docs: DataFrame, model_path: str, text: str = "text", ids: str = "ids") -> DataFrame:
+def encode(docs: DataFrame, model_path: str, text: str = "text", ids: str = "ids", round_trip: str | None = None) -> DataFrame:
     """Add the ids of whole texts as `ids array<int>`, begin and end ids included. A null text counts as empty.
 
-    An input column named as the new one is replaced; other columns pass through. No shuffle: each row by itself.
+    With `round_trip`, a column of that name says whether the ids decode to the text again (a space mark in it counts
+    as a space). An input column named as a new one is replaced; other columns pass through. No shuffle: each row by
+    itself.
     """
     sent = _sender(docs, model_path)
 
     def run(frames):
         codec = sent()
         for frame in frames:
-            for part in text_blocks(frame.drop(columns=[ids], errors="ignore"), text):
-                coded = codec.encode([t or "" for t in part[text]])
-                yield part.assign(**{ids: [np.frombuffer(c, "<u4").astype(np.int32) for c in coded]})
-
-    return docs.mapInPandas(run, add_columns(docs, f"`{ids}` array<int>"))
+            for part in text_blocks(frame.drop(columns=[ids, round_trip], errors="ignore"), text):
+                texts = [t or "" for t in part[text]]
+                coded = codec.encode(texts)
+                part = part.assign(**{ids: [np.frombuffer(c, "<u4").astype(np.int32) for c in coded]})
+                if round_trip:
+                    same = [codec.decode(np.frombuffer(c, "<u4").tolist()) == t.replace(SPACE, " ").encode() for c, t in zip(coded, texts, strict=True)]
+                    part = part.assign(**{round_trip: same})
+                yield part
+
+    return docs.mapInPandas(run, add_columns(docs, f"`{ids}` array<int>" + (f", `{round_trip}` boolean" if round_trip else "")))
 
 
 def decode(rows: DataFrame, model_path: str, ids: str = "ids", text: str = "text") -> DataFrame:
