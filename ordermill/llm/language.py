@@ -90,7 +90,7 @@ class Model:
     unseen: float  # log-probability of an unseen character
     sharpness: float = 10.0
     normal: np.ndarray | None = None  # by language: mean cross-entropy, spread between texts, spread per character
-    reach: float = 6.0
+    reach: float = 8.0
 
 
 def build(counts: pd.DataFrame) -> Model:
@@ -188,7 +188,7 @@ class Scorer:
         mean, between, each = m.normal[:, best]
         odd = (entropy.min(axis=1) - mean) / np.sqrt(between**2 + each**2 / np.maximum(size, 1)) > m.reach
         none = size == 0
-        return np.where(none, -1, best), np.where(none, 0.0, score), none | odd | (score < 0.5)
+        return np.where(none, -1, best), np.where(none, 0.0, score), none | odd | (score < 0.35)
 
 
 def held_out() -> Column:
@@ -266,14 +266,14 @@ def _calibrate(model: Model, entropy: np.ndarray, size: np.ndarray, truth: np.nd
         model.normal[:, i] = np.median(x), max(0.15, float(np.sqrt(np.median(gap) / 0.455))), max(each, 1.0)
     mean, between, each = model.normal[:, truth]
     odd = (own - mean) / np.sqrt(between**2 + each**2 / size)
-    model.reach = max(6.0, 1.5 * float(np.quantile(odd, 0.999)))
+    model.reach = max(8.0, 1.5 * float(np.quantile(odd, 0.999)))
 
 
 def identify(docs: DataFrame, model: Model | None, text: str = "text") -> DataFrame:
     """Add lang_pred, score (0 to 1) and rejected to each row, from the whole text alone.
 
     `und`, score 0 and rejected where a text is null or has no letters, or where nothing could be learned. Rejected as
-    well: a text whose cross-entropy is far above what is usual in the best language, or whose score is below a half.
+    well: a text whose cross-entropy is far above what is usual in the best language, or whose score is below 0.35.
     """
     ship(__name__)
     languages = model.languages if model else []

@@ -83,12 +83,12 @@ def votes(p: np.ndarray) -> np.ndarray:
     vote(1, p[:, 1] > 0.4, p[:, 1] < 0.15)
     vote(2, p[:, 2] > 0.1, p[:, 2] < 0.01)
     vote(3, p[:, 3] > 0.1, p[:, 3] < 0.01)
-    vote(4, (p[:, 4] > 0.1) & (n >= 5), (p[:, 4] < 0.03) & (n >= 5))
+    vote(4, (p[:, 4] > 0.1) & ((n >= 12) | (p[:, 4] > 0.3)) & (n >= 5), (p[:, 4] < 0.03) & (n >= 5))
     vote(5, (p[:, 5] < 2.5) & (n >= 20), (p[:, 5] > 4) & (n >= 20))
     vote(6, p[:, 6] > 0.3, p[:, 6] < 0.1)
     vote(7, ((p[:, 7] > 0.6) & (n >= 8)) | ((p[:, 7] < 0.002) & (n >= 100)), (p[:, 7] > 0.02) & (p[:, 7] < 0.4))
     vote(8, (p[:, 8] > 15) | (p[:, 8] < 2), (p[:, 8] > 3) & (p[:, 8] < 10))
-    vote(9, p[:, 9] < 0.75, p[:, 9] > 0.9)
+    vote(9, (p[:, 9] < 0.75) & ((n >= 20) | (p[:, 9] < 0.5)), p[:, 9] > 0.9)
     return out
 
 
@@ -150,7 +150,7 @@ def linear(texts: list[str], p: np.ndarray, weights: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(z, -500, 500)))
 
 
-def fit(places: list[np.ndarray], values: list[np.ndarray], target: np.ndarray, rounds: int = 80) -> np.ndarray:
+def fit(places: list[np.ndarray], values: list[np.ndarray], target: np.ndarray, rounds: int = 250) -> np.ndarray:
     """Logistic regression on soft labels by full-batch Adam; both classes count alike if one is rare."""
     weights, m, v = np.zeros(DIMENSIONS + 1), np.zeros(DIMENSIONS + 1), np.zeros(DIMENSIONS + 1)
     of = np.repeat(np.arange(len(places)), [len(x) for x in places])
