@@ -26,7 +26,7 @@ DISCOUNT = 0.6
 _BLOCK_TOKENS = 4_000_000
 _DISTINCT_AT_ONCE = 400_000
 _CANDIDATES_AT_ONCE = 1_000_000
-_LOCAL = 0.25  # of the share: what a block names
+_LOCAL = 0.5  # of the share: what a block names
 
 
 def held_out() -> Column:
@@ -171,13 +171,13 @@ def _codes(ids: np.ndarray, k: int, size: int) -> np.ndarray:
 
 
 def _blocks_of_ids(frames):
-    """Ids of many documents in a row, with a gap after each, some millions at a time."""
+    """Ids of many documents in a row, with a gap after each, twice _BLOCK_TOKENS at a time at most."""
     held, n = [], 0
     for frame in frames:
         for packed in frame["ids"]:
             held += [np.frombuffer(packed, np.int32).astype(np.int64), np.array([-1])]
             n += len(held[-2])
-            if n >= _BLOCK_TOKENS:
+            if n >= 2 * _BLOCK_TOKENS:
                 yield n, np.concatenate(held)
                 held, n = [], 0
     if held:
@@ -187,7 +187,7 @@ def _blocks_of_ids(frames):
 def count_grams(tokens: DataFrame, size: int, n: int, order: int, share: float) -> list[dict[tuple[int, ...], int]]:
     """Pairs, triples, ... up to `order` with at least `share` of the n training tokens (and two), counted exactly.
 
-    First every block names what holds a quarter of that share of its own tokens, which bounds each n-gram's whole count
+    First every block names what holds half of that share of its own tokens, which bounds each n-gram's whole count
     from above; a second pass counts those whose bound reaches the share.
     """
     spark = tokens.sparkSession
@@ -200,7 +200,9 @@ def count_grams(tokens: DataFrame, size: int, n: int, order: int, share: float)
                 yield pd.DataFrame({"k": k, "code": code[some], "n": count[some], "total": total})
 
     # A block that does not name an n-gram holds less than _LOCAL * share of its tokens of it, so this bounds its count.
-    named = tokens.select("ids").mapInPandas(name, "k int, code long, n long, total long").groupBy("k", "code").agg(F.sum("n").alias("n"), F.sum("total").alias("total"))
+    # Blocks of like size, however the table is cut: a small one would name all that it holds.
+    blocks = tokens.select("ids").coalesce(max(1, n // _BLOCK_TOKENS))
+    named = blocks.mapInPandas(name, "k int, code long, n long, total long").groupBy("k", "code").agg(F.sum("n").alias("n"), F.sum("total").alias("total"))
     most = F.col("n") + _LOCAL * share * (n - F.col("total"))
     named = stage(named.where(most >= share * n * (1 - 1e-9)).select("k", "code"), "candidates")
     slices = 1 + named.count() // _CANDIDATES_AT_ONCE
