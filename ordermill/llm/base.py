@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import pickle
 import sys
 import types
@@ -25,16 +26,41 @@ def worker_cache() -> dict:
 
 
 def once(kind: str, key: str, make):
-    """`make()` once for each Python worker and key; a worker keeps the last key of each kind."""
+    """`make()` once for each Python worker and key.
+
+    A kind is named `operator.thing`; a worker keeps the last key of each thing, and those of one operator only: when
+    the next one begins, memory of the one before goes back to the system.
+    """
     cache = worker_cache()
     if cache.get(kind, (None,))[0] != key:
-        cache.pop(kind, None)
+        operator = kind.partition(".")[0]
+        others = [k for k in cache if "." in k and k.partition(".")[0] != operator]
+        for k in [*others, kind]:
+            cache.pop(k, None)
+        if others:
+            _give_back()
         cache[kind] = (key, make())
     return cache[kind][1]
 
 
+def _give_back() -> None:
+    import ctypes
+    import gc
+
+    import pyarrow
+
+    gc.collect()
+    pyarrow.default_memory_pool().release_unused()
+    with contextlib.suppress(AttributeError, OSError):  # where the C library cannot do that
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def send(spark: SparkSession, value):
-    """Broadcast a value of bounded size; gives the function that loads it in a Python worker."""
+    """Broadcast a value of bounded size; gives the function that loads it in a Python worker.
+
+    Rows that come after it are texts: a batch of them for Python has fewer rows than Spark's default.
+    """
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
     data = spark.sparkContext.broadcast(cloudpickle.dumps(value))
     return lambda: pickle.loads(data.value)
 

@@ -209,7 +209,7 @@ def train(docs: DataFrame, docs_per_language: int = 2000) -> Model | None:
     taken = able.withColumn("unit", unit / share[F.col("lang")]).where("unit < 1")
 
     def count(frames):
-        is_letter = once("letters", "letters", letters)
+        is_letter = once("language.letters", "letters", letters)
         for frame in frames:
             for lang, part in frame.groupby("lang"):
                 for block in text_blocks(part, "text", 1_000_000):
@@ -234,7 +234,7 @@ def train(docs: DataFrame, docs_per_language: int = 2000) -> Model | None:
     sent, key = send(taken.sparkSession, model), new_key("model")
 
     def judge(frames):
-        scorer = once("language-fit", key, lambda: Scorer(sent()))
+        scorer = once("language.fit", key, lambda: Scorer(sent()))
         for frame in frames:
             for block in text_blocks(frame, "text", 1_000_000):
                 entropy, size = scorer.cross_entropy(list(block["text"]))
@@ -286,7 +286,7 @@ def identify(docs: DataFrame, model: Model | None, text: str = "text") -> DataFr
             if not languages:
                 yield frame.assign(lang_pred=NO_LANGUAGE, score=0.0, rejected=True)
                 continue
-            scorer = once("language", key, lambda: Scorer(sent()))
+            scorer = once("language.model", key, lambda: Scorer(sent()))
             names = np.array([*languages, NO_LANGUAGE], object)
             for block in text_blocks(frame, text, 1_000_000):
                 best, score, rejected = scorer.decide(*scorer.cross_entropy([t or "" for t in block[text]]))

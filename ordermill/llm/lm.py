@@ -142,7 +142,7 @@ def tokenise(docs: DataFrame, vocabulary: list[str]) -> DataFrame:
     sent, key = send(docs.sparkSession, vocabulary), new_key("vocabulary")
 
     def run(frames):
-        number = once("vocabulary", key, lambda: {w.encode(): i for i, w in enumerate(sent())})
+        number = once("lm.vocabulary", key, lambda: {w.encode(): i for i, w in enumerate(sent())})
         end = END.encode()
         for frame in frames:
             for block in text_blocks(frame, "text"):
@@ -213,7 +213,7 @@ def count_grams(tokens: DataFrame, size: int, n: int, order: int, share: float)
         sent, key = send(spark, wanted), new_key("wanted")
 
         def count(frames, sent=sent, key=key):
-            wanted = once("wanted", key, sent)
+            wanted = once("lm.wanted", key, sent)
             sums = {k: np.zeros(len(c) + 1, np.int64) for k, c in wanted.items()}
             for _, ids in _blocks_of_ids(frames):
                 for k, codes in wanted.items():
@@ -255,7 +255,7 @@ def score(docs: DataFrame, held_out: Column, order: int = 3, word_share: float =
     sent, key = send(spark, assemble(vocabulary, times, n, v, grams)), new_key("automaton")
 
     def walk(frames):
-        automaton = once("automaton", key, sent)
+        automaton = once("lm.automaton", key, sent)
         root = np.array([*automaton.root, 0.0])
         for frame in frames:
             ids = [np.frombuffer(p, np.int32) for p in frame["ids"]]

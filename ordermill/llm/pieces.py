@@ -25,8 +25,9 @@ from .base import add_columns, once, send, ship, text_blocks
 SPACE = "▁"
 START, UNKNOWN = -1, -2  # in the table: nothing yet, a character without a piece
 LONG_WORD = 48  # words of more characters are cut where no piece reaches across
+_CHARS = 1_000_000  # characters encoded at once
 _SEEN_BITS, _MIX = 20, np.uint64(0x9E3779B97F4A7C15)
-KNOWN_WORDS = 300_000  # words a worker remembers; the memory forgets all at once when full
+KNOWN_WORDS = 150_000  # words a worker remembers; the memory forgets all at once when full
 
 
 @dataclass
@@ -335,7 +336,7 @@ def _sender(df: DataFrame, model_path: str):
     vocabulary = load(model_path)
     key = str(hash((tuple(vocabulary.pieces), vocabulary.rank.tobytes())))
     shared = send(df.sparkSession, vocabulary)
-    return lambda: once("codec", key, lambda: Codec(shared()))
+    return lambda: once("pieces.codec", key, lambda: Codec(shared()))
 
 
 def encode(docs: DataFrame, model_path: str, text: str = "text", ids: str = "ids", round_trip: str | None = None) -> DataFrame:
@@ -350,7 +351,7 @@ def encode(docs: DataFrame, model_path: str, text: str = "text", ids: str = "ids
     def run(frames):
         codec = sent()
         for frame in frames:
-            for part in text_blocks(frame.drop(columns=[ids, round_trip], errors="ignore"), text):
+            for part in text_blocks(frame.drop(columns=[ids, round_trip], errors="ignore"), text, _CHARS):
                 texts = [t or "" for t in part[text]]
                 coded = codec.encode(texts)
                 part = part.assign(**{ids: [np.frombuffer(c, "<u4").astype(np.int32) for c in coded]})
@@ -384,7 +385,7 @@ def digests(docs: DataFrame, model_path: str) -> DataFrame:
     def run(frames):
         codec = sent()
         for frame in frames:
-            for part in text_blocks(frame, "text"):
+            for part in text_blocks(frame, "text", _CHARS):
                 coded = codec.encode([t or "" for t in part["text"]])
                 yield pd.DataFrame({
                     "doc_id": part["doc_id"].to_numpy(),

@@ -177,7 +177,7 @@ def train(docs: DataFrame, fit_docs: int = 6000) -> Model:
     ship(__name__)
 
     def patterns(frames):
-        kind, found, total = once("kinds", "kinds", kinds), Counter(), 0
+        kind, found, total = once("quality.kinds", "kinds", kinds), Counter(), 0
         for frame in frames:
             for block in text_blocks(frame, "text"):
                 v = votes(properties([t or "" for t in block["text"]], kind))
@@ -192,7 +192,7 @@ def train(docs: DataFrame, fit_docs: int = 6000) -> Model:
     sent, key = send(docs.sparkSession, weak), new_key("weak")
 
     def features(frames):
-        kind, weak = once("kinds", "kinds", kinds), once("weak", key, sent)
+        kind, weak = once("quality.kinds", "kinds", kinds), once("quality.weak", key, sent)
         for frame in frames:
             texts = [t for t in frame["text"] if t and t.strip()]
             p = properties(texts, kind)
@@ -229,7 +229,7 @@ def grade(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     sent, key = send(docs.sparkSession, model), new_key("quality")
 
     def run(frames):
-        kind, model = once("kinds", "kinds", kinds), once("quality", key, sent)
+        kind, model = once("quality.kinds", "kinds", kinds), once("quality.model", key, sent)
         for frame in frames:
             frame = frame.drop(columns=["quality", "weak_quality", "keep"], errors="ignore")
             for block in text_blocks(frame, text):

@@ -330,7 +330,7 @@ def extract(pages: DataFrame, wrappers: DataFrame | None = None) -> DataFrame:
     wrappers = infer(pages) if wrappers is None else wrappers
 
     def run(frames):
-        judged = once("wrappers", "wrappers", dict)
+        judged = once("wrappers.judged", "wrappers", dict)
         for frame in frames:
             texts = []
             for page, wrapper in zip(frame["html"], frame["wrapper"], strict=True):
