@@ -36,9 +36,18 @@ def dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- de-duplication ---------------------------------------------------------------------------
 
 
-@query("dedup_exact", "select distinct customer_name, customer_email, product, source, store_location from {orders_raw}")
+def doubled(spark, sf):
+    """Order lines of which every fifth is there twice, as a whole row."""
+    rows = raw(spark, sf)
+    return rows.unionByName(rows.filter(F.col("line_no") % 5 == 0))
+
+
+_DOUBLED = "(select * from {orders_raw} union all select * from {orders_raw} where line_no % 5 = 0)"
+
+
+@query("dedup_exact", f"select {S.KEYS}, order_id, customer_name, customer_email, product, source, store_location from {{orders_raw}}")
 def dedup_exact(spark, sf):
-    return D.dedup_exact(raw(spark, sf).select("customer_name", "customer_email", "product", "source", "store_location"))
+    return D.dedup_exact(doubled(spark, sf)).select(*LINE_ORDER, "order_id", "customer_name", "customer_email", "product", "source", "store_location")
 
 
 @query("dedup_by_key", f"select {S.KEYS}, order_id, customer_name, price from {{orders_dirty}} qualify {S.first_per('order_id')}")
@@ -68,11 +77,10 @@ def duplicate_keys_report(spark, sf):
     return D.duplicate_keys_report(dirty(spark, sf), "order_id")
 
 
-@query("duplicate_rows_count", """select (select cast(sum(n - 1) as bigint) from (select count(*) as n from {orders_raw} group by order_id, customer_name, customer_email, source, order_date)) as exact_duplicates,
-   (select cast(sum(n - 1) as bigint) from (select count(*) as n from {orders_raw} where order_id is not null group by order_id)) as key_duplicates""")
+@query("duplicate_rows_count", f"""select (select count(*) from {{orders_raw}} where line_no % 5 = 0) as exact_duplicates,
+   (select cast(sum(n - 1) as bigint) from (select count(*) as n from {_DOUBLED} where order_id is not null group by order_id)) as key_duplicates""")
 def duplicate_rows_count(spark, sf):
-    rows = raw(spark, sf).select("order_id", "customer_name", "customer_email", "source", "order_date")
-    return D.duplicate_rows_count(rows, "order_id")
+    return D.duplicate_rows_count(doubled(spark, sf), "order_id")
 
 
 @query("suspicious_duplicates", """select customer_name, product, order_date, total_amount, count(*) as n_rows from {orders_dirty}
