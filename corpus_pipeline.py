@@ -37,7 +37,8 @@ def unlike(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     kept = stage(simhash.classes(docs).where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct(), "kept-ids")
     rows = docs.select(*COLUMNS).withColumn("copy", F.xxhash64(*COLUMNS))
     once = rows.groupBy("doc_id").agg(F.min("copy").alias("copy"), F.count(F.lit(1)).alias("rows")).where("rows > 1")
-    rows = rows.join(kept, rows["doc_id"].eqNullSafe(kept["doc_id"]), "left_semi")
+    # The kept ids grow with the documents, so they are never sent to all executors, however few they are.
+    rows = rows.join(kept.hint("merge"), rows["doc_id"].eqNullSafe(kept["doc_id"]), "left_semi")
     if once.isEmpty():
         return rows.select(*COLUMNS)
     twins = stage(once.select(F.col("doc_id").alias("id"), F.col("copy").alias("first")), "repeated-ids")
