@@ -1,11 +1,15 @@
-"""Language-model scoring with a weighted back-off automaton over words.
-
-Every word of the training documents is counted; the counts stay a table and are joined. Of pairs and triples, those
-with at least `share` of all training tokens become arcs of the automaton (so there are at most 1 / share of each, at any
-size of the input): a state is a context, an arc a word with its discounted probability, and a failure arc leads to
-the shorter context with the weight that makes the probabilities of a state sum to one. Each task names
-what is frequent in its own block of tokens, which bounds all counts, and a second pass counts exactly what may
-reach the share. At the root, a word's probability is the add-half share over all words and one unknown word.
+"""Language-model scoring with back-off over words.
+
+Every word, pair and triple of the training documents is counted; those seen `least` times (words: once) stay, at any
+size of the input, as tables. An n-gram is named by a 64-bit number made from the hashes of its words, so rare words
+are in pairs and triples like all others. A context is a state of a back-off automaton: an n-gram is an arc with
+its discounted probability, and the failure arc leads to the shorter context with the weight that makes the probabilities
+of a state sum to one. At the root, a word's probability is the add-half share over all words and one unknown word.
+
+What an n-gram adds to the score of a text does not depend on where it stands, so a score is a sum over the text's
+words, pairs and triples, each with one value. Texts go in blocks of some million tokens: the different n-grams of a block are dealt
+to buckets by their numbers, each bucket looks up its values for all blocks, and these come back to their block.
+`Automaton`, `assemble` and `count_grams` are the same model in memory, for a bounded number of n-grams.
 """
 
 from __future__ import annotations
@@ -27,6 +31,9 @@ _BLOCK_TOKENS = 4_000_000
 _DISTINCT_AT_ONCE = 400_000
 _CANDIDATES_AT_ONCE = 1_000_000
 _LOCAL = 0.5  # of the share: what a block names
+_COUNTED_AT_ONCE = 4_000_000  # tokens of a block
+_TOKENS_A_BUCKET = 500_000
+_SEED = 42  # Spark's own for xxhash64
 
 
 def held_out() -> Column:
@@ -138,15 +145,20 @@ def count_words(docs: DataFrame) -> DataFrame:
 
 
 def tokenise(docs: DataFrame, vocabulary: list[str]) -> DataFrame:
-    """doc_id, held_out, n_tokens, ids (packed 32-bit, -1 for a word without id), rare words and how often each."""
+    """doc_id, held_out, n_tokens, ids (packed 32-bit, -1 for a word without id), rare words and how often each, and the
+    hashes (packed 64-bit) of the words without id in the order of the text, and the block of texts it belongs to."""
     sent, key = send(docs.sparkSession, vocabulary), new_key("vocabulary")
 
     def run(frames):
+        from pyspark import TaskContext
+        from xxhash import xxh64_intdigest
+
         number = once("lm.vocabulary", key, lambda: {w.encode(): i for i, w in enumerate(sent())})
         end = END.encode()
+        begin, total = TaskContext.get().partitionId() << 33, 0
         for frame in frames:
             for block in text_blocks(frame, "text"):
-                ids, rare, times, sizes = [], [], [], []
+                ids, rare, times, sizes, hashes, part = [], [], [], [], [], []
                 for text in block["text"]:
                     tokens = [*words(text), end]
                     got = [number.get(w, -1) for w in tokens]
@@ -155,9 +167,13 @@ def tokenise(docs: DataFrame, vocabulary: list[str]) -> DataFrame:
                     rare.append([w.decode() for w in lost])
                     times.append(list(lost.values()))
                     sizes.append(len(got))
-                yield pd.DataFrame({"doc_id": block["doc_id"], "held_out": block["held_out"], "n_tokens": sizes, "ids": ids, "rare": rare, "times": times})
+                    part.append(begin + total // _COUNTED_AT_ONCE)
+                    total += len(got)
+                    named = {w: xxh64_intdigest(w, _SEED) for w in lost}
+                    hashes.append(np.array([named[w] for w, i in zip(tokens, got, strict=True) if i < 0] if lost else [], np.uint64).tobytes())
+                yield pd.DataFrame({"doc_id": block["doc_id"], "held_out": block["held_out"], "n_tokens": sizes, "ids": ids, "rare": rare, "times": times, "hashes": hashes, "block": part})
 
-    return docs.mapInPandas(run, "doc_id long, held_out boolean, n_tokens long, ids binary, rare array<string>, times array<int>")
+    return docs.mapInPandas(run, "doc_id long, held_out boolean, n_tokens long, ids binary, rare array<string>, times array<int>, hashes binary, block long")
 
 
 def _codes(ids: np.ndarray, k: int, size: int) -> np.ndarray:
@@ -235,11 +251,177 @@ def count_grams(tokens: DataFrame, size: int, n: int, order: int, share: float)
     return kept
 
 
-def score(docs: DataFrame, held_out: Column, order: int = 3, word_share: float = 1e-6, gram_share: float = 1e-5) -> DataFrame:
+def _mixed(x: np.ndarray) -> np.ndarray:
+    """A one-to-one scramble of 64-bit numbers (the finaliser of splitmix64)."""
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
+def gram_codes(word: np.ndarray, text: np.ndarray, order: int) -> list[tuple[np.ndarray, np.ndarray]]:
+    """For each length up to `order`: the numbers of the n-grams of some tokens in a row, and the token each begins at.
+
+    `word` are the words' hashes, `text` the number of the text each stands in; no n-gram spans two texts. A word's
+    number is its hash.
+    """
+    code, at = word, np.arange(len(word))
+    out = [(code, at)]
+    for k in range(2, order + 1):
+        keep = at + k - 1 < len(word)
+        keep[keep] = text[at[keep]] == text[at[keep] + k - 1]
+        code, at = code[keep], at[keep]
+        code = _mixed(code * np.uint64(0x9E3779B97F4A7C15) + word[at + k - 1] + np.uint64(k))
+        out.append((code, at))
+    return out
+
+
+def _hashed(frame: pd.DataFrame, vocabulary: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The hashes of the tokens of some rows, and the place of each token's row."""
+    held = []
+    for ids, hashes in zip(frame["ids"], frame["hashes"], strict=True):
+        ids = np.frombuffer(ids, np.int32)
+        held.append(vocabulary[ids])
+        held[-1][ids < 0] = np.frombuffer(hashes, np.uint64)
+    return np.concatenate(held), np.repeat(np.arange(len(held)), [len(x) for x in held])
+
+
+def _by_block(frames):
+    """Rows of one block at a time; what a task reads of a block stands together."""
+    held: list[pd.DataFrame] = []
+    for frame in frames:
+        for block, part in frame.groupby("block", sort=False):
+            if held and held[-1]["block"].iloc[0] != block:
+                yield pd.concat(held, ignore_index=True)
+                held = []
+            held.append(part)
+    if held:
+        yield pd.concat(held, ignore_index=True)
+
+
+def _vocabulary_hashes(words: list[str]) -> np.ndarray:
+    """By id, and one more that -1 finds."""
+    from xxhash import xxh64_intdigest
+
+    return np.array([*[xxh64_intdigest(w.encode(), _SEED) for w in words], 0], np.uint64)
+
+
+def all_grams(tokens: DataFrame, vocabulary: list[str], order: int, least: int) -> DataFrame:
+    """k, code, context, suffix, n: every pair, triple, ... with at least `least` occurrences, and the numbers of it
+    without its last and without its first word."""
+    sent, key = send(tokens.sparkSession, vocabulary), new_key("hashes")
+
+    def run(frames):
+        hashes = once("lm.hashes", key, lambda: _vocabulary_hashes(sent()))
+        for block in _by_block(frames):
+            word, text = _hashed(block, hashes)
+            codes = gram_codes(word, text, order)
+            for k in range(2, order + 1):
+                (shorter, begins), (code, at) = codes[k - 2], codes[k - 1]
+                code, first, n = np.unique(code, return_index=True, return_counts=True)
+                where = at[first]
+                context, suffix = (shorter[np.searchsorted(begins, w)] for w in (where, where + 1))
+                yield pd.DataFrame({"k": np.int32(k), "code": code.view(np.int64), "context": context.view(np.int64), "suffix": suffix.view(np.int64), "n": n})
+
+    found = tokens.select("ids", "hashes", "block").mapInPandas(run, "k int, code long, context long, suffix long, n long")
+    summed = found.groupBy("k", "code").agg(F.min("context").alias("context"), F.min("suffix").alias("suffix"), F.sum("n").alias("n"))
+    return stage(summed.where(F.col("n") >= least), "grams")
+
+
+def gram_values(counts: DataFrame, grams: DataFrame, n: int, v: int, order: int) -> DataFrame:
+    """code, n, value: what each occurrence of a word, pair, triple, ... adds to a score beyond the words' own shares.
+
+    With the words at the root, an n-gram adds log p(last | context) - log p(last | shorter context) in place of its
+    context's weight, which each occurrence of the context adds.
+    """
+    level = stage(counts.select(F.xxhash64("word").alias("code"), "n", ((F.col("n") + 0.5) / F.lit(n + 0.5 * (v + 1))).alias("p")), "unigrams")
+    lifts = level.select("code", "n", F.lit(0.0).alias("lift"))
+    out = []
+    for k in range(2, order + 1):
+        # An n-gram is never more frequent than its parts, so both parts are in the level before.
+        shorter = level.select(F.col("code").alias("context"), F.col("n").alias("whole")).hint("merge")
+        lower = level.select(F.col("code").alias("suffix"), F.col("p").alias("lower")).hint("merge")
+        some = stage(grams.where(F.col("k") == k).drop("k").join(shorter, "context"), "with-context")
+        level = stage(some.join(lower, "suffix").select("code", "context", "n", ((F.col("n") - DISCOUNT) / F.col("whole")).alias("p"), "lower"), "arcs")
+        left = lambda c: F.greatest(F.lit(1e-12), 1 - F.sum(c))
+        weights = stage(level.groupBy("context").agg((F.log10(left("p")) - F.log10(left("lower"))).alias("weight")), "weights")
+        out.append(lifts.join(weights.withColumnRenamed("context", "code"), "code", "left").select("code", "n", (F.col("lift") + F.coalesce("weight", F.lit(0.0))).alias("value")))
+        lifts = level.join(weights, "context").select("code", "n", (F.log10("p") - F.log10("lower") - F.col("weight")).alias("lift"))
+        lifts = stage(lifts, "lifts") if k < order else lifts
+    for part in out:
+        lifts = lifts.unionByName(part.withColumnRenamed("value", "lift"))
+    return stage(lifts.withColumnRenamed("lift", "value").where("value <> 0"), "values")
+
+
+def _pack(codes: np.ndarray) -> bytes:
+    """Sorted numbers as steps, their bytes by place, so that the leading zeros stand together."""
+    return np.diff(codes, prepend=np.uint64(0)).view(np.uint8).reshape(-1, 8).T.tobytes()
+
+
+def _unpack(packed: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(packed, np.uint8).reshape(8, -1).T).view(np.uint64).ravel().cumsum(dtype=np.uint64)
+
+
+def gains(tokens: DataFrame, vocabulary: list[str], values: DataFrame, order: int, n_tokens: int) -> DataFrame:
+    """row, gain: the sum of the values of all n-grams of each row."""
+    sent, key = send(tokens.sparkSession, vocabulary), new_key("hashes")
+    bits = max(3, (n_tokens // _TOKENS_A_BUCKET).bit_length())
+
+    def own(rows: pd.DataFrame):
+        """The different n-grams' sorted numbers, and of every n-gram its row and its place among these."""
+        hashes = once("lm.hashes", key, lambda: _vocabulary_hashes(sent()))
+        word, text = _hashed(rows, hashes)
+        found = gram_codes(word, text, order)
+        codes = np.unique(np.concatenate([np.unique(c) for c, _ in found]))
+        return codes, ((text[at], np.searchsorted(codes, c)) for c, at in found)
+
+    def name(frames):
+        for block in _by_block(frames):
+            codes, _ = own(block)
+            bucket = (codes >> np.uint64(64 - bits)).astype(np.int64)
+            edge = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1], [True]])).tolist()
+            spans = list(zip(edge[:-1], edge[1:], strict=True))
+            # A task may read only a part of a block: that is known by its first row.
+            yield pd.DataFrame({"bucket": bucket[edge[:-1]], "block": block["block"].iloc[0], "part": block["row"].iloc[0], "codes": [_pack(codes[s:e]) for s, e in spans]})
+
+    def look_up(asked: pd.DataFrame, known: pd.DataFrame) -> pd.DataFrame:
+        codes = known["code"].to_numpy(np.int64).view(np.uint64)
+        sort = np.argsort(codes)
+        codes, value = codes[sort], np.append(known["value"].to_numpy(np.float64)[sort], 0.0)
+        told = [value[found_at(codes, _unpack(c))].tobytes() for c in asked["codes"]]
+        return pd.DataFrame({"block": asked["block"], "part": asked["part"], "bucket": asked["bucket"], "told": pd.Series(told, dtype=object)})
+
+    def add(rows: pd.DataFrame, told: pd.DataFrame) -> pd.DataFrame:
+        rows, out = rows.sort_values("row", ignore_index=True), []
+        parts = np.sort(told["part"].unique())
+        edge = [*np.searchsorted(rows["row"].to_numpy(), parts).tolist(), len(rows)]
+        for part, s, e in zip(parts.tolist(), edge[:-1], edge[1:], strict=True):
+            some, gain = rows.iloc[s:e], np.zeros(e - s)
+            value = np.frombuffer(b"".join(told[told["part"] == part].sort_values("bucket")["told"]))
+            for text, place in own(some)[1]:
+                gain += np.bincount(text, value[place], minlength=e - s)
+            out.append(pd.DataFrame({"row": some["row"], "gain": gain}))
+        return pd.concat(out)
+
+    blocks = tokens.select("row", "ids", "hashes", "block")
+    asked = blocks.mapInPandas(name, "bucket long, block long, part long, codes binary")
+    known = values.select(F.shiftrightunsigned("code", 64 - bits).alias("bucket"), "code", "value")
+    told = asked.groupBy("bucket").cogroup(known.groupBy("bucket")).applyInPandas(look_up, "block long, part long, bucket long, told binary")
+    return blocks.groupBy("block").cogroup(told.groupBy("block")).applyInPandas(add, "row long, gain double")
+
+
+def found_at(codes: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+    """The place of each wanted number in sorted ones, -1 where it is not among them."""
+    if not len(codes):
+        return np.full(len(wanted), -1)
+    place = np.minimum(np.searchsorted(codes, wanted), len(codes) - 1)
+    return np.where(codes[place] == wanted, place, -1)
+
+
+def score(docs: DataFrame, held_out: Column, order: int = 3, word_share: float = 1e-6, least: int = 2) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score of every document (doc_id, text).
 
-    Words with at least `word_share` of the training tokens have ids and travel with the automaton (1 / word_share at
-    most); each other word's count is joined. A null text is empty: its one token is the end. Without training
+    Words with at least `word_share` of the training tokens have ids and travel to the tasks (1 / word_share at most);
+    each other word's count is joined. N-grams up to `order` with `least` occurrences count, whatever their words. A null text is empty: its one token is the end. Without training
     documents every probability at the root is that of an unknown word. Repeated rows are scored each; other columns are
     not used; an empty table gives an empty one.
     """
@@ -251,21 +433,18 @@ def score(docs: DataFrame, held_out: Column, order: int = 3, word_share: float =
     frequent = counts.where(F.col("n") >= word_share * n).orderBy(F.desc("n"), "word").toPandas()  # at most 1 / word_share
     vocabulary, times = frequent["word"].tolist(), [int(c) for c in frequent["n"]]
     tokens = stage(tokenise(docs, vocabulary).withColumn("row", F.monotonically_increasing_id()), "tokens")
-    grams = count_grams(tokens.where(~F.col("held_out")), max(1, len(vocabulary)), n, order, gram_share) if n else []
-    sent, key = send(spark, assemble(vocabulary, times, n, v, grams)), new_key("automaton")
+    found = all_grams(tokens.where(~F.col("held_out")), vocabulary, order, least)
+    values = gram_values(counts, found, n, v, order)
+    sent, key = send(spark, [log10((c + 0.5) / (n + 0.5 * (v + 1))) for c in times]), new_key("root")
 
     def walk(frames):
-        automaton = once("lm.automaton", key, sent)
-        root = np.array([*automaton.root, 0.0])
+        root = once("lm.root", key, lambda: np.array([*sent(), 0.0]))
         for frame in frames:
             ids = [np.frombuffer(p, np.int32) for p in frame["ids"]]
-            yield frame.drop(columns=["ids"]).assign(
-                known=[int((i >= 0).sum()) for i in ids],
-                base=[float(root[i].sum()) for i in ids],
-                total=[automaton.score(i.tolist()) for i in ids],
-            )
+            yield frame.drop(columns=["ids"]).assign(known=[int((i >= 0).sum()) for i in ids], base=[float(root[i].sum()) for i in ids])
 
-    walked = tokens.select("row", "doc_id", "held_out", "n_tokens", "ids").mapInPandas(walk, "row long, doc_id long, held_out boolean, n_tokens long, known long, base double, total double")
+    walked = tokens.select("row", "doc_id", "held_out", "n_tokens", "ids").mapInPandas(walk, "row long, doc_id long, held_out boolean, n_tokens long, known long, base double")
+    gained = gains(tokens, vocabulary, values, order, n)
     rare = tokens.select("row", F.explode(F.arrays_zip("rare", "times")).alias("x")).select("row", F.col("x.rare").alias("word"), F.col("x.times").alias("times"))
     c = F.coalesce("n", F.lit(0))
     share = F.log10((c + 0.5) / F.lit(n + 0.5 * (v + 1)))
@@ -273,12 +452,12 @@ def score(docs: DataFrame, held_out: Column, order: int = 3, word_share: float =
         F.sum(share * F.col("times")).alias("rare_score"), F.sum(F.when(c > 0, F.col("times")).otherwise(0)).alias("rare_known")
     )
     more = F.coalesce("rare_score", F.lit(0.0))
-    return walked.join(rest, "row", "left").select(
+    return walked.join(rest, "row", "left").join(gained, "row", "left").select(
         "doc_id",
         "held_out",
         "n_tokens",
         (F.col("known") + F.coalesce("rare_known", F.lit(0))).cast("long").alias("n_known"),
         F.lit(n).cast("long").alias("train_tokens"),
         (F.col("base") + more).alias("base_score"),
-        (F.col("total") + more).alias("score"),
+        (F.col("base") + more + F.coalesce("gain", F.lit(0.0))).alias("score"),
     )

@@ -84,3 +84,22 @@ def test_nothing_to_learn_from_and_empty(docs):
     held = next(i for i in range(100) if zlib.crc32(str(i).encode()) % 5 == 1)
     assert [tuple(r) for r in lm.score(docs((held, "a b")), lm.held_out()).collect()] == [(held, True, 3, 0, 0, 0.0, 0.0)]
     assert lm.score(docs((1, "a")).limit(0), lm.held_out()).count() == 0
+
+
+def test_score_is_that_of_all_repeated_grams(docs, texts):
+    """Every pair and triple seen twice counts, rare words and rare n-grams too, as an automaton of all of them scores."""
+    rows = list(texts.items())[:80] + [(6001, "rare_one rare_two rare_three"), (6002, "rare_one rare_two rare_four"), (6003, ""), (6004, None)]
+    seqs = {d: [*lm.words(t), b""] for d, t in rows}
+    held = {d: zlib.crc32(str(d).encode()) % 5 == 1 for d in seqs}
+    counts = Counter(w for d, s in seqs.items() if not held[d] for w in s)
+    vocabulary = [w.decode() for w in counts]
+    number = {w: i for i, w in enumerate(counts)}
+    grams = [{g: c for g, c in Counter(g for d, s in seqs.items() if not held[d] for g in zip(*[[number[w] for w in s][i:] for i in range(k)])).items() if c >= 2} for k in (2, 3)]
+    n, v = sum(counts.values()), len(counts)
+    automaton = lm.assemble(vocabulary, list(counts.values()), n, v, grams)
+    unknown = log10(0.5 / (n + 0.5 * (v + 1)))
+    for shares in ({}, {"word_share": 1e-3}, {"word_share": 2.0}):
+        got = {r["doc_id"]: r["score"] for r in lm.score(docs(*rows), lm.held_out(), **shares).collect()}
+        for d, s in seqs.items():
+            ids = [number.get(w, -1) for w in s]
+            assert got[d] == pytest.approx(automaton.score(ids) + ids.count(-1) * unknown, rel=1e-9)
