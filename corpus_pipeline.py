@@ -30,21 +30,20 @@ def of_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def unlike(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each class of near-duplicates: the one with the least doc_id, and one of rows that share it.
+    """One row of each class of near-duplicates: the one with the least doc_id, of these the one with the least hash.
 
-    Rows without a doc_id stay only where their class has no document with one.
+    Rows are told apart by a number of their own, so rows that share a doc_id, or have none, are in classes like others.
+    A row without a doc_id stays only where its class has none with one.
     """
-    kept = stage(simhash.classes(docs).where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct(), "kept-ids")
-    rows = docs.select(*COLUMNS).withColumn("copy", F.xxhash64(*COLUMNS))
-    once = rows.groupBy("doc_id").agg(F.min("copy").alias("copy"), F.count(F.lit(1)).alias("rows")).where("rows > 1")
-    # The kept ids grow with the documents, so they are never sent to all executors, however few they are.
-    rows = rows.join(kept.hint("merge"), rows["doc_id"].eqNullSafe(kept["doc_id"]), "left_semi")
-    if once.isEmpty():
-        return rows.select(*COLUMNS)
-    twins = stage(once.select(F.col("doc_id").alias("id"), F.col("copy").alias("first")), "repeated-ids")
-    repeated = rows.join(twins, (F.col("doc_id").eqNullSafe(F.col("id"))) & (F.col("copy") == F.col("first"))).select(*COLUMNS).dropDuplicates()
-    single = rows.join(twins, F.col("doc_id").eqNullSafe(F.col("id")), "left_anti").select(*COLUMNS)
-    return single.unionByName(repeated)
+    rows = stage(docs.select(*COLUMNS).withColumn("row", F.monotonically_increasing_id()), "rows")
+    keyed = rows.select("doc_id", "text", "row", F.xxhash64(*COLUMNS).alias("copy"))
+    marked, owner = simhash.rooted_rows(keyed)
+    # The least of each fingerprint first, so that a class is joined and chosen from by one row a fingerprint.
+    order = F.struct(F.col("doc_id").isNull().alias("without"), "doc_id", "copy", "row")
+    first = marked.groupBy("fp").agg(F.min(order).alias("first"))
+    kept = first.join(owner, "fp").groupBy("root").agg(F.min("first").alias("first")).select(F.col("first.row").alias("row"))
+    # The kept rows grow with the documents, so they are never sent to all executors, however few they are.
+    return rows.join(stage(kept, "kept-rows").hint("merge"), "row", "left_semi").select(*COLUMNS)
 
 
 def unleaked(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

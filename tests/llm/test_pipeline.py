@@ -37,3 +37,10 @@ def test_one_row_of_a_class_stays(spark, docs):
     kept = sorted((str(r["doc_id"]), r["text"].lower()) for r in pipeline.unlike(spark, rows, "").collect())
     assert kept == [("2", text), ("7", "quite another text it is this time"), ("None", "nothing like the others at all here")]
     assert pipeline.unlike(spark, rows.limit(0), "").count() == 0
+
+
+def test_every_class_keeps_one_row_whatever_its_ids(spark, docs):
+    texts = ["first text with some words of its own", "second one that says other things", "third of them and unlike both"]
+    rows = docs(*[(None, t) for t in texts], (3, "copied here and there in the rows"), (5, "copied here and there in the rows"), (5, "what only this row of five has"))
+    kept = sorted((str(r["doc_id"]), r["text"]) for r in pipeline.unlike(spark, rows, "").collect())
+    assert kept == sorted([("None", t) for t in texts] + [("3", "copied here and there in the rows"), ("5", "what only this row of five has")])
