@@ -5,6 +5,8 @@ from __future__ import annotations
 import csv
 from functools import reduce
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -70,11 +72,14 @@ def list_files(spark: SparkSession, paths: str | list[str]) -> list[tuple[str, s
 
 
 def _header(spark: SparkSession, file: str, encoding: str) -> tuple[str, ...]:
-    """The column names in a file's first line; blank and repeated names get a number."""
+    """The column names in a file's first line, decompressed as a scan does; blank and repeated names get a number."""
     context = spark.sparkContext
     jvm, path = context._jvm, context._jvm.org.apache.hadoop.fs.Path(file)
-    stream = path.getFileSystem(context._jsc.hadoopConfiguration()).open(path)
+    conf = context._jsc.hadoopConfiguration()
+    codec = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf).getCodec(path)
+    stream = path.getFileSystem(conf).open(path)
     try:
+        stream = codec.createInputStream(stream) if codec is not None else stream
         line = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8" if encoding == AUTO else encoding)).readLine() or ""
     finally:
         stream.close()
@@ -102,7 +107,7 @@ def _read_csv(spark: SparkSession, path: str | list[str], schema: T.StructType,
     """
     reader = spark.read.option("header", header).option("mode", "PERMISSIVE").option("escape", '"').option("multiLine", multi_line)
     reader = reader.option("columnNameOfCorruptRecord", "_corrupt_record").option("encoding", "ISO-8859-1" if encoding == AUTO else encoding)
-    reader = reader.options(ignoreCorruptFiles=True, ignoreMissingFiles=True, **options)
+    reader = reader.options(ignoreCorruptFiles=False, ignoreMissingFiles=False, **options)
     fields = {f.name: f for f in schema.fields if f.name != "_corrupt_record"}
     corrupt = T.StructField("_corrupt_record", T.StringType())
     if header:
@@ -132,7 +137,7 @@ def read_csv_orders(spark: SparkSession, path: str | list[str], as_of: str, enco
     """Order CSV by header names; ragged rows are kept with `_corrupt_record` set.
 
     By default text is UTF-8, or latin-1 where its bytes are no UTF-8. `multi_line` allows line breaks inside quotes,
-    at the price of reading each file in one task. Unreadable files give no rows (see `ingest_file_summary`).
+    at the price of reading each file in one task. A file that cannot be read to its end fails the read.
     """
     rows = _read_csv(spark, path, schema, encoding, header, multi_line)
     return rows.withColumns({"source_type": F.lit("file_csv"), "ingested_at": clock(as_of)})
@@ -197,8 +202,30 @@ def read_json_documents(spark: SparkSession, path: str | list[str]) -> DataFrame
     return spark.read.option("wholetext", True).text(path).select(F.col("_metadata.file_name").alias("source_file"), "value")
 
 
-def read_many_files(spark: SparkSession, path: str | list[str], fmt: str, as_of: str, schema: T.StructType = CSV_SCHEMA, multi_line: bool | None = None) -> DataFrame:
-    """The orders in all matching files of a format; unreadable files and records are left out, not fatal."""
+def readable_files(spark: SparkSession, files: list[str]) -> list[str]:
+    """The files that can be read to their ends: one pass over all, and more only over halves that hold another."""
+    if not files:
+        return []
+    try:
+        reader = spark.read.options(ignoreCorruptFiles=False, ignoreMissingFiles=False)
+        reader.text(files).write.format("noop").mode("overwrite").save()
+    except (PySparkException, Py4JJavaError):
+        if len(files) == 1:
+            return []
+        half = len(files) // 2
+        return readable_files(spark, files[:half]) + readable_files(spark, files[half:])
+    return files
+
+
+def read_many_files(spark: SparkSession, path: str | list[str], fmt: str, as_of: str, schema: T.StructType = CSV_SCHEMA, multi_line: bool | None = None,
+                    skip_unreadable: bool = False) -> DataFrame:
+    """The orders in all matching files of a format; unreadable records are left out, not fatal.
+
+    With `skip_unreadable`, files that cannot be read to their ends are left out whole, after a pass that reads all once
+    more; `ingest_file_summary` with the listing shows them as failed.
+    """
+    if skip_unreadable:
+        path = readable_files(spark, [file for _, file, _, _ in list_files(spark, path) if file])
     if fmt == "csv":
         return read_csv_orders(spark, path, as_of, schema=schema, multi_line=bool(multi_line)).filter("_corrupt_record is null")
     return read_json_orders(spark, path, as_of, multi_line is not False)

@@ -77,6 +77,28 @@ def test_csv_by_header_names(spark, tmp_path):
     assert files.read_csv_orders(spark, src + "/none", AS_OF).count() == 0
 
 
+def test_compressed_and_half_readable_files(spark, tmp_path):
+    import gzip
+    import random
+
+    rnd = random.Random(1)
+    lines = "order_id,customer_name,product\n" + "".join(f"O{i},n{rnd.random()},p\n" for i in range(20_000))
+    src = put(tmp_path / "z", "a.csv", "order_id,customer_name,product\nA1,x,y\n")
+    packed = gzip.compress(lines.encode())
+    (tmp_path / "z" / "b.csv.gz").write_bytes(packed)
+    rows = materialize(files.read_many_files(spark, src, "csv", AS_OF, schema=SHORT))
+    assert rows.count() == 20_001 and rows.filter("order_id = 'O7' and product = 'p'").count() == 1
+    (tmp_path / "z" / "c.csv.gz").write_bytes(packed[: len(packed) // 2])
+    for read in (lambda: files.read_many_files(spark, src, "csv", AS_OF, schema=SHORT), lambda: files.read_csv_typed(spark, src, "order_id string, customer_name string")):
+        with pytest.raises(Exception, match="(?i)end of (input|file)|EOF|FAILED_READ_FILE"):
+            read().write.format("noop").mode("overwrite").save()
+    some = materialize(files.read_many_files(spark, src, "csv", AS_OF, schema=SHORT, skip_unreadable=True))
+    assert some.count() == 20_001
+    told = {r.source_file: r.status for r in files.ingest_file_summary(some, files.list_files(spark, src)).collect()}
+    assert told == {"a.csv": "success", "b.csv.gz": "success", "c.csv.gz": "failed", "(all)": "2/3"}
+    assert files.read_many_files(spark, src + "/c*", "json", AS_OF, skip_unreadable=True).count() == 0
+
+
 def test_incremental_and_jdbc_text(spark):
     df = spark.createDataFrame([(1, dt.datetime(2024, 1, 1)), (2, dt.datetime(2024, 1, 20))], "id bigint, ts timestamp_ntz")
     first = incremental.incremental_extract(df, incremental.TIMESTAMP, "ts", AS_OF)
