@@ -11,7 +11,7 @@ import uuid
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 
-from ordermill.session import shared_dir
+from ordermill.session import fresh_path
 
 
 def ship(*modules: str) -> None:
@@ -72,25 +72,12 @@ def new_key(name: str) -> str:
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write `df` as a Parquet table below `spark.checkpoint.dir` and go on from the written rows.
 
-    That cuts the lineage: a lost executor costs the tasks it ran, not the steps before. The table stays until
-    `drop_stages` is called, as the frames returned by the operators are read from it later.
+    That cuts the lineage: a lost executor costs the tasks it ran, not the steps before. The table belongs to the
+    enclosing `ordermill.session.stages` block, or to the driver until it ends.
     """
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/llm/{new_key(name)}"
+    path = fresh_path(df.sparkSession, name)
     df.write.option("compression", "zstd").parquet(path)
-    _STAGES.append(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
-_STAGES: list[str] = []
-
-
-def drop_stages(spark: SparkSession) -> None:
-    """Remove every stage this driver has written; call it when the results are written elsewhere."""
-    jvm = spark.sparkContext._jvm
-    while _STAGES:
-        path = jvm.org.apache.hadoop.fs.Path(_STAGES.pop())
-        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
