@@ -148,3 +148,73 @@ def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .leaks import find_leaks
 
     return find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op12_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import functions as F
+
+    from .negatives import mine
+
+    label = "case when vec_id % 7 = 0 then (label + 1) % 10 else label end"
+    return mine(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, label=label)
+
+
+_INTEGERS = """
+    ints as (
+        select vec_id, label, list_transform(embedding, lambda x: cast(floor(256 * x::double) as bigint)) as v
+        from embeddings where embedding is not null
+            and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+    )"""
+
+ORACLES["op12_negatives"] = f"""
+    with {_INTEGERS}, named as (
+        select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label, v from ints where label is not null
+    ), pairs as (
+        select a.vec_id as anchor_id, b.vec_id as other, a.label = b.label as same,
+            cast(list_inner_product(a.v::double[], b.v::double[]) as bigint) as score
+        from named a join named b on a.vec_id % 50 = 0 and a.vec_id <> b.vec_id
+    ), positives as (
+        select * from pairs where same qualify row_number() over (partition by anchor_id order by score desc, other) <= 5
+    )
+    select p.anchor_id, p.other as positive_id,
+        cast(row_number() over (partition by p.anchor_id, p.other order by n.score desc, n.other) as integer) as rank,
+        n.other as negative_id, p.score as positive_score, n.score as negative_score
+    from positives p join pairs n on n.anchor_id = p.anchor_id and not n.same
+        and 50 * p.score <= 100 * n.score and 100 * n.score <= 95 * p.score
+    qualify rank <= 3
+"""
+
+
+@query
+def op13_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .codes import compress
+
+    return compress(table(spark, sf_dir, "embeddings"))
+
+
+def _codes_sql() -> str:
+    steps = [f"""with {_INTEGERS}, sized as (select *, (select max(len(v)) from ints) // 16 as step from ints),
+    parts as (select vec_id, p, step, list_slice(v, p * step + 1, (p + 1) * step) as x from sized, range(16) r(p)),
+    seeds as (select vec_id, row_number() over (order by vec_id) - 1 as e from ints qualify e < 64),
+    book0 as (select p, e, x as y from parts join seeds using (vec_id))"""]
+    for r in range(3):
+        steps.append(f"""near{r} as (
+        select vec_id, p, any_value(x) as x, any_value(step) as step, min(struct_pack(d := d, e := e)) as best
+        from (select vec_id, p, x, step, e, list_sum(list_transform(range(1, step + 1), lambda k: (x[k] - y[k]) * (x[k] - y[k])))::bigint as d
+            from parts join book{r} using (p)) group by vec_id, p)""")
+        if r < 2:
+            steps.append(f"""moved{r} as (
+        select p, e, list(c order by k) as y from (
+            select p, best.e as e, k, cast(floor(sum(x[k]) / count(*)) as bigint) as c from near{r}, unnest(range(1, step + 1)) u(k) group by all
+        ) group by p, e),
+    book{r + 1} as (select b.p, b.e, coalesce(m.y, b.y) as y from book{r} b left join moved{r} m using (p, e))""")
+    return ",\n    ".join(steps) + """,
+    coded as (select vec_id, string_agg(lpad(lower(to_hex(best.e)), 2, '0'), '' order by p) as code, sum(best.d)::bigint as error from near2 group by vec_id)
+    select vec_id, code, error, cast(sum(error) over (partition by label) as bigint) as label_error,
+        (select sha256(string_agg(array_to_string(y, ','), ',' order by p, e)) from book2) as codebooks_sha256
+    from coded join ints using (vec_id)
+"""
+
+
+ORACLES["op13_codes"] = _codes_sql()
