@@ -218,3 +218,12 @@ def _codes_sql() -> str:
 
 
 ORACLES["op13_codes"] = _codes_sql()
+
+
+@query
+def op11_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .toxicity import grade, held_out, train
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = train(docs, table(spark, sf_dir, "labels"))
+    return grade(docs.withColumn("held_out", held_out()), model).select("doc_id", "held_out", "score", "predicted")
