@@ -1,8 +1,8 @@
 """Toxicity: a weighted lexicon matched by an Aho-Corasick automaton over folded text, with exception phrases.
 
 Folding undoes disguise: compatibility forms and accents go, letters of other scripts that look like Latin ones become
-those, digits and signs used as letters inside a word become letters, `l` and `i` become one, and runs of three or more
-equal letters become one. Entries are words and beginnings of words, so that they match inflected forms; an entry matches at the
+those, digits and signs used as letters inside a word become letters, runs of three or more equal letters become one, and
+`l` and `i` become one. Entries are words and beginnings of words, so that they match inflected forms; an entry matches at the
 start of a word only. Where several entries match at one place, the heaviest counts.
 
 The lexicon is learned: an entry's weight is the lower confidence limit of the log ratio of its frequency among toxic and

@@ -11,7 +11,7 @@ LABELS = "doc_id long, quality int, toxic int"
 
 def test_folding():
     assert toxicity.folded("ІDІ0T, 1d!ot; ﬁne $tupid a$$$! stuuuupid 2024 Wärme i​diot") == ["idiot", "idiot", "fine", "stupid", "a", "stupid", "2024", "warme", "idiot"]
-    assert toxicity.folded("l00se Ill | $ \n") == ["ioose", "i"] and toxicity.folded(None) == toxicity.folded("") == []
+    assert toxicity.folded("l00se Ill | $ \n") == ["ioose", "iii"] and toxicity.folded(None) == toxicity.folded("") == []
 
 
 def brute_hits(model, words):
