@@ -43,8 +43,9 @@ def test_automaton_equals_trying_every_entry(texts):
 
 def test_exception_phrases_are_learned(spark, docs):
     rows, labels = [], []
-    for i in range(600):
-        text = [f"you absolute ninny go away number{i}", f"the ninny goat grazes on hill number{i}", f"a calm walk by the river number{i}"][i % 3]
+    for i in range(600):  # a word that toxic texts use more often than others do, and those in one phrase only
+        kind = 0 if i % 3 == 0 else 1 if i % 12 == 1 else 2
+        text = [f"you absolute ninny go away number{i}", f"the ninny goat grazes on hill number{i}", f"a calm walk by the river number{i}"][kind]
         rows.append((i, text))
         labels.append((i, 1, int(i % 3 == 0)))
     model = toxicity.train(docs(*rows), spark.createDataFrame(labels, LABELS))
