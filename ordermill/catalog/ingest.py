@@ -330,13 +330,14 @@ _BASE = f"(select * from {{orders_raw}} where line_no < 5 qualify {S.first_per('
    union all select order_id, price, status, notes from {_BASE} where order_id not in (select order_id from d)""")
 def upsert_orders(spark, sf):
     from ..operators.dedup import dedup_by_key
+    from ..sources.bucketed import BucketedTable
 
     rows = raw(spark, sf)
     base = dedup_by_key(rows.filter("line_no < 5"), ["order_id"], LINE_ORDER).select("order_id", "price", "status", "notes")
-    base_path = fresh(spark, "base")
-    base.write.parquet(base_path)
+    table = BucketedTable.create(base, fresh(spark, "orders-table"), ["order_id"], buckets=64)
     delta = rows.filter("line_no >= 5").select(*LINE_ORDER, "order_id", "price", "status")
-    return sinks.upsert_table(base_path, delta, ["order_id"], [F.desc(c) for c in LINE_ORDER], fresh(spark, "merged"))
+    table.upsert(delta, [F.desc(c) for c in LINE_ORDER])
+    return table.read()
 
 
 # --- streams ----------------------------------------------------------------------------------
@@ -411,21 +412,24 @@ def stream_clean_validate(spark, sf):
     return good.select(*LINE_ORDER, F.lit("good").alias("part")).unionByName(bad.select(*LINE_ORDER, F.lit("bad").alias("part")))
 
 
-@query("stream_upsert", "select user_id, max(ts) as ts, arg_max(event_type, (ts, event_id)) as event_type, arg_max(value, (ts, event_id)) as value from events group by 1")
+@query("stream_upsert", """select user_id, ts, event_type, value from events
+   qualify row_number() over (partition by user_id order by ts desc nulls last, event_id desc) = 1""")
 def stream_upsert(spark, sf):
-    """The table starts with the users of the first day; the events, landed in order of time, replace by user in several batches."""
+    """The table starts with the users of the first day; three runs replace by user what has landed since, oldest first.
+
+    Events without a time come with the oldest: any with a time replaces them.
+    """
+    from ..sources.bucketed import BucketedTable
+
     dst, ckpt, src = (fresh(spark, n) for n in ("stream-upsert", "ckpt", "landed-events"))
-    columns = ["user_id", "ts", "event_type", "value"]
     events = table(spark, sf, "events")
     first_day = events.filter("ts < timestamp_ntz'2024-01-02'").groupBy("user_id").agg(F.min_by(F.struct("ts", "event_type", "value"), "event_id").alias("e"))
-    first_day.select("user_id", "e.*").select(*columns).write.parquet(jobs.version_path(dst, 0))
-    for day in ("2024-01-11", "2024-01-21", "2100-01-01"):  # one file after the other, so that batches come in order
-        before = {"2024-01-11": "1900-01-01", "2024-01-21": "2024-01-11", "2100-01-01": "2024-01-21"}[day]
-        part = events.filter(F.col("ts").between(F.lit(before).cast("timestamp_ntz"), F.lit(day).cast("timestamp_ntz") - F.expr("interval 1 microsecond")))
-        part.coalesce(1).write.mode("append").parquet(src)
-    rows = jobs.read_files(spark, src, "parquet", events.schema, files_per_trigger=1)
-    finish(jobs.stream_upsert(rows, dst, ckpt, ["user_id"], [F.desc("ts"), F.desc("event_id")]))
-    return spark.read.parquet(jobs.version_path(dst, jobs.last_version(spark, dst)))
+    users = BucketedTable.create(first_day.select("user_id", "e.*"), dst, ["user_id"], buckets=64)
+    part = F.when(F.col("ts") >= F.lit("2024-01-21").cast("timestamp_ntz"), 2).when(F.col("ts") >= F.lit("2024-01-11").cast("timestamp_ntz"), 1).otherwise(0)
+    for run in range(3):
+        events.filter(part == run).write.mode("append").parquet(src)
+        finish(jobs.stream_upsert(jobs.read_files(spark, src, "parquet", events.schema), dst, ckpt, [F.desc("ts"), F.desc("event_id")]))
+    return users.read()
 
 
 @query("stream_hourly_rollup", """select event_type as name, date_trunc('hour', ts) as hour_start, count(*) as n, sum(cast(round(value * 100) as bigint)) / 100.0 as total, min(value) as min_value, max(value) as max_value,

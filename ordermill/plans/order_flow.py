@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..operators.cleaning import clean_orders
+from ..operators.dedup import dedup_by_key
 from ..operators.enrich import enrich_orders
 from ..operators.quality import export_profile
 from ..operators.standardize import standardize_orders
@@ -93,10 +94,10 @@ def _store(data: DataFrame, config: FlowConfig) -> DataFrame:
     ready = prepare_for_store(data, config.as_of)
     if config.base_path:
         base = spark.read.parquet(config.base_path)
-        ready = project_to_table(ready, base.columns)
+        ready = upsert(base, project_to_table(ready, base.columns), [config.key], newest)
     else:
-        base = spark.createDataFrame([], ready.schema)
-    upsert(base, ready, [config.key], newest).write.parquet(config.store_path)
+        ready = dedup_by_key(ready, [config.key], newest)
+    ready.write.parquet(config.store_path)
     return spark.read.parquet(config.store_path)
 
 

@@ -78,10 +78,3 @@ def upsert(base: DataFrame, delta: DataFrame, keys: list[str], order_by: list) -
     spread = F.when(lone, F.xxhash64(*base.columns))
     replaced = F.max("_new").over(Window.partitionBy(*keys, spread))
     return both.withColumn("_replaced", replaced).filter(F.col("_new") | ~F.col("_replaced")).select(*base.columns)
-
-
-def upsert_table(base_path: str, delta: DataFrame, keys: list[str], order_by: list, new_path: str) -> DataFrame:
-    """Write the merged table to a new path; the caller points readers at it once the write is done."""
-    spark = delta.sparkSession
-    upsert(spark.read.parquet(base_path), delta, keys, order_by).write.parquet(new_path)
-    return spark.read.parquet(new_path)

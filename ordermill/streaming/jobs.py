@@ -16,8 +16,8 @@ from ..operators.alerting import MINUTE, evaluate_alert_rules
 from ..operators.cleaning import clean_rows
 from ..operators.validation import order_errors, split_checked
 from ..session import ROCKSDB_PROVIDER
+from ..sources.bucketed import BucketedTable
 from ..sources.files import CSV_SCHEMA
-from ..sources.sinks import upsert
 
 
 def read_files(spark: SparkSession, src: str, fmt: str, schema: T.StructType, archive: str | None = None, files_per_trigger: int | None = None,
@@ -80,36 +80,17 @@ def stream_clean_validate(rows: DataFrame, dst: str, checkpoint: str, as_of: str
     return _each_batch(rows, write, checkpoint)
 
 
-def version_path(dst: str, version: int) -> str:
-    return f"{dst}/version={version}"
+def stream_upsert(rows: DataFrame, dst: str, checkpoint: str, order_by: list) -> StreamingQuery:
+    """Replace rows of the bucketed table at `dst` by its keys, batch by batch; only touched buckets are rewritten.
 
-
-def _path(spark: SparkSession, name: str):
-    context = spark.sparkContext
-    path = context._jvm.org.apache.hadoop.fs.Path(name)
-    return path.getFileSystem(context._jsc.hadoopConfiguration()), path
-
-
-def last_version(spark: SparkSession, dst: str) -> int:
-    """The newest version of an upserted table whose write was completed."""
-    fs, path = _path(spark, dst)
-    done = [int(f.getPath().getName().partition("=")[2]) for f in fs.listStatus(path) if f.getPath().getName().startswith("version=")]
-    return max(v for v in done if fs.exists(_path(spark, f"{version_path(dst, v)}/_SUCCESS")[1]))
-
-
-def stream_upsert(rows: DataFrame, dst: str, checkpoint: str, keys: list[str], order_by: list) -> StreamingQuery:
-    """Replace rows by key, batch by batch; batch n reads version n and writes version n + 1.
-
-    Version 0 is the table to start from. A retried batch rewrites the same version; versions that no retry can need
-    are removed, so that there are two at most. `last_version` names the one to read.
+    The table's manifest names the last batch of this checkpoint that is in, so a retried batch changes nothing. Two
+    versions stay readable.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        base = batch.sparkSession.read.parquet(version_path(dst, batch_id))
-        upsert(base, batch, keys, order_by).write.mode("overwrite").parquet(version_path(dst, batch_id + 1))
-        if batch_id > 0:
-            fs, path = _path(batch.sparkSession, version_path(dst, batch_id - 1))
-            fs.delete(path, True)
+        table = BucketedTable(batch.sparkSession, dst)
+        table.upsert(batch, order_by, source=checkpoint, batch=batch_id)
+        table.vacuum(keep=2)
 
     return _each_batch(rows, write, checkpoint)
 

@@ -131,13 +131,16 @@ def test_stream_cooldown_state_survives_a_restart(spark, tmp_path):
 
 
 def test_stream_upsert_batches(spark, tmp_path):
+    from ordermill.sources.bucketed import BucketedTable
+
     src, dst, ckpt = str(tmp_path / "d"), str(tmp_path / "t"), str(tmp_path / "ck")
-    spark.createDataFrame([("a", 1), ("b", 1)], "k string, v int").write.parquet(jobs.version_path(dst, 0))
+    table = BucketedTable.create(spark.createDataFrame([("a", 1), ("b", 1)], "k string, v int"), dst, ["k"], buckets=4)
     for v in (2, 3):
         spark.createDataFrame([("b", v), (f"n{v}", v)], "k string, v int").coalesce(1).write.mode("append").parquet(src)
         rows = jobs.read_files(spark, src, "parquet", spark.read.parquet(src).schema)
-        finish(jobs.stream_upsert(rows, dst, ckpt, ["k"], [F.desc("v")]))
-    assert {tuple(r) for r in spark.read.parquet(jobs.version_path(dst, 2)).collect()} == {("a", 1), ("b", 3), ("n2", 2), ("n3", 3)}
+        finish(jobs.stream_upsert(rows, dst, ckpt, [F.desc("v")]))
+    assert {tuple(r) for r in table.read().collect()} == {("a", 1), ("b", 3), ("n2", 2), ("n3", 3)}
+    assert table.versions() == [1, 2] and table.manifest().applied == {ckpt: 1}
 
 
 SF = "/root/testdata/sf0.001"
