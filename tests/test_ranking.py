@@ -41,6 +41,51 @@ def test_quantiles(spark):
         assert abs(got[k].q - np.quantile(values, 0.95)) < 1e-9
 
 
+def test_runs_are_bounded_while_rows_grow(spark):
+    for rows in (1_000, 100_000):
+        df = spark.range(rows).select(F.pmod(F.xxhash64("id"), F.lit(1 << 40)).alias("at"), "id", F.lit("hot").alias("k"))
+        runs = R.sorted_runs(df, ["k"], ["at", "id"], run_rows=50, max_runs=8)
+        assert runs.select("_run").distinct().count() == 8
+        for keys in ([], ["k"]):
+            placed = R.position_in_group(df, keys, ["at", "id"], run_rows=50, max_runs=8)
+            ordered = [r.position for r in placed.orderBy("at", "id").select("position").collect()]
+            assert ordered == list(range(rows))
+    plan = R.position_in_group(df, [], ["at", "id"])._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Join") < plan.index("Window"), "the window is on the side of the offsets"
+    assert "_shift" in plan and plan.count("Window ") == 1 and "Aggregate [_run" in plan
+
+
+ODD = [0.0, -0.0, 5e-324, -5e-324, 1e-310, 2.0**-1000, 1.0, 1.0 + 2**-52, 2.0, 2.0 - 2**-52, 8.0, 1e308, -1e308, 2.0**1023, float("inf"), float("-inf"), float("nan"), 3.0, -3.0, 1e15 + 0.125]
+
+
+def test_radix_code_never_falls(spark):
+    rng = random.Random(1)
+    values = ODD + [rng.uniform(-1, 1) * 10.0 ** rng.randint(-320, 307) for _ in range(3000)] + [2.0**e * s for e in range(-1074, 1024) for s in (1, -1)]
+    rows = spark.createDataFrame([(v,) for v in values], "v double").select("v", R.radix_code(F.col("v")).alias("c")).orderBy("v").collect()
+    codes = [r.c for r in rows]
+    assert codes == sorted(codes)
+
+
+def test_quantiles_of_nearly_distinct_values_shuffle_no_rows(spark, monkeypatch):
+    rng = random.Random(2)
+    rows = [("all" if i % 3 else None, rng.gauss(0, 1) * 10.0 ** rng.randint(-5, 5)) for i in range(20_000)] + [("odd", v) for v in ODD[:15]]
+    rows += [("huge", float(2**60 + i)) for i in range(0, 4096, 256)]
+    df = spark.createDataFrame(rows, "k string, v double")
+    wanted = {"lo": ("rank", 0.0), "med": ("linear", 0.5), "p99": ("rank", 0.99), "top": ("linear", 1.0)}
+    got = {r.k: r for r in R.quantiles(df, ["k"], "v", wanted).collect()}
+    for k in ("all", None, "odd", "huge"):
+        v = sorted(x for g, x in rows if g == k)
+        assert (got[k].lo, got[k].p99, got[k].top) == (v[0], v[int(0.99 * len(v))], v[-1])
+        assert got[k].med == statistics.median(v)
+    monkeypatch.setattr(R, "MAX_GROUPS", 2)  # many groups go by order, with the same results
+    assert {r.k: r for r in R.quantiles(df, ["k"], "v", wanted).collect()} == got
+    longs = spark.range(1000).select((F.col("id") + (1 << 61)).alias("v"))
+    assert R.quantiles(longs, [], "v", {"m": ("rank", 0.5)}).first().m == (1 << 61) + 500
+    none = longs.limit(0).withColumn("g", F.lit(1))
+    assert R.quantiles(none, ["g"], "v", {"m": ("rank", 0.5)}).count() == 0
+    assert R.quantiles(none, [], "v", {"m": ("rank", 0.5)}).first().m is None
+
+
 def test_trend(spark):
     rows = [("up", i, float(i)) for i in range(9)] + [("flat", i, 1.0) for i in range(9)] + [("one", 0, 1.0)] + [("down", i, -2.0 * i) for i in range(9)]
     got = {r.k: r.trend for r in R.trend(spark.createDataFrame(rows, "k string, t int, v double"), ["k"], "v", ["t"]).collect()}
