@@ -9,16 +9,19 @@ away; taking it out of its other cells frees more of them. If that stops early,
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..operators.ranking import sorted_runs
 from .base import stage
 
 # A paragraph is a line; a longer one is cut at the first sentence end after so many characters.
 LONG_LINE = 150
 SIDE = 8  # cells in each third of the fingerprint that is kept
 _ROUNDS = 12
+_FREE_BITS = (14, 17, 35, 38, 56, 59)  # three each; cells go by the bits from 0, 21 and 42 on, fourteen at most
 _FOUND = "array<struct<n:int,k:long>>"
 _CELLS = "array<struct<n:int,k:long,h:long>>"
 
@@ -92,17 +95,43 @@ def _complete(tried: Column) -> Column:
 
 
 def _group(a: Column, b: Column) -> Column:
-    """The difference of two small sets, from tables that grow until peeling is complete."""
+    """The difference of two small sets, from tables that grow until peeling is complete.
+
+    Digests that no table separates (they share all the bits it goes by) are compared as they are.
+    """
 
     def attempt(side: int) -> Column:
         if side > 1 << 14:
-            return F.raise_error(F.lit("no table was large enough")).cast(_FOUND)
+            only = lambda x, y, n: F.transform(F.array_except(x, y), lambda k: F.struct(F.lit(n).alias("n"), k.alias("k")))
+            return F.concat(only(a, b, 1), only(b, a, -1)).cast(_FOUND)
         s = F.lit(side).cast("long")
         return let(peel(subtract(sketch(a, s), sketch(b, s)), s), lambda t: F.when(_complete(t), t["found"]).otherwise(attempt(8 * side)))
 
     return attempt(2 * SIDE)
 
 
+def dealt(a: Column, b: Column) -> Column:
+    """Both sets in groups of about 16 digests together: an array of struct<a, b>.
+
+    Each level deals every group into eight by three more bits of the digest, none of which a table's cells go by. So a
+    digest is looked at eight times a level, and there are as many levels as the logarithm of the digests.
+    """
+    levels = F.ceil(F.log(8.0, F.greatest(F.lit(1.0), (F.size(a) + F.size(b)) / (2.0 * SIDE))))
+    groups = F.array(F.struct(a.alias("a"), b.alias("b")))
+
+    def split(groups: Column, shift: int) -> Column:
+        def part(keys: Column, i: Column) -> Column:
+            return F.filter(keys, lambda k: F.shiftrightunsigned(k, shift).bitwiseAND(F.lit(7).cast("long")) == i)
+
+        digits = F.sequence(F.lit(0).cast("long"), F.lit(7).cast("long"))
+        return F.flatten(F.transform(groups, lambda g: F.transform(digits, lambda i: F.struct(part(g["a"], i).alias("a"), part(g["b"], i).alias("b")))))
+
+    def down(groups: Column, level: int) -> Column:
+        return let(groups, lambda g: F.when(levels > level, split(g, _FREE_BITS[level])).otherwise(g))
+
+    return reduce(down, range(len(_FREE_BITS)), groups)
+
+
 def with_difference(df: DataFrame, a: str, b: str, name: str, a_cells: str | None = None, b_cells: str | None = None) -> DataFrame:
     """Add the digests in which the sets a and b differ, by subtracting and peeling their tables.
 
@@ -113,9 +142,7 @@ def with_difference(df: DataFrame, a: str, b: str, name: str, a_cells: str | Non
     fixed = F.lit(SIDE).cast("long")
     first = subtract(F.col(a_cells) if a_cells else sketch(F.col(a), fixed), F.col(b_cells) if b_cells else sketch(F.col(b), fixed))
     df = df.withColumn(name, let(peel(first, fixed), lambda t: F.when(_complete(t), t["found"])))
-    groups = F.ceil((F.size(a) + F.size(b)) / (2 * SIDE)).cast("long")
-    of = lambda keys, i: F.filter(keys, lambda k: F.pmod(F.shiftrightunsigned(k, 11), groups) == i)
-    each = F.transform(F.sequence(F.lit(0).cast("long"), groups - 1), lambda i: let(of(F.col(a), i), lambda x: let(of(F.col(b), i), lambda y: _group(x, y))))
+    each = F.transform(dealt(F.col(a), F.col(b)), lambda g: _group(g["a"], g["b"]))
     return df.withColumn(name, F.when(F.col(name).isNotNull(), F.col(name)).otherwise(F.flatten(each)))
 
 
@@ -134,20 +161,20 @@ def with_next(docs: DataFrame, width: int = 512) -> DataFrame:
     """doc_id, text, keys, next_text, next_keys: each document with the one after it by descending doc_id.
 
     The last is followed by the first; equal doc_ids go by descending text, rows without a doc_id come last. Documents
-    are dealt out by ranges of `width` ids, and the first of each range is sent to the range before as a guest; only
-    one row per range takes part in what links the ranges.
+    are dealt out by ranges of `width` ids, and the first of each range is sent to the range before as a guest. The
+    ranges are linked through sorted runs of their numbers, so ids may be as sparse as they like. Rows of one repeated
+    doc_id, and those without any, share a range.
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     rows = rows.withColumn("bucket", F.coalesce(F.floor(F.col("doc_id") / width), F.lit(-(1 << 62))).cast("long"))
-    heads = rows.groupBy("bucket").agg(F.max("doc_id").alias("head")).withColumn("zone", F.floor(F.col("bucket") / 4096))
-    heads = stage(heads, "ranges")  # one row a range
-    zones = heads.groupBy("zone").agg(F.min("bucket").alias("least"))  # one row a 4096 ranges
-    # The next range up holds the host; past a zone's end it is the first one of the zone above, and past the very last
+    heads = sorted_runs(rows.groupBy("bucket").agg(F.max("doc_id").alias("head")), [], ["bucket"])  # one row a range
+    runs = heads.groupBy("_run").agg(F.min("bucket").alias("least"))  # MAX_RUNS rows at most
+    # The next range up holds the host; past a run's end it is the first one of the next run, and past the very last
     # range the very first one.
-    above = zones.select("zone", F.lead("least").over(Window.orderBy("zone")).alias("above"))
-    lowest = zones.agg(F.min("least")).first()[0]
-    up = F.lead("bucket").over(Window.partitionBy("zone").orderBy("bucket"))
-    linked = heads.join(above, "zone").select("bucket", "head", F.coalesce(up, "above", F.lit(lowest)).alias("host"))
+    above = runs.select("_run", F.lead("least").over(Window.orderBy("_run")).alias("above"))
+    lowest = runs.agg(F.min("least")).first()[0]
+    up = F.lead("bucket").over(Window.partitionBy("_run").orderBy("bucket"))
+    linked = heads.join(F.broadcast(above), "_run").select("bucket", "head", F.coalesce(up, "above", F.lit(lowest)).alias("host"))
     linked = stage(linked, "range-links")
     # the first document of a range: of rows with its largest id, the one with the greatest text
     first = rows.join(linked, (rows["bucket"] == linked["bucket"]) & rows["doc_id"].eqNullSafe(linked["head"])).groupBy("host").agg(F.max("text").alias("text"))

@@ -1,5 +1,6 @@
 import hashlib
 import re
+import time
 
 from pyspark.sql import functions as F
 
@@ -67,3 +68,37 @@ def test_equal_texts_equal_fingerprints(docs):
 
 def test_empty_table(docs):
     assert sketches.fingerprints(docs((1, "a")).limit(0)).count() == 0
+
+
+def test_digests_no_table_separates_are_compared_as_they_are(spark):
+    close = [(1 << 60) + (i << 14) for i in range(9)]  # they differ in bits that no cell goes by
+    df = spark.createDataFrame([(close[:6], close[3:])], "a array<long>, b array<long>")
+    got = {(x["k"], x["n"]) for x in sketches.with_difference(df, "a", "b", "d").first()["d"]}
+    assert got == {(k, 1) for k in close[:3]} | {(k, -1) for k in close[6:]}
+
+
+def test_dealing_keeps_every_digest_in_small_groups(spark):
+    rows = spark.range(40_000).select(F.xxhash64("id").alias("k")).agg(F.collect_list("k").alias("a")).withColumn("b", F.slice("a", 20_001, 20_000))
+    groups = rows.select(F.explode(sketches.dealt(F.col("a"), F.col("b"))).alias("g")).select("g.*").collect()
+    first = rows.first()
+    assert sorted(k for g in groups for k in g["a"]) == sorted(first["a"]) and sorted(k for g in groups for k in g["b"]) == sorted(first["b"])
+    assert max(len(g["a"]) + len(g["b"]) for g in groups) < 64
+    assert all({k for k in g["b"]} <= set(g["a"]) for g in groups)
+
+
+def test_sparse_ids_link_up(docs):
+    rows = [(i * 10**9 + i * i, f"text {i}") for i in range(60)] + [(None, "no id")]
+    got = {r["doc_id"]: r["next_text"] for r in sketches.with_next(docs(*rows), width=1).collect()}
+    order = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0), reverse=True)
+    assert got == {d: order[(i + 1) % len(order)][1] for i, (d, _) in enumerate(order)}
+
+
+def test_cost_grows_with_the_paragraphs(docs):
+    def seconds(lines):
+        two = [(d, "\n".join(f"{d} {i}" for i in range(lines))) for d in (1, 2)]
+        begin = time.perf_counter()
+        assert sketches.fingerprints(docs(*two)).select(F.max(F.size("from_next"))).first()[0] == 2 * lines
+        return time.perf_counter() - begin
+
+    seconds(100)
+    assert seconds(16_000) <= 2.2 * seconds(8_000) + 2
