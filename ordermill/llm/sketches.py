@@ -21,6 +21,7 @@ from .base import stage
 LONG_LINE = 150
 SIDE = 8  # cells in each third of the fingerprint that is kept
 _ROUNDS = 12
+_BLOCK = 512  # digests
 _FREE_BITS = (14, 17, 35, 38, 56, 59)  # three each; cells go by the bits from 0, 21 and 42 on, fourteen at most
 _FOUND = "array<struct<n:int,k:long>>"
 _CELLS = "array<struct<n:int,k:long,h:long>>"
@@ -111,12 +112,13 @@ def _group(a: Column, b: Column) -> Column:
 
 
 def dealt(a: Column, b: Column) -> Column:
-    """Both sets in groups of about 16 digests together: an array of struct<a, b>.
+    """Both sets in blocks of at most about 512 digests together: an array of struct<a, b>.
 
-    Each level deals every group into eight by three more bits of the digest, none of which a table's cells go by. So a
-    digest is looked at eight times a level, and there are as many levels as the logarithm of the digests.
+    Each level deals every block into eight by three more bits of the digest, none of which a table's cells go by. So a
+    digest is looked at eight times a level, and there are as many levels as the logarithm of the digests; most texts
+    need none.
     """
-    levels = F.ceil(F.log(8.0, F.greatest(F.lit(1.0), (F.size(a) + F.size(b)) / (2.0 * SIDE))))
+    levels = F.ceil(F.log(8.0, F.greatest(F.lit(1.0), (F.size(a) + F.size(b)) / float(_BLOCK))))
     groups = F.array(F.struct(a.alias("a"), b.alias("b")))
 
     def split(groups: Column, shift: int) -> Column:
@@ -136,13 +138,20 @@ def with_difference(df: DataFrame, a: str, b: str, name: str, a_cells: str | Non
     """Add the digests in which the sets a and b differ, by subtracting and peeling their tables.
 
     The first try uses the kept fingerprints (`a_cells`, `b_cells`). Where they are too small, larger tables follow: the
-    digests are dealt into so many groups that each has a few, with a table of its own that is enlarged until it can be
-    peeled. So the work grows with the number of digests, not with its square.
+    digests are dealt into blocks, and a block into so many groups that each has a few, with a table of its own that is
+    enlarged until it can be peeled. So the work grows with the number of digests, not with its square.
     """
     fixed = F.lit(SIDE).cast("long")
     first = subtract(F.col(a_cells) if a_cells else sketch(F.col(a), fixed), F.col(b_cells) if b_cells else sketch(F.col(b), fixed))
     df = df.withColumn(name, let(peel(first, fixed), lambda t: F.when(_complete(t), t["found"])))
-    each = F.transform(dealt(F.col(a), F.col(b)), lambda g: _group(g["a"], g["b"]))
+
+    def block(g: Column) -> Column:
+        groups = F.greatest(F.lit(1), F.ceil((F.size(g["a"]) + F.size(g["b"])) / (2 * SIDE))).cast("long")
+        of = lambda keys, i: F.filter(keys, lambda k: F.pmod(F.shiftrightunsigned(k, 11), groups) == i)
+        each = F.sequence(F.lit(0).cast("long"), groups - 1)
+        return F.flatten(F.transform(each, lambda i: let(of(g["a"], i), lambda x: let(of(g["b"], i), lambda y: _group(x, y)))))
+
+    each = F.transform(dealt(F.col(a), F.col(b)), block)
     return df.withColumn(name, F.when(F.col(name).isNotNull(), F.col(name)).otherwise(F.flatten(each)))
 
 
