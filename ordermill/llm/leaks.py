@@ -1,9 +1,9 @@
 """Benchmark decontamination by latent semantic retrieval and alignment.
 
 Benchmark items are cut into segments that overlap by half, these into passages of 16 or 32 words. A randomised singular value
-decomposition of the TF-IDF vectors of these passages and of passages of a bounded sample of documents gives every
-benchmark word a short latent vector; document frequencies are counted over all documents. Each document is then read
-once: windows of 16 and 32 words, half of that apart, get the sum of their words' vectors, and those whose cosine
+decomposition of the TF-IDF vectors of these passages and of the passages of all documents gives every benchmark word a
+short latent vector; document frequencies are counted over all documents too. Each document is then read
+once more: windows of 16 and 32 words, half of that apart, get the sum of their words' vectors, and those whose cosine
 with a passage reaches `least_cosine` are aligned: the longest common subsequence of segment and region must hold most
 of the segment's words and half of their weight; of an item's last segment also half of its end, where the answer stands.
 """
@@ -25,6 +25,10 @@ SIZES = (16, 32)
 _STEP = 8  # words summed first; windows are 2 or 4 of these sums
 _WORDS_AT_ONCE = 30_000
 _ITEMS_AT_ONCE = 2000
+_PASSAGES_AT_ONCE = 1024
+_WORDS_A_SUM = 4_000_000  # of a task that sums; what it passes on has the size of the vocabulary by the rank
+_SLOT = 256  # words that are summed together over all tasks
+_FIXED = float(1 << 24)  # sums are of whole numbers, so their order does not matter
 _PUNCTUATION = bytes(32 if chr(b) in "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~" else b for b in range(256))
 
 
@@ -59,20 +63,53 @@ def passages_of(n: int) -> list[tuple[int, int]]:
     return [(size, o) for o in sorted({*range(0, max(1, n - size + 1), size), max(0, n - size)})]
 
 
-def _rows(ids: list[np.ndarray], idf: np.ndarray, scale: float) -> np.ndarray:
-    """Dense TF-IDF rows of some passages, each of length `scale`."""
-    out = np.zeros((len(ids), len(idf)))
-    for i, x in enumerate(ids):
-        np.add.at(out[i], x, idf[x])
-    return out * (scale / np.maximum(np.linalg.norm(out, axis=1, keepdims=True), 1e-9))
-
-
-def _sample(docs: DataFrame, n_docs: int, sample_docs: int) -> DataFrame:
-    unit = F.pmod(F.xxhash64(F.col("doc_id").cast("string"), F.lit("leaks")), F.lit(1 << 40)) / float(1 << 40)
-    return docs.where(unit < sample_docs / max(n_docs, 1)).select("text").repartition(8)
-
-
-def build_index(docs: DataFrame, items: list[tuple[int, list[bytes]]], rank: int, sample_docs: int) -> Index:
+def _sums(rows: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """Sums of the runs of rows that begin at `first`: one addition for the j-th rows of all runs that have one."""
+    size = np.diff(np.append(first, len(rows)))
+    order = np.argsort(-size, kind="stable")
+    begin, size = first[order], size[order]
+    out, j, many = np.zeros((len(first), rows.shape[1]), rows.dtype), 0, len(first)
+    while many >= 32:
+        out[:many] += rows.take(begin[:many] + j, axis=0)
+        j += 1
+        many = int(np.searchsorted(-size, -j))
+    for i in range(many):
+        out[i] += rows[begin[i] + j : begin[i] + size[i]].sum(axis=0)
+    back = np.empty_like(out)
+    back[order] = out
+    return back
+
+
+def _image(ids: np.ndarray, idf: np.ndarray, basis: np.ndarray) -> np.ndarray:
+    """A'(A basis) of the TF-IDF rows A, each of length one, of some passages: rows of word numbers, -1 for none."""
+    total = np.zeros(basis.shape)
+    weight = np.append(idf, 0.0).astype(np.float32)
+    worth = (idf[:, None] * basis).astype(np.float32)
+    for a in range(0, len(ids), _PASSAGES_AT_ONCE):
+        x = ids[a : a + _PASSAGES_AT_ONCE]
+        x = x[(x >= 0).any(axis=1)].astype(np.int32)
+        if not len(x):
+            continue
+        times = (x[:, :, None] == x[:, None, :]).sum(axis=2, dtype=np.int8)
+        square = (times * weight[x] ** 2).sum(axis=1)
+        known = x >= 0
+        word, size = x[known], known.sum(axis=1)
+        some = _sums(worth.take(word, axis=0), np.cumsum(size) - size) / np.maximum(square, 1e-9)[:, None]
+        at = np.argsort(word, kind="stable")
+        word = word[at]
+        first = np.flatnonzero(np.diff(word, prepend=-1))
+        total[word[first]] += _sums(some.take(np.repeat(np.arange(len(x)), size)[at], axis=0), first)
+    return total * idf[:, None]
+
+
+def _padded(passages: list[np.ndarray]) -> np.ndarray:
+    out = np.full((len(passages), SIZES[1]), -1)
+    for i, x in enumerate(passages):
+        out[i, : len(x)] = x
+    return out
+
+
+def build_index(docs: DataFrame, items: list[tuple[int, list[bytes]]], rank: int) -> Index:
     """The index of one block of items; what comes to the driver has the size of the block's vocabulary."""
     ship(__name__)
     spark = docs.sparkSession
@@ -80,15 +117,16 @@ def build_index(docs: DataFrame, items: list[tuple[int, list[bytes]]], rank: int
     sent, key = send(spark, vocabulary), new_key("leak-words")
 
     def frequencies(frames):
-        known, found, n = once("leaks.words", key, lambda: frozenset(sent())), Counter(), 0
+        known, found, n, length = once("leaks.words", key, lambda: frozenset(sent())), Counter(), 0, 0
         for frame in frames:
             for text in frame["text"]:
-                found.update(known.intersection(tokens(text)))
-                n += 1
-        yield pd.DataFrame({"word": pd.Series([*found, b""], dtype=object), "n": pd.Series([*found.values(), n], dtype="int64")})
+                words = tokens(text)
+                found.update(known.intersection(words))
+                n, length = n + 1, length + len(words)
+        yield pd.DataFrame({"word": pd.Series([*found, b"", b" "], dtype=object), "n": pd.Series([*found.values(), n, length], dtype="int64")})
 
     df = {bytes(r["word"]): r["n"] for r in docs.select("text").mapInPandas(frequencies, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n")).collect()}
-    n_docs = df.get(b"", 0)
+    n_docs, n_words = df.get(b"", 0), df.get(b" ", 0)
     idf = np.log((n_docs + 2) / (np.array([df.get(w, 0) for w in vocabulary]) + 1))
     number = {w: i for i, w in enumerate(vocabulary)}
     parts = [(item, segments_of(words)) for item, words in items]
@@ -98,15 +136,7 @@ def build_index(docs: DataFrame, items: list[tuple[int, list[bytes]]], rank: int
     own = [segments[k][1][o : o + size] for size, k, o in places]
 
     rank = min(rank, len(vocabulary))
-    width = min(rank + 16, len(vocabulary))
-    basis = np.random.default_rng(7).standard_normal((len(vocabulary), width))
-    sample = _sample(docs, n_docs, sample_docs)
-    for _ in range(2):  # (A'A) times a random matrix, then times what came out: one power iteration
-        image = _gram(sample, number, idf, basis) + (lambda a: a.T @ (a @ basis))(_rows(own, idf, 1.0))
-        basis, _ = np.linalg.qr(image)
-    small = basis.T @ (_gram(sample, number, idf, basis) + (lambda a: a.T @ (a @ basis))(_rows(own, idf, 1.0)))
-    _, turn = np.linalg.eigh((small + small.T) / 2)
-    right = basis @ turn[:, ::-1][:, :rank]
+    right = _leading(docs, number, idf, _padded(own), min(rank + 16, len(vocabulary)), n_words)[:, :rank]
 
     vectors = np.concatenate([idf[:, None] * right, np.zeros((1, rank))]).astype(np.float32)
     weight = np.concatenate([idf**2, [np.log(n_docs + 2) ** 2]]).astype(np.float32)
@@ -121,29 +151,59 @@ def build_index(docs: DataFrame, items: list[tuple[int, list[bytes]]], rank: int
     return Index(number, vectors, weight, segments, last, passages, 0.6 * float(np.median(share)) if len(share) else 0.5)
 
 
-def _gram(sample: DataFrame, number: dict[bytes, int], idf: np.ndarray, basis: np.ndarray) -> np.ndarray:
-    """A'(A basis) over the passages of the sample: each of its eight tasks sums its part; weighted as one benchmark."""
-    sent, key = send(sample.sparkSession, (number, idf, basis)), new_key("leak-gram")
+def _leading(docs: DataFrame, number: dict[bytes, int], idf: np.ndarray, own: np.ndarray, width: int, n_words: int) -> np.ndarray:
+    """Leading right singular vectors of the passages of the benchmark and of all documents, which weigh as 100 passages.
+
+    One pass over the documents multiplies a random start by A'A; from that image comes the approximation of A'A with the
+    start's width (Nystrom's). A start drawn towards the benchmark, or a second pass, finds fewer leaks: vectors that fit the
+    benchmark's passages closely fit windows that begin elsewhere less.
+    """
+    start, _ = np.linalg.qr(np.random.default_rng(7).standard_normal((len(number), width)))
+    image = _gram(docs, number, idf, start, n_words) + _image(own, idf, start)
+    shift = 1e-7 * np.linalg.norm(image)
+    image = image + shift * start
+    core = start.T @ image
+    value, turn = np.linalg.eigh((core + core.T) / 2)
+    return np.linalg.svd(image @ (turn / np.sqrt(np.maximum(value, max(shift, 1e-12)))), full_matrices=False)[0]
+
+
+def _gram(docs: DataFrame, number: dict[bytes, int], idf: np.ndarray, basis: np.ndarray, n_words: int) -> np.ndarray:
+    """A'(A basis) over the passages of all documents, weighted as 100 passages: tasks sum parts, then slots of words are summed."""
+    sent, key = send(docs.sparkSession, (number, idf, basis)), new_key("leak-gram")
+    width = basis.shape[1]
 
     def part(frames):
         number, idf, basis = once("leaks.gram", key, sent)
-        total, n, held = np.zeros_like(basis), 0, []
+        total, n = np.zeros_like(basis), 0
         for frame in frames:
-            for text in frame["text"]:
-                ids = np.array([number.get(w, -1) for w in tokens(text)], np.int64)
-                held += [x[x >= 0] for x in np.split(ids, range(SIZES[1], len(ids), SIZES[1]))]
-                if len(held) >= 500:
-                    a = _rows(held, idf, 1.0)
-                    total, n, held = total + a.T @ (a @ basis), n + len(held), []
+            for block in text_blocks(frame, "text"):
+                held = []
+                for text in block["text"]:
+                    ids = [number.get(w, -1) for w in tokens(text)]
+                    held.append(np.array(ids + [-1] * (-len(ids) % SIZES[1]), np.int64))
+                x = np.concatenate(held).reshape(-1, SIZES[1])
+                total, n = total + _image(x, idf, basis), n + len(x)
+        if n:
+            whole = np.rint(total * _FIXED).astype(np.int64)
+            slots = range(0, len(whole), _SLOT)
+            yield pd.DataFrame({"slot": [s // _SLOT for s in slots], "n": n, "total": [whole[s : s + _SLOT].tobytes() for s in slots]})
+
+    def summed(frames):
+        held: dict[int, list] = {}
+        for frame in frames:
+            for slot, n, total in zip(frame["slot"], frame["n"], frame["total"], strict=True):
+                before = held.get(slot, (0, 0))
+                held[slot] = (before[0] + n, before[1] + np.frombuffer(total, np.int64))
         if held:
-            a = _rows(held, idf, 1.0)
-            total, n = total + a.T @ (a @ basis), n + len(held)
-        yield pd.DataFrame({"n": [n], "total": [total.tobytes()]})
+            yield pd.DataFrame({"slot": list(held), "n": [n for n, _ in held.values()], "total": [t.tobytes() for _, t in held.values()]})
 
-    parts = sample.mapInPandas(part, "n long, total binary").collect()  # eight matrices of the vocabulary by the rank
-    n = sum(r["n"] for r in parts)
-    total = sum((np.frombuffer(r["total"]).reshape(basis.shape) for r in parts), np.zeros_like(basis))
-    return total * (100 / max(n, 1))
+    schema = "slot long, n long, total binary"
+    parts = docs.select("text").coalesce(1 + n_words // _WORDS_A_SUM).mapInPandas(part, schema)
+    sums = parts.repartition(1 + len(number) // _SLOT, "slot").mapInPandas(summed, schema).collect()  # the vocabulary by the width
+    if not sums:
+        return np.zeros_like(basis)
+    total = np.concatenate([np.frombuffer(r["total"], np.int64) for r in sorted(sums, key=lambda r: r["slot"])])
+    return total.reshape(-1, width) * (100 / _FIXED / sums[0]["n"])
 
 
 def common(masks: dict[int, int], n: int, region: list[int], least: float) -> int:
@@ -242,7 +302,7 @@ class Finder:
             found[item] = (share, min(1.0, cosine), begin)
 
 
-def find_leaks(docs: DataFrame, benchmark: DataFrame, least_cosine: float = 0.45, least_common: float = 0.7, rank: int = 96, sample_docs: int = 1000) -> DataFrame:
+def find_leaks(docs: DataFrame, benchmark: DataFrame, least_cosine: float = 0.45, least_common: float = 0.7, rank: int = 96) -> DataFrame:
     """doc_id, contaminated, item_ids, common, cosine: one row per document (doc_id, text).
 
     item_ids are the items (item_id, text) found in it, in order; common and cosine belong to the item it holds most of
@@ -250,7 +310,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, least_cosine: float = 0.45
     of items, each a pass over the documents; its size is counted first. Other columns are not used.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    search = _search(docs, benchmark, least_cosine, least_common, rank, sample_docs)
+    search = _search(docs, benchmark, least_cosine, least_common, rank)
 
     def run(frames):
         for frame in frames:
@@ -268,9 +328,9 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, least_cosine: float = 0.45
     return docs.mapInPandas(run, "doc_id long, contaminated boolean, item_ids array<long>, common double, cosine double")
 
 
-def drop_leaks(docs: DataFrame, benchmark: DataFrame, least_cosine: float = 0.45, least_common: float = 0.7, rank: int = 96, sample_docs: int = 1000) -> DataFrame:
+def drop_leaks(docs: DataFrame, benchmark: DataFrame, least_cosine: float = 0.45, least_common: float = 0.7, rank: int = 96) -> DataFrame:
     """The rows of docs, all columns, without those in which `find_leaks` finds an item."""
-    search = _search(docs, benchmark, least_cosine, least_common, rank, sample_docs)
+    search = _search(docs, benchmark, least_cosine, least_common, rank)
 
     def run(frames):
         for frame in frames:
@@ -280,7 +340,7 @@ def drop_leaks(docs: DataFrame, benchmark: DataFrame, least_cosine: float = 0.45
     return docs.mapInPandas(run, docs.schema)
 
 
-def _search(docs: DataFrame, benchmark: DataFrame, least_cosine: float, least_common: float, rank: int, sample_docs: int):
+def _search(docs: DataFrame, benchmark: DataFrame, least_cosine: float, least_common: float, rank: int):
     """A function for tasks: the items found in each of some texts."""
     ship(__name__)
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").where(F.col("item_id").isNotNull() & F.col("text").isNotNull())
@@ -290,7 +350,7 @@ def _search(docs: DataFrame, benchmark: DataFrame, least_cosine: float, least_co
         block = items.where(F.pmod(F.xxhash64("item_id"), F.lit(blocks)) == b).orderBy("item_id", "text").collect()  # bounded by the block
         some = [(r["item_id"], words) for r in block if (words := tokens(r["text"]))]
         if some:
-            finders.append((send(docs.sparkSession, build_index(docs, some, rank, sample_docs)), new_key("leaks")))
+            finders.append((send(docs.sparkSession, build_index(docs, some, rank)), new_key("leaks")))
 
     def search(texts) -> list[dict]:
         texts = [t or "" for t in texts]

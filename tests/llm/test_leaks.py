@@ -95,3 +95,30 @@ def test_segments_cover_every_word():
         starts = [s[0] for s in got]
         assert all(len(s) == min(n, leaks.SEGMENT) for s in got) and got[-1][-1] == n - 1
         assert starts[0] == 0 and all(0 < b - a <= leaks.SEGMENT // 2 for a, b in zip(starts, starts[1:]))
+
+
+def test_the_basis_is_that_of_all_documents(spark, docs):
+    """Half of 2400 documents, those a draw of 1000 by doc_id leaves out, hold three of the four topics."""
+    import numpy as np
+    from pyspark.sql import functions as F
+
+    unit = F.pmod(F.xxhash64(F.col("id").cast("string"), F.lit("leaks")), F.lit(1 << 40)) / float(1 << 40)
+    drawn = [r[0] for r in spark.range(2400).select(unit < 1000 / 2400).collect()]
+    rnd = random.Random(8)
+    rows = [(d, " ".join(f"{0 if drawn[d] else 1 + d % 3}x{rnd.randrange(12)}" for _ in range(70))) for d in range(2400)]
+    items = [(i, [f"{t}x{w}".encode() for t in range(4) for w in range(i, 12, 2)]) for i in range(2)]
+    index = leaks.build_index(docs(*rows), items, 4)
+    words = sorted(index.number, key=index.number.get)
+    found = [set(leaks.tokens(t)) for _, t in rows]
+    idf = np.log(2402 / (np.array([sum(w in f for f in found) for w in words]) + 1))
+
+    def gram(passages):
+        a = np.array([[p.count(w) for w in words] for p in passages]) * idf
+        a /= np.linalg.norm(a, axis=1, keepdims=True)
+        return a.T @ a
+
+    cut = [leaks.tokens(t)[o : o + 32] for _, t in rows for o in (0, 32, 64)]
+    own = [w[o : o + 32] for _, w in items for _, o in leaks.passages_of(len(w))]
+    whole = gram(cut) * 100 / len(cut) + gram(own)
+    right = index.vectors[:-1] / idf[:, None]
+    assert np.trace(right.T @ whole @ right) >= 0.99 * np.linalg.eigvalsh(whole)[-4:].sum()
