@@ -1,19 +1,22 @@
 """Language-model scoring with back-off over words.
 
 Every word, pair and triple of the training documents is counted; those seen `least` times (words: once) stay, at any
-size of the input, as tables. An n-gram is named by a 64-bit number made from the hashes of its words, so rare words
-are in pairs and triples like all others. A context is a state of a back-off automaton: an n-gram is an arc with
-its discounted probability, and the failure arc leads to the shorter context with the weight that makes the probabilities
-of a state sum to one. At the root, a word's probability is the add-half share over all words and one unknown word.
-
-What an n-gram adds to the score of a text does not depend on where it stands, so a score is a sum over the text's
-words, pairs and triples, each with one value. Texts go in blocks of some million tokens: the different n-grams of a block are dealt
-to buckets by their numbers, each bucket looks up its values for all blocks, and these come back to their block.
+size of the input. An n-gram is named by a 64-bit number made from the hashes of its words, so rare words are in pairs
+and triples like all others. A context is a state of a back-off automaton: an n-gram is an arc with its discounted
+probability, and the failure arc leads to the shorter context with the weight that makes the probabilities of a state
+sum to one. At the root, a word's probability is the add-half share over all words and one unknown word.
+
+Texts go in blocks of some million tokens. The different n-grams of a block are dealt to buckets by their numbers, sorted
+and packed; each bucket adds up the counts of all blocks and tells each block the whole ones. As an n-gram's parts are in
+its own block, a block then knows the probabilities of all its arcs. Of each n-gram one block is named that adds its
+probability to its context; the sums of a context, again by buckets, give its weight. With both, a block follows the
+states of its texts, all tokens at once: where a state has no arc for the next word, it takes the weight and the failure arc.
 `Automaton`, `assemble` and `count_grams` are the same model in memory, for a bounded number of n-grams.
 """
 
 from __future__ import annotations
 
+import zlib
 from collections import Counter
 from dataclasses import dataclass, field
 from math import log10
@@ -31,7 +34,7 @@ _BLOCK_TOKENS = 4_000_000
 _DISTINCT_AT_ONCE = 400_000
 _CANDIDATES_AT_ONCE = 1_000_000
 _LOCAL = 0.5  # of the share: what a block names
-_COUNTED_AT_ONCE = 4_000_000  # tokens of a block
+_COUNTED_AT_ONCE = 2_000_000  # tokens of a block
 _TOKENS_A_BUCKET = 500_000
 _SEED = 42  # Spark's own for xxhash64
 
@@ -285,19 +288,6 @@ def _hashed(frame: pd.DataFrame, vocabulary: np.ndarray) -> tuple[np.ndarray, np
     return np.concatenate(held), np.repeat(np.arange(len(held)), [len(x) for x in held])
 
 
-def _by_block(frames):
-    """Rows of one block at a time; what a task reads of a block stands together."""
-    held: list[pd.DataFrame] = []
-    for frame in frames:
-        for block, part in frame.groupby("block", sort=False):
-            if held and held[-1]["block"].iloc[0] != block:
-                yield pd.concat(held, ignore_index=True)
-                held = []
-            held.append(part)
-    if held:
-        yield pd.concat(held, ignore_index=True)
-
-
 def _vocabulary_hashes(words: list[str]) -> np.ndarray:
     """By id, and one more that -1 finds."""
     from xxhash import xxh64_intdigest
@@ -305,116 +295,229 @@ def _vocabulary_hashes(words: list[str]) -> np.ndarray:
     return np.array([*[xxh64_intdigest(w.encode(), _SEED) for w in words], 0], np.uint64)
 
 
-def all_grams(tokens: DataFrame, vocabulary: list[str], order: int, least: int) -> DataFrame:
-    """k, code, context, suffix, n: every pair, triple, ... with at least `least` occurrences, and the numbers of it
-    without its last and without its first word."""
-    sent, key = send(tokens.sparkSession, vocabulary), new_key("hashes")
-
-    def run(frames):
-        hashes = once("lm.hashes", key, lambda: _vocabulary_hashes(sent()))
-        for block in _by_block(frames):
-            word, text = _hashed(block, hashes)
-            codes = gram_codes(word, text, order)
-            for k in range(2, order + 1):
-                (shorter, begins), (code, at) = codes[k - 2], codes[k - 1]
-                code, first, n = np.unique(code, return_index=True, return_counts=True)
-                where = at[first]
-                context, suffix = (shorter[np.searchsorted(begins, w)] for w in (where, where + 1))
-                yield pd.DataFrame({"k": np.int32(k), "code": code.view(np.int64), "context": context.view(np.int64), "suffix": suffix.view(np.int64), "n": n})
-
-    found = tokens.select("ids", "hashes", "block").mapInPandas(run, "k int, code long, context long, suffix long, n long")
-    summed = found.groupBy("k", "code").agg(F.min("context").alias("context"), F.min("suffix").alias("suffix"), F.sum("n").alias("n"))
-    return stage(summed.where(F.col("n") >= least), "grams")
+@dataclass
+class Level:
+    """The n-grams of one length in some texts: the different ones, and where each stands."""
 
+    code: np.ndarray  # sorted numbers
+    first: np.ndarray  # the token at which each begins somewhere
+    times: np.ndarray  # how often each stands in texts to learn from
+    begins: np.ndarray  # the token each one of all begins at
+    place: np.ndarray  # which of the different ones that is
 
-def gram_values(counts: DataFrame, grams: DataFrame, n: int, v: int, order: int) -> DataFrame:
-    """code, n, value: what each occurrence of a word, pair, triple, ... adds to a score beyond the words' own shares.
 
-    With the words at the root, an n-gram adds log p(last | context) - log p(last | shorter context) in place of its
-    context's weight, which each occurrence of the context adds.
-    """
-    level = stage(counts.select(F.xxhash64("word").alias("code"), "n", ((F.col("n") + 0.5) / F.lit(n + 0.5 * (v + 1))).alias("p")), "unigrams")
-    lifts = level.select("code", "n", F.lit(0.0).alias("lift"))
+def levels_of(word: np.ndarray, text: np.ndarray, learned: np.ndarray, order: int) -> list[Level]:
+    """The n-grams up to `order` words of some tokens in a row; `learned` says which texts are learned from."""
     out = []
-    for k in range(2, order + 1):
-        # An n-gram is never more frequent than its parts, so both parts are in the level before.
-        shorter = level.select(F.col("code").alias("context"), F.col("n").alias("whole")).hint("merge")
-        lower = level.select(F.col("code").alias("suffix"), F.col("p").alias("lower")).hint("merge")
-        some = stage(grams.where(F.col("k") == k).drop("k").join(shorter, "context"), "with-context")
-        level = stage(some.join(lower, "suffix").select("code", "context", "n", ((F.col("n") - DISCOUNT) / F.col("whole")).alias("p"), "lower"), "arcs")
-        left = lambda c: F.greatest(F.lit(1e-12), 1 - F.sum(c))
-        weights = stage(level.groupBy("context").agg((F.log10(left("p")) - F.log10(left("lower"))).alias("weight")), "weights")
-        out.append(lifts.join(weights.withColumnRenamed("context", "code"), "code", "left").select("code", "n", (F.col("lift") + F.coalesce("weight", F.lit(0.0))).alias("value")))
-        lifts = level.join(weights, "context").select("code", "n", (F.log10("p") - F.log10("lower") - F.col("weight")).alias("lift"))
-        lifts = stage(lifts, "lifts") if k < order else lifts
-    for part in out:
-        lifts = lifts.unionByName(part.withColumnRenamed("value", "lift"))
-    return stage(lifts.withColumnRenamed("lift", "value").where("value <> 0"), "values")
+    for code, begins in gram_codes(word, text, order):
+        sort = np.argsort(code)
+        code = code[sort]
+        new = np.ones(len(code), bool)
+        new[1:] = code[1:] != code[:-1]
+        at = np.flatnonzero(new)
+        place = np.empty(len(code), np.int32)
+        place[sort] = np.cumsum(new, dtype=np.int32) - 1
+        times = np.bincount(place, learned[text[begins]], len(at)).astype(np.int64)
+        out.append(Level(code[at], begins[sort[at]], times, begins, place))
+    return out
 
 
 def _pack(codes: np.ndarray) -> bytes:
     """Sorted numbers as steps, their bytes by place, so that the leading zeros stand together."""
-    return np.diff(codes, prepend=np.uint64(0)).view(np.uint8).reshape(-1, 8).T.tobytes()
+    return _planes(np.diff(codes, prepend=np.uint64(0)))
 
 
 def _unpack(packed: bytes) -> np.ndarray:
-    return np.ascontiguousarray(np.frombuffer(packed, np.uint8).reshape(8, -1).T).view(np.uint64).ravel().cumsum(dtype=np.uint64)
+    return _from_planes(packed, np.uint64).cumsum(dtype=np.uint64)
 
 
-def gains(tokens: DataFrame, vocabulary: list[str], values: DataFrame, order: int, n_tokens: int) -> DataFrame:
-    """row, gain: the sum of the values of all n-grams of each row."""
-    sent, key = send(tokens.sparkSession, vocabulary), new_key("hashes")
-    bits = max(3, (n_tokens // _TOKENS_A_BUCKET).bit_length())
+def _planes(x: np.ndarray) -> bytes:
+    """64-bit numbers, compressed, their bytes by place."""
+    return zlib.compress(x.view(np.uint8).reshape(-1, 8).T.tobytes(), 1)
 
-    def own(rows: pd.DataFrame):
-        """The different n-grams' sorted numbers, and of every n-gram its row and its place among these."""
-        hashes = once("lm.hashes", key, lambda: _vocabulary_hashes(sent()))
-        word, text = _hashed(rows, hashes)
-        found = gram_codes(word, text, order)
-        codes = np.unique(np.concatenate([np.unique(c) for c, _ in found]))
-        return codes, ((text[at], np.searchsorted(codes, c)) for c, at in found)
 
-    def name(frames):
-        for block in _by_block(frames):
-            codes, _ = own(block)
-            bucket = (codes >> np.uint64(64 - bits)).astype(np.int64)
-            edge = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1], [True]])).tolist()
-            spans = list(zip(edge[:-1], edge[1:], strict=True))
-            # A task may read only a part of a block: that is known by its first row.
-            yield pd.DataFrame({"bucket": bucket[edge[:-1]], "block": block["block"].iloc[0], "part": block["row"].iloc[0], "codes": [_pack(codes[s:e]) for s, e in spans]})
-
-    def look_up(asked: pd.DataFrame, known: pd.DataFrame) -> pd.DataFrame:
-        codes = known["code"].to_numpy(np.int64).view(np.uint64)
+def _from_planes(packed: bytes, kind) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(zlib.decompress(packed), np.uint8).reshape(8, -1).T).view(kind).ravel()
+
+
+def _spans(codes: np.ndarray, bits: int) -> tuple[np.ndarray, list[tuple[int, int]]]:
+    """The buckets of sorted numbers, and the begin and end of each bucket's."""
+    bucket = (codes >> np.uint64(64 - bits)).astype(np.int64)
+    edge = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1], [True]])) if len(codes) else np.zeros(1, np.int64)
+    return bucket[edge[:-1]], list(zip(edge[:-1].tolist(), edge[1:].tolist(), strict=True))
+
+
+@dataclass
+class Backoff:
+    """What tasks need to count the n-grams of blocks and to follow the states of their texts."""
+
+    hashes: np.ndarray  # of the words with ids, and one more that -1 finds
+    order: int
+    least: int
+    n: int  # training tokens
+    v: int  # different ones
+    bits: int  # of a number that name its bucket
+
+    def levels(self, rows: pd.DataFrame) -> tuple[list[Level], np.ndarray, np.ndarray]:
+        """The rows' n-grams by length; all their different numbers, sorted, and where each level's are among these."""
+        word, text = _hashed(rows, self.hashes)
+        levels = levels_of(word, text, ~rows["held_out"].to_numpy(bool), self.order)
+        codes = np.concatenate([x.code for x in levels])
+        sort = np.argsort(codes)
+        return levels, codes[sort], sort
+
+    def asked(self, rows: pd.DataFrame) -> pd.DataFrame:
+        """The different n-grams of some rows by bucket, and how often each stands in texts to learn from."""
+        levels, codes, sort = self.levels(rows)
+        times = np.concatenate([x.times for x in levels])[sort]
+        buckets, spans = _spans(codes, self.bits)
+        # A task may read only a part of a block: that is known by its first row.
+        return pd.DataFrame({"bucket": buckets, "block": rows["block"].iloc[0], "part": rows["row"].iloc[0], "codes": [_pack(codes[s:e]) for s, e in spans], "times": [_planes(times[s:e]) for s, e in spans]})
+
+    def counted(self, levels: list[Level], sort: np.ndarray, told: pd.DataFrame) -> tuple[list[np.ndarray], list[np.ndarray], list[np.ndarray]]:
+        """For each length: whole counts, the log of arcs' probabilities (nan: no arc), and whether this block adds the arc to its context."""
+        both = np.concatenate([_from_planes(t, np.int64) for t in told.sort_values("bucket")["told"]])
+        back = np.empty_like(both)
+        back[sort] = both
+        parts = np.split(back, np.cumsum([len(x.code) for x in levels])[:-1])
+        counts, adds = [p >> 1 for p in parts], [(p & 1).astype(bool) for p in parts]
+        logs = [np.log10((counts[0] + 0.5) / (self.n + 0.5 * (self.v + 1)))]
+        for k in range(1, self.order):
+            some = np.flatnonzero(counts[k] >= self.least)
+            log = np.full(len(counts[k]), np.nan)
+            log[some] = np.log10((counts[k][some] - DISCOUNT) / counts[k - 1][_part(levels, k, some, 0)])
+            logs.append(log)
+        return counts, logs, adds
+
+    def sums(self, rows: pd.DataFrame, told: pd.DataFrame) -> pd.DataFrame:
+        """By bucket, the contexts in some rows with what these rows add to the sums of each: its arcs' probabilities, and the
+        shorter context's for the same words."""
+        levels, _, sort = self.levels(rows)
+        counts, logs, adds = self.counted(levels, sort, told)
+        codes, taken, other = [], [], []
+        for k in range(1, self.order):
+            some = np.flatnonzero(adds[k] & (counts[k] >= self.least))
+            context, suffix, size = _part(levels, k, some, 0), _part(levels, k, some, 1), len(counts[k - 1])
+            kept = counts[k - 1] >= self.least
+            codes.append(levels[k - 1].code[kept])
+            taken.append(np.bincount(context, 10 ** logs[k][some], size)[kept])
+            other.append(np.bincount(context, 10 ** logs[k - 1][suffix], size)[kept])
+        codes, taken, other = (np.concatenate(x) for x in (codes, taken, other))
         sort = np.argsort(codes)
-        codes, value = codes[sort], np.append(known["value"].to_numpy(np.float64)[sort], 0.0)
-        told = [value[found_at(codes, _unpack(c))].tobytes() for c in asked["codes"]]
-        return pd.DataFrame({"block": asked["block"], "part": asked["part"], "bucket": asked["bucket"], "told": pd.Series(told, dtype=object)})
+        codes, taken, other = codes[sort], taken[sort], other[sort]
+        buckets, spans = _spans(codes, self.bits)
+        return pd.DataFrame({"bucket": buckets, "block": rows["block"].iloc[0], "part": rows["row"].iloc[0], "codes": [_pack(codes[s:e]) for s, e in spans], "taken": [_planes(taken[s:e]) for s, e in spans], "other": [_planes(other[s:e]) for s, e in spans]})
+
+    def gain(self, rows: pd.DataFrame, told: pd.DataFrame, weighed: pd.DataFrame) -> np.ndarray:
+        """What following the states adds to the sum of the words' probabilities at the root, for each row."""
+        levels, _, sort = self.levels(rows)
+        counts, logs, _ = self.counted(levels, sort, told)
+        kept = [counts[k] >= self.least for k in range(self.order - 1)]
+        codes = np.concatenate([x.code[some] for x, some in zip(levels, kept, strict=False)])
+        weight = np.empty(len(codes))
+        weight[np.argsort(codes)] = np.concatenate([_from_planes(w, np.float64) for w in weighed.sort_values("bucket")["weights"]] or [weight])
+        weight = np.split(weight, np.cumsum([k.sum() for k in kept]))
+        weights = [np.zeros(len(x.code)) for x in levels]
+        for k, some in enumerate(kept):
+            weights[k][some] = weight[k]
+        text = np.repeat(np.arange(len(rows)), rows["n_tokens"])
+        root = logs[0][levels[0].place]
+        added, open_ = np.zeros(len(text)), np.ones(len(text), bool)  # by a token; still without an arc
+        for k in range(self.order - 1, 0, -1):
+            begins, place = levels[k].begins, levels[k].place
+            last = begins + k
+            some = open_[last]
+            begins, place, last = begins[some], place[some], last[some]
+            log = logs[k][place]
+            arc = ~np.isnan(log)
+            added[last[arc]] += log[arc] - root[last[arc]]
+            open_[last[arc]] = False
+            at = np.searchsorted(levels[k - 1].begins, begins[~arc])
+            added[last[~arc]] += weights[k - 1][levels[k - 1].place[at]]
+        return np.bincount(text, added, len(rows))
+
+
+def _part(levels: list[Level], k: int, some: np.ndarray, skip: int) -> np.ndarray:
+    """Which of the shorter n-grams some of the different (k + 1)-grams begin with (skip 0) or end with (skip 1)."""
+    shorter = levels[k - 1]
+    return shorter.place[np.searchsorted(shorter.begins, levels[k].first[some] + skip)]
+
+
+def _whole_counts(asked: pd.DataFrame) -> pd.DataFrame:
+    """Of one bucket: twice the sum of all parts' counts, plus one for the first part that has the n-gram."""
+    asked = asked.sort_values(["block", "part"], ignore_index=True)
+    codes = [_unpack(c) for c in asked["codes"]]
+    _, first, place = np.unique(np.concatenate(codes), return_index=True, return_inverse=True)
+    times = np.bincount(place, np.concatenate([_from_planes(t, np.int64) for t in asked["times"]])).astype(np.int64)
+    both = times[place] * 2
+    both[first] += 1
+    told = np.split(both, np.cumsum([len(c) for c in codes])[:-1])
+    return asked[["block", "part", "bucket"]].assign(told=[_planes(np.ascontiguousarray(t)) for t in told])
+
+
+def _whole_weights(sums: pd.DataFrame) -> pd.DataFrame:
+    """Of one bucket: the log weight of each context for each part that asks."""
+    sums = sums.sort_values(["block", "part"], ignore_index=True)
+    codes = [_unpack(c) for c in sums["codes"]]
+    _, place = np.unique(np.concatenate(codes), return_inverse=True)
+    left = [np.log10(np.maximum(1e-12, 1 - np.bincount(place, np.concatenate([_from_planes(x, np.float64) for x in sums[c]])))) for c in ("taken", "other")]
+    told = np.split((left[0] - left[1])[place], np.cumsum([len(c) for c in codes])[:-1])
+    return sums[["block", "part", "bucket"]].assign(weights=[_planes(np.ascontiguousarray(t)) for t in told])
+
+
+def _parts(rows: pd.DataFrame, *told: pd.DataFrame):
+    """The parts of a block in the order of their rows, each with what it was told."""
+    rows = rows.sort_values("row", ignore_index=True)
+    parts = np.sort(told[0]["part"].unique())
+    edge = [*np.searchsorted(rows["row"].to_numpy(), parts).tolist(), len(rows)]
+    for part, s, e in zip(parts.tolist(), edge[:-1], edge[1:], strict=True):
+        yield rows.iloc[s:e], *(t[t["part"] == part] for t in told)
+
+
+def gains(tokens: DataFrame, vocabulary: list[str], n: int, v: int, order: int, least: int) -> DataFrame:
+    """row, gain: what the back-off states add to the score of each row."""
+    bits = max(3, (n // _TOKENS_A_BUCKET).bit_length())
+    sent, key = send(tokens.sparkSession, (vocabulary, order, least, n, v, bits)), new_key("backoff")
+
+    def made() -> Backoff:
+        vocabulary, *rest = sent()
+        return Backoff(_vocabulary_hashes(vocabulary), *rest)
+
+    def ask(frames):
+        backoff = once("lm.backoff", key, made)
+        for block in _by_block(frames):
+            yield backoff.asked(block)
+
+    def sums(rows: pd.DataFrame, told: pd.DataFrame) -> pd.DataFrame:
+        backoff = once("lm.backoff", key, made)
+        return pd.concat([backoff.sums(*part) for part in _parts(rows, told)])
 
     def add(rows: pd.DataFrame, told: pd.DataFrame) -> pd.DataFrame:
-        rows, out = rows.sort_values("row", ignore_index=True), []
-        parts = np.sort(told["part"].unique())
-        edge = [*np.searchsorted(rows["row"].to_numpy(), parts).tolist(), len(rows)]
-        for part, s, e in zip(parts.tolist(), edge[:-1], edge[1:], strict=True):
-            some, gain = rows.iloc[s:e], np.zeros(e - s)
-            value = np.frombuffer(b"".join(told[told["part"] == part].sort_values("bucket")["told"]))
-            for text, place in own(some)[1]:
-                gain += np.bincount(text, value[place], minlength=e - s)
-            out.append(pd.DataFrame({"row": some["row"], "gain": gain}))
-        return pd.concat(out)
-
-    blocks = tokens.select("row", "ids", "hashes", "block")
-    asked = blocks.mapInPandas(name, "bucket long, block long, part long, codes binary")
-    known = values.select(F.shiftrightunsigned("code", 64 - bits).alias("bucket"), "code", "value")
-    told = asked.groupBy("bucket").cogroup(known.groupBy("bucket")).applyInPandas(look_up, "block long, part long, bucket long, told binary")
-    return blocks.groupBy("block").cogroup(told.groupBy("block")).applyInPandas(add, "row long, gain double")
-
-
-def found_at(codes: np.ndarray, wanted: np.ndarray) -> np.ndarray:
-    """The place of each wanted number in sorted ones, -1 where it is not among them."""
-    if not len(codes):
-        return np.full(len(wanted), -1)
-    place = np.minimum(np.searchsorted(codes, wanted), len(codes) - 1)
-    return np.where(codes[place] == wanted, place, -1)
+        backoff = once("lm.backoff", key, made)
+        weighed, told = told[told["told"].isna()], told[told["told"].notna()]
+        return pd.concat([pd.DataFrame({"row": some["row"], "gain": backoff.gain(some, *both)}) for some, *both in _parts(rows, told, weighed)])
+
+    blocks = tokens.select("row", "held_out", "n_tokens", "ids", "hashes", "block")
+    asked = blocks.mapInPandas(ask, "bucket long, block long, part long, codes binary, times binary")
+    told = stage(asked.groupBy("bucket").applyInPandas(_whole_counts, "block long, part long, bucket long, told binary"), "counts")
+    parts = blocks.groupBy("block").cogroup(told.groupBy("block")).applyInPandas(sums, "bucket long, block long, part long, codes binary, taken binary, other binary")
+    weighed = parts.groupBy("bucket").applyInPandas(_whole_weights, "block long, part long, bucket long, weights binary")
+    all_told = told.withColumn("weights", F.lit(None).cast("binary")).unionByName(weighed.withColumn("told", F.lit(None).cast("binary")))
+    return blocks.groupBy("block").cogroup(all_told.groupBy("block")).applyInPandas(add, "row long, gain double")
+
+
+def _by_block(frames):
+    """Rows of one block at a time, as far as a task reads them without a gap."""
+    held: list[pd.DataFrame] = []
+    for frame in frames:
+        new = (frame["block"].diff() != 0) | (frame["row"].diff() != 1)
+        for _, part in frame.groupby(new.cumsum(), sort=False):
+            if held and (held[-1]["block"].iloc[-1] != part["block"].iloc[0] or held[-1]["row"].iloc[-1] + 1 != part["row"].iloc[0]):
+                yield pd.concat(held, ignore_index=True)
+                held = []
+            held.append(part)
+    if held:
+        yield pd.concat(held, ignore_index=True)
 
 
 def score(docs: DataFrame, held_out: Column, order: int = 3, word_share: float = 1e-6, least: int = 2) -> DataFrame:
@@ -433,8 +536,6 @@ def score(docs: DataFrame, held_out: Column, order: int = 3, word_share: float =
     frequent = counts.where(F.col("n") >= word_share * n).orderBy(F.desc("n"), "word").toPandas()  # at most 1 / word_share
     vocabulary, times = frequent["word"].tolist(), [int(c) for c in frequent["n"]]
     tokens = stage(tokenise(docs, vocabulary).withColumn("row", F.monotonically_increasing_id()), "tokens")
-    found = all_grams(tokens.where(~F.col("held_out")), vocabulary, order, least)
-    values = gram_values(counts, found, n, v, order)
     sent, key = send(spark, [log10((c + 0.5) / (n + 0.5 * (v + 1))) for c in times]), new_key("root")
 
     def walk(frames):
@@ -444,7 +545,7 @@ def score(docs: DataFrame, held_out: Column, order: int = 3, word_share: float =
             yield frame.drop(columns=["ids"]).assign(known=[int((i >= 0).sum()) for i in ids], base=[float(root[i].sum()) for i in ids])
 
     walked = tokens.select("row", "doc_id", "held_out", "n_tokens", "ids").mapInPandas(walk, "row long, doc_id long, held_out boolean, n_tokens long, known long, base double")
-    gained = gains(tokens, vocabulary, values, order, n)
+    gained = gains(tokens, vocabulary, n, v, order, least)
     rare = tokens.select("row", F.explode(F.arrays_zip("rare", "times")).alias("x")).select("row", F.col("x.rare").alias("word"), F.col("x.times").alias("times"))
     c = F.coalesce("n", F.lit(0))
     share = F.log10((c + 0.5) / F.lit(n + 0.5 * (v + 1)))

@@ -103,3 +103,16 @@ def test_score_is_that_of_all_repeated_grams(docs, texts):
         for d, s in seqs.items():
             ids = [number.get(w, -1) for w in s]
             assert got[d] == pytest.approx(automaton.score(ids) + ids.count(-1) * unknown, rel=1e-9)
+
+
+def test_unlike_grams_are_dealt_in_few_bytes(docs):
+    """All n-grams of these texts differ; what is dealt of each is less than its number, and one row for each bucket."""
+    import numpy as np
+
+    rows = [(i, " ".join(f"w{i}_{j}" for j in range(500))) for i in range(40)]
+    tokens = lm.tokenise(docs(*rows).selectExpr("doc_id", "false as held_out", "text").coalesce(1), []).toPandas().assign(row=range(40))
+    asked = lm.Backoff(lm._vocabulary_hashes([]), 3, 2, 20_040, 20_001, 3).asked(tokens)
+    codes = [lm._unpack(c) for c in asked["codes"]]
+    assert len(asked) == 8 and sum(map(len, codes)) == 20_001 + 20_000 + 40 * 499
+    assert all((np.diff(c) > 0).all() for c in codes)
+    assert sum(map(len, asked["codes"])) + sum(map(len, asked["times"])) < 7.5 * sum(map(len, codes))
