@@ -9,7 +9,7 @@ sum to one. At the root, a word's probability is the add-half share over all wor
 Texts go in blocks of some million tokens. The different n-grams of a block are dealt to buckets by their numbers, sorted
 and packed; each bucket adds up the counts of all blocks and tells each block the whole ones. As an n-gram's parts are in
 its own block, a block then knows the probabilities of all its arcs. Of each n-gram one block is named that adds its
-probability to its context; the sums of a context, again by buckets, give its weight. With both, a block follows the
+count to its context's sums; those of all blocks, again by buckets, give the context's weight. With both, a block follows the
 states of its texts, all tokens at once: where a state has no arc for the next word, it takes the weight and the failure arc.
 `Automaton`, `assemble` and `count_grams` are the same model in memory, for a bounded number of n-grams.
 """
@@ -34,7 +34,7 @@ _BLOCK_TOKENS = 4_000_000
 _DISTINCT_AT_ONCE = 400_000
 _CANDIDATES_AT_ONCE = 1_000_000
 _LOCAL = 0.5  # of the share: what a block names
-_COUNTED_AT_ONCE = 2_000_000  # tokens of a block
+_COUNTED_AT_ONCE = 1_500_000  # tokens of a block
 _TOKENS_A_BUCKET = 500_000
 _SEED = 42  # Spark's own for xxhash64
 
@@ -130,6 +130,14 @@ def assemble(vocabulary: list[str], counts: list[int], n: int, v: int, grams: li
     return out
 
 
+def _packed_ids(ids: np.ndarray) -> bytes:
+    return zlib.compress(ids.view(np.uint8).reshape(-1, 4).T.tobytes(), 1)
+
+
+def _ids(packed: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(zlib.decompress(packed), np.uint8).reshape(4, -1).T).view(np.int32).ravel()
+
+
 def count_words(docs: DataFrame) -> DataFrame:
     """word, n: every word of the texts, and the end of each text, with its count; summed in each task first."""
 
@@ -148,7 +156,7 @@ def count_words(docs: DataFrame) -> DataFrame:
 
 
 def tokenise(docs: DataFrame, vocabulary: list[str]) -> DataFrame:
-    """doc_id, held_out, n_tokens, ids (packed 32-bit, -1 for a word without id), rare words and how often each, and the
+    """doc_id, held_out, n_tokens, ids (packed, -1 for a word without id), rare words and how often each, and the
     hashes (packed 64-bit) of the words without id in the order of the text, and the block of texts it belongs to."""
     sent, key = send(docs.sparkSession, vocabulary), new_key("vocabulary")
 
@@ -166,7 +174,7 @@ def tokenise(docs: DataFrame, vocabulary: list[str]) -> DataFrame:
                     tokens = [*words(text), end]
                     got = [number.get(w, -1) for w in tokens]
                     lost = Counter([w for w, i in zip(tokens, got, strict=True) if i < 0]) if -1 in got else {}
-                    ids.append(np.array(got, np.int32).tobytes())
+                    ids.append(_packed_ids(np.array(got, np.int32)))
                     rare.append([w.decode() for w in lost])
                     times.append(list(lost.values()))
                     sizes.append(len(got))
@@ -194,7 +202,7 @@ def _blocks_of_ids(frames):
     held, n = [], 0
     for frame in frames:
         for packed in frame["ids"]:
-            held += [np.frombuffer(packed, np.int32).astype(np.int64), np.array([-1])]
+            held += [_ids(packed).astype(np.int64), np.array([-1])]
             n += len(held[-2])
             if n >= 2 * _BLOCK_TOKENS:
                 yield n, np.concatenate(held)
@@ -267,7 +275,7 @@ def gram_codes(word: np.ndarray, text: np.ndarray, order: int) -> list[tuple[np.
     `word` are the words' hashes, `text` the number of the text each stands in; no n-gram spans two texts. A word's
     number is its hash.
     """
-    code, at = word, np.arange(len(word))
+    code, at = word, np.arange(len(word), dtype=np.int32)
     out = [(code, at)]
     for k in range(2, order + 1):
         keep = at + k - 1 < len(word)
@@ -282,10 +290,10 @@ def _hashed(frame: pd.DataFrame, vocabulary: np.ndarray) -> tuple[np.ndarray, np
     """The hashes of the tokens of some rows, and the place of each token's row."""
     held = []
     for ids, hashes in zip(frame["ids"], frame["hashes"], strict=True):
-        ids = np.frombuffer(ids, np.int32)
+        ids = _ids(ids)
         held.append(vocabulary[ids])
         held[-1][ids < 0] = np.frombuffer(hashes, np.uint64)
-    return np.concatenate(held), np.repeat(np.arange(len(held)), [len(x) for x in held])
+    return np.concatenate(held), np.repeat(np.arange(len(held), dtype=np.int32), [len(x) for x in held])
 
 
 def _vocabulary_hashes(words: list[str]) -> np.ndarray:
@@ -323,7 +331,7 @@ def levels_of(word: np.ndarray, text: np.ndarray, learned: np.ndarray, order: in
 
 
 def _pack(codes: np.ndarray) -> bytes:
-    """Sorted numbers as steps, their bytes by place, so that the leading zeros stand together."""
+    """Numbers in a few sorted runs as steps (modulo 2 ** 64), their bytes by place, so that the leading zeros stand together."""
     return _planes(np.diff(codes, prepend=np.uint64(0)))
 
 
@@ -333,7 +341,8 @@ def _unpack(packed: bytes) -> np.ndarray:
 
 def _planes(x: np.ndarray) -> bytes:
     """64-bit numbers, compressed, their bytes by place."""
-    return zlib.compress(x.view(np.uint8).reshape(-1, 8).T.tobytes(), 1)
+    squeeze = zlib.compressobj(1, strategy=zlib.Z_RLE)
+    return squeeze.compress(x.view(np.uint8).reshape(-1, 8).T.tobytes()) + squeeze.flush()
 
 
 def _from_planes(packed: bytes, kind) -> np.ndarray:
@@ -341,7 +350,7 @@ def _from_planes(packed: bytes, kind) -> np.ndarray:
 
 
 def _spans(codes: np.ndarray, bits: int) -> tuple[np.ndarray, list[tuple[int, int]]]:
-    """The buckets of sorted numbers, and the begin and end of each bucket's."""
+    """The buckets of numbers that stand by bucket, and the begin and end of each bucket's."""
     bucket = (codes >> np.uint64(64 - bits)).astype(np.int64)
     edge = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1], [True]])) if len(codes) else np.zeros(1, np.int64)
     return bucket[edge[:-1]], list(zip(edge[:-1].tolist(), edge[1:].tolist(), strict=True))
@@ -359,11 +368,12 @@ class Backoff:
     bits: int  # of a number that name its bucket
 
     def levels(self, rows: pd.DataFrame) -> tuple[list[Level], np.ndarray, np.ndarray]:
-        """The rows' n-grams by length; all their different numbers, sorted, and where each level's are among these."""
+        """The rows' n-grams by length; all their different numbers by bucket, in it by length and number, and which of the
+        levels' one after the other each is."""
         word, text = _hashed(rows, self.hashes)
         levels = levels_of(word, text, ~rows["held_out"].to_numpy(bool), self.order)
         codes = np.concatenate([x.code for x in levels])
-        sort = np.argsort(codes)
+        sort = np.argsort((codes >> np.uint64(64 - self.bits)).astype(np.uint16 if self.bits <= 16 else np.int64), kind="stable")
         return levels, codes[sort], sort
 
     def asked(self, rows: pd.DataFrame) -> pd.DataFrame:
@@ -374,52 +384,63 @@ class Backoff:
         # A task may read only a part of a block: that is known by its first row.
         return pd.DataFrame({"bucket": buckets, "block": rows["block"].iloc[0], "part": rows["row"].iloc[0], "codes": [_pack(codes[s:e]) for s, e in spans], "times": [_planes(times[s:e]) for s, e in spans]})
 
-    def counted(self, levels: list[Level], sort: np.ndarray, told: pd.DataFrame) -> tuple[list[np.ndarray], list[np.ndarray], list[np.ndarray]]:
-        """For each length: whole counts, the log of arcs' probabilities (nan: no arc), and whether this block adds the arc to its context."""
-        both = np.concatenate([_from_planes(t, np.int64) for t in told.sort_values("bucket")["told"]])
+    def counted(self, levels: list[Level], sort: np.ndarray, told: pd.DataFrame) -> tuple[list[np.ndarray], list[np.ndarray], np.ndarray]:
+        """For each length: whole counts, and whether these rows add the n-gram to its context; and the rank in its bucket
+        of every number seen `least` times (-1: seen less often)."""
+        told = told.sort_values("bucket")
+        both = np.concatenate([_from_planes(t, np.int64) for t in told["told"]])
+        rank = np.full(len(both), -1)
+        rank[both >> 1 >= self.least] = np.concatenate([_unpack(r).view(np.int64) for r in told["ranks"]])
         back = np.empty_like(both)
         back[sort] = both
         parts = np.split(back, np.cumsum([len(x.code) for x in levels])[:-1])
-        counts, adds = [p >> 1 for p in parts], [(p & 1).astype(bool) for p in parts]
-        logs = [np.log10((counts[0] + 0.5) / (self.n + 0.5 * (self.v + 1)))]
-        for k in range(1, self.order):
-            some = np.flatnonzero(counts[k] >= self.least)
-            log = np.full(len(counts[k]), np.nan)
-            log[some] = np.log10((counts[k][some] - DISCOUNT) / counts[k - 1][_part(levels, k, some, 0)])
-            logs.append(log)
-        return counts, logs, adds
+        return [p >> 1 for p in parts], [(p & 1).astype(bool) for p in parts], rank
+
+    def contexts(self, levels: list[Level], sort: np.ndarray, rank: np.ndarray) -> np.ndarray:
+        """Which of the numbers are contexts."""
+        return (rank >= 0) & (sort < sum(len(x.code) for x in levels[:-1]))
 
     def sums(self, rows: pd.DataFrame, told: pd.DataFrame) -> pd.DataFrame:
-        """By bucket, the contexts in some rows with what these rows add to the sums of each: its arcs' probabilities, and the
-        shorter context's for the same words."""
-        levels, _, sort = self.levels(rows)
-        counts, logs, adds = self.counted(levels, sort, told)
-        codes, taken, other = [], [], []
+        """By bucket, the contexts in some rows by rank with what these rows add to the sums of each: its arcs, their counts,
+        and the counts of the same words after the shorter context."""
+        levels, codes, sort = self.levels(rows)
+        counts, adds, rank = self.counted(levels, sort, told)
+        added = np.zeros((3, len(codes)), np.int64)
+        begin = 0
         for k in range(1, self.order):
             some = np.flatnonzero(adds[k] & (counts[k] >= self.least))
             context, suffix, size = _part(levels, k, some, 0), _part(levels, k, some, 1), len(counts[k - 1])
-            kept = counts[k - 1] >= self.least
-            codes.append(levels[k - 1].code[kept])
-            taken.append(np.bincount(context, 10 ** logs[k][some], size)[kept])
-            other.append(np.bincount(context, 10 ** logs[k - 1][suffix], size)[kept])
-        codes, taken, other = (np.concatenate(x) for x in (codes, taken, other))
-        sort = np.argsort(codes)
-        codes, taken, other = codes[sort], taken[sort], other[sort]
-        buckets, spans = _spans(codes, self.bits)
-        return pd.DataFrame({"bucket": buckets, "block": rows["block"].iloc[0], "part": rows["row"].iloc[0], "codes": [_pack(codes[s:e]) for s, e in spans], "taken": [_planes(taken[s:e]) for s, e in spans], "other": [_planes(other[s:e]) for s, e in spans]})
-
-    def gain(self, rows: pd.DataFrame, told: pd.DataFrame, weighed: pd.DataFrame) -> np.ndarray:
+            for to, x in zip(added, (None, counts[k][some], counts[k - 1][suffix]), strict=True):
+                to[begin : begin + size] = np.bincount(context, x, size)
+            begin += size
+        ask = self.contexts(levels, sort, rank)
+        added, rank = added[:, sort[ask]], rank[ask].view(np.uint64)
+        buckets, spans = _spans(codes[ask], self.bits)
+        return pd.DataFrame({"bucket": buckets, "block": rows["block"].iloc[0], "part": rows["row"].iloc[0], "ranks": [_pack(rank[s:e]) for s, e in spans], "sums": [_planes(np.ascontiguousarray(added[:, s:e])) for s, e in spans]})
+
+    def gain(self, rows: pd.DataFrame, told: pd.DataFrame, summed: pd.DataFrame) -> np.ndarray:
         """What following the states adds to the sum of the words' probabilities at the root, for each row."""
-        levels, _, sort = self.levels(rows)
-        counts, logs, _ = self.counted(levels, sort, told)
-        kept = [counts[k] >= self.least for k in range(self.order - 1)]
-        codes = np.concatenate([x.code[some] for x, some in zip(levels, kept, strict=False)])
-        weight = np.empty(len(codes))
-        weight[np.argsort(codes)] = np.concatenate([_from_planes(w, np.float64) for w in weighed.sort_values("bucket")["weights"]] or [weight])
-        weight = np.split(weight, np.cumsum([k.sum() for k in kept]))
-        weights = [np.zeros(len(x.code)) for x in levels]
-        for k, some in enumerate(kept):
-            weights[k][some] = weight[k]
+        levels, codes, sort = self.levels(rows)
+        counts, _, rank = self.counted(levels, sort, told)
+        sums = np.zeros((3, len(codes)))
+        got = [_from_planes(x, np.int64).reshape(3, -1) for x in summed.sort_values("bucket")["sums"]]
+        if got:
+            sums[:, sort[self.contexts(levels, sort, rank)]] = np.concatenate(got, axis=1)
+        sums = np.split(sums, np.cumsum([len(x.code) for x in levels])[:-1], axis=1)
+        whole = self.n + 0.5 * (self.v + 1)
+        left = lambda x: np.log10(np.maximum(1e-12, 1 - x))
+        logs, weights = [np.log10((counts[0] + 0.5) / whole)], []
+        for k in range(1, self.order):
+            some = np.flatnonzero(counts[k] >= self.least)
+            log = np.full(len(counts[k]), np.nan)
+            log[some] = np.log10((counts[k][some] - DISCOUNT) / counts[k - 1][_part(levels, k, some, 0)])
+            logs.append(log)
+            arcs, own, shorter = sums[k - 1]
+            has = np.flatnonzero(arcs)
+            other = (shorter[has] + 0.5 * arcs[has]) / whole if k == 1 else (shorter[has] - DISCOUNT * arcs[has]) / counts[k - 2][_part(levels, k - 1, has, 1)]
+            weight = np.zeros(len(arcs))
+            weight[has] = left((own[has] - DISCOUNT * arcs[has]) / counts[k - 1][has]) - left(other)
+            weights.append(weight)
         text = np.repeat(np.arange(len(rows)), rows["n_tokens"])
         root = logs[0][levels[0].place]
         added, open_ = np.zeros(len(text)), np.ones(len(text), bool)  # by a token; still without an arc
@@ -443,26 +464,29 @@ def _part(levels: list[Level], k: int, some: np.ndarray, skip: int) -> np.ndarra
     return shorter.place[np.searchsorted(shorter.begins, levels[k].first[some] + skip)]
 
 
-def _whole_counts(asked: pd.DataFrame) -> pd.DataFrame:
-    """Of one bucket: twice the sum of all parts' counts, plus one for the first part that has the n-gram."""
+def _whole_counts(asked: pd.DataFrame, least: int) -> pd.DataFrame:
+    """Of one bucket: twice the sum of all parts' counts, plus one for the first part that has the n-gram; and the ranks of
+    each part's n-grams among those seen `least` times."""
     asked = asked.sort_values(["block", "part"], ignore_index=True)
     codes = [_unpack(c) for c in asked["codes"]]
     _, first, place = np.unique(np.concatenate(codes), return_index=True, return_inverse=True)
     times = np.bincount(place, np.concatenate([_from_planes(t, np.int64) for t in asked["times"]])).astype(np.int64)
+    rank = np.cumsum(times >= least) - 1
     both = times[place] * 2
     both[first] += 1
-    told = np.split(both, np.cumsum([len(c) for c in codes])[:-1])
-    return asked[["block", "part", "bucket"]].assign(told=[_planes(np.ascontiguousarray(t)) for t in told])
+    edge = np.cumsum([len(c) for c in codes])[:-1]
+    told = [_planes(np.ascontiguousarray(t)) for t in np.split(both, edge)]
+    ranks = [_pack(rank[p[times[p] >= least]].view(np.uint64)) for p in np.split(place, edge)]
+    return asked[["block", "part", "bucket"]].assign(told=told, ranks=ranks)
 
 
-def _whole_weights(sums: pd.DataFrame) -> pd.DataFrame:
-    """Of one bucket: the log weight of each context for each part that asks."""
-    sums = sums.sort_values(["block", "part"], ignore_index=True)
-    codes = [_unpack(c) for c in sums["codes"]]
-    _, place = np.unique(np.concatenate(codes), return_inverse=True)
-    left = [np.log10(np.maximum(1e-12, 1 - np.bincount(place, np.concatenate([_from_planes(x, np.float64) for x in sums[c]])))) for c in ("taken", "other")]
-    told = np.split((left[0] - left[1])[place], np.cumsum([len(c) for c in codes])[:-1])
-    return sums[["block", "part", "bucket"]].assign(weights=[_planes(np.ascontiguousarray(t)) for t in told])
+def _whole_sums(sums: pd.DataFrame) -> pd.DataFrame:
+    """Of one bucket: the sums of each context over all parts, for each part that asks."""
+    ranks = [_unpack(r).view(np.int64) for r in sums["ranks"]]
+    place = np.concatenate(ranks)
+    added = np.concatenate([_from_planes(x, np.int64).reshape(3, -1) for x in sums["sums"]], axis=1)
+    whole = np.stack([np.bincount(place, x).astype(np.int64) for x in added])
+    return sums[["block", "part", "bucket"]].assign(sums=[_planes(np.ascontiguousarray(whole[:, r])) for r in ranks])
 
 
 def _parts(rows: pd.DataFrame, *told: pd.DataFrame):
@@ -494,15 +518,15 @@ def gains(tokens: DataFrame, vocabulary: list[str], n: int, v: int, order: int,
 
     def add(rows: pd.DataFrame, told: pd.DataFrame) -> pd.DataFrame:
         backoff = once("lm.backoff", key, made)
-        weighed, told = told[told["told"].isna()], told[told["told"].notna()]
-        return pd.concat([pd.DataFrame({"row": some["row"], "gain": backoff.gain(some, *both)}) for some, *both in _parts(rows, told, weighed)])
+        summed, told = told[told["told"].isna()], told[told["told"].notna()]
+        return pd.concat([pd.DataFrame({"row": some["row"], "gain": backoff.gain(some, *both)}) for some, *both in _parts(rows, told, summed)])
 
     blocks = tokens.select("row", "held_out", "n_tokens", "ids", "hashes", "block")
     asked = blocks.mapInPandas(ask, "bucket long, block long, part long, codes binary, times binary")
-    told = stage(asked.groupBy("bucket").applyInPandas(_whole_counts, "block long, part long, bucket long, told binary"), "counts")
-    parts = blocks.groupBy("block").cogroup(told.groupBy("block")).applyInPandas(sums, "bucket long, block long, part long, codes binary, taken binary, other binary")
-    weighed = parts.groupBy("bucket").applyInPandas(_whole_weights, "block long, part long, bucket long, weights binary")
-    all_told = told.withColumn("weights", F.lit(None).cast("binary")).unionByName(weighed.withColumn("told", F.lit(None).cast("binary")))
+    told = stage(asked.groupBy("bucket").applyInPandas(lambda some: _whole_counts(some, least), "block long, part long, bucket long, told binary, ranks binary"), "counts")
+    parts = blocks.groupBy("block").cogroup(told.groupBy("block")).applyInPandas(sums, "bucket long, block long, part long, ranks binary, sums binary")
+    summed = parts.groupBy("bucket").applyInPandas(_whole_sums, "block long, part long, bucket long, sums binary")
+    all_told = told.unionByName(summed, allowMissingColumns=True)
     return blocks.groupBy("block").cogroup(all_told.groupBy("block")).applyInPandas(add, "row long, gain double")
 
 
@@ -541,7 +565,7 @@ def score(docs: DataFrame, held_out: Column, order: int = 3, word_share: float =
     def walk(frames):
         root = once("lm.root", key, lambda: np.array([*sent(), 0.0]))
         for frame in frames:
-            ids = [np.frombuffer(p, np.int32) for p in frame["ids"]]
+            ids = [_ids(p) for p in frame["ids"]]
             yield frame.drop(columns=["ids"]).assign(known=[int((i >= 0).sum()) for i in ids], base=[float(root[i].sum()) for i in ids])
 
     walked = tokens.select("row", "doc_id", "held_out", "n_tokens", "ids").mapInPandas(walk, "row long, doc_id long, held_out boolean, n_tokens long, known long, base double")
