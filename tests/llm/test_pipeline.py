@@ -44,3 +44,17 @@ def test_every_class_keeps_one_row_whatever_its_ids(spark, docs):
     rows = docs(*[(None, t) for t in texts], (3, "copied here and there in the rows"), (5, "copied here and there in the rows"), (5, "what only this row of five has"))
     kept = sorted((str(r["doc_id"]), r["text"]) for r in pipeline.unlike(spark, rows, "").collect())
     assert kept == sorted([("None", t) for t in texts] + [("3", "copied here and there in the rows"), ("5", "what only this row of five has")])
+
+
+def test_the_leak_index_is_fitted_on_all_documents(spark, docs, sf, monkeypatch):
+    from ordermill.llm import leaks
+
+    whole, fitted = leaks._gram, []
+
+    def gram(some, *rest):
+        fitted.append(some.count())
+        return whole(some, *rest)
+
+    monkeypatch.setattr(leaks, "_gram", gram)
+    pipeline.unleaked(spark, docs(*((i, f"a b c {i}") for i in range(1600))), sf)
+    assert fitted and all(n == 1600 for n in fitted)
