@@ -6,19 +6,22 @@ and triples like all others. A context is a state of a back-off automaton: an n-
 probability, and the failure arc leads to the shorter context with the weight that makes the probabilities of a state
 sum to one. At the root, a word's probability is the add-half share over all words and one unknown word.
 
-Texts go in blocks of some million tokens. The different n-grams of a block are dealt to buckets by their numbers, sorted
-and packed; each bucket adds up the counts of all blocks and tells each block the whole ones. As an n-gram's parts are in
-its own block, a block then knows the probabilities of all its arcs. Of each n-gram one block is named that adds its
-count to its context's sums; those of all blocks, again by buckets, give the context's weight. With both, a block follows the
-states of its texts, all tokens at once: where a state has no arc for the next word, it takes the weight and the failure arc.
+Texts go in blocks of some million tokens, with words numbered in each block. The different n-grams of a block are dealt to
+buckets by their numbers, sorted and packed; each bucket adds up the counts of all blocks and tells each block the whole ones.
+Words and pairs go in a first round, triples in a second: only those whose two pairs were seen `least` times, as no other
+triple can have been. As an n-gram's parts are in its own block, a block then knows the probabilities of all its arcs. Of each
+n-gram one block is named that adds its count to its context's sums; those of all blocks, again by buckets, give the context's
+weight. With both, a block follows the states of its texts, all tokens at once: where a state has no arc for the next word, it
+takes the weight and the failure arc.
 `Automaton`, `assemble` and `count_grams` are the same model in memory, for a bounded number of n-grams.
 """
 
 from __future__ import annotations
 
 import zlib
-from collections import Counter
+from collections import Counter, defaultdict
 from dataclasses import dataclass, field
+from itertools import count
 from math import log10
 
 import numpy as np
@@ -31,7 +34,6 @@ from .base import new_key, once, send, ship, stage, text_blocks
 END = ""  # the token after the last word; words are never empty
 DISCOUNT = 0.6
 _BLOCK_TOKENS = 4_000_000
-_DISTINCT_AT_ONCE = 400_000
 _CANDIDATES_AT_ONCE = 1_000_000
 _LOCAL = 0.5  # of the share: what a block names
 _COUNTED_AT_ONCE = 1_500_000  # tokens of a block
@@ -138,23 +140,6 @@ def _ids(packed: bytes) -> np.ndarray:
     return np.ascontiguousarray(np.frombuffer(zlib.decompress(packed), np.uint8).reshape(4, -1).T).view(np.int32).ravel()
 
 
-def count_words(docs: DataFrame) -> DataFrame:
-    """word, n: every word of the texts, and the end of each text, with its count; summed in each task first."""
-
-    def run(frames):
-        found: Counter = Counter()
-        for frame in frames:
-            for text in frame["text"]:
-                found.update(words(text))
-                found[END.encode()] += 1
-                if len(found) >= _DISTINCT_AT_ONCE:
-                    yield pd.DataFrame({"word": [w.decode() for w in found], "n": list(found.values())})
-                    found.clear()
-        yield pd.DataFrame({"word": pd.Series([w.decode() for w in found], dtype=object), "n": pd.Series(list(found.values()), dtype="int64")})
-
-    return docs.select("text").mapInPandas(run, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
-
-
 def tokenise(docs: DataFrame, vocabulary: list[str]) -> DataFrame:
     """doc_id, held_out, n_tokens, ids (packed, -1 for a word without id), rare words and how often each, and the
     hashes (packed 64-bit) of the words without id in the order of the text, and the block of texts it belongs to."""
@@ -269,23 +254,6 @@ def _mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def gram_codes(word: np.ndarray, text: np.ndarray, order: int) -> list[tuple[np.ndarray, np.ndarray]]:
-    """For each length up to `order`: the numbers of the n-grams of some tokens in a row, and the token each begins at.
-
-    `word` are the words' hashes, `text` the number of the text each stands in; no n-gram spans two texts. A word's
-    number is its hash.
-    """
-    code, at = word, np.arange(len(word), dtype=np.int32)
-    out = [(code, at)]
-    for k in range(2, order + 1):
-        keep = at + k - 1 < len(word)
-        keep[keep] = text[at[keep]] == text[at[keep] + k - 1]
-        code, at = code[keep], at[keep]
-        code = _mixed(code * np.uint64(0x9E3779B97F4A7C15) + word[at + k - 1] + np.uint64(k))
-        out.append((code, at))
-    return out
-
-
 def _hashed(frame: pd.DataFrame, vocabulary: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The hashes of the tokens of some rows, and the place of each token's row."""
     held = []
@@ -303,6 +271,20 @@ def _vocabulary_hashes(words: list[str]) -> np.ndarray:
     return np.array([*[xxh64_intdigest(w.encode(), _SEED) for w in words], 0], np.uint64)
 
 
+@dataclass
+class Tokens:
+    """The tokens of some texts in a row."""
+
+    hashes: np.ndarray  # of their words
+    ids: np.ndarray  # which of the hashes each has
+    text: np.ndarray  # the text each stands in
+    learned: np.ndarray  # by text: whether it is learned from
+    word: np.ndarray = field(init=False)  # the hash of each
+
+    def __post_init__(self):
+        self.word = self.hashes[self.ids]
+
+
 @dataclass
 class Level:
     """The n-grams of one length in some texts: the different ones, and where each stands."""
@@ -310,24 +292,39 @@ class Level:
     code: np.ndarray  # sorted numbers
     first: np.ndarray  # the token at which each begins somewhere
     times: np.ndarray  # how often each stands in texts to learn from
-    begins: np.ndarray  # the token each one of all begins at
-    place: np.ndarray  # which of the different ones that is
-
-
-def levels_of(word: np.ndarray, text: np.ndarray, learned: np.ndarray, order: int) -> list[Level]:
-    """The n-grams up to `order` words of some tokens in a row; `learned` says which texts are learned from."""
-    out = []
-    for code, begins in gram_codes(word, text, order):
-        sort = np.argsort(code)
-        code = code[sort]
-        new = np.ones(len(code), bool)
-        new[1:] = code[1:] != code[:-1]
-        at = np.flatnonzero(new)
-        place = np.empty(len(code), np.int32)
-        place[sort] = np.cumsum(new, dtype=np.int32) - 1
-        times = np.bincount(place, learned[text[begins]], len(at)).astype(np.int64)
-        out.append(Level(code[at], begins[sort[at]], times, begins, place))
-    return out
+    where: np.ndarray  # by token, and one more: which of the different ones begins there, -1 for none
+
+
+def _level(tokens: Tokens, code: np.ndarray, begins: np.ndarray) -> Level:
+    sort = np.argsort(code)
+    code = code[sort]
+    new = np.ones(len(code), bool)
+    new[1:] = code[1:] != code[:-1]
+    at = np.flatnonzero(new)
+    place = np.empty(len(code), np.int32)
+    place[sort] = np.cumsum(new, dtype=np.int32) - 1
+    where = np.full(len(tokens.word) + 1, -1, np.int32)
+    where[begins] = place
+    return Level(code[at], begins[sort[at]], np.bincount(place, tokens.learned[tokens.text[begins]], len(at)).astype(np.int64), where)
+
+
+def words_of(tokens: Tokens) -> Level:
+    """The words; a word's number is its hash."""
+    code, place = np.unique(tokens.hashes, return_inverse=True)
+    where = np.append(place.astype(np.int32)[tokens.ids], np.int32(-1))
+    first = np.zeros(len(code), np.int32)
+    first[where[-2::-1]] = np.arange(len(tokens.ids) - 1, -1, -1, dtype=np.int32)
+    return Level(code, first, np.bincount(where[:-1], tokens.learned[tokens.text], len(code)).astype(np.int64), where)
+
+
+def longer(tokens: Tokens, shorter: Level, k: int, good: np.ndarray | None = None) -> Level:
+    """The n-grams of k words from those of k - 1, within one text; of `good` ones, if given: where one of the two that an
+    n-gram begins and ends with was seen too seldom, so was the n-gram."""
+    there = shorter.where >= 0 if good is None else np.append(good, False)[shorter.where]
+    begins = np.flatnonzero(there[:-1] & there[1:]).astype(np.int32)
+    begins = begins[tokens.text[begins] == tokens.text[begins + k - 1]]
+    code = shorter.code[shorter.where[begins]]
+    return _level(tokens, _mixed(code * np.uint64(0x9E3779B97F4A7C15) + tokens.word[begins + k - 1] + np.uint64(k)), begins)
 
 
 def _pack(codes: np.ndarray) -> bytes:
@@ -356,233 +353,329 @@ def _spans(codes: np.ndarray, bits: int) -> tuple[np.ndarray, list[tuple[int, in
     return bucket[edge[:-1]], list(zip(edge[:-1].tolist(), edge[1:].tolist(), strict=True))
 
 
+def _told_numbers(told: pd.DataFrame, name: str) -> np.ndarray:
+    return np.concatenate([np.zeros(0, np.int64), *(_from_planes(t, np.int64) for t in told[name])])
+
+
+@dataclass
+class Known:
+    """What is known of the n-grams of some texts: by length, and by round of counting in the order of the buckets."""
+
+    levels: list[Level]
+    counts: list[np.ndarray]  # whole ones
+    adds: list[np.ndarray]  # whether this block adds the n-gram to its context's sums
+    sorts: list[np.ndarray]  # by round: which of its levels' one after the other each is
+    codes: list[np.ndarray]  # by round, as sorted
+    ranks: list[np.ndarray]  # by round, as sorted: the rank in its bucket, -1 of those that are no contexts
+
+
 @dataclass
 class Backoff:
-    """What tasks need to count the n-grams of blocks and to follow the states of their texts."""
+    """What tasks need to count the n-grams of blocks and to follow the states of their texts.
+
+    Words and pairs are counted in the first round, triples in the second, and so on. A bucket's name holds its round.
+    """
 
-    hashes: np.ndarray  # of the words with ids, and one more that -1 finds
+    hashes: np.ndarray  # for rows of `tokenise`: of the words with ids, and one more that -1 finds
     order: int
     least: int
     n: int  # training tokens
     v: int  # different ones
     bits: int  # of a number that name its bucket
 
-    def levels(self, rows: pd.DataFrame) -> tuple[list[Level], np.ndarray, np.ndarray]:
-        """The rows' n-grams by length; all their different numbers by bucket, in it by length and number, and which of the
-        levels' one after the other each is."""
-        word, text = _hashed(rows, self.hashes)
-        levels = levels_of(word, text, ~rows["held_out"].to_numpy(bool), self.order)
+    def rounds(self) -> list[range]:
+        """The levels (length less one) each round counts."""
+        return [range(min(2, self.order)), *(range(k, k + 1) for k in range(2, self.order))]
+
+    def _dealt(self, levels: list[Level]) -> tuple[np.ndarray, np.ndarray]:
+        """All different numbers by bucket, in it by length and number, and which of the levels' one after the other each is."""
         codes = np.concatenate([x.code for x in levels])
         sort = np.argsort((codes >> np.uint64(64 - self.bits)).astype(np.uint16 if self.bits <= 16 else np.int64), kind="stable")
-        return levels, codes[sort], sort
+        return codes[sort], sort
 
-    def asked(self, rows: pd.DataFrame) -> pd.DataFrame:
-        """The different n-grams of some rows by bucket, and how often each stands in texts to learn from."""
-        levels, codes, sort = self.levels(rows)
+    def _asked(self, levels: list[Level], number: int, block: int, words: int) -> pd.DataFrame:
+        codes, sort = self._dealt(levels)
         times = np.concatenate([x.times for x in levels])[sort]
         buckets, spans = _spans(codes, self.bits)
-        # A task may read only a part of a block: that is known by its first row.
-        return pd.DataFrame({"bucket": buckets, "block": rows["block"].iloc[0], "part": rows["row"].iloc[0], "codes": [_pack(codes[s:e]) for s, e in spans], "times": [_planes(times[s:e]) for s, e in spans]})
-
-    def counted(self, levels: list[Level], sort: np.ndarray, told: pd.DataFrame) -> tuple[list[np.ndarray], list[np.ndarray], np.ndarray]:
-        """For each length: whole counts, and whether these rows add the n-gram to its context; and the rank in its bucket
-        of every number seen `least` times (-1: seen less often)."""
-        told = told.sort_values("bucket")
-        both = np.concatenate([_from_planes(t, np.int64) for t in told["told"]])
-        rank = np.full(len(both), -1)
-        rank[both >> 1 >= self.least] = np.concatenate([_unpack(r).view(np.int64) for r in told["ranks"]])
-        back = np.empty_like(both)
-        back[sort] = both
-        parts = np.split(back, np.cumsum([len(x.code) for x in levels])[:-1])
-        return [p >> 1 for p in parts], [(p & 1).astype(bool) for p in parts], rank
-
-    def contexts(self, levels: list[Level], sort: np.ndarray, rank: np.ndarray) -> np.ndarray:
-        """Which of the numbers are contexts."""
-        return (rank >= 0) & (sort < sum(len(x.code) for x in levels[:-1]))
-
-    def sums(self, rows: pd.DataFrame, told: pd.DataFrame) -> pd.DataFrame:
-        """By bucket, the contexts in some rows by rank with what these rows add to the sums of each: its arcs, their counts,
+        return pd.DataFrame({
+            "bucket": buckets + (number << self.bits),
+            "block": block,
+            "words": [int((sort[s:e] < words).sum()) for s, e in spans],
+            "codes": [_pack(codes[s:e]) for s, e in spans],
+            "times": [_planes(times[s:e]) for s, e in spans],
+        })
+
+    def asked(self, rows: pd.DataFrame) -> pd.DataFrame:
+        """The different n-grams up to the whole order of some rows of `tokenise` by bucket, and how often each stands in
+        texts to learn from; `words` of a bucket's are words, and stand first."""
+        word, text = _hashed(rows, self.hashes)
+        return self.first(Tokens(word, np.arange(len(word)), text, ~rows["held_out"].to_numpy(bool)), rows["block"].iloc[0], self.order)
+
+    def first(self, tokens: Tokens, block: int, order: int) -> pd.DataFrame:
+        """All n-grams up to an order, of a block."""
+        levels = [words_of(tokens)]
+        for k in range(2, order + 1):
+            levels.append(longer(tokens, levels[-1], k))
+        return self._asked(levels, 0, block, len(levels[0].code))
+
+    def next(self, tokens: Tokens, block: int, told: pd.DataFrame, number: int) -> pd.DataFrame:
+        """Those of a later round, which hold only shorter ones seen `least` times."""
+        known = self.known(tokens, told, number)
+        levels = [longer(tokens, known.levels[-1], k + 1, known.counts[-1] >= self.least) for k in self.rounds()[number]]
+        return self._asked(levels, number, block, 0)
+
+    def known(self, tokens: Tokens, told: pd.DataFrame, rounds: int) -> Known:
+        """What the first rounds told a block."""
+        out = Known([], [], [], [], [], [])
+        told = told[told["told"].notna()].sort_values("bucket")
+        for number, some in enumerate(self.rounds()[:rounds]):
+            for k in some:
+                good = out.counts[k - 1] >= self.least if k >= 2 else None
+                out.levels.append(longer(tokens, out.levels[-1], k + 1, good) if k else words_of(tokens))
+            levels = out.levels[some[0] :]
+            codes, sort = self._dealt(levels)
+            part = told[told["bucket"].to_numpy() >> self.bits == number]
+            both = _told_numbers(part, "told")
+            rank = np.full(len(both), -1)
+            if some[0] < self.order - 1:  # else none of them is a context
+                rank[both >> 1 >= self.least] = np.concatenate([np.zeros(0, np.int64), *(_unpack(r).view(np.int64) for r in part["ranks"])])
+                rank[sort >= sum(len(out.levels[k].code) for k in some if k < self.order - 1)] = -1
+            back = np.empty_like(both)
+            back[sort] = both
+            for x in np.split(back, np.cumsum([len(x.code) for x in levels])[:-1]):
+                out.counts.append(x >> 1)
+                out.adds.append((x & 1).astype(bool))
+            out.sorts.append(sort)
+            out.codes.append(codes)
+            out.ranks.append(rank)
+        return out
+
+    def sums(self, tokens: Tokens, block: int, told: pd.DataFrame) -> pd.DataFrame:
+        """By bucket, the contexts in a block by rank with what it adds to the sums of each: its arcs, their counts,
         and the counts of the same words after the shorter context."""
-        levels, codes, sort = self.levels(rows)
-        counts, adds, rank = self.counted(levels, sort, told)
-        added = np.zeros((3, len(codes)), np.int64)
-        begin = 0
+        known = self.known(tokens, told, len(self.rounds()))
+        counts, added = known.counts, [np.zeros((3, len(c)), np.int64) for c in known.counts]
         for k in range(1, self.order):
-            some = np.flatnonzero(adds[k] & (counts[k] >= self.least))
-            context, suffix, size = _part(levels, k, some, 0), _part(levels, k, some, 1), len(counts[k - 1])
-            for to, x in zip(added, (None, counts[k][some], counts[k - 1][suffix]), strict=True):
-                to[begin : begin + size] = np.bincount(context, x, size)
-            begin += size
-        ask = self.contexts(levels, sort, rank)
-        added, rank = added[:, sort[ask]], rank[ask].view(np.uint64)
-        buckets, spans = _spans(codes[ask], self.bits)
-        return pd.DataFrame({"bucket": buckets, "block": rows["block"].iloc[0], "part": rows["row"].iloc[0], "ranks": [_pack(rank[s:e]) for s, e in spans], "sums": [_planes(np.ascontiguousarray(added[:, s:e])) for s, e in spans]})
-
-    def gain(self, rows: pd.DataFrame, told: pd.DataFrame, summed: pd.DataFrame) -> np.ndarray:
-        """What following the states adds to the sum of the words' probabilities at the root, for each row."""
-        levels, codes, sort = self.levels(rows)
-        counts, _, rank = self.counted(levels, sort, told)
-        sums = np.zeros((3, len(codes)))
-        got = [_from_planes(x, np.int64).reshape(3, -1) for x in summed.sort_values("bucket")["sums"]]
-        if got:
-            sums[:, sort[self.contexts(levels, sort, rank)]] = np.concatenate(got, axis=1)
-        sums = np.split(sums, np.cumsum([len(x.code) for x in levels])[:-1], axis=1)
+            some = np.flatnonzero(known.adds[k] & (counts[k] >= self.least))
+            at, where = known.levels[k].first[some], known.levels[k - 1].where
+            context, suffix = where[at], where[at + 1]
+            for to, x in zip(added[k - 1], (None, counts[k][some], counts[k - 1][suffix]), strict=True):
+                to[:] = np.bincount(context, x, len(to))
+        out = []
+        for number, some in enumerate(self.rounds()):
+            ask = known.ranks[number] >= 0
+            rank = known.ranks[number][ask].view(np.uint64)
+            sums = np.concatenate([added[k] for k in some], axis=1)[:, known.sorts[number][ask]]
+            buckets, spans = _spans(known.codes[number][ask], self.bits)
+            out.append(pd.DataFrame({
+                "bucket": buckets + (number << self.bits),
+                "block": block,
+                "ranks": [_pack(rank[s:e]) for s, e in spans],
+                "sums": [_planes(np.ascontiguousarray(sums[:, s:e])) for s, e in spans],
+            }))
+        return pd.concat(out)
+
+    def scores(self, tokens: Tokens, told: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """For each text: how many of its tokens are known, the sum of their probabilities at the root, and what following
+        the states adds to it."""
+        known = self.known(tokens, told, len(self.rounds()))
+        levels, counts = known.levels, known.counts
+        summed, sums = told[told["told"].isna()].sort_values("bucket"), []
+        for number, some in enumerate(self.rounds()):
+            part = summed[summed["bucket"].to_numpy() >> self.bits == number]
+            got = [_from_planes(x, np.int64).reshape(3, -1) for x in part["sums"]]
+            back = np.zeros((3, len(known.sorts[number])))
+            if got:
+                back[:, known.sorts[number][known.ranks[number] >= 0]] = np.concatenate(got, axis=1)
+            sums += np.split(back, np.cumsum([len(counts[k]) for k in some])[:-1], axis=1)
         whole = self.n + 0.5 * (self.v + 1)
         left = lambda x: np.log10(np.maximum(1e-12, 1 - x))
         logs, weights = [np.log10((counts[0] + 0.5) / whole)], []
         for k in range(1, self.order):
             some = np.flatnonzero(counts[k] >= self.least)
-            log = np.full(len(counts[k]), np.nan)
-            log[some] = np.log10((counts[k][some] - DISCOUNT) / counts[k - 1][_part(levels, k, some, 0)])
+            log = np.full(len(counts[k]) + 1, np.nan)  # the last for n-grams that are no arcs for sure
+            log[some] = np.log10((counts[k][some] - DISCOUNT) / counts[k - 1][levels[k - 1].where[levels[k].first[some]]])
             logs.append(log)
             arcs, own, shorter = sums[k - 1]
             has = np.flatnonzero(arcs)
-            other = (shorter[has] + 0.5 * arcs[has]) / whole if k == 1 else (shorter[has] - DISCOUNT * arcs[has]) / counts[k - 2][_part(levels, k - 1, has, 1)]
-            weight = np.zeros(len(arcs))
+            if k == 1:
+                other = (shorter[has] + 0.5 * arcs[has]) / whole
+            else:
+                other = (shorter[has] - DISCOUNT * arcs[has]) / counts[k - 2][levels[k - 2].where[levels[k - 1].first[has] + 1]]
+            weight = np.zeros(len(arcs) + 1)  # the last for contexts without arcs
             weight[has] = left((own[has] - DISCOUNT * arcs[has]) / counts[k - 1][has]) - left(other)
             weights.append(weight)
-        text = np.repeat(np.arange(len(rows)), rows["n_tokens"])
-        root = logs[0][levels[0].place]
+        text, texts = tokens.text, len(tokens.learned)
+        place = levels[0].where[:-1]
+        root = logs[0][place]
         added, open_ = np.zeros(len(text)), np.ones(len(text), bool)  # by a token; still without an arc
         for k in range(self.order - 1, 0, -1):
-            begins, place = levels[k].begins, levels[k].place
-            last = begins + k
-            some = open_[last]
-            begins, place, last = begins[some], place[some], last[some]
-            log = logs[k][place]
+            last = np.flatnonzero(open_[k:] & (text[k:] == text[: len(text) - k])) + k
+            log = logs[k][levels[k].where[last - k]]
             arc = ~np.isnan(log)
             added[last[arc]] += log[arc] - root[last[arc]]
             open_[last[arc]] = False
-            at = np.searchsorted(levels[k - 1].begins, begins[~arc])
-            added[last[~arc]] += weights[k - 1][levels[k - 1].place[at]]
-        return np.bincount(text, added, len(rows))
-
+            last = last[~arc]
+            added[last] += weights[k - 1][levels[k - 1].where[last - k]]
+        return np.bincount(text, counts[0][place] > 0, texts).astype(np.int64), np.bincount(text, root, texts), np.bincount(text, added, texts)
 
-def _part(levels: list[Level], k: int, some: np.ndarray, skip: int) -> np.ndarray:
-    """Which of the shorter n-grams some of the different (k + 1)-grams begin with (skip 0) or end with (skip 1)."""
-    shorter = levels[k - 1]
-    return shorter.place[np.searchsorted(shorter.begins, levels[k].first[some] + skip)]
 
-
-def _whole_counts(asked: pd.DataFrame, least: int) -> pd.DataFrame:
-    """Of one bucket: twice the sum of all parts' counts, plus one for the first part that has the n-gram; and the ranks of
-    each part's n-grams among those seen `least` times."""
-    asked = asked.sort_values(["block", "part"], ignore_index=True)
+def _whole_counts(asked: pd.DataFrame, least: int, ranked: bool) -> pd.DataFrame:
+    """Of one bucket: twice the sum of all blocks' counts, plus one for the first block that has the n-gram; if `ranked`, the
+    ranks of each block's n-grams among those seen `least` times; in one row how many different words are learned."""
+    asked = asked.sort_values("block", ignore_index=True)
     codes = [_unpack(c) for c in asked["codes"]]
     _, first, place = np.unique(np.concatenate(codes), return_index=True, return_inverse=True)
     times = np.bincount(place, np.concatenate([_from_planes(t, np.int64) for t in asked["times"]])).astype(np.int64)
-    rank = np.cumsum(times >= least) - 1
     both = times[place] * 2
     both[first] += 1
-    edge = np.cumsum([len(c) for c in codes])[:-1]
-    told = [_planes(np.ascontiguousarray(t)) for t in np.split(both, edge)]
-    ranks = [_pack(rank[p[times[p] >= least]].view(np.uint64)) for p in np.split(place, edge)]
-    return asked[["block", "part", "bucket"]].assign(told=told, ranks=ranks)
+    places = np.split(place, np.cumsum([len(c) for c in codes])[:-1])
+    told = [_planes(t) for t in np.split(both, np.cumsum([len(c) for c in codes])[:-1])]
+    rank = np.cumsum(times >= least) - 1
+    ranks = [_pack(rank[p[times[p] >= least]].view(np.uint64)) if ranked else b"" for p in places]
+    word = np.zeros(len(times), bool)
+    for p, n in zip(places, asked["words"], strict=True):
+        word[p[:n]] = True
+    v = [int((word & (times > 0)).sum()), *[0] * (len(asked) - 1)]
+    return asked[["block", "bucket"]].assign(told=told, ranks=ranks, v=v)
 
 
 def _whole_sums(sums: pd.DataFrame) -> pd.DataFrame:
-    """Of one bucket: the sums of each context over all parts, for each part that asks."""
+    """Of one bucket: the sums of each context over all blocks, for each block that asks."""
     ranks = [_unpack(r).view(np.int64) for r in sums["ranks"]]
     place = np.concatenate(ranks)
     added = np.concatenate([_from_planes(x, np.int64).reshape(3, -1) for x in sums["sums"]], axis=1)
     whole = np.stack([np.bincount(place, x).astype(np.int64) for x in added])
-    return sums[["block", "part", "bucket"]].assign(sums=[_planes(np.ascontiguousarray(whole[:, r])) for r in ranks])
+    return sums[["block", "bucket"]].assign(sums=[_planes(np.ascontiguousarray(whole[:, r])) for r in ranks])
 
 
-def _parts(rows: pd.DataFrame, *told: pd.DataFrame):
-    """The parts of a block in the order of their rows, each with what it was told."""
-    rows = rows.sort_values("row", ignore_index=True)
-    parts = np.sort(told[0]["part"].unique())
-    edge = [*np.searchsorted(rows["row"].to_numpy(), parts).tolist(), len(rows)]
-    for part, s, e in zip(parts.tolist(), edge[:-1], edge[1:], strict=True):
-        yield rows.iloc[s:e], *(t[t["part"] == part] for t in told)
+def in_blocks(docs: DataFrame) -> DataFrame:
+    """One row for a block of texts: their ids, which are held out, their numbers of tokens, and the tokens as ids of the
+    block's own words, whose hashes go with it. `learned` counts the tokens to learn from."""
 
+    def run(frames):
+        from pyspark import TaskContext
+        from xxhash import xxh64_intdigest
 
-def gains(tokens: DataFrame, vocabulary: list[str], n: int, v: int, order: int, least: int) -> DataFrame:
-    """row, gain: what the back-off states add to the score of each row."""
-    bits = max(3, (n // _TOKENS_A_BUCKET).bit_length())
-    sent, key = send(tokens.sparkSession, (vocabulary, order, least, n, v, bits)), new_key("backoff")
+        name = TaskContext.get().partitionId() << 33
+        number, rows, ids, total = defaultdict(count().__next__), [], [], 0
+
+        def made() -> pd.DataFrame:
+            doc, null, held = (np.array(x) for x in zip(*rows, strict=True))
+            sizes = np.array([len(i) for i in ids], np.int32)
+            return pd.DataFrame({
+                "block": [name],
+                "learned": [int(sizes[~held.astype(bool)].sum())],
+                "docs": [doc.astype(np.int64).tobytes()],
+                "nulls": [null.astype(bool).tobytes()],
+                "held": [held.astype(bool).tobytes()],
+                "sizes": [sizes.tobytes()],
+                "ids": [_packed_ids(np.concatenate(ids))],
+                "hashes": [np.fromiter((xxh64_intdigest(w, _SEED) for w in number), np.uint64, len(number)).tobytes()],
+            })
 
-    def made() -> Backoff:
-        vocabulary, *rest = sent()
-        return Backoff(_vocabulary_hashes(vocabulary), *rest)
+        for frame in frames:
+            for row in zip(frame["doc_id"], frame["without"], frame["held_out"], frame["text"], strict=True):
+                tokens = words(row[3])
+                tokens.append(END.encode())
+                rows.append(row[:3])
+                ids.append(np.fromiter(map(number.__getitem__, tokens), np.int32, len(tokens)))
+                total += len(tokens)
+                if total >= _COUNTED_AT_ONCE:
+                    yield made()
+                    name, number, rows, ids, total = name + 1, defaultdict(count().__next__), [], [], 0
+        if rows:
+            yield made()
 
-    def ask(frames):
-        backoff = once("lm.backoff", key, made)
-        for block in _by_block(frames):
-            yield backoff.asked(block)
+    rows = docs.select(F.coalesce("doc_id", F.lit(0)).alias("doc_id"), F.isnull("doc_id").alias("without"), "held_out", "text")
+    return rows.mapInPandas(run, "block long, learned long, docs binary, nulls binary, held binary, sizes binary, ids binary, hashes binary")
 
-    def sums(rows: pd.DataFrame, told: pd.DataFrame) -> pd.DataFrame:
-        backoff = once("lm.backoff", key, made)
-        return pd.concat([backoff.sums(*part) for part in _parts(rows, told)])
 
-    def add(rows: pd.DataFrame, told: pd.DataFrame) -> pd.DataFrame:
-        backoff = once("lm.backoff", key, made)
-        summed, told = told[told["told"].isna()], told[told["told"].notna()]
-        return pd.concat([pd.DataFrame({"row": some["row"], "gain": backoff.gain(some, *both)}) for some, *both in _parts(rows, told, summed)])
-
-    blocks = tokens.select("row", "held_out", "n_tokens", "ids", "hashes", "block")
-    asked = blocks.mapInPandas(ask, "bucket long, block long, part long, codes binary, times binary")
-    told = stage(asked.groupBy("bucket").applyInPandas(lambda some: _whole_counts(some, least), "block long, part long, bucket long, told binary, ranks binary"), "counts")
-    parts = blocks.groupBy("block").cogroup(told.groupBy("block")).applyInPandas(sums, "bucket long, block long, part long, ranks binary, sums binary")
-    summed = parts.groupBy("bucket").applyInPandas(_whole_sums, "block long, part long, bucket long, sums binary")
-    all_told = told.unionByName(summed, allowMissingColumns=True)
-    return blocks.groupBy("block").cogroup(all_told.groupBy("block")).applyInPandas(add, "row long, gain double")
-
-
-def _by_block(frames):
-    """Rows of one block at a time, as far as a task reads them without a gap."""
-    held: list[pd.DataFrame] = []
-    for frame in frames:
-        new = (frame["block"].diff() != 0) | (frame["row"].diff() != 1)
-        for _, part in frame.groupby(new.cumsum(), sort=False):
-            if held and (held[-1]["block"].iloc[-1] != part["block"].iloc[0] or held[-1]["row"].iloc[-1] + 1 != part["row"].iloc[0]):
-                yield pd.concat(held, ignore_index=True)
-                held = []
-            held.append(part)
-    if held:
-        yield pd.concat(held, ignore_index=True)
+def _opened(block) -> Tokens:
+    sizes, held = np.frombuffer(block.sizes, np.int32), np.frombuffer(block.held, bool)
+    return Tokens(np.frombuffer(block.hashes, np.uint64), _ids(block.ids), np.repeat(np.arange(len(sizes), dtype=np.int32), sizes), ~held)
+
+
+def _counted(asked: DataFrame, least: int, ranked: bool, number: int) -> DataFrame:
+    told = asked.groupBy("bucket").applyInPandas(lambda some: _whole_counts(some, least, ranked), "block long, bucket long, told binary, ranks binary, v long")
+    return _written(told, f"counts-{number}")
+
+
+def _written(df: DataFrame, name: str) -> DataFrame:
+    """A stage whose shuffles are removed once it is written; nothing else reads them."""
+    conf, option = df.sparkSession.conf, "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = conf.get(option, "false")
+    conf.set(option, "true")
+    try:
+        return stage(df, name)
+    finally:
+        conf.set(option, before)
 
 
 def score(docs: DataFrame, held_out: Column, order: int = 3, word_share: float = 1e-6, least: int = 2) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score of every document (doc_id, text).
 
-    Words with at least `word_share` of the training tokens have ids and travel to the tasks (1 / word_share at most);
-    each other word's count is joined. N-grams up to `order` with `least` occurrences count, whatever their words. A null text is empty: its one token is the end. Without training
-    documents every probability at the root is that of an unknown word. Repeated rows are scored each; other columns are
-    not used; an empty table gives an empty one.
+    N-grams up to `order` with `least` occurrences count, whatever their words. All words go by blocks, however rare, so
+    `word_share` (once the least share of a word with an id) changes nothing. A null text is empty: its one token is the
+    end. Without training documents every probability at the root is that of an unknown word. Repeated rows are scored
+    each; other columns are not used; an empty table gives an empty one.
     """
     ship(__name__)
-    spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), held_out.alias("held_out"), "text")
-    counts = stage(count_words(docs.where(~F.col("held_out"))), "words")
-    n, v = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
-    frequent = counts.where(F.col("n") >= word_share * n).orderBy(F.desc("n"), "word").toPandas()  # at most 1 / word_share
-    vocabulary, times = frequent["word"].tolist(), [int(c) for c in frequent["n"]]
-    tokens = stage(tokenise(docs, vocabulary).withColumn("row", F.monotonically_increasing_id()), "tokens")
-    sent, key = send(spark, [log10((c + 0.5) / (n + 0.5 * (v + 1))) for c in times]), new_key("root")
-
-    def walk(frames):
-        root = once("lm.root", key, lambda: np.array([*sent(), 0.0]))
+    blocks = _written(in_blocks(docs), "tokens")
+    n = blocks.agg(F.coalesce(F.sum("learned"), F.lit(0))).first()[0]
+    bits = max(3, (n // _TOKENS_A_BUCKET).bit_length())
+    backoff = Backoff(np.zeros(1, np.uint64), order, least, n, 0, bits)
+    rounds = len(backoff.rounds())
+    asked = "bucket long, block long, words long, codes binary, times binary"
+
+    def ask(frames):
         for frame in frames:
-            ids = [_ids(p) for p in frame["ids"]]
-            yield frame.drop(columns=["ids"]).assign(known=[int((i >= 0).sum()) for i in ids], base=[float(root[i].sum()) for i in ids])
-
-    walked = tokens.select("row", "doc_id", "held_out", "n_tokens", "ids").mapInPandas(walk, "row long, doc_id long, held_out boolean, n_tokens long, known long, base double")
-    gained = gains(tokens, vocabulary, n, v, order, least)
-    rare = tokens.select("row", F.explode(F.arrays_zip("rare", "times")).alias("x")).select("row", F.col("x.rare").alias("word"), F.col("x.times").alias("times"))
-    c = F.coalesce("n", F.lit(0))
-    share = F.log10((c + 0.5) / F.lit(n + 0.5 * (v + 1)))
-    rest = rare.join(counts.where(F.col("n") < word_share * n), "word", "left").groupBy("row").agg(
-        F.sum(share * F.col("times")).alias("rare_score"), F.sum(F.when(c > 0, F.col("times")).otherwise(0)).alias("rare_known")
-    )
-    more = F.coalesce("rare_score", F.lit(0.0))
-    return walked.join(rest, "row", "left").join(gained, "row", "left").select(
-        "doc_id",
+            for block in frame.itertuples():
+                yield backoff.first(_opened(block), block.block, min(2, order))
+
+    tokens = blocks.select("block", "sizes", "held", "ids", "hashes")
+    told = _counted(tokens.mapInPandas(ask, asked), least, order > 1, 0)
+    v = told.agg(F.coalesce(F.sum("v"), F.lit(0))).first()[0]
+    told = told.drop("v")
+
+    def ask_next(number: int):
+        return lambda rows, told: pd.concat([backoff.next(_opened(block), block.block, told, number) for block in rows.itertuples()])
+
+    for number in range(1, rounds):
+        more = tokens.groupBy("block").cogroup(told.groupBy("block")).applyInPandas(ask_next(number), asked)
+        told = told.unionByName(_counted(more, least, number + 1 < order - 1, number).drop("v"))
+
+    def sums(rows: pd.DataFrame, told: pd.DataFrame) -> pd.DataFrame:
+        return pd.concat([backoff.sums(_opened(block), block.block, told) for block in rows.itertuples()])
+
+    parts = tokens.groupBy("block").cogroup(told.groupBy("block")).applyInPandas(sums, "bucket long, block long, ranks binary, sums binary")
+    summed = _written(parts.groupBy("bucket").applyInPandas(_whole_sums, "block long, bucket long, sums binary"), "sums")
+    whole = Backoff(backoff.hashes, order, least, n, v, bits)
+
+    def add(rows: pd.DataFrame, told: pd.DataFrame) -> pd.DataFrame:
+        out = []
+        for block in rows.itertuples():
+            known, base, gain = whole.scores(_opened(block), told)
+            out.append(pd.DataFrame({
+                "doc_id": np.frombuffer(block.docs, np.int64),
+                "without": np.frombuffer(block.nulls, bool),
+                "held_out": np.frombuffer(block.held, bool),
+                "n_tokens": np.frombuffer(block.sizes, np.int32).astype(np.int64),
+                "n_known": known,
+                "base_score": base,
+                "gain": gain,
+            }))
+        return pd.concat(out)
+
+    scored = blocks.groupBy("block").cogroup(told.unionByName(summed, allowMissingColumns=True).groupBy("block"))
+    scored = scored.applyInPandas(add, "doc_id long, without boolean, held_out boolean, n_tokens long, n_known long, base_score double, gain double")
+    return scored.select(
+        F.when(~F.col("without"), F.col("doc_id")).alias("doc_id"),
         "held_out",
         "n_tokens",
-        (F.col("known") + F.coalesce("rare_known", F.lit(0))).cast("long").alias("n_known"),
+        "n_known",
         F.lit(n).cast("long").alias("train_tokens"),
-        (F.col("base") + more).alias("base_score"),
-        (F.col("base") + more + F.coalesce("gain", F.lit(0.0))).alias("score"),
+        "base_score",
+        (F.col("base_score") + F.col("gain")).alias("score"),
     )

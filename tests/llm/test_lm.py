@@ -116,3 +116,57 @@ def test_unlike_grams_are_dealt_in_few_bytes(docs):
     assert len(asked) == 8 and sum(map(len, codes)) == 20_001 + 20_000 + 40 * 499
     assert len(np.unique(np.concatenate(codes))) == sum(map(len, codes))
     assert sum(map(len, asked["codes"])) + sum(map(len, asked["times"])) < 7.5 * sum(map(len, codes))
+
+
+@pytest.mark.parametrize("order", [1, 2, 3, 4])
+def test_every_order_in_many_blocks_scores_as_its_automaton(docs, texts, monkeypatch, order):
+    """Blocks of a few hundred tokens, so that most n-grams are counted, and most sums made, across blocks and rounds."""
+    monkeypatch.setattr(lm, "_COUNTED_AT_ONCE", 300)
+    rows = [*list(texts.items())[:40], (6001, "rare_one rare_two rare_three rare_four"), (6002, "rare_one rare_two rare_three rare_five"), (6003, ""), (6004, None)]
+    seqs = {d: [*lm.words(t), b""] for d, t in rows}
+    learned = [s for d, s in seqs.items() if zlib.crc32(str(d).encode()) % 5 != 1]
+    counts = Counter(w for s in learned for w in s)
+    number = {w: i for i, w in enumerate(counts)}
+    grams = [{g: c for g, c in Counter(g for s in learned for g in zip(*[[number[w] for w in s][i:] for i in range(k)])).items() if c >= 2} for k in range(2, order + 1)]
+    n, v = sum(counts.values()), len(counts)
+    automaton = lm.assemble([w.decode() for w in counts], list(counts.values()), n, v, grams)
+    unknown = log10(0.5 / (n + 0.5 * (v + 1)))
+    got = {r["doc_id"]: r for r in lm.score(docs(*rows).repartition(3), lm.held_out(), order=order).collect()}
+    for d, s in seqs.items():
+        ids = [number.get(w, -1) for w in s]
+        assert got[d]["score"] == pytest.approx(automaton.score(ids) + ids.count(-1) * unknown, rel=1e-9)
+        assert (got[d]["n_known"], got[d]["train_tokens"]) == (len(ids) - ids.count(-1), n)
+
+
+def test_doc_ids_stay_exact_beside_a_null(docs):
+    """One row without an id must not turn the others' ids into floating-point numbers."""
+    ids = [2**62 + 1, 2**62 + 3, None]
+    got = lm.score(docs(*((d, "a b a b") for d in ids)).coalesce(1), lm.held_out()).collect()
+    assert sorted((r["doc_id"] for r in got), key=str) == sorted(ids, key=str)
+
+
+def test_no_triple_is_dealt_whose_pairs_are_rare():
+    """Of texts that repeat one pair and one triple, the second round deals that triple and nothing else."""
+    import numpy as np
+    import pandas as pd
+
+    texts = ["x y z"] * 2 + [f"a{i} b{i} c{i} d{i}" for i in range(200)]
+    number: dict[str, int] = {}
+    ids = [[number.setdefault(w, len(number)) for w in t.split()] for t in texts]
+    tokens = lm.Tokens(lm._vocabulary_hashes(list(number))[:-1], np.concatenate(ids), np.repeat(np.arange(len(ids)), [len(i) for i in ids]), np.ones(len(ids), bool))
+    backoff = lm.Backoff(np.zeros(1, np.uint64), 3, 2, 0, 0, 3)
+    first = backoff.first(tokens, 0, 2)
+    told = pd.concat([lm._whole_counts(some, 2, True) for _, some in first.groupby("bucket")])
+    assert told["v"].sum() == len(number)
+    second = backoff.next(tokens, 0, told, 1)
+    assert sum(len(lm._unpack(c)) for c in second["codes"]) == 1 and lm._from_planes(second["times"][0], np.int64).tolist() == [2]
+
+
+def test_shuffles_go_once_a_stage_is_written(spark, docs, monkeypatch):
+    """Every stage of the operator is written with the removal of its shuffles, and the session's own setting comes back."""
+    option = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before, seen = spark.conf.get(option), []
+    plain = lm.stage
+    monkeypatch.setattr(lm, "stage", lambda df, name: (seen.append(spark.conf.get(option)), plain(df, name))[1])
+    assert lm.score(docs((1, "a b a b"), (2, "a b")), lm.held_out()).count() == 2
+    assert seen == ["true"] * 4 and spark.conf.get(option) == before
