@@ -37,7 +37,7 @@ _BLOCK_TOKENS = 4_000_000
 _CANDIDATES_AT_ONCE = 1_000_000
 _LOCAL = 0.5  # of the share: what a block names
 _COUNTED_AT_ONCE = 1_500_000  # tokens of a block
-_TOKENS_A_BUCKET = 500_000
+_TOKENS_A_BUCKET = 1_000_000
 _SEED = 42  # Spark's own for xxhash64
 
 
@@ -621,6 +621,7 @@ def score(docs: DataFrame, held_out: Column, order: int = 3, word_share: float =
     each; other columns are not used; an empty table gives an empty one.
     """
     ship(__name__)
+    docs.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")  # rows are texts, or blocks of them
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), held_out.alias("held_out"), "text")
     blocks = _written(in_blocks(docs), "tokens")
     n = blocks.agg(F.coalesce(F.sum("learned"), F.lit(0))).first()[0]
