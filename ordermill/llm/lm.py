@@ -26,6 +26,7 @@ from math import log10
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -132,12 +133,20 @@ def assemble(vocabulary: list[str], counts: list[int], n: int, v: int, grams: li
     return out
 
 
+def _by_place(ids: np.ndarray) -> bytes:
+    return ids.view(np.uint8).reshape(-1, 4).T.tobytes()
+
+
+def _from_places(data) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(4, -1).T).view(np.int32).ravel()
+
+
 def _packed_ids(ids: np.ndarray) -> bytes:
-    return zlib.compress(ids.view(np.uint8).reshape(-1, 4).T.tobytes(), 1)
+    return zlib.compress(_by_place(ids), 1)
 
 
 def _ids(packed: bytes) -> np.ndarray:
-    return np.ascontiguousarray(np.frombuffer(zlib.decompress(packed), np.uint8).reshape(4, -1).T).view(np.int32).ravel()
+    return _from_places(zlib.decompress(packed))
 
 
 def tokenise(docs: DataFrame, vocabulary: list[str]) -> DataFrame:
@@ -291,7 +300,6 @@ class Level:
 
     code: np.ndarray  # sorted numbers
     first: np.ndarray  # the token at which each begins somewhere
-    times: np.ndarray  # how often each stands in texts to learn from
     where: np.ndarray  # by token, and one more: which of the different ones begins there, -1 for none
 
 
@@ -305,7 +313,13 @@ def _level(tokens: Tokens, code: np.ndarray, begins: np.ndarray) -> Level:
     place[sort] = np.cumsum(new, dtype=np.int32) - 1
     where = np.full(len(tokens.word) + 1, -1, np.int32)
     where[begins] = place
-    return Level(code[at], begins[sort[at]], np.bincount(place, tokens.learned[tokens.text[begins]], len(at)).astype(np.int64), where)
+    return Level(code[at], begins[sort[at]], where)
+
+
+def times_of(tokens: Tokens, level: Level) -> np.ndarray:
+    """How often each of the different n-grams stands in texts to learn from."""
+    begins = np.flatnonzero(level.where[:-1] >= 0)
+    return np.bincount(level.where[begins], tokens.learned[tokens.text[begins]], len(level.code)).astype(np.int64)
 
 
 def words_of(tokens: Tokens) -> Level:
@@ -314,7 +328,7 @@ def words_of(tokens: Tokens) -> Level:
     where = np.append(place.astype(np.int32)[tokens.ids], np.int32(-1))
     first = np.zeros(len(code), np.int32)
     first[where[-2::-1]] = np.arange(len(tokens.ids) - 1, -1, -1, dtype=np.int32)
-    return Level(code, first, np.bincount(where[:-1], tokens.learned[tokens.text], len(code)).astype(np.int64), where)
+    return Level(code, first, where)
 
 
 def longer(tokens: Tokens, shorter: Level, k: int, good: np.ndarray | None = None) -> Level:
@@ -393,9 +407,9 @@ class Backoff:
         sort = np.argsort((codes >> np.uint64(64 - self.bits)).astype(np.uint16 if self.bits <= 16 else np.int64), kind="stable")
         return codes[sort], sort
 
-    def _asked(self, levels: list[Level], number: int, block: int, words: int) -> pd.DataFrame:
+    def _asked(self, tokens: Tokens, levels: list[Level], number: int, block: int, words: int) -> pd.DataFrame:
         codes, sort = self._dealt(levels)
-        times = np.concatenate([x.times for x in levels])[sort]
+        times = np.concatenate([times_of(tokens, x) for x in levels])[sort]
         buckets, spans = _spans(codes, self.bits)
         return pd.DataFrame({
             "bucket": buckets + (number << self.bits),
@@ -416,13 +430,13 @@ class Backoff:
         levels = [words_of(tokens)]
         for k in range(2, order + 1):
             levels.append(longer(tokens, levels[-1], k))
-        return self._asked(levels, 0, block, len(levels[0].code))
+        return self._asked(tokens, levels, 0, block, len(levels[0].code))
 
     def next(self, tokens: Tokens, block: int, told: pd.DataFrame, number: int) -> pd.DataFrame:
         """Those of a later round, which hold only shorter ones seen `least` times."""
         known = self.known(tokens, told, number)
         levels = [longer(tokens, known.levels[-1], k + 1, known.counts[-1] >= self.least) for k in self.rounds()[number]]
-        return self._asked(levels, number, block, 0)
+        return self._asked(tokens, levels, number, block, 0)
 
     def known(self, tokens: Tokens, told: pd.DataFrame, rounds: int) -> Known:
         """What the first rounds told a block."""
@@ -570,7 +584,7 @@ def in_blocks(docs: DataFrame) -> DataFrame:
                 "nulls": [null.astype(bool).tobytes()],
                 "held": [held.astype(bool).tobytes()],
                 "sizes": [sizes.tobytes()],
-                "ids": [_packed_ids(np.concatenate(ids))],
+                "ids": [pa.compress(_by_place(np.concatenate(ids)), "zstd", asbytes=True)],
                 "hashes": [np.fromiter((xxh64_intdigest(w, _SEED) for w in number), np.uint64, len(number)).tobytes()],
             })
 
@@ -593,7 +607,8 @@ def in_blocks(docs: DataFrame) -> DataFrame:
 
 def _opened(block) -> Tokens:
     sizes, held = np.frombuffer(block.sizes, np.int32), np.frombuffer(block.held, bool)
-    return Tokens(np.frombuffer(block.hashes, np.uint64), _ids(block.ids), np.repeat(np.arange(len(sizes), dtype=np.int32), sizes), ~held)
+    ids = _from_places(pa.decompress(block.ids, 4 * int(sizes.sum()), "zstd"))
+    return Tokens(np.frombuffer(block.hashes, np.uint64), ids, np.repeat(np.arange(len(sizes), dtype=np.int32), sizes), ~held)
 
 
 def _counted(asked: DataFrame, least: int, ranked: bool, number: int) -> DataFrame:
