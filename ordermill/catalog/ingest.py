@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import fixed_values as V
 from ..plans.order_flow import FlowConfig, run_pipeline
-from ..session import ORDERS_AS_OF, materialize
+from ..session import ORDERS_AS_OF, materialize, shuffles_dropped
 from ..session import fresh_path as fresh
 from ..sources import files, incremental, mappings, sinks
 from ..streaming import jobs
@@ -22,9 +22,14 @@ from .scalars import CATEGORY_STANDARD
 TEXT_FIELDS = list(files.ORDER_TEXT_FIELDS)
 
 
+# Landed text is many times as large as its tables, so it is packed. One task reads a packed file, so its rows are bounded.
+PACKED = {"compression": "gzip", "maxRecordsPerFile": 1_000_000}
+
+
 def landed_csv(spark: SparkSession, sf: str) -> str:
     path = fresh(spark, "landing-csv")
-    sinks.write_csv(dirty(spark, sf).select(*TEXT_FIELDS, *LINE_ORDER), path)
+    with shuffles_dropped(spark):
+        sinks.write_csv(dirty(spark, sf).select(*TEXT_FIELDS, *LINE_ORDER), path, **PACKED)
     return path
 
 
@@ -67,7 +72,8 @@ def _envelopes(spark: SparkSession, sf: str) -> DataFrame:
 
 def landed_json(spark: SparkSession, sf: str) -> str:
     path = fresh(spark, "landing-json")
-    _envelopes(spark, sf).write.text(path)
+    with shuffles_dropped(spark):
+        _envelopes(spark, sf).write.options(**PACKED).text(path)
     return path
 
 

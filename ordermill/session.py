@@ -84,6 +84,20 @@ def drop_stages(spark: SparkSession, first: int = 0) -> None:
         path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
 
 
+_SHUFFLES_GO = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextlib.contextmanager
+def shuffles_dropped(spark: SparkSession) -> Iterator[None]:
+    """The shuffles of what is written inside are removed with the end of its job; for tables that are read from then on."""
+    before = spark.conf.get(_SHUFFLES_GO, "false")
+    spark.conf.set(_SHUFFLES_GO, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(_SHUFFLES_GO, before)
+
+
 @contextlib.contextmanager
 def stages(spark: SparkSession) -> Iterator[None]:
     """Own the stages written inside: they are removed at the end, when the results have been written or collected."""

@@ -13,9 +13,9 @@ from ..operators.dedup import dedup_by_key
 from ..session import clock
 
 
-def write_csv(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
+def write_csv(df: DataFrame, path: str, mode: str = "errorifexists", **options) -> None:
     """Header, UTF-8, values kept as they are (no trimming, quotes doubled)."""
-    writer = df.write.mode(mode).option("header", True).option("encoding", "UTF-8").option("escape", '"')
+    writer = df.write.mode(mode).option("header", True).option("encoding", "UTF-8").option("escape", '"').options(**options)
     writer.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
 
 

@@ -4,6 +4,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
+from ordermill.catalog import ingest
 from ordermill.catalog.ingest import finish
 from ordermill.session import materialize
 from ordermill.sources import files, incremental
@@ -99,6 +100,53 @@ def test_compressed_and_half_readable_files(spark, tmp_path):
     assert files.read_many_files(spark, src + "/c*", "json", AS_OF, skip_unreadable=True).count() == 0
 
 
+@pytest.fixture
+def line_tables(spark, tmp_path):
+    """A folder with 3000 order lines; their join is shuffled while the fixture is in use."""
+    lines = spark.range(3000).select(
+        F.expr("id div 3").alias("l_orderkey"), (F.col("id") % 50).alias("l_partkey"), (F.col("id") % 9).alias("l_suppkey"), (F.col("id") % 3 + 1).cast("int").alias("l_linenumber"),
+        F.lit(2.0).alias("l_quantity"), (F.col("id") * 0.5 + 10).alias("l_extendedprice"), F.lit(0.05).alias("l_discount"))
+    orders = spark.range(1000).select(F.col("id").alias("o_orderkey"), (F.col("id") % 70).alias("o_custkey"), F.expr("timestamp_ntz'2001-03-04 00:00:00'").alias("o_orderdate"))
+    lines.write.parquet(f"{tmp_path}/sf/lineitem.parquet")
+    orders.write.parquet(f"{tmp_path}/sf/orders.parquet")
+    threshold = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(threshold)
+    spark.conf.set(threshold, "-1")
+    yield f"{tmp_path}/sf"
+    spark.conf.set(threshold, before)
+
+
+def shuffle_files(spark):
+    found = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return {f for f in (found.apply(i).getName() for i in range(found.size())) if f.startswith("shuffle_")}
+
+
+def landed(spark, path):
+    """Bytes on disk and of text, by what the files' names and contents say."""
+    import gzip
+    from pathlib import Path
+
+    names = [f for _, f, _, _ in files.list_files(spark, path)]
+    raw = [Path(f.removeprefix("file:")).read_bytes() for f in names]
+    assert names and all(f.endswith(".gz") for f in names)
+    return sum(map(len, raw)), sum(len(gzip.decompress(r)) for r in raw)
+
+
+def test_landed_csv_and_json_are_packed_and_leave_no_shuffle(spark, line_tables, monkeypatch):
+    """read_many_files: both landings take a fraction of their text on disk, in files of bounded rows, and give all rows back."""
+    monkeypatch.setitem(ingest.PACKED, "maxRecordsPerFile", 200)
+    before = shuffle_files(spark)
+    paths = [ingest.landed_csv(spark, line_tables), ingest.landed_json(spark, line_tables)]
+    assert not shuffle_files(spark) - before
+    for path in paths:
+        packed, text = landed(spark, path)
+        assert packed * 3 < text and len(files.list_files(spark, path)) >= 15
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "false"
+    kinds = ingest.read_many_files(spark, line_tables).groupBy("source_type").agg(F.count("*").alias("n"), F.count_distinct("product").alias("products")).collect()
+    wanted = ingest.dirty(spark, line_tables).agg(F.count_distinct("product")).first()[0]
+    assert {(r.source_type, r.n, r.products) for r in kinds} == {("file_csv", 3000, wanted), ("file_json", 3000, wanted)}
+
+
 def test_incremental_and_jdbc_text(spark):
     df = spark.createDataFrame([(1, dt.datetime(2024, 1, 1)), (2, dt.datetime(2024, 1, 20))], "id bigint, ts timestamp_ntz")
     first = incremental.incremental_extract(df, incremental.TIMESTAMP, "ts", AS_OF)
