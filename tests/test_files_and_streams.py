@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ordermill.catalog import ingest
 from ordermill.catalog.ingest import finish
-from ordermill.session import materialize
+from ordermill.session import fresh_path, materialize
 from ordermill.sources import files, incremental
 from ordermill.streaming import jobs
 
@@ -147,6 +147,24 @@ def test_landed_csv_and_json_are_packed_and_leave_no_shuffle(spark, line_tables,
     assert {(r.source_type, r.n, r.products) for r in kinds} == {("file_csv", 3000, wanted), ("file_json", 3000, wanted)}
 
 
+def disk_of(spark, query, sf, names, monkeypatch):
+    """The rows of a query, and bytes on disk against bytes of text of the one folder it lands in."""
+    paths = []
+    monkeypatch.setattr(ingest, "fresh", lambda s, name: (paths.append(fresh_path(s, name)), paths[-1])[1])
+    before = shuffle_files(spark)
+    rows = query(spark, sf)
+    assert not shuffle_files(spark) - before and len(paths) == 1
+    return sorted(map(str, rows.select(*names).collect())), *landed(spark, paths[0])
+
+
+def test_read_json_orders_lands_packed_documents(spark, line_tables, monkeypatch):
+    names = ["order_id", "customer_name", "quantity", "price", "notes", "app_version"]
+    got, packed, text = disk_of(spark, ingest.read_json_orders, line_tables, names, monkeypatch)
+    assert packed * 3 < text
+    version = F.when(F.col("seq") % 4 < 3, "2.1").alias("app_version")
+    assert got == sorted(map(str, ingest.dirty(spark, line_tables).select(*names[:-1], version).collect()))
+
+
 def test_incremental_and_jdbc_text(spark):
     df = spark.createDataFrame([(1, dt.datetime(2024, 1, 1)), (2, dt.datetime(2024, 1, 20))], "id bigint, ts timestamp_ntz")
     first = incremental.incremental_extract(df, incremental.TIMESTAMP, "ts", AS_OF)
