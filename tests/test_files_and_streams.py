@@ -165,6 +165,16 @@ def test_read_json_orders_lands_packed_documents(spark, line_tables, monkeypatch
     assert got == sorted(map(str, ingest.dirty(spark, line_tables).select(*names[:-1], version).collect()))
 
 
+def test_flatten_nested_orders_lands_packed_documents(spark, line_tables, monkeypatch):
+    names = ["order_id", "customer_name", "device_model", "device_os", "app_version", "app_platform", "upload_timestamp"]
+    got, packed, text = disk_of(spark, ingest.flatten_nested_orders, line_tables, names, monkeypatch)
+    assert packed * 3 < text
+    whole = F.col("seq") % 4 < 3
+    lifted = [F.lit("M1").alias("device_model"), F.col("line_no").cast("string").alias("device_os"), F.when(whole, "9").alias("app_version"),
+              F.when(whole, "ios").alias("app_platform"), F.when(whole, "2001-12-30").alias("upload_timestamp")]
+    assert got == sorted(map(str, ingest.dirty(spark, line_tables).select(*names[:2], *lifted).collect()))
+
+
 def test_incremental_and_jdbc_text(spark):
     df = spark.createDataFrame([(1, dt.datetime(2024, 1, 1)), (2, dt.datetime(2024, 1, 20))], "id bigint, ts timestamp_ntz")
     first = incremental.incremental_extract(df, incremental.TIMESTAMP, "ts", AS_OF)
