@@ -332,9 +332,9 @@ CLEANED_COLUMNS = ["order_id", "customer_name", "product", "store_location", "no
 CLEANED = clean_sql(_DEDUPED)
 
 
-def cleaned(spark: SparkSession, sf: str) -> DataFrame:
+def cleaned(spark: SparkSession, sf: str, slices: int | None = None) -> DataFrame:
     orders = dirty(spark, sf).drop("seq", "legacy_id", "status", "phone", "address")
-    return K.clean_orders(orders, ORDERS_AS_OF, LINE_ORDER)
+    return K.clean_orders(orders, ORDERS_AS_OF, LINE_ORDER, slices)
 
 
 @query("clean_orders", f"select {S.KEYS}, {', '.join(CLEANED_COLUMNS)} from {CLEANED}")
@@ -485,8 +485,8 @@ def enriched_sql(source: str) -> str:
 
 @query("enrich_orders", f"select * from {enriched_sql(CLEANED)}")
 def enrich_orders(spark, sf):
-    rows = cleaned(spark, sf).select(*LINE_ORDER, *CLEANED_COLUMNS)
-    return E.enrich_orders(rows, ORDERS_AS_OF).drop("enriched_at", "enrichment_version")
+    rows = cleaned(spark, sf, slices=4).select(*LINE_ORDER, *CLEANED_COLUMNS)
+    return E.enrich_orders(rows, ORDERS_AS_OF, written=True).drop("enriched_at", "enrichment_version")
 
 
 _RISK_RAW = f"select {S.KEYS}, risk_score, risk_level from {enriched_sql('{orders_raw}')}"

@@ -191,8 +191,9 @@ def clean_rows(df: DataFrame, as_of: str) -> DataFrame:
     return stamp_metadata(kept.withColumn("data_quality_score", record_quality_score(kept)), "cleaned", as_of)
 
 
-def clean_orders(df: DataFrame, as_of: str, order_by: list) -> DataFrame:
-    return clean_rows(dedup_orders(df, order_by), as_of)
+def clean_orders(df: DataFrame, as_of: str, order_by: list, slices: int | None = None) -> DataFrame:
+    """With `slices`, the cleaned rows are a stage (`dedup_in_slices`), and no shuffle holds more than one slice."""
+    return dedup_orders(df, order_by, slices=slices, then=lambda rows: clean_rows(rows, as_of))
 
 
 def clean_numbers_text(df: DataFrame) -> DataFrame:

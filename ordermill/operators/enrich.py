@@ -14,7 +14,7 @@ from ..functions import dates as D
 from ..functions import fixed_values as V
 from ..functions import numeric as N
 from ..functions import text as X
-from ..session import materialize
+from ..session import materialize, shuffles_dropped, stages
 from .cleaning import number, record_completeness, stamp_metadata, timestamp
 from .joins import segment_back_join
 from .ranking import quantiles
@@ -93,11 +93,23 @@ def risk_assessment(df: DataFrame, amount_p95: Column, quantity_p95: Column) ->
     return df.withColumn("risk_score", score).withColumn("risk_level", C.risk_level(F.col("risk_score")))
 
 
-def enrich_orders(df: DataFrame, as_of: str, customer_key: str = "customer_name") -> DataFrame:
-    """All enrichment steps; the input is written once because four aggregates read it again."""
-    base = materialize(temporal_features(product_intelligence(financials(df)), as_of), "enrich")
-    thresholds = [quantile_threshold(base, c).scalar() for c in ("total_amount", "quantity")]
-    sized = business_metrics(segment_back_join(base, customer_key), base)
+def enrich_orders(df: DataFrame, as_of: str, customer_key: str = "customer_name", written: bool = False) -> DataFrame:
+    """All enrichment steps; the input is written once because four aggregates read it again, unless it is `written` already.
+
+    Customers are joined to the rows as given, and what a row tells of itself is added after: that join shuffles no column
+    that can be computed. What was shuffled or written for the input and the thresholds goes as soon as they are there.
+    """
+    spark, thresholds = df.sparkSession, []
+    with shuffles_dropped(spark):
+        base = df if written else materialize(df, "enrich")
+        priced = financials(base)
+        for column in ("total_amount", "quantity"):
+            with stages(spark):
+                thresholds.append(F.lit(quantile_threshold(priced, column).first()[0]).cast("double"))
+    joined = segment_back_join(base, customer_key, priced)
+    told = temporal_features(product_intelligence(financials(joined)), as_of)
+    customer = [c for c in joined.columns if c not in base.columns]
+    sized = business_metrics(told.select(*[c for c in told.columns if c not in customer], *customer), priced)
     risky = risk_assessment(sized, *thresholds)
     seasonal = risky.withColumns(D.season_features(F.col("order_month"), F.col("total_amount")))
     return stamp_metadata(seasonal, "enriched", as_of)

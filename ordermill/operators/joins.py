@@ -37,13 +37,14 @@ def customer_totals(df: DataFrame, key: str = "customer_name", amount: str = "to
     )
 
 
-def segment_back_join(df: DataFrame, key: str = "customer_name") -> DataFrame:
-    """Each order with its customer's segment, lifetime value and priority.
+def segment_back_join(df: DataFrame, key: str = "customer_name", whole: DataFrame | None = None) -> DataFrame:
+    """Each order with its customer's segment, lifetime value and priority, by the amounts of `whole`, or its own.
 
     Aggregate and join back rather than a window per customer: the aggregate combines on the map
     side and the join can be split, so one dominant customer never sits in one task.
     """
-    totals = customer_totals(df.filter(F.col(key).isNotNull()), key).select(
+    amounts = df if whole is None else whole
+    totals = customer_totals(amounts.filter(F.col(key).isNotNull()), key).select(
         key,
         F.col("total_spent").cast("double").alias("customer_ltv"),
         segment_by_customer(F.col("total_spent"), F.col("order_count")).alias("customer_segment"),

@@ -76,12 +76,17 @@ def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a stage or a folder of one; what is not there is no error."""
+    context = spark.sparkContext
+    gone = context._jvm.org.apache.hadoop.fs.Path(path)
+    gone.getFileSystem(context._jsc.hadoopConfiguration()).delete(gone, True)
+
+
 def drop_stages(spark: SparkSession, first: int = 0) -> None:
     """Remove the stages written so far (from the given one on); frames that still read them become unusable."""
-    context = spark.sparkContext
     while len(_STAGES) > first:
-        path = context._jvm.org.apache.hadoop.fs.Path(_STAGES.pop())
-        path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
+        remove(spark, _STAGES.pop())
 
 
 _SHUFFLES_GO = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"

@@ -4,8 +4,11 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from ordermill.catalog import ingest
+from ordermill import session
+from ordermill.catalog import ingest, orders
 from ordermill.catalog.ingest import finish
+from ordermill.operators import dedup as D
+from ordermill.operators import enrich as E
 from ordermill.session import fresh_path, materialize
 from ordermill.sources import files, incremental
 from ordermill.streaming import jobs
@@ -175,6 +178,38 @@ def test_flatten_nested_orders_lands_packed_documents(spark, line_tables, monkey
     assert got == sorted(map(str, ingest.dirty(spark, line_tables).select(*names[:2], *lifted).collect()))
 
 
+def test_enrich_orders_keeps_one_packed_copy_on_disk(spark, line_tables):
+    """No shuffle and no stage but the cleaned rows is left before the last join, which carries no computed column; same rows as unsliced."""
+    before, first = shuffle_files(spark), len(session._STAGES)
+    rows = orders.enrich_orders(spark, line_tables)
+    assert not shuffle_files(spark) - before
+    left = {path: [f for _, f, size, _ in files.list_files(spark, path) if size] for path in session._STAGES[first:]}
+    assert [path.rsplit("/", 1)[1].split("-")[0] for path, names in left.items() if names] == ["first"]
+    joins = [x for x in rows._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Join LeftOuter" in x]
+    below = rows._jdf.queryExecution().optimizedPlan().toString().split("Join LeftOuter")[-1]
+    assert joins and "product_brand" not in below and "order_quarter" not in below
+    plain = orders.cleaned(spark, line_tables).select(*orders.LINE_ORDER, *orders.CLEANED_COLUMNS)
+    wanted = E.enrich_orders(plain, orders.ORDERS_AS_OF).drop("enriched_at", "enrichment_version")
+    assert rows.columns == wanted.columns and rows.count() > 100
+    assert sorted(map(str, rows.collect())) == sorted(map(str, wanted.collect()))
+
+
+def test_dedup_in_slices_is_dedup_by_key(spark):
+    keys = [None, "a", "b", "c", "d"]
+    made = [(keys[i % 5], keys[i * 7 % 5], i % 3, i // 2) for i in range(200)] + [(f"k{i}", None, None, i) for i in range(50)] * 2
+    rows = spark.createDataFrame(made, "k string, v string, w int, n int")
+    order = ["n", "v", "w"]
+    plain = D.dedup_by_key(D.dedup_by_key(rows, ["k", "w"], order), ["v", "w"], order).withColumn("twice", F.col("n") * 2)
+    got = D.dedup_in_slices(rows, [["k", "w"], ["v", "w"]], order, 3, lambda d: d.withColumn("twice", F.col("n") * 2))
+    assert got.schema == plain.schema and sorted(map(str, got.collect())) == sorted(map(str, plain.collect()))
+    none = D.dedup_in_slices(rows.limit(0), [["k"]], order, 2, lambda d: d)
+    assert none.count() == 0 and none.columns == rows.columns
+
+
+def test_enrich_of_no_orders(spark, sample_orders):
+    assert E.enrich_orders(sample_orders.limit(0), AS_OF).count() == 0
+
+
 def test_incremental_and_jdbc_text(spark):
     df = spark.createDataFrame([(1, dt.datetime(2024, 1, 1)), (2, dt.datetime(2024, 1, 20))], "id bigint, ts timestamp_ntz")
     first = incremental.incremental_extract(df, incremental.TIMESTAMP, "ts", AS_OF)
