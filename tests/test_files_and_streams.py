@@ -150,6 +150,15 @@ def test_landed_csv_and_json_are_packed_and_leave_no_shuffle(spark, line_tables,
     assert {(r.source_type, r.n, r.products) for r in kinds} == {("file_csv", 3000, wanted), ("file_json", 3000, wanted)}
 
 
+def test_json_lands_by_slices_of_the_orders(spark, line_tables, monkeypatch):
+    """read_many_files: no more than a part of the rows is joined, and so shuffled, at once; the parts are all rows."""
+    counts, plain = [], ingest._envelopes
+    monkeypatch.setattr(ingest, "_envelopes", lambda rows: (counts.append(rows.count()), plain(rows))[1])
+    path = ingest.landed_json(spark, line_tables)
+    assert sum(counts) == 3000 and max(counts) < 1500
+    assert spark.read.text(path).count() == 3000
+
+
 def disk_of(spark, query, sf, names, monkeypatch):
     """The rows of a query, and bytes on disk against bytes of text of the one folder it lands in."""
     paths = []
